@@ -1,0 +1,53 @@
+"""Small array helpers shared by the column expressions."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate `value` once per row and hand it to `body`.
+
+    Inside a higher-order function an outer expression is evaluated again for every
+    element, which makes neighbour look-ups quadratic. Binding it as the only element of
+    an array turns it into a lambda variable, whose value is computed once.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def let_all(values: list[Column], body: Callable[..., Column]) -> Column:
+    """`let` over several independent values."""
+    bound = F.struct(*[v.alias(f"v{i}") for i, v in enumerate(values)])
+    return let(bound, lambda s: body(*[s[f"v{i}"] for i in range(len(values))]))
+
+
+def multiset(items: Column) -> Column:
+    """Map of item → number of occurrences, by sorting and measuring the runs."""
+
+    def runs(ordered: Column) -> Column:
+        heads = F.filter(
+            F.transform(
+                ordered,
+                lambda x, i: F.struct(
+                    i.alias("at"),
+                    x.alias("item"),
+                    ((i == 0) | (x != F.get(ordered, i - 1))).alias("head"),
+                ),
+            ),
+            lambda h: h["head"],
+        )
+        return let(
+            heads,
+            lambda hs: F.map_from_arrays(
+                F.transform(hs, lambda h: h["item"]),
+                F.transform(
+                    hs,
+                    lambda h, k: F.coalesce(F.get(hs, k + 1)["at"], F.size(ordered)) - h["at"],
+                ),
+            ),
+        )
+
+    return let(F.array_sort(items), runs)

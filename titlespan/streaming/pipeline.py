@@ -1,0 +1,105 @@
+"""Incremental files to submission rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from titlespan.operators.checks import data_quality
+from titlespan.operators.submission import submission
+from titlespan.operators.tagger import predict
+from titlespan.sources.tsv import read_submission, string_schema, write_options
+
+
+def tsv_stream(
+    spark: SparkSession,
+    path: str,
+    columns: list[str],
+    files_per_trigger: int = 1000,
+    delimiter: str = "\t",
+    quotechar: str = '"',
+) -> DataFrame:
+    """G1: new files of a folder as a stream, every column a string."""
+    return (
+        spark.readStream.schema(string_schema(columns))
+        .option("sep", delimiter)
+        .option("header", True)
+        .option("quote", quotechar)
+        .option("escape", quotechar)
+        .option("maxFilesPerTrigger", files_per_trigger)
+        .csv(path)
+        .na.fill("")
+    )
+
+
+def submission_stream(seqs: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """G2 for a stream of `(record_id, tokens, tags)`: E1 and F1 keep no state.
+
+    The file sink commits each batch once.
+    """
+    writer = write_options(submission(seqs).writeStream.format("csv"))
+    return (
+        writer.option("header", True)
+        .option("path", out)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def tagged_submission_stream(
+    titles: DataFrame,
+    lexicon: DataFrame,
+    out: str,
+    checkpoint: str,
+    id_col: str = "id",
+    title_col: str = "title",
+) -> StreamingQuery:
+    """G2 for a stream of titles: T1 → M3 → E1 → F1 per micro-batch.
+
+    A batch is written to its own folder and replaced when it runs again, so a batch that
+    is repeated after a failure leaves one copy. `read_batches` reads the result.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        tagged = predict(batch, lexicon, id_col, title_col)
+        rows = submission(tagged, tag_col="pred_tags")
+        writer = write_options(rows.write.mode("overwrite")).option("header", True)
+        writer.csv(f"{out}/batch={batch_id}")
+
+    return (
+        titles.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_batches(spark: SparkSession, out: str) -> DataFrame:
+    """The rows `tagged_submission_stream` has written."""
+    return read_submission(spark, out).drop("batch")
+
+
+def running_tag_counts(tags: DataFrame, tag_col: str = "tags") -> DataFrame:
+    """Running count per tag; the state is one row per tag. Use complete output mode."""
+    return (
+        tags.select(F.explode(tag_col).alias("tag"))
+        .groupBy(F.coalesce("tag", F.lit("")).alias("tag"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def quality_stream(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """V8 per micro-batch, one folder per batch."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        data_quality(batch).write.mode("overwrite").json(f"{out}/batch={batch_id}")
+
+    return (
+        rows.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
