@@ -69,112 +69,144 @@ def validate_input(df: DataFrame, required: list[str] = INPUT_COLUMNS) -> DataFr
     return _from_findings(aggregated, findings)
 
 
-def length_violations(seqs: DataFrame, tag_col: str = "tags") -> DataFrame:
-    """Records whose token and tag counts differ."""
-    tokens, tags = F.col("tokens"), F.col(tag_col)
-    return _violations(
-        seqs.filter(~length_matches(tokens, tags)),
-        rule=F.lit("length_mismatch"),
-        record_id=F.col("record_id"),
-        detail=F.format_string("%d tokens, %d tags", F.size(tokens), F.size(tags)),
-        n=F.lit(1),
+# Each record check is an array of findings. Exploding the array, rather than filtering on
+# it, keeps Spark from pushing the check below the projections it reads and evaluating
+# those again; several checks joined into one array share a single pass.
+
+_RECORD_FINDING = "array<struct<rule:string,pos:int,detail:string,n:bigint>>"
+
+
+def _record_finding(rule: Column, pos: Column, detail: Column, n: Column) -> Column:
+    return F.struct(
+        rule.alias("rule"),
+        pos.cast("int").alias("pos"),
+        detail.cast("string").alias("detail"),
+        n.cast("bigint").alias("n"),
     )
 
 
-def validate_alignment(
-    seqs: DataFrame, tag_col: str = "tags", pattern: str | None = None
-) -> DataFrame:
+def _if_any(condition: Column, finding: Column) -> Column:
+    nothing = F.array().cast(_RECORD_FINDING)
+    return F.when(condition, F.array(finding)).otherwise(nothing)
+
+
+def length_findings(tokens: Column, tags: Column) -> Column:
+    """The record's token and tag counts differ."""
+    sizes = F.format_string("%d tokens, %d tags", F.size(tokens), F.size(tags))
+    return _if_any(
+        ~length_matches(tokens, tags),
+        _record_finding(F.lit("length_mismatch"), F.lit(None), sizes, F.lit(1)),
+    )
+
+
+def alignment_findings(tokens: Column, tags: Column, pattern: str | None = None) -> Column:
     """V2: a length mismatch, else the first tag that does not match the pattern.
 
     The pattern defaults to the list of types; `upper` is the literal one that takes only
     upper-case type names.
     """
     regex = {None: type_pattern(), "upper": UPPER_PATTERN}.get(pattern, pattern)
-    tokens, tags = F.col("tokens"), F.col(tag_col)
-    aligned = length_matches(tokens, tags)
-    checked = seqs.select(
-        "record_id",
-        aligned.alias("aligned"),
-        F.format_string("%d tokens, %d tags", F.size(tokens), F.size(tags)).alias("sizes"),
-        F.when(aligned, F.get(bad_tag_positions(tags, regex), F.lit(0))).alias("bad"),
-    ).filter(~F.col("aligned") | F.col("bad").isNotNull())
-    return _violations(
-        checked,
-        rule=F.when(F.col("aligned"), F.lit("bad_tag")).otherwise(F.lit("length_mismatch")),
-        record_id=F.col("record_id"),
-        pos=F.col("bad.pos"),
-        detail=F.when(F.col("aligned"), F.col("bad.tag")).otherwise(F.col("sizes")),
-        n=F.lit(1),
+    first_bad = F.transform(
+        F.slice(bad_tag_positions(tags, regex), 1, 1),
+        lambda b: _record_finding(F.lit("bad_tag"), b["pos"], b["tag"], F.lit(1)),
     )
+    return F.when(length_matches(tokens, tags), first_bad).otherwise(length_findings(tokens, tags))
 
 
-def validate_sequence(seqs: DataFrame, tag_col: str = "tags") -> DataFrame:
+def sequence_findings(tags: Column) -> Column:
     """V3: each `I-X` right after an open span of another type."""
-    found = seqs.select("record_id", F.explode(bad_transitions(F.col(tag_col))).alias("b"))
-    return _violations(
-        found,
-        rule=F.lit("bad_transition"),
-        record_id=F.col("record_id"),
-        pos=F.col("b.pos"),
-        detail=F.col("b.tag"),
-        n=F.lit(1),
+    return F.transform(
+        bad_transitions(tags),
+        lambda b: _record_finding(F.lit("bad_transition"), b["pos"], b["tag"], F.lit(1)),
     )
 
 
-def unknown_types(
-    entities: DataFrame, types: list[str] = ENTITY_TYPES, entities_col: str = "entities"
-) -> DataFrame:
+def type_findings(entities: Column, types: list[str] = ENTITY_TYPES) -> Column:
     """V4: entity types that are not in the list."""
-    found = entities.select("record_id", F.explode(F.map_keys(entities_col)).alias("type"))
-    return _violations(
-        found.filter(~F.col("type").isin(types)),
-        rule=F.lit("unknown_type"),
-        record_id=F.col("record_id"),
-        detail=F.col("type"),
-        n=F.lit(1),
+    return F.transform(
+        F.filter(F.map_keys(entities), lambda t: ~t.isin(types)),
+        lambda t: _record_finding(F.lit("unknown_type"), F.lit(None), t, F.lit(1)),
     )
 
 
-def _usage(records: DataFrame, entities_col: str, tokens_col: str) -> DataFrame:
-    return records.select(
-        "record_id",
-        F.explode(token_usage(F.col(entities_col), F.col(tokens_col))).alias("u"),
-    ).select("record_id", "u.*")
+def usage_findings(
+    entities: Column, tokens: Column, overuse: bool = True, unknown: bool = True
+) -> Column:
+    """V4, V5: tokens used more often than the title has them; it may not have them at all.
+
+    The multiset difference is taken inside the row, so nothing is shuffled.
+    """
+    usage = token_usage(entities, tokens)
+    if not unknown:
+        usage = F.filter(usage, lambda u: u["have"] > 0)
+    if not overuse:
+        usage = F.filter(usage, lambda u: u["have"] == 0)
+    return F.transform(
+        usage,
+        lambda u: _record_finding(
+            F.when(u["have"] > 0, F.lit("token_overuse")).otherwise(F.lit("unknown_token")),
+            F.lit(None),
+            u["token"],
+            u["used"] - u["have"],
+        ),
+    )
 
 
-def _usage_violations(usage: DataFrame) -> DataFrame:
+def record_violations(records: DataFrame, *findings: Column) -> DataFrame:
+    """The findings of one or more record checks as violations, in one pass."""
+    found = records.select(
+        "record_id", F.explode(F.concat(*[f.cast(_RECORD_FINDING) for f in findings])).alias("f")
+    )
     return _violations(
-        usage,
-        rule=F.when(F.col("have") > 0, F.lit("token_overuse")).otherwise(F.lit("unknown_token")),
+        found,
+        rule=F.col("f.rule"),
         record_id=F.col("record_id"),
-        detail=F.col("token"),
-        n=F.col("used") - F.col("have"),
+        pos=F.col("f.pos"),
+        detail=F.col("f.detail"),
+        n=F.col("f.n"),
     )
 
 
+def length_violations(seqs: DataFrame, tag_col: str = "tags") -> DataFrame:
+    """Records whose token and tag counts differ."""
+    return record_violations(seqs, length_findings(F.col("tokens"), F.col(tag_col)))
+
+
+def validate_alignment(
+    seqs: DataFrame, tag_col: str = "tags", pattern: str | None = None
+) -> DataFrame:
+    """V2: see `alignment_findings`."""
+    return record_violations(seqs, alignment_findings(F.col("tokens"), F.col(tag_col), pattern))
+
+
+def validate_sequence(seqs: DataFrame, tag_col: str = "tags") -> DataFrame:
+    """V3: see `sequence_findings`."""
+    return record_violations(seqs, sequence_findings(F.col(tag_col)))
+
+
 def token_overuse(
     records: DataFrame, entities_col: str = "entities", tokens_col: str = "tokens"
 ) -> DataFrame:
-    """V4: tokens of the title that the entities use more often than they occur.
-
-    The multiset difference is taken inside the row, so nothing is shuffled.
-    """
-    return _usage_violations(_usage(records, entities_col, tokens_col).filter("have > 0"))
+    """V4: tokens of the title that the entities use more often than they occur."""
+    findings = usage_findings(F.col(entities_col), F.col(tokens_col), unknown=False)
+    return record_violations(records, findings)
 
 
 def unknown_tokens(
     records: DataFrame, entities_col: str = "entities", tokens_col: str = "tokens"
 ) -> DataFrame:
     """V5: tokens the entities use that the title does not have."""
-    return _usage_violations(_usage(records, entities_col, tokens_col).filter("have = 0"))
+    findings = usage_findings(F.col(entities_col), F.col(tokens_col), overuse=False)
+    return record_violations(records, findings)
 
 
 def validate_entities(
     records: DataFrame, entities_col: str = "entities", tokens_col: str = "tokens"
 ) -> DataFrame:
     """V4: unknown types and overused tokens."""
-    return unknown_types(records, entities_col=entities_col).unionByName(
-        token_overuse(records, entities_col, tokens_col)
+    entities, tokens = F.col(entities_col), F.col(tokens_col)
+    return record_violations(
+        records, type_findings(entities), usage_findings(entities, tokens, unknown=False)
     )
 
 
@@ -182,9 +214,8 @@ def validate_reconstruction(
     records: DataFrame, entities_col: str = "entities", tokens_col: str = "tokens"
 ) -> DataFrame:
     """V5: V4 and tokens that do not occur in the title."""
-    return unknown_types(records, entities_col=entities_col).unionByName(
-        _usage_violations(_usage(records, entities_col, tokens_col))
-    )
+    entities, tokens = F.col(entities_col), F.col(tokens_col)
+    return record_violations(records, type_findings(entities), usage_findings(entities, tokens))
 
 
 def validate_submission(

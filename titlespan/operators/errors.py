@@ -87,7 +87,8 @@ def error_examples(seqs: DataFrame, limit: int | None = 100) -> DataFrame:
     )
     if limit is not None:
         differs = F.exists(pairs, lambda p: p["true_tag"] != p["pred_tag"])
-        first = seqs.filter(differs).select("record_id").orderBy("record_id").limit(limit)
+        erroneous = F.when(differs, F.array("record_id")).otherwise(F.array().cast("array<bigint>"))
+        first = seqs.select(F.explode(erroneous).alias("record_id")).orderBy("record_id").limit(limit)
         seqs = seqs.join(F.broadcast(first), "record_id", "left_semi")
     rows = seqs.select("record_id", F.posexplode(pairs).alias("pos", "p")).select(
         "record_id", "pos", "p.*"

@@ -22,7 +22,7 @@ from titlespan.functions.tags import (
     spans_of,
     tag_spans_of,
 )
-from titlespan.operators.checks import length_violations
+from titlespan.operators.checks import length_findings, record_violations
 from titlespan.types import ENTITY_TYPES
 
 # --- pairs and confusion -----------------------------------------------------------------
@@ -278,7 +278,7 @@ def exact_match(compared: DataFrame) -> DataFrame:
 def exact_match_by_type(compared: DataFrame) -> DataFrame:
     """Rates per type."""
     return (
-        compared.select(F.explode("by_type").alias("c"))
+        compared.select(F.explode_outer("by_type").alias("c"))
         .groupBy(F.col("c.type").alias("type"))
         .agg(
             (F.count_if("c.exact") / F.count(F.lit(1))).alias("exact_match_rate"),
@@ -589,7 +589,12 @@ def evaluate_predictions(seqs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def misaligned(seqs: DataFrame) -> DataFrame:
     """E7 on both sides of a comparison."""
-    return length_violations(seqs, "true_tags").unionByName(length_violations(seqs, "pred_tags"))
+    tokens = F.col("tokens")
+    return record_violations(
+        seqs,
+        length_findings(tokens, F.col("true_tags")),
+        length_findings(tokens, F.col("pred_tags")),
+    )
 
 
 def per_type_report(metrics: DataFrame, types: list[str] = ENTITY_TYPES) -> DataFrame:

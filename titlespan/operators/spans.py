@@ -76,10 +76,12 @@ def spans(
     on_error: str = "raise_length",
 ) -> DataFrame:
     """`(record_id, span_no, type, start_pos, end_pos, text)`; no shuffle."""
-    return (
-        with_spans(seqs, mode, tag_col, reference_col, on_error)
-        .select("record_id", F.posexplode("spans").alias("span_no", "s"))
-        .select("record_id", "span_no", "s.*")
+    # The expression is exploded as it stands: over a column Spark would infer a filter on
+    # its size and evaluate everything below a second time.
+    reference = F.col(reference_col) if reference_col else None
+    found = checked_spans(F.col("tokens"), F.col(tag_col), mode, reference, on_error)
+    return seqs.select("record_id", F.posexplode(found).alias("span_no", "s")).select(
+        "record_id", "span_no", "s.*"
     )
 
 

@@ -142,7 +142,7 @@ def tag_spans(spark, d):
 
 
 def _entity_rows(entities: DataFrame) -> DataFrame:
-    rows = entities.select("record_id", F.explode("entities").alias("type", "texts"))
+    rows = entities.select("record_id", F.explode_outer("entities").alias("type", "texts"))
     return rows.select(
         "record_id",
         "type",
@@ -243,10 +243,12 @@ def data_quality_lineitem(spark, d):
 @query
 def validation_summary(spark, d):
     faulty = inputs.faulty_sequences(spark, d)
-    found = (
-        checks.length_violations(faulty)
-        .unionByName(checks.validate_alignment(faulty))
-        .unionByName(checks.validate_sequence(faulty))
+    tags = F.col("tags")
+    found = checks.record_violations(
+        faulty,
+        checks.length_findings(F.col("tokens"), tags),
+        checks.alignment_findings(F.col("tokens"), tags),
+        checks.sequence_findings(tags),
     )
     return checks.validation_summary(found)
 

@@ -85,7 +85,8 @@ def read_batches(spark: SparkSession, out: str) -> DataFrame:
 def running_tag_counts(tags: DataFrame, tag_col: str = "tags") -> DataFrame:
     """Running count per tag; the state is one row per tag. Use complete output mode."""
     return (
-        tags.select(F.explode(tag_col).alias("tag"))
+        tags.select(F.posexplode_outer(tag_col).alias("pos", "tag"))
+        .filter("pos IS NOT NULL")
         .groupBy(F.coalesce("tag", F.lit("")).alias("tag"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
