@@ -6,17 +6,13 @@ number of tokens (apart from the sort inside `multiset`).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from titlespan.functions.arrays import let, let_all, multiset
+from titlespan.functions.sql import let, multiset, quote, quoted
 from titlespan.types import ENTITY_TYPES, OUTSIDE, SPAN_SCHEMA
 
 MODES = ("strict", "lenient", "reference")
 
 # Stands for a blank prediction where the reference tag is not blank.
 _PASSED_OVER = "-"
-_REST = 2**31 - 1
 
 # Fixed value: the literal tag pattern that accepts upper-case type names only.
 UPPER_PATTERN = "^(O|B-[A-Z_]+|I-[A-Z_]+)?$"
@@ -27,280 +23,242 @@ def type_pattern(types: list[str] = ENTITY_TYPES) -> str:
     return "^(O|[BI]-(" + "|".join(types) + "))?$"
 
 
-def blank_to_empty(tags: Column) -> Column:
-    """NULL and '' are one state: blank."""
-    return F.transform(tags, lambda t: F.coalesce(t, F.lit("")))
+def check_mode(mode: str, has_reference: bool) -> None:
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    if (mode == "reference") != has_reference:
+        raise ValueError("reference tags go with mode='reference' and with no other")
 
 
-def tag_prefix(tag: Column) -> Column:
-    """`B` or `I`, NULL for any other tag."""
-    return F.when(tag.startswith("B-"), F.lit("B")).when(tag.startswith("I-"), F.lit("I"))
+def blank_to_empty(tags: str) -> str:
+    """NULL and '' are one state: blank."""
+    return f"transform({tags}, t -> coalesce(t, ''))"
 
 
-def tag_type(tag: Column) -> Column:
-    """The type after `B-` / `I-`, NULL for any other tag."""
-    return F.when(opens_span(tag), F.substring(tag, 3, _REST))
+def opens_span(tag: str) -> str:
+    """`B-` and `I-` tags."""
+    return f"(startswith({tag}, 'B-') OR startswith({tag}, 'I-'))"
 
 
-def opens_span(tag: Column) -> Column:
-    """`B-` and `I-` tags."""
-    return tag.startswith("B-") | tag.startswith("I-")
+def tag_type(tag: str) -> str:
+    """The type after `B-` / `I-`, NULL for any other tag."""
+    return f"if({opens_span(tag)}, substr({tag}, 3), NULL)"
 
 
-def tag_continues(tag: Column, previous: Column) -> Column:
+def tag_continues(tag: str, previous: str) -> str:
     """True for `I-X` after a tag of type X; NULL or false otherwise."""
-    same_type = F.substring(tag, 3, _REST) == F.substring(previous, 3, _REST)
-    return tag.startswith("I-") & ((previous == tag) | (previous.startswith("B-") & same_type))
+    return (
+        f"(startswith({tag}, 'I-') AND ({previous} = {tag} OR "
+        f"(startswith({previous}, 'B-') AND substr({tag}, 3) = substr({previous}, 3))))"
+    )
 
 
-def effective_tags(tags: Column, mode: str = "strict", reference: Column | None = None) -> Column:
-    """Tags with the blank rule of the mode applied.
+def effective_tag(tag: str, mode: str, reference: str | None = None) -> str:
+    """One tag with the blank rule of the mode applied.
 
     The three modes differ only in blank and invalid tags. In the result an empty tag
     belongs to the span that is open, if any; `O` closes it; a tag that is neither empty,
     `O`, `B-` nor `I-` closes it in strict mode and is passed over in the other two.
     """
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    if (mode == "reference") != (reference is not None):
-        raise ValueError("reference tags go with mode='reference' and with no other")
-
-    def or_blank(tag: Column, blank: str) -> Column:
-        plain = F.coalesce(tag, F.lit(""))
-        return F.when(plain == "", F.lit(blank)).otherwise(plain)
-
     if mode == "strict":
-        return blank_to_empty(tags)
+        return f"coalesce({tag}, '')"
     if mode == "lenient":
-        return F.transform(tags, lambda t: or_blank(t, OUTSIDE))
-    return F.zip_with(
-        tags,
-        reference,
-        lambda t, ref: F.when(F.coalesce(ref, F.lit("")) == "", F.lit("")).otherwise(
-            or_blank(t, _PASSED_OVER)
-        ),
+        return f"if(coalesce({tag}, '') = '', '{OUTSIDE}', {tag})"
+    return (
+        f"CASE WHEN coalesce({reference}, '') = '' THEN '' "
+        f"WHEN coalesce({tag}, '') = '' THEN '{_PASSED_OVER}' ELSE {tag} END"
     )
 
 
-def _ranges(effective: Column, mode: str) -> Column:
-    """Ranges `(type, start, stop)` from one span start to the next boundary.
-
-    Tags that never start or end a span are dropped first; then the tag before a token is
-    its left neighbour, and no running state is needed.
-    """
-    placed = F.transform(effective, lambda t, i: F.struct(i.alias("pos"), t.alias("tag")))
+def is_event(tag: str, mode: str) -> str:
+    """Effective tags that may start or end a span."""
     if mode == "strict":
-        events = F.filter(placed, lambda e: e["tag"] != "")
-    else:
-        events = F.filter(placed, lambda e: (e["tag"] == OUTSIDE) | opens_span(e["tag"]))
+        return f"{tag} <> ''"
+    return f"({tag} = '{OUTSIDE}' OR {opens_span(tag)})"
 
-    def breaks(es: Column) -> Column:
-        return F.filter(
-            es,
-            lambda e, j: ~F.coalesce(tag_continues(e["tag"], F.get(es, j - 1)["tag"]), F.lit(False)),
-        )
 
-    def ranges(bs: Column, n: Column) -> Column:
-        return F.filter(
-            F.transform(
-                bs,
-                lambda b, k: F.struct(
-                    tag_type(b["tag"]).alias("type"),
-                    b["pos"].alias("start"),
-                    F.coalesce(F.get(bs, k + 1)["pos"], n).alias("stop"),
-                ),
-            ),
-            lambda r: r["type"].isNotNull(),
-        )
+def effective_tags(tags: str, mode: str = "strict", reference: str | None = None) -> str:
+    """`effective_tag` over arrays."""
+    check_mode(mode, reference is not None)
+    if reference is None:
+        return f"transform({tags}, t -> {effective_tag('t', mode)})"
+    return f"zip_with({tags}, {reference}, (t, r) -> {effective_tag('t', mode, 'r')})"
 
-    return let(
-        events, lambda es: let(breaks(es), lambda bs: ranges(bs, F.size(effective)))
-    )
-
-
-def _members(items: Column, start: Column, stop: Column) -> Column:
-    """The items of a range that belong to its span: opening, continuing and empty tags."""
-    return F.filter(
-        F.slice(items, start + 1, stop - start), lambda m: (m["tag"] == "") | opens_span(m["tag"])
-    )
 
+def _ranges(effective: str, mode: str) -> str:
+    """Ranges `(type, start, stop)` from one span start to the next boundary.
 
-def spans_of(
-    tokens: Column,
-    tags: Column,
-    mode: str = "strict",
-    reference: Column | None = None,
-) -> Column:
+    Tags that never start or end a span are dropped first; then the tag before a token is
+    its left neighbour, and no running state is needed.
+    """
+    placed = f"transform({effective}, (t, i) -> struct(i AS pos, t AS tag))"
+    events = f"filter({placed}, e -> {is_event('e.tag', mode)})"
+    continues = tag_continues("e.tag", "get(events, j - 1).tag")
+    breaks = f"filter(events, (e, j) -> NOT coalesce({continues}, false))"
+    ranges = f"""filter(
+        transform(breaks, (b, k) -> struct(
+            {tag_type('b.tag')} AS type,
+            b.pos AS start,
+            coalesce(get(breaks, k + 1).pos, size({effective})) AS stop)),
+        r -> r.type IS NOT NULL)"""
+    return let("events", events, let("breaks", breaks, ranges))
+
+
+def _members(items: str) -> str:
+    """The items of range `r` that belong to its span: opening, continuing and empty tags."""
+    sliced = f"slice({items}, r.start + 1, r.stop - r.start)"
+    return f"filter({sliced}, m -> m.tag = '' OR {opens_span('m.tag')})"
+
+
+def spans_of(tokens: str, tags: str, mode: str = "strict", reference: str | None = None) -> str:
     """Array of `(type, start_pos, end_pos, text)` in title order.
 
     strict     blank continues an open span, an invalid tag closes it
     lenient    blank closes, an invalid tag is skipped, unknown types are dropped
     reference  blankness is read from the reference tags, an invalid tag is skipped
 
-    A span ends at its last member token; its text joins the members with one space.
+    A span ends at its last member token; its text joins the members with one space. Only
+    as many tags as there are tokens count; the length check is `length_matches`.
     """
-
-    def without_gaps(ts: Column, es: Column) -> Column:
-        return F.transform(
-            _ranges(es, mode),
-            lambda r: F.struct(
-                r["type"].alias("type"),
-                r["start"].alias("start_pos"),
-                (r["stop"] - 1).alias("end_pos"),
-                F.array_join(F.slice(ts, r["start"] + 1, r["stop"] - r["start"]), " ").alias("text"),
-            ),
-        )
-
-    def with_gaps(ts: Column, es: Column) -> Column:
-        placed = F.transform(
-            es, lambda t, i: F.struct(i.alias("pos"), t.alias("tag"), F.get(ts, i).alias("token"))
-        )
-        return let(
-            placed,
-            lambda ps: F.transform(
-                _ranges(es, mode),
-                lambda r: let(
-                    _members(ps, r["start"], r["stop"]),
-                    lambda ms: F.struct(
-                        r["type"].alias("type"),
-                        r["start"].alias("start_pos"),
-                        F.get(ms, F.size(ms) - 1)["pos"].alias("end_pos"),
-                        F.array_join(F.transform(ms, lambda m: m["token"]), " ").alias("text"),
-                    ),
-                ),
-            ),
-        )
-
-    # Only as many tags as there are tokens count; the length check is `length_matches`.
-    used = F.slice(tags, F.lit(1), F.size(tokens))
-    spans = let_all(
-        [tokens, effective_tags(used, mode, reference)],
-        without_gaps if mode == "strict" else with_gaps,
-    )
+    ranges = _ranges("es", mode)
+    if mode == "strict":
+        spans = f"""transform({ranges}, r -> struct(
+            r.type AS type,
+            r.start AS start_pos,
+            r.stop - 1 AS end_pos,
+            array_join(slice(ts, r.start + 1, r.stop - r.start), ' ') AS text))"""
+    else:
+        span = """struct(
+            r.type AS type,
+            r.start AS start_pos,
+            get(ms, size(ms) - 1).pos AS end_pos,
+            array_join(transform(ms, m -> m.token), ' ') AS text)"""
+        placed = "transform(es, (t, i) -> struct(i AS pos, t AS tag, get(ts, i) AS token))"
+        spans = let("ps", placed, f"transform({ranges}, r -> {let('ms', _members('ps'), span)})")
     if mode == "lenient":
-        spans = F.filter(spans, lambda s: s["type"].isin(ENTITY_TYPES))
-    return spans.cast(SPAN_SCHEMA)
+        spans = f"filter({spans}, s -> s.type IN ({quoted(ENTITY_TYPES)}))"
+    used = effective_tags(f"slice({tags}, 1, size(ts))", mode, reference)
+    return f"CAST({let('ts', tokens, let('es', used, spans))} AS {SPAN_SCHEMA})"
 
 
-def tag_spans_of(tags: Column, mode: str = "lenient") -> Column:
+def tag_spans_of(tags: str, mode: str = "lenient") -> str:
     """Array of `(type, start_pos, end_pos)` from the tags alone, of any type."""
-
-    def span(r: Column, end: Column) -> Column:
-        return F.struct(r["type"].alias("type"), r["start"].alias("start_pos"), end.alias("end_pos"))
-
-    def without_gaps(es: Column) -> Column:
-        return F.transform(_ranges(es, mode), lambda r: span(r, r["stop"] - 1))
-
-    def with_gaps(es: Column) -> Column:
-        placed = F.transform(es, lambda t, i: F.struct(i.alias("pos"), t.alias("tag")))
-        return let(
+    ranges = _ranges("es", mode)
+    if mode == "strict":
+        spans = f"""transform({ranges}, r -> struct(
+            r.type AS type, r.start AS start_pos, r.stop - 1 AS end_pos))"""
+    else:
+        placed = "transform(es, (t, i) -> struct(i AS pos, t AS tag))"
+        last = f"element_at({_members('ps')}, -1).pos"
+        spans = let(
+            "ps",
             placed,
-            lambda ps: F.transform(
-                _ranges(es, mode),
-                lambda r: span(
-                    r, F.array_max(F.transform(_members(ps, r["start"], r["stop"]), lambda m: m["pos"]))
-                ),
-            ),
+            f"""transform({ranges}, r -> struct(
+                r.type AS type, r.start AS start_pos, {last} AS end_pos))""",
         )
+    return let("es", effective_tags(tags, mode), spans)
 
-    return let(effective_tags(tags, mode), without_gaps if mode == "strict" else with_gaps)
 
-
-def span_keys(spans: Column) -> Column:
+def span_keys(spans: str) -> str:
     """Spans as strings `start:end:type`: hashable, so that set operations stay linear."""
-    return F.transform(spans, lambda s: F.concat_ws(":", s["start_pos"], s["end_pos"], s["type"]))
+    return f"transform({spans}, s -> concat_ws(':', s.start_pos, s.end_pos, s.type))"
 
 
-def key_type(key: Column) -> Column:
-    """The type in a key of `span_keys`."""
-    return F.get(F.split(key, ":", 3), F.lit(2))
+def key_types(keys: str) -> str:
+    """The types in an array of `span_keys`."""
+    return f"transform({keys}, k -> get(split(k, ':', 3), 2))"
 
 
-def length_matches(tokens: Column, tags: Column) -> Column:
+def length_matches(tokens: str, tags: str) -> str:
     """One tag per token."""
-    return F.size(tokens) == F.size(tags)
+    return f"size({tokens}) = size({tags})"
 
 
-def known_types_only(spans: Column, types: list[str] = ENTITY_TYPES) -> Column:
+def known_types_only(spans: str, types: list[str] = ENTITY_TYPES) -> str:
     """True when every span has one of the listed types."""
-    return F.forall(spans, lambda s: s["type"].isin(types))
+    return f"forall({spans}, s -> s.type IN ({quoted(types)}))"
+
 
+def checked_spans(
+    tokens: str,
+    tags: str,
+    mode: str = "strict",
+    reference: str | None = None,
+    on_error: str = "raise_length",
+) -> str:
+    """E1–E3 with E7's length check.
 
-def entities_of(spans: Column, types: list[str] = ENTITY_TYPES) -> Column:
+    `raise_length` fails on a length mismatch, `raise` also on an unknown type, `empty`
+    gives no spans for such a record. Reference mode checks the reference tags' length.
+    """
+    checked = reference or tags
+    nothing = f"CAST(array() AS {SPAN_SCHEMA})"
+    sizes = f"format_string('%d tokens but %d tags', size({tokens}), size({checked}))"
+    length_error = f"CAST(raise_error({sizes}) AS {SPAN_SCHEMA})"
+    type_error = f"CAST(raise_error('span of an unknown type') AS {SPAN_SCHEMA})"
+    found = spans_of(tokens, tags, mode, reference)
+
+    def known_or(fallback: str) -> str:
+        return let("found", found, f"if({known_types_only('found')}, found, {fallback})")
+
+    branches = {
+        "raise_length": (found, length_error),
+        "raise": (known_or(type_error), length_error),
+        "empty": (known_or(nothing), nothing),
+    }
+    if on_error not in branches:
+        raise ValueError(f"on_error must be one of {list(branches)}, got {on_error!r}")
+    good, bad = branches[on_error]
+    return f"if({length_matches(tokens, checked)}, {good}, {bad})"
+
+
+def entities_of(spans: str, types: list[str] = ENTITY_TYPES) -> str:
     """Map of every type → texts in title order, duplicates kept."""
+    texts = ", ".join(
+        f"transform(filter(ss, s -> s.type = {quote(t)}), s -> s.text)" for t in types
+    )
+    return let("ss", spans, f"map_from_arrays(array({quoted(types)}), array({texts}))")
 
-    def texts(ss: Column, t: str) -> Column:
-        return F.transform(F.filter(ss, lambda s: s["type"] == t), lambda s: s["text"])
 
-    names = F.array(*[F.lit(t) for t in types])
-    return let(
-        spans,
-        lambda ss: F.map_from_arrays(names, F.array(*[texts(ss, t) for t in types])),
-    )
+def _placed(tags: str) -> str:
+    return f"transform({tags}, (t, i) -> struct(i AS pos, coalesce(t, '') AS tag))"
 
 
-def bad_tag_positions(tags: Column, pattern: str) -> Column:
+def bad_tag_positions(tags: str, pattern: str) -> str:
     """V2: `(pos, tag)` of the tags that do not match the pattern; blanks are valid."""
-    placed = F.transform(
-        tags, lambda t, i: F.struct(i.alias("pos"), F.coalesce(t, F.lit("")).alias("tag"))
-    )
-    return F.filter(placed, lambda p: ~p["tag"].rlike(pattern))
+    return f"filter({_placed(tags)}, p -> NOT p.tag RLIKE {quote(pattern)})"
 
 
-def bad_transitions(tags: Column) -> Column:
+def bad_transitions(tags: str) -> str:
     """V3: `(pos, tag)` of each `I-X` that follows an open span of another type.
 
     Invalid tags leave the open type as it is, so they are dropped first; `O` and blank
     have no type, so the comparison with them is NULL and nothing is reported.
     """
-    placed = F.transform(
-        tags, lambda t, i: F.struct(i.alias("pos"), F.coalesce(t, F.lit("")).alias("tag"))
-    )
-    events = F.filter(
-        placed, lambda p: p["tag"].isin("", OUTSIDE) | tag_prefix(p["tag"]).isNotNull()
+    events = f"filter({_placed(tags)}, p -> p.tag IN ('', '{OUTSIDE}') OR {opens_span('p.tag')})"
+    other_type = (
+        f"startswith(e.tag, 'I-') AND {tag_type('get(events, j - 1).tag')} <> {tag_type('e.tag')}"
     )
+    return let("events", events, f"filter(events, (e, j) -> coalesce({other_type}, false))")
 
-    def follows_other_type(es: Column) -> Column:
-        return F.filter(
-            es,
-            lambda e, j: F.coalesce(
-                e["tag"].startswith("I-")
-                & (tag_type(F.get(es, j - 1)["tag"]) != tag_type(e["tag"])),
-                F.lit(False),
-            ),
-        )
-
-    return let(events, follows_other_type)
 
-
-def token_usage(entities: Column, tokens: Column) -> Column:
+def token_usage(entities: str, tokens: str) -> str:
     """V4, V5: `(token, used, have)` for each token the entities use more often than it occurs.
 
     `have` is 0 for a token that does not occur at all.
     """
-    used = F.flatten(
-        F.transform(
-            F.flatten(F.map_values(entities)), lambda text: F.split(text, F.lit(" "), -1)
-        )
-    )
-    compared = F.map_zip_with(
-        multiset(used),
-        multiset(tokens),
-        lambda _, u, h: F.struct(
-            F.coalesce(u, F.lit(0)).alias("used"), F.coalesce(h, F.lit(0)).alias("have")
-        ),
+    used = f"flatten(transform(flatten(map_values({entities})), x -> split(x, ' ', -1)))"
+    compared = (
+        f"map_zip_with({multiset(used)}, {multiset(tokens)}, "
+        "(k, u, h) -> struct(coalesce(u, 0) AS used, coalesce(h, 0) AS have))"
     )
-    return F.transform(
-        F.filter(F.map_entries(compared), lambda e: e["value"]["used"] > e["value"]["have"]),
-        lambda e: F.struct(
-            e["key"].alias("token"),
-            e["value"]["used"].alias("used"),
-            e["value"]["have"].alias("have"),
-        ),
+    return (
+        f"transform(filter(map_entries({compared}), e -> e.value.used > e.value.have), "
+        "e -> struct(e.key AS token, e.value.used AS used, e.value.have AS have))"
     )
 
 
-def fit_length(tags: Column, n: Column) -> Column:
+def fit_length(tags: str, n: str) -> str:
     """M4: cut or pad with `O` to n tags."""
-    padding = F.array_repeat(F.lit(OUTSIDE), F.greatest(n - F.size(tags), F.lit(0)))
-    return F.slice(F.concat(tags, padding), F.lit(1), n)
+    padding = f"array_repeat('{OUTSIDE}', greatest({n} - size({tags}), 0))"
+    return f"slice(concat({tags}, {padding}), 1, {n})"

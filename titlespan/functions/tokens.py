@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from titlespan.functions.arrays import let
+from titlespan.functions.sql import let, quote, quoted
 
 # Every character Python's str.split() treats as white space: the Unicode property
 # (which (?U) gives \s) and the four information separators.
@@ -42,86 +39,81 @@ _DIGIT = (
 )
 
 
-def tokenize(title: Column) -> Column:
+def tokenize(title: str) -> str:
     """White-space tokens in order, duplicates kept; NULL and blank give an empty array."""
-    parts = F.split(F.coalesce(title, F.lit("")), WHITESPACE + "+")
-    return F.filter(parts, lambda t: t != "")
+    return f"filter(split(coalesce({title}, ''), r'{WHITESPACE}+'), t -> t <> '')"
 
 
-def neighbours(tokens: Column) -> Column:
+def neighbours(tokens: str) -> str:
     """One struct `(pos, token, prev_token, next_token, is_last)` per token.
 
     Built inside the row, so that the explode that follows carries three strings per
     token rather than the whole token array.
     """
     return let(
+        "ts",
         tokens,
-        lambda ts: F.transform(
-            ts,
-            lambda t, i: F.struct(
-                i.alias("pos"),
-                t.alias("token"),
-                F.coalesce(F.get(ts, i - 1), F.lit(START)).alias("prev_token"),
-                F.coalesce(F.get(ts, i + 1), F.lit(END)).alias("next_token"),
-                (i == F.size(ts) - 1).alias("is_last"),
-            ),
-        ),
+        f"""transform(ts, (t, i) -> struct(
+            i AS pos,
+            t AS token,
+            coalesce(get(ts, i - 1), {quote(START)}) AS prev_token,
+            coalesce(get(ts, i + 1), {quote(END)}) AS next_token,
+            i = size(ts) - 1 AS is_last))""",
     )
 
 
-def is_numeric(token: Column) -> Column:
+def is_numeric(token: str) -> str:
     """T5: Python `str.isdigit`."""
-    return token.rlike(f"^[{_DIGIT}]+$")
+    return f"{token} RLIKE r'^[{_DIGIT}]+$'"
 
 
-def is_alphanumeric(token: Column) -> Column:
+def is_alphanumeric(token: str) -> str:
     """ASCII letters and digits only, so umlauts are false."""
-    return token.rlike("^[a-zA-Z0-9]+$")
+    return f"{token} RLIKE '^[a-zA-Z0-9]+$'"
 
 
-def has_special_chars(token: Column) -> Column:
+def has_special_chars(token: str) -> str:
     """Any character beyond ASCII letters, digits and white space; umlauts are true."""
-    return token.rlike(r"(?U)[^a-zA-Z0-9\s\x1c-\x1f]")
+    return rf"{token} RLIKE r'(?U)[^a-zA-Z0-9\s\x1c-\x1f]'"
 
 
-def is_uppercase(token: Column) -> Column:
+def is_uppercase(token: str) -> str:
     """Python `str.isupper`."""
-    return token.rlike(f"[{_UPPER}]") & ~token.rlike(f"[{_LOWER}{_TITLE}]")
+    return f"{token} RLIKE r'[{_UPPER}]' AND NOT {token} RLIKE r'[{_LOWER}{_TITLE}]'"
 
 
-def is_lowercase(token: Column) -> Column:
+def is_lowercase(token: str) -> str:
     """Python `str.islower`."""
-    return token.rlike(f"[{_LOWER}]") & ~token.rlike(f"[{_UPPER}{_TITLE}]")
+    return f"{token} RLIKE r'[{_LOWER}]' AND NOT {token} RLIKE r'[{_UPPER}{_TITLE}]'"
 
 
-def is_title_case(token: Column) -> Column:
+def is_title_case(token: str) -> str:
     """Python `str.istitle`: upper case only after uncased, lower case only after cased."""
     return (
-        token.rlike(f"[{_CASED}]")
-        & ~token.rlike(f"[{_CASED}][{_UPPER}{_TITLE}]")
-        & ~token.rlike(f"(^|[^{_CASED}])[{_LOWER}]")
+        f"{token} RLIKE r'[{_CASED}]' AND NOT {token} RLIKE r'[{_CASED}][{_UPPER}{_TITLE}]' "
+        f"AND NOT {token} RLIKE r'(^|[^{_CASED}])[{_LOWER}]'"
     )
 
 
-def contains_digit(token: Column) -> Column:
+def contains_digit(token: str) -> str:
     """Any Unicode decimal digit."""
-    return token.rlike(r"\p{Nd}")
+    return rf"{token} RLIKE r'\p{{Nd}}'"
 
 
-def is_abbreviation(token: Column, abbreviations: list[str] = ABBREVIATIONS) -> Column:
+def is_abbreviation(token: str, abbreviations: list[str] = ABBREVIATIONS) -> str:
     """Exact, case-sensitive membership."""
-    return token.isin(abbreviations)
+    return f"{token} IN ({quoted(abbreviations)})"
 
 
-def is_automotive_term(token: Column, terms: list[str] = AUTOMOTIVE_TERMS) -> Column:
+def is_automotive_term(token: str, terms: list[str] = AUTOMOTIVE_TERMS) -> str:
     """Membership after lower-casing."""
-    return F.lower(token).isin(terms)
+    return f"lower({token}) IN ({quoted(terms)})"
 
 
-def feature_columns(token: Column) -> dict[str, Column]:
+def features(token: str) -> dict[str, str]:
     """T4–T12, keyed by output column name."""
     return {
-        "length": F.length(token),
+        "length": f"length({token})",
         "is_numeric": is_numeric(token),
         "is_alphanumeric": is_alphanumeric(token),
         "has_special_chars": has_special_chars(token),

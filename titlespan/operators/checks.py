@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
+from titlespan.functions.sql import name, quote, quoted
 from titlespan.functions.tags import (
     UPPER_PATTERN,
     bad_tag_positions,
@@ -14,37 +15,31 @@ from titlespan.functions.tags import (
     token_usage,
     type_pattern,
 )
-from titlespan.types import ENTITY_TYPES, INPUT_COLUMNS, SUBMISSION_COLUMNS, VIOLATION_SCHEMA
+from titlespan.types import ENTITY_TYPES, INPUT_COLUMNS, SUBMISSION_COLUMNS
 
-_FIELDS = [part.split() for part in VIOLATION_SCHEMA.split(", ")]
+def _finding(rule: str, col: str | None, n: str, detail: str | None = None) -> str:
+    def text(value: str | None) -> str:
+        return "CAST(NULL AS STRING)" if value is None else quote(value)
 
-
-def _violations(df: DataFrame, **values: Column) -> DataFrame:
-    """The violation columns in order; those not given are NULL."""
-    return df.select(
-        *[
-            values.get(name, F.lit(None)).cast(type_name).alias(name)
-            for name, type_name in _FIELDS
-        ]
-    )
-
-
-def _finding(rule: str, col: str | None, detail: str | None, n: Column) -> Column:
-    return F.struct(
-        F.lit(rule).alias("rule"),
-        F.lit(col).cast("string").alias("col"),
-        F.lit(detail).cast("string").alias("detail"),
-        n.cast("bigint").alias("n"),
+    return (
+        f"struct({quote(rule)} AS rule, {text(col)} AS col, {text(detail)} AS detail, "
+        f"CAST({n} AS BIGINT) AS n)"
     )
 
 
-def _from_findings(aggregated: DataFrame, findings: list[Column]) -> DataFrame:
+def _from_findings(aggregated: DataFrame, findings: list[str]) -> DataFrame:
     """One aggregated row with counters → one violation row per counter above zero."""
-    if not findings:
-        findings = [_finding("none", None, None, F.lit(0))]
-    found = aggregated.select(F.explode(F.array(*findings)).alias("f")).filter("f.n > 0")
-    return _violations(
-        found, rule=F.col("f.rule"), col=F.col("f.col"), detail=F.col("f.detail"), n=F.col("f.n")
+    return (
+        aggregated.select(F.explode(F.expr(f"array({', '.join(findings)})")).alias("f"))
+        .filter("f.n > 0")
+        .selectExpr(
+            "f.rule",
+            "CAST(NULL AS BIGINT) AS record_id",
+            "CAST(NULL AS INT) AS pos",
+            "f.col",
+            "f.detail",
+            "f.n",
+        )
     )
 
 
@@ -57,16 +52,11 @@ def validate_input(df: DataFrame, required: list[str] = INPUT_COLUMNS) -> DataFr
     """Missing columns, an empty table, NULLs in required columns; one aggregate."""
     missing = missing_columns(df, required)
     present = [c for c in required if c in df.columns]
-    aggregated = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(present)],
-    )
-    findings = [_finding("missing_column", c, None, F.lit(1)) for c in missing]
-    findings.append(_finding("empty_table", None, None, (F.col("rows") == 0).cast("int")))
-    findings += [
-        _finding("null_values", c, None, F.col(f"null_{i}")) for i, c in enumerate(present)
-    ]
-    return _from_findings(aggregated, findings)
+    counters = [f"count_if({name(c)} IS NULL) AS null_{i}" for i, c in enumerate(present)]
+    findings = [_finding("missing_column", c, "1") for c in missing]
+    findings.append(_finding("empty_table", None, "if(rows = 0, 1, 0)"))
+    findings += [_finding("null_values", c, f"null_{i}") for i, c in enumerate(present)]
+    return _from_findings(df.agg(*map(F.expr, ["count(*) AS rows", *counters])), findings)
 
 
 # Each record check is an array of findings. Exploding the array, rather than filtering on
@@ -76,119 +66,91 @@ def validate_input(df: DataFrame, required: list[str] = INPUT_COLUMNS) -> DataFr
 _RECORD_FINDING = "array<struct<rule:string,pos:int,detail:string,n:bigint>>"
 
 
-def _record_finding(rule: Column, pos: Column, detail: Column, n: Column) -> Column:
-    return F.struct(
-        rule.alias("rule"),
-        pos.cast("int").alias("pos"),
-        detail.cast("string").alias("detail"),
-        n.cast("bigint").alias("n"),
+def _record_finding(rule: str, pos: str, detail: str, n: str = "1L") -> str:
+    return (
+        f"struct({rule} AS rule, CAST({pos} AS INT) AS pos, CAST({detail} AS STRING) AS detail, "
+        f"CAST({n} AS BIGINT) AS n)"
     )
 
 
-def _if_any(condition: Column, finding: Column) -> Column:
-    nothing = F.array().cast(_RECORD_FINDING)
-    return F.when(condition, F.array(finding)).otherwise(nothing)
-
-
-def length_findings(tokens: Column, tags: Column) -> Column:
+def length_findings(tokens: str, tags: str) -> str:
     """The record's token and tag counts differ."""
-    sizes = F.format_string("%d tokens, %d tags", F.size(tokens), F.size(tags))
-    return _if_any(
-        ~length_matches(tokens, tags),
-        _record_finding(F.lit("length_mismatch"), F.lit(None), sizes, F.lit(1)),
-    )
+    sizes = f"format_string('%d tokens, %d tags', size({tokens}), size({tags}))"
+    finding = _record_finding("'length_mismatch'", "NULL", sizes)
+    nothing = f"CAST(array() AS {_RECORD_FINDING})"
+    return f"if({length_matches(tokens, tags)}, {nothing}, array({finding}))"
 
 
-def alignment_findings(tokens: Column, tags: Column, pattern: str | None = None) -> Column:
+def alignment_findings(tokens: str, tags: str, pattern: str | None = None) -> str:
     """V2: a length mismatch, else the first tag that does not match the pattern.
 
     The pattern defaults to the list of types; `upper` is the literal one that takes only
     upper-case type names.
     """
     regex = {None: type_pattern(), "upper": UPPER_PATTERN}.get(pattern, pattern)
-    first_bad = F.transform(
-        F.slice(bad_tag_positions(tags, regex), 1, 1),
-        lambda b: _record_finding(F.lit("bad_tag"), b["pos"], b["tag"], F.lit(1)),
-    )
-    return F.when(length_matches(tokens, tags), first_bad).otherwise(length_findings(tokens, tags))
+    bad_tag = _record_finding("'bad_tag'", "b.pos", "b.tag")
+    first_bad = f"transform(slice({bad_tag_positions(tags, regex)}, 1, 1), b -> {bad_tag})"
+    return f"if({length_matches(tokens, tags)}, {first_bad}, {length_findings(tokens, tags)})"
 
 
-def sequence_findings(tags: Column) -> Column:
+def sequence_findings(tags: str) -> str:
     """V3: each `I-X` right after an open span of another type."""
-    return F.transform(
-        bad_transitions(tags),
-        lambda b: _record_finding(F.lit("bad_transition"), b["pos"], b["tag"], F.lit(1)),
-    )
+    finding = _record_finding("'bad_transition'", "b.pos", "b.tag")
+    return f"transform({bad_transitions(tags)}, b -> {finding})"
 
 
-def type_findings(entities: Column, types: list[str] = ENTITY_TYPES) -> Column:
+def type_findings(entities: str, types: list[str] = ENTITY_TYPES) -> str:
     """V4: entity types that are not in the list."""
-    return F.transform(
-        F.filter(F.map_keys(entities), lambda t: ~t.isin(types)),
-        lambda t: _record_finding(F.lit("unknown_type"), F.lit(None), t, F.lit(1)),
-    )
+    unknown = f"filter(map_keys({entities}), t -> t NOT IN ({quoted(types)}))"
+    return f"transform({unknown}, t -> {_record_finding(quote('unknown_type'), 'NULL', 't')})"
 
 
 def usage_findings(
-    entities: Column, tokens: Column, overuse: bool = True, unknown: bool = True
-) -> Column:
+    entities: str, tokens: str, overuse: bool = True, unknown: bool = True
+) -> str:
     """V4, V5: tokens used more often than the title has them; it may not have them at all.
 
     The multiset difference is taken inside the row, so nothing is shuffled.
     """
     usage = token_usage(entities, tokens)
     if not unknown:
-        usage = F.filter(usage, lambda u: u["have"] > 0)
+        usage = f"filter({usage}, u -> u.have > 0)"
     if not overuse:
-        usage = F.filter(usage, lambda u: u["have"] == 0)
-    return F.transform(
-        usage,
-        lambda u: _record_finding(
-            F.when(u["have"] > 0, F.lit("token_overuse")).otherwise(F.lit("unknown_token")),
-            F.lit(None),
-            u["token"],
-            u["used"] - u["have"],
-        ),
-    )
+        usage = f"filter({usage}, u -> u.have = 0)"
+    rule = "if(u.have > 0, 'token_overuse', 'unknown_token')"
+    return f"transform({usage}, u -> {_record_finding(rule, 'NULL', 'u.token', 'u.used - u.have')})"
 
 
-def record_violations(records: DataFrame, *findings: Column) -> DataFrame:
+def record_violations(records: DataFrame, *findings: str) -> DataFrame:
     """The findings of one or more record checks as violations, in one pass."""
-    found = records.select(
-        "record_id", F.explode(F.concat(*[f.cast(_RECORD_FINDING) for f in findings])).alias("f")
-    )
-    return _violations(
-        found,
-        rule=F.col("f.rule"),
-        record_id=F.col("record_id"),
-        pos=F.col("f.pos"),
-        detail=F.col("f.detail"),
-        n=F.col("f.n"),
+    joined = ", ".join(f"CAST({f} AS {_RECORD_FINDING})" for f in findings)
+    return records.select("record_id", F.explode(F.expr(f"concat({joined})")).alias("f")).selectExpr(
+        "f.rule", "record_id", "f.pos", "CAST(NULL AS STRING) AS col", "f.detail", "f.n"
     )
 
 
 def length_violations(seqs: DataFrame, tag_col: str = "tags") -> DataFrame:
     """Records whose token and tag counts differ."""
-    return record_violations(seqs, length_findings(F.col("tokens"), F.col(tag_col)))
+    return record_violations(seqs, length_findings("tokens", name(tag_col)))
 
 
 def validate_alignment(
     seqs: DataFrame, tag_col: str = "tags", pattern: str | None = None
 ) -> DataFrame:
     """V2: see `alignment_findings`."""
-    return record_violations(seqs, alignment_findings(F.col("tokens"), F.col(tag_col), pattern))
+    return record_violations(seqs, alignment_findings("tokens", name(tag_col), pattern))
 
 
 def validate_sequence(seqs: DataFrame, tag_col: str = "tags") -> DataFrame:
     """V3: see `sequence_findings`."""
-    return record_violations(seqs, sequence_findings(F.col(tag_col)))
+    return record_violations(seqs, sequence_findings(name(tag_col)))
 
 
 def token_overuse(
     records: DataFrame, entities_col: str = "entities", tokens_col: str = "tokens"
 ) -> DataFrame:
     """V4: tokens of the title that the entities use more often than they occur."""
-    findings = usage_findings(F.col(entities_col), F.col(tokens_col), unknown=False)
+    findings = usage_findings(name(entities_col), name(tokens_col), unknown=False)
     return record_violations(records, findings)
 
 
@@ -196,7 +158,7 @@ def unknown_tokens(
     records: DataFrame, entities_col: str = "entities", tokens_col: str = "tokens"
 ) -> DataFrame:
     """V5: tokens the entities use that the title does not have."""
-    findings = usage_findings(F.col(entities_col), F.col(tokens_col), overuse=False)
+    findings = usage_findings(name(entities_col), name(tokens_col), overuse=False)
     return record_violations(records, findings)
 
 
@@ -204,7 +166,7 @@ def validate_entities(
     records: DataFrame, entities_col: str = "entities", tokens_col: str = "tokens"
 ) -> DataFrame:
     """V4: unknown types and overused tokens."""
-    entities, tokens = F.col(entities_col), F.col(tokens_col)
+    entities, tokens = name(entities_col), name(tokens_col)
     return record_violations(
         records, type_findings(entities), usage_findings(entities, tokens, unknown=False)
     )
@@ -214,7 +176,7 @@ def validate_reconstruction(
     records: DataFrame, entities_col: str = "entities", tokens_col: str = "tokens"
 ) -> DataFrame:
     """V5: V4 and tokens that do not occur in the title."""
-    entities, tokens = F.col(entities_col), F.col(tokens_col)
+    entities, tokens = name(entities_col), name(tokens_col)
     return record_violations(records, type_findings(entities), usage_findings(entities, tokens))
 
 
@@ -223,23 +185,22 @@ def validate_submission(
 ) -> DataFrame:
     """V6: column order, then TABs, line breaks and non-strings per column; one aggregate."""
     present = [c for c in expected if c in df.columns]
-    counters, findings = [], []
+    counters, findings = ["count(*) AS rows"], []
     if df.columns != expected:
         detail = f"expected {','.join(expected)}; got {','.join(df.columns)}"
-        findings.append(_finding("column_mismatch", None, detail, F.lit(1)))
+        findings.append(_finding("column_mismatch", None, "1", detail))
     for i, c in enumerate(present):
-        text = F.col(c).cast("string")
+        text = f"CAST({name(c)} AS STRING)"
         is_string = isinstance(df.schema[c].dataType, StringType)
-        not_string = F.col(c).isNull() if is_string else F.lit(True)
         checks = {
-            "tab": F.contains(text, F.lit("\t")),
-            "line_break": F.contains(text, F.lit("\n")) | F.contains(text, F.lit("\r")),
-            "non_string": not_string,
+            "tab": f"contains({text}, '\\t')",
+            "line_break": f"{text} RLIKE '[\\n\\r]'",
+            "non_string": f"{name(c)} IS NULL" if is_string else "true",
         }
         for rule, hit in checks.items():
-            counters.append(F.count_if(hit).alias(f"{rule}_{i}"))
-            findings.append(_finding(rule, c, None, F.col(f"{rule}_{i}")))
-    return _from_findings(df.agg(F.count(F.lit(1)).alias("rows"), *counters), findings)
+            counters.append(f"count_if({hit}) AS {rule}_{i}")
+            findings.append(_finding(rule, c, f"{rule}_{i}"))
+    return _from_findings(df.agg(*map(F.expr, counters)), findings)
 
 
 def assert_submission(df: DataFrame, expected: list[str] = SUBMISSION_COLUMNS) -> None:
@@ -274,28 +235,23 @@ def data_quality(df: DataFrame, max_length: int = 1000) -> DataFrame:
     copies = df.groupBy(digest.alias("digest")).agg(F.count(F.lit(1)).alias("n"))
     duplicates = copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n"))
 
-    counters = [F.count(F.lit(1)).alias("rows")]
+    counters, per_column = ["count(*) AS rows"], []
     for i, c in enumerate(df.columns):
-        counters.append(F.count_if(F.col(c).isNull()).alias(f"nulls_{i}"))
+        counters.append(f"count_if({name(c)} IS NULL) AS nulls_{i}")
+        empty, longest = "0L", "CAST(NULL AS INT)"
         if is_text(c):
-            counters.append(F.count_if(F.col(c) == "").alias(f"empty_{i}"))
-            counters.append(F.max(F.length(c)).alias(f"longest_{i}"))
-
-    def per_column(i: int, c: str) -> Column:
-        longest = F.col(f"longest_{i}") if is_text(c) else F.lit(None).cast("int")
-        return F.struct(
-            F.lit(c).alias("col"),
-            F.col(f"nulls_{i}").alias("null_count"),
-            (F.col(f"empty_{i}") if is_text(c) else F.lit(0).cast("bigint")).alias("empty_count"),
-            longest.alias("max_length"),
-            F.coalesce(longest > max_length, F.lit(False)).alias("very_long"),
+            counters.append(f"count_if({name(c)} = '') AS empty_{i}")
+            counters.append(f"max(length({name(c)})) AS longest_{i}")
+            empty, longest = f"empty_{i}", f"longest_{i}"
+        per_column.append(
+            f"struct({quote(c)} AS col, nulls_{i} AS null_count, {empty} AS empty_count, "
+            f"{longest} AS max_length, coalesce({longest} > {max_length}, false) AS very_long)"
         )
-
-    rows = df.agg(*counters).select(
+    rows = df.agg(*map(F.expr, counters)).select(
         F.col("rows").alias("total_records"),
         F.lit(len(df.columns)).alias("total_columns"),
         duplicates.scalar().alias("duplicate_rows"),
-        F.explode(F.array(*[per_column(i, c) for i, c in enumerate(df.columns)])).alias("c"),
+        F.explode(F.expr(f"array({', '.join(per_column)})")).alias("c"),
     )
     return rows.select("c.*", "total_records", "total_columns", "duplicate_rows")
 

@@ -2,62 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titlespan.functions.tags import blank_to_empty
-from titlespan.operators.metrics import confusion
-from titlespan.types import OUTSIDE
+from titlespan.operators.metrics import confusion, zipped_pairs
 
-
-def error_type(true_tag: Column, pred_tag: Column) -> Column:
-    """A blank tag is not `O`."""
-    return (
-        F.when((true_tag == OUTSIDE) & (pred_tag != OUTSIDE), F.lit("false_positive"))
-        .when((true_tag != OUTSIDE) & (pred_tag == OUTSIDE), F.lit("false_negative"))
-        .otherwise(F.lit("misclassification"))
-    )
+# A blank tag is not `O`.
+ERROR_TYPE = """CASE WHEN true_tag = 'O' AND pred_tag <> 'O' THEN 'false_positive'
+    WHEN true_tag <> 'O' AND pred_tag = 'O' THEN 'false_negative'
+    ELSE 'misclassification' END AS error_type"""
 
 
 def errors(pairs: DataFrame) -> DataFrame:
     """The mismatched pairs with their error type."""
-    return pairs.filter(F.col("true_tag") != F.col("pred_tag")).withColumn(
-        "error_type", error_type(F.col("true_tag"), F.col("pred_tag"))
-    )
+    return pairs.filter("true_tag <> pred_tag").selectExpr("*", ERROR_TYPE)
 
 
 def _mismatches(pairs: DataFrame) -> DataFrame:
     """Errors per pair of labels: the confusion table without its diagonal."""
-    return confusion(errors(pairs))
+    return confusion(pairs.filter("true_tag <> pred_tag"))
 
 
 def error_counts(pairs: DataFrame) -> DataFrame:
     """Errors per type, and in total under the type `all`."""
-    typed = _mismatches(pairs).withColumn(
-        "error_type", error_type(F.col("true_tag"), F.col("pred_tag"))
-    )
-    return (
-        typed.rollup("error_type")
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-        .select(F.coalesce("error_type", F.lit("all")).alias("error_type"), "n")
-    )
+    typed = _mismatches(pairs).selectExpr("*", ERROR_TYPE)
+    totals = typed.rollup("error_type").agg(F.expr("coalesce(sum(n), 0L) AS n"))
+    return totals.selectExpr("coalesce(error_type, 'all') AS error_type", "n")
 
 
 def confusion_pairs(pairs: DataFrame) -> DataFrame:
     """Errors per `true -> pred`."""
-    return _mismatches(pairs).select(
-        F.concat_ws(" -> ", "true_tag", "pred_tag").alias("pair"), "n"
-    )
+    return _mismatches(pairs).selectExpr("concat_ws(' -> ', true_tag, pred_tag) AS pair", "n")
 
 
 def error_distribution(pairs: DataFrame) -> DataFrame:
     """Count and percentage per error type."""
-    per_type = error_counts(pairs)
-    total = F.max("n").over(W.partitionBy(F.lit(1)))
-    return per_type.withColumn("total", total).filter(
-        (F.col("error_type") != "all") & (F.col("n") > 0)
-    ).select("error_type", "n", (F.col("n") / F.col("total") * 100).alias("percentage"))
+    shares = error_counts(pairs).selectExpr(
+        "*", "n / max(n) OVER (PARTITION BY 1) * 100 AS percentage"
+    )
+    return shares.filter("error_type <> 'all' AND n > 0")
 
 
 def top_confusion_pairs(pairs: DataFrame, k: int = 10) -> DataFrame:
@@ -65,13 +48,10 @@ def top_confusion_pairs(pairs: DataFrame, k: int = 10) -> DataFrame:
 
     The window spans the confusion table (at most labels² rows), not the pairs.
     """
-    counted = confusion_pairs(pairs)
-    total = F.sum("n").over(W.partitionBy(F.lit(1)))
-    return (
-        counted.withColumn("percentage", F.col("n") / total * 100)
-        .orderBy(F.desc("n"), "pair")
-        .limit(k)
+    shares = confusion_pairs(pairs).selectExpr(
+        "*", "n / sum(n) OVER (PARTITION BY 1) * 100 AS percentage"
     )
+    return shares.orderBy(F.desc("n"), "pair").limit(k)
 
 
 def error_examples(seqs: DataFrame, limit: int | None = 100) -> DataFrame:
@@ -80,30 +60,27 @@ def error_examples(seqs: DataFrame, limit: int | None = 100) -> DataFrame:
     The ids are picked first, so that only 8 bytes per record enter the top-k; the broadcast
     side has at most `limit` rows.
     """
-    pairs = F.arrays_zip(
-        F.col("tokens").alias("token"),
-        blank_to_empty(F.col("true_tags")).alias("true_tag"),
-        blank_to_empty(F.col("pred_tags")).alias("pred_tag"),
-    )
+    pairs = zipped_pairs()
     if limit is not None:
         differs = F.exists(pairs, lambda p: p["true_tag"] != p["pred_tag"])
-        erroneous = F.when(differs, F.array("record_id")).otherwise(F.array().cast("array<bigint>"))
-        first = seqs.select(F.explode(erroneous).alias("record_id")).orderBy("record_id").limit(limit)
+        ids = F.when(differs, F.array("record_id")).otherwise(F.array().cast("array<bigint>"))
+        first = seqs.select(F.explode(ids).alias("record_id")).orderBy("record_id").limit(limit)
         seqs = seqs.join(F.broadcast(first), "record_id", "left_semi")
-    rows = seqs.select("record_id", F.posexplode(pairs).alias("pos", "p")).select(
-        "record_id", "pos", "p.*"
-    )
-    return errors(rows)
+    rows = seqs.select("record_id", F.posexplode(pairs).alias("pos", "p"))
+    return errors(rows.select("record_id", "pos", "p.*"))
 
 
 def entity_error_matrix(examples: DataFrame) -> DataFrame:
     """Errors per true and predicted type: the text after the last `-`, `O` without one."""
 
-    def short(tag: Column) -> Column:
-        return F.when(F.contains(tag, F.lit("-")), F.substring_index(tag, "-", -1)).otherwise(
-            F.lit(OUTSIDE)
-        )
 
-    return examples.groupBy(
-        short(F.col("true_tag")).alias("true_type"), short(F.col("pred_tag")).alias("pred_type")
-    ).agg(F.count(F.lit(1)).alias("n"))
+    def short(tag: str) -> str:
+        return f"if(contains({tag}, '-'), substring_index({tag}, '-', -1), 'O')"
+
+    return (
+        examples.selectExpr(
+            f"{short('true_tag')} AS true_type", f"{short('pred_tag')} AS pred_type"
+        )
+        .groupBy("true_type", "pred_type")
+        .agg(F.expr("count(*) AS n"))
+    )

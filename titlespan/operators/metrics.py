@@ -1,8 +1,8 @@
 """Comparing two taggings.
 
 `evaluation_counts` reads the sequences once and reduces them to a few hundred counters;
-every metric is arithmetic on those counters. All functions take `by`, extra columns that
-keep groups (such as folds) apart.
+every metric is arithmetic on those counters. `by` names extra columns that keep groups
+(such as folds) apart.
 """
 
 from __future__ import annotations
@@ -10,14 +10,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from titlespan.functions.arrays import let_all
+from titlespan.functions.sql import quote, quoted
 from titlespan.functions.tags import (
     blank_to_empty,
     entities_of,
-    key_type,
+    key_types,
     span_keys,
     spans_of,
     tag_spans_of,
@@ -27,49 +26,48 @@ from titlespan.types import ENTITY_TYPES
 
 # --- pairs and confusion -----------------------------------------------------------------
 
+def zipped_pairs() -> Column:
+    """Column of `(token, true_tag, pred_tag)` structs in title order."""
+    return F.arrays_zip(
+        F.col("tokens").alias("token"),
+        F.expr(blank_to_empty("true_tags")).alias("true_tag"),
+        F.expr(blank_to_empty("pred_tags")).alias("pred_tag"),
+    )
+
 
 def token_pairs(seqs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """A1: `(record_id, pos, token, true_tag, pred_tag)`; blanks are the label ''."""
-    zipped = F.arrays_zip(
-        F.col("tokens").alias("token"),
-        blank_to_empty(F.col("true_tags")).alias("true_tag"),
-        blank_to_empty(F.col("pred_tags")).alias("pred_tag"),
-    )
-    return seqs.select(*by, "record_id", F.posexplode(zipped).alias("pos", "z")).select(
-        *by, "record_id", "pos", "z.token", "z.true_tag", "z.pred_tag"
-    )
+    return seqs.select(
+        *by, "record_id", F.posexplode(zipped_pairs()).alias("pos", "z")
+    ).select(*by, "record_id", "pos", "z.*")
 
 
 def pair_long(true: DataFrame, pred: DataFrame) -> DataFrame:
     """A1 over two long tables `(record_id, pos, token, tag)`, paired by key."""
-    left = true.select(
-        "record_id", "pos", "token", F.coalesce("tag", F.lit("")).alias("true_tag")
-    )
-    right = pred.select("record_id", "pos", F.coalesce("tag", F.lit("")).alias("pred_tag"))
+    left = true.selectExpr("record_id", "pos", "token", "coalesce(tag, '') AS true_tag")
+    right = pred.selectExpr("record_id", "pos", "coalesce(tag, '') AS pred_tag")
     return left.join(right, ["record_id", "pos"], "inner")
 
 
 def pair_sequences(true: DataFrame, pred: DataFrame) -> DataFrame:
     """Two tables `(record_id, tokens, tags)` / `(record_id, tags)` side by side."""
-    left = true.select("record_id", "tokens", F.col("tags").alias("true_tags"))
-    right = pred.select("record_id", F.col("tags").alias("pred_tags"))
-    return left.join(right, "record_id", "inner")
+    left = true.selectExpr("record_id", "tokens", "tags AS true_tags")
+    return left.join(pred.selectExpr("record_id", "tags AS pred_tags"), "record_id", "inner")
 
 
 def unpaired_records(true: DataFrame, pred: DataFrame) -> DataFrame:
     """Records that only one side has, as `(record_id, side)`."""
-    left = true.select("record_id", F.lit(True).alias("in_true"))
-    right = pred.select("record_id", F.lit(True).alias("in_pred"))
+    left = true.selectExpr("record_id", "true AS in_true")
+    right = pred.selectExpr("record_id", "true AS in_pred")
     joined = left.join(right, "record_id", "full_outer")
-    return joined.filter("in_true IS NULL OR in_pred IS NULL").select(
-        "record_id",
-        F.when(F.col("in_true").isNull(), F.lit("pred")).otherwise(F.lit("true")).alias("side"),
+    return joined.filter("in_true IS NULL OR in_pred IS NULL").selectExpr(
+        "record_id", "if(in_true IS NULL, 'pred', 'true') AS side"
     )
 
 
 def confusion(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """A2: `(true_tag, pred_tag, n)`; reduced on the map side to at most labels² rows a task."""
-    return pairs.groupBy(*by, "true_tag", "pred_tag").agg(F.count(F.lit(1)).alias("n"))
+    return pairs.groupBy(*by, "true_tag", "pred_tag").agg(F.expr("count(*) AS n"))
 
 
 def confusion_matrix(confusion_df: DataFrame, labels: list[str]) -> DataFrame:
@@ -92,47 +90,44 @@ def labels_seen(pairs: DataFrame) -> DataFrame:
 # --- scores ------------------------------------------------------------------------------
 
 
-def _ratio(numerator: Column, denominator: Column) -> Column:
-    return F.when(denominator > 0, numerator / denominator).otherwise(F.lit(0.0))
-
-
 def with_scores(df: DataFrame) -> DataFrame:
     """Adds precision, recall and f1 to `(support, predicted, hits)`; 0 on empty denominators."""
-    scored = df.withColumns(
-        {
-            "precision": _ratio(F.col("hits"), F.col("predicted")),
-            "recall": _ratio(F.col("hits"), F.col("support")),
-        }
+    return df.selectExpr(
+        "*",
+        "if(predicted > 0, hits / predicted, 0.0D) AS precision",
+        "if(support > 0, hits / support, 0.0D) AS recall",
+    ).selectExpr(
+        "*",
+        "if(precision + recall > 0, 2 * precision * recall / (precision + recall), 0.0D) AS f1",
     )
-    both = F.col("precision") + F.col("recall")
-    return scored.withColumn("f1", _ratio(2 * F.col("precision") * F.col("recall"), both))
 
 
-def _contributions(*parts: tuple[Column, Column, Column, Column, Column]) -> Column:
-    """Array of `(grain, key, support, predicted, hits)`."""
-    names = ("grain", "key", "support", "predicted", "hits")
-    return F.array(*[F.struct(*[c.alias(n) for c, n in zip(p, names)]) for p in parts])
+def _rate(
+    grain: str, key: str, support: str = "0L", predicted: str = "0L", hits: str = "0L"
+) -> str:
+    return (
+        f"struct({grain} AS grain, {key} AS key, {support} AS support, "
+        f"{predicted} AS predicted, {hits} AS hits)"
+    )
 
 
-def _label_contributions(true_tag: Column, pred_tag: Column, n: Column) -> Column:
+def _label_rates_of(true_tag: str, pred_tag: str, n: str) -> str:
     """What one confusion cell adds to its row label and to its column label."""
-    zero, grain = F.lit(0).cast("bigint"), F.lit("label")
-    hit = F.when(true_tag == pred_tag, n).otherwise(zero)
-    return _contributions((grain, true_tag, n, zero, hit), (grain, pred_tag, zero, n, zero))
+    row = _rate("'label'", true_tag, support=n, hits=f"if({true_tag} = {pred_tag}, {n}, 0L)")
+    return f"array({row}, {_rate(quote('label'), pred_tag, predicted=n)})"
 
 
-def _sum_contributions(df: DataFrame, contributions: Column, by: Sequence[str]) -> DataFrame:
+def _sum_rates(df: DataFrame, contributions: str, by: Sequence[str]) -> DataFrame:
     return (
-        df.select(*by, F.explode(contributions).alias("c"))
-        .groupBy(*by, F.col("c.grain").alias("grain"), F.col("c.key").alias("key"))
+        df.select(*by, F.explode(F.expr(contributions)).alias("c"))
+        .groupBy(*by, "c.grain", "c.key")
         .agg(*[F.sum(f"c.{x}").alias(x) for x in ("support", "predicted", "hits")])
     )
 
 
 def label_rates(confusion_df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per label `(grain, key, support, predicted, hits, precision, recall, f1)`."""
-    cell = _label_contributions(F.col("true_tag"), F.col("pred_tag"), F.col("n"))
-    return with_scores(_sum_contributions(confusion_df, cell, by))
+    return with_scores(_sum_rates(confusion_df, _label_rates_of("true_tag", "pred_tag", "n"), by))
 
 
 def per_label(confusion_df: DataFrame) -> DataFrame:
@@ -140,35 +135,30 @@ def per_label(confusion_df: DataFrame) -> DataFrame:
 
     The window spans the label table (a few dozen rows), not the data.
     """
-    total = F.sum("support").over(W.partitionBy("grain"))
-    return label_rates(confusion_df).select(
-        F.col("key").alias("label"),
-        F.col("hits").alias("true_positives"),
-        (F.col("predicted") - F.col("hits")).alias("false_positives"),
-        (F.col("support") - F.col("hits")).alias("false_negatives"),
-        (total - F.col("support") - F.col("predicted") + F.col("hits")).alias("true_negatives"),
+    total = "sum(support) OVER (PARTITION BY grain)"
+    return label_rates(confusion_df).selectExpr(
+        "key AS label",
+        "hits AS true_positives",
+        "predicted - hits AS false_positives",
+        "support - hits AS false_negatives",
+        f"{total} - support - predicted + hits AS true_negatives",
         "precision",
         "recall",
         "f1",
     )
 
 
-def _weighted(metric: str) -> Column:
-    return F.sum(F.col(metric) * F.col("support")) / F.nullif(F.sum("support"), F.lit(0))
+def _weighted(metric: str) -> str:
+    return f"sum({metric} * support) / nullif(sum(support), 0)"
 
 
-def token_averages(rates: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def token_averages(rates_df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """A4: support-weighted and macro averages and accuracy over the label rates."""
-    return rates.groupBy(*by).agg(
-        _weighted("precision").alias("token_precision"),
-        _weighted("recall").alias("token_recall"),
-        _weighted("f1").alias("token_f1"),
-        (F.sum("hits") / F.nullif(F.sum("support"), F.lit(0))).alias("token_accuracy"),
-        F.avg("precision").alias("macro_precision"),
-        F.avg("recall").alias("macro_recall"),
-        F.avg("f1").alias("macro_f1"),
-        F.sum("support").alias("support"),
-    )
+    columns = [f"{_weighted(m)} AS token_{m}" for m in ("precision", "recall", "f1")]
+    columns.append("sum(hits) / nullif(sum(support), 0) AS token_accuracy")
+    columns += [f"avg({m}) AS macro_{m}" for m in ("precision", "recall", "f1")]
+    columns.append("sum(support) AS support")
+    return rates_df.groupBy(*by).agg(*map(F.expr, columns))
 
 
 def token_metrics(pairs: DataFrame) -> DataFrame:
@@ -176,53 +166,44 @@ def token_metrics(pairs: DataFrame) -> DataFrame:
     return token_averages(label_rates(confusion(pairs)))
 
 
-def type_token_metrics(rates: DataFrame, types: list[str] = ENTITY_TYPES) -> DataFrame:
+def type_token_metrics(rates_df: DataFrame, types: list[str] = ENTITY_TYPES) -> DataFrame:
     """A5: the B- and I- rows of the label rates, keyed by type."""
-    return (
-        rates.filter(F.col("key").rlike("^[BI]-"))
-        .withColumn("type", F.substring("key", 3, 2**31 - 1))
-        .filter(F.col("type").isin(types))
-        .select("type", F.col("key").alias("tag"), "precision", "recall", "f1", "support")
-    )
+    return rates_df.filter(
+        f"key RLIKE '^[BI]-' AND substr(key, 3) IN ({quoted(types)})"
+    ).selectExpr("substr(key, 3) AS type", "key AS tag", "precision", "recall", "f1", "support")
 
 
-def mean_f1_by_type(
-    type_metrics: DataFrame, types: list[str] = ENTITY_TYPES
-) -> DataFrame:
+def _listed(df: DataFrame, types: list[str]) -> DataFrame:
+    """The types in order, as a table of a few rows."""
+    return df.sparkSession.createDataFrame(list(enumerate(types)), "type_no int, type string")
+
+
+def mean_f1_by_type(type_metrics: DataFrame, types: list[str] = ENTITY_TYPES) -> DataFrame:
     """Mean of the B- and I- f1 per type, 0.0 for a type that does not occur."""
-    spark = type_metrics.sparkSession
-    listed = spark.createDataFrame(list(enumerate(types)), "type_no int, type string")
     means = type_metrics.groupBy("type").agg(F.avg("f1").alias("mean_f1"))
-    return listed.join(means, "type", "left").select(
-        "type_no", "type", F.coalesce("mean_f1", F.lit(0.0)).alias("mean_f1")
+    return (
+        _listed(type_metrics, types)
+        .join(means, "type", "left")
+        .selectExpr("type_no", "type", "coalesce(mean_f1, 0.0D) AS mean_f1")
     )
 
 
 # --- one pass over the data --------------------------------------------------------------
 
 
-def _exact_match(true_entities: Column, pred_entities: Column, types: list[str]) -> Column:
+def _exact_match(true_entities: str, pred_entities: str, types: list[str]) -> str:
     """A8 inside the row: `(type, exact, partial)` per type, sets compared."""
-
-    def compare(t: str) -> Column:
-        return let_all(
-            [F.array_distinct(true_entities[t]), F.array_distinct(pred_entities[t])],
-            lambda a, b: F.struct(
-                F.lit(t).alias("type"),
-                (
-                    (F.size(F.array_except(a, b)) == 0) & (F.size(F.array_except(b, a)) == 0)
-                ).alias("exact"),
-                F.arrays_overlap(a, b).alias("overlap"),
-            ),
-        )
-
-    return F.transform(
-        F.array(*[compare(t) for t in types]),
-        lambda c: F.struct(
-            c["type"].alias("type"),
-            c["exact"].alias("exact"),
-            (c["overlap"] & ~c["exact"]).alias("partial"),
-        ),
+    sides = (
+        f"struct(t AS type, array_distinct({true_entities}[t]) AS a, "
+        f"array_distinct({pred_entities}[t]) AS b)"
+    )
+    compared = (
+        "struct(s.type AS type, size(array_except(s.a, s.b)) = 0 "
+        "AND size(array_except(s.b, s.a)) = 0 AS exact, arrays_overlap(s.a, s.b) AS overlap)"
+    )
+    return (
+        f"transform(transform(transform(array({quoted(types)}), t -> {sides}), s -> {compared}), "
+        "c -> struct(c.type AS type, c.exact AS exact, c.overlap AND NOT c.exact AS partial))"
     )
 
 
@@ -234,12 +215,10 @@ def with_exact_match(
     By default a record whose types overlap in part still counts as exact;
     `partial_breaks_exact` asks for equal sets throughout.
     """
-    tokens = F.col("tokens")
-    entities = seqs.withColumns(
-        {
-            "true_entities": entities_of(spans_of(tokens, F.col("true_tags")), types),
-            "pred_entities": entities_of(spans_of(tokens, F.col("pred_tags")), types),
-        }
+    entities = seqs.selectExpr(
+        "*",
+        f"{entities_of(spans_of('tokens', 'true_tags'), types)} AS true_entities",
+        f"{entities_of(spans_of('tokens', 'pred_tags'), types)} AS pred_entities",
     )
     return exact_match_of_entities(entities, types, partial_breaks_exact)
 
@@ -248,30 +227,24 @@ def exact_match_of_entities(
     entities: DataFrame, types: list[str] = ENTITY_TYPES, partial_breaks_exact: bool = False
 ) -> DataFrame:
     """A8 over `true_entities` and `pred_entities` maps."""
-    compared = entities.withColumn(
-        "by_type", _exact_match(F.col("true_entities"), F.col("pred_entities"), types)
-    )
-
-    def matched(c: Column) -> Column:
-        return c["exact"] if partial_breaks_exact else c["exact"] | c["partial"]
-
-    return compared.withColumns(
-        {
-            "exact": F.forall("by_type", matched),
-            "partial": F.exists("by_type", lambda c: c["partial"]),
-        }
+    matched = "c.exact" if partial_breaks_exact else "c.exact OR c.partial"
+    return entities.selectExpr(
+        "*", f"{_exact_match('true_entities', 'pred_entities', types)} AS by_type"
+    ).selectExpr(
+        "*",
+        f"forall(by_type, c -> {matched}) AS exact",
+        "exists(by_type, c -> c.partial) AS partial",
     )
 
 
 def exact_match(compared: DataFrame) -> DataFrame:
     """Counts and rates over all records; rates are NULL without records."""
-    n = F.count(F.lit(1))
     return compared.agg(
-        F.count_if("exact").alias("exact_matches"),
-        F.count_if("partial").alias("partial_matches"),
-        n.alias("total_examples"),
-        (F.count_if("exact") / F.nullif(n, F.lit(0))).alias("exact_match_accuracy"),
-        (F.count_if("partial") / F.nullif(n, F.lit(0))).alias("partial_match_accuracy"),
+        F.expr("count_if(exact) AS exact_matches"),
+        F.expr("count_if(partial) AS partial_matches"),
+        F.expr("count(*) AS total_examples"),
+        F.expr("count_if(exact) / nullif(count(*), 0) AS exact_match_accuracy"),
+        F.expr("count_if(partial) / nullif(count(*), 0) AS partial_match_accuracy"),
     )
 
 
@@ -279,60 +252,47 @@ def exact_match_by_type(compared: DataFrame) -> DataFrame:
     """Rates per type."""
     return (
         compared.select(F.explode_outer("by_type").alias("c"))
-        .groupBy(F.col("c.type").alias("type"))
+        .groupBy("c.type")
         .agg(
-            (F.count_if("c.exact") / F.count(F.lit(1))).alias("exact_match_rate"),
-            (F.count_if("c.partial") / F.count(F.lit(1))).alias("partial_match_rate"),
-            F.count(F.lit(1)).alias("total_examples"),
+            F.expr("count_if(c.exact) / count(*) AS exact_match_rate"),
+            F.expr("count_if(c.partial) / count(*) AS partial_match_rate"),
+            F.expr("count(*) AS total_examples"),
         )
     )
 
 
-def _counters(rows: Column, grain: str, first: str | None = None, second: str | None = None):
-    """Array of rows → array of `(grain, k1, k2)`."""
-    return F.transform(
-        rows,
-        lambda r: F.struct(
-            F.lit(grain).alias("grain"),
-            (r[first] if first else r).alias("k1"),
-            (r[second] if second else F.lit("")).alias("k2"),
-        ),
-    )
-
-
-def _span_rows(by: Sequence[str], seqs: DataFrame) -> DataFrame:
+def _with_span_keys(seqs: DataFrame) -> DataFrame:
     """Adds the keys of the spans on both sides and of those found on both."""
-    keyed = seqs.withColumns(
-        {
-            "true_keys": span_keys(tag_spans_of(F.col("true_tags"))),
-            "pred_keys": span_keys(tag_spans_of(F.col("pred_tags"))),
-        }
-    )
-    return keyed.withColumn("hit_keys", F.array_intersect("true_keys", "pred_keys"))
+    return seqs.selectExpr(
+        "*",
+        f"{span_keys(tag_spans_of('true_tags'))} AS true_keys",
+        f"{span_keys(tag_spans_of('pred_tags'))} AS pred_keys",
+    ).selectExpr("*", "array_intersect(true_keys, pred_keys) AS hit_keys")
 
 
-def _span_counters() -> list[Column]:
-    def types_in(name: str) -> Column:
-        return F.transform(name, key_type)
+def _counter(grain: str, rows: str, k1: str = "r", k2: str = "''") -> str:
+    """Array of rows → array of `(grain, k1, k2)`."""
+    return f"transform({rows}, r -> struct({quote(grain)} AS grain, {k1} AS k1, {k2} AS k2))"
 
-    return [
-        _counters(types_in("true_keys"), "span_true"),
-        _counters(types_in("pred_keys"), "span_pred"),
-        _counters(types_in("hit_keys"), "span_hit"),
-    ]
+
+_SPAN_COUNTERS = [
+    _counter("span_true", key_types("true_keys")),
+    _counter("span_pred", key_types("pred_keys")),
+    _counter("span_hit", key_types("hit_keys")),
+]
 
 
-def _count(df: DataFrame, counters: list[Column], by: Sequence[str]) -> DataFrame:
+def _count(df: DataFrame, counters: list[str], by: Sequence[str]) -> DataFrame:
     return (
-        df.select(*by, F.explode(F.concat(*counters)).alias("c"))
+        df.select(*by, F.explode(F.expr(f"concat({', '.join(counters)})")).alias("c"))
         .groupBy(*by, "c.grain", "c.k1", "c.k2")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.expr("count(*) AS n"))
     )
 
 
 def span_counts(seqs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Counters of true, predicted and matching spans per type."""
-    return _count(_span_rows(by, seqs), _span_counters(), by)
+    return _count(_with_span_keys(seqs), _SPAN_COUNTERS, by)
 
 
 def evaluation_counts(seqs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -341,43 +301,24 @@ def evaluation_counts(seqs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     Records are compared inside the row; only counters reach the shuffle, and they are
     summed before it.
     """
-    pairs = F.arrays_zip(
-        blank_to_empty(F.col("true_tags")).alias("t"),
-        blank_to_empty(F.col("pred_tags")).alias("p"),
+    pairs = (
+        f"zip_with({blank_to_empty('true_tags')}, {blank_to_empty('pred_tags')}, "
+        "(t, p) -> struct(t AS t, p AS p))"
     )
-    records = F.array_compact(
-        F.array(
-            F.lit("sequences"),
-            F.when(F.col("exact"), F.lit("exact")),
-            F.when(F.col("partial"), F.lit("partial")),
-        )
-    )
-    matches = F.flatten(
-        F.transform(
-            "by_type",
-            lambda c: F.array_compact(
-                F.array(
-                    F.struct(c["type"].alias("type"), F.lit("total").alias("kind")),
-                    F.when(
-                        c["exact"] | c["partial"],
-                        F.struct(
-                            c["type"].alias("type"),
-                            F.when(c["exact"], F.lit("exact"))
-                            .otherwise(F.lit("partial"))
-                            .alias("kind"),
-                        ),
-                    ),
-                )
-            ),
-        )
+    matches = """flatten(transform(by_type, c -> array_compact(array(
+        struct(c.type AS type, 'total' AS kind),
+        if(c.exact OR c.partial,
+           struct(c.type AS type, if(c.exact, 'exact', 'partial') AS kind), NULL)))))"""
+    records = (
+        "array_compact(array('sequences', if(exact, 'exact', NULL), if(partial, 'partial', NULL)))"
     )
     counters = [
-        _counters(pairs, "pair", "t", "p"),
-        *_span_counters(),
-        _counters(matches, "match", "type", "kind"),
-        _counters(records, "record"),
+        _counter("pair", pairs, "r.t", "r.p"),
+        *_SPAN_COUNTERS,
+        _counter("match", matches, "r.type", "r.kind"),
+        _counter("record", records),
     ]
-    return _count(_span_rows(by, with_exact_match(seqs)), counters, by)
+    return _count(_with_span_keys(with_exact_match(seqs)), counters, by)
 
 
 def rates(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -386,34 +327,37 @@ def rates(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     No filter on the grain is used, so that every metric built on it has the same first
     stages and Spark runs them once.
     """
-    grain, n, zero = F.col("grain"), F.col("n"), F.lit(0).cast("bigint")
 
-    def span(kind: str) -> Column:
-        return F.when(grain == f"span_{kind}", n).otherwise(zero)
+    def spans_in(side: str) -> str:
+        return f"if(grain = 'span_{side}', n, 0L)"
 
-    contributions = F.when(
-        grain == "pair", _label_contributions(F.col("k1"), F.col("k2"), n)
-    ).when(
-        grain.startswith("span_"),
-        _contributions((F.lit("type"), F.col("k1"), span("true"), span("pred"), span("hit"))),
+    span = _rate("'type'", "k1", spans_in("true"), spans_in("pred"), spans_in("hit"))
+    contributions = (
+        f"CASE WHEN grain = 'pair' THEN {_label_rates_of('k1', 'k2', 'n')} "
+        f"WHEN startswith(grain, 'span_') THEN array({span}) END"
     )
-    return with_scores(_sum_contributions(counts, contributions, by))
+    return with_scores(_sum_rates(counts, contributions, by))
 
 
 def type_entity_metrics(type_rates: DataFrame) -> DataFrame:
     """Rows per type, and the micro, macro and weighted averages."""
-    columns = ["type", "precision", "recall", "f1", "support"]
-    per_type = type_rates.select(F.col("key").alias("type"), *columns[1:])
+    scores = ("precision", "recall", "f1")
+    per_type = type_rates.selectExpr("key AS type", *scores, "support")
     micro = with_scores(
         type_rates.agg(*[F.sum(x).alias(x) for x in ("support", "predicted", "hits")])
-    ).select(F.lit("micro avg").alias("type"), *columns[1:])
-    macro = type_rates.agg(
-        *[F.avg(x).alias(x) for x in columns[1:4]], F.sum("support").alias("support")
-    ).select(F.lit("macro avg").alias("type"), *columns[1:])
-    weighted = type_rates.agg(
-        *[_weighted(x).alias(x) for x in columns[1:4]], F.sum("support").alias("support")
-    ).select(F.lit("weighted avg").alias("type"), *columns[1:])
-    return per_type.unionByName(micro).unionByName(macro).unionByName(weighted)
+    ).selectExpr("'micro avg' AS type", *scores, "support")
+    averaged = type_rates.agg(
+        *[F.expr(f"avg({m}) AS macro_{m}") for m in scores],
+        *[F.expr(f"{_weighted(m)} AS weighted_{m}") for m in scores],
+        F.sum("support").alias("support"),
+    )
+    parts = [
+        averaged.selectExpr(
+            f"'{kind} avg' AS type", *[f"{kind}_{m} AS {m}" for m in scores], "support"
+        )
+        for kind in ("macro", "weighted")
+    ]
+    return per_type.unionByName(micro).unionByName(parts[0]).unionByName(parts[1])
 
 
 def entity_averages(type_rates: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -421,14 +365,8 @@ def entity_averages(type_rates: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     totals = type_rates.groupBy(*by).agg(
         *[F.sum(x).alias(x) for x in ("support", "predicted", "hits")]
     )
-    return with_scores(totals).select(
-        *by,
-        "support",
-        "predicted",
-        "hits",
-        F.col("precision").alias("entity_precision"),
-        F.col("recall").alias("entity_recall"),
-        F.col("f1").alias("entity_f1"),
+    return with_scores(totals).withColumnsRenamed(
+        {m: f"entity_{m}" for m in ("precision", "recall", "f1")}
     )
 
 
@@ -437,102 +375,82 @@ def entity_metrics(seqs: DataFrame) -> DataFrame:
     return entity_averages(rates(span_counts(seqs)))
 
 
-def _melt(df: DataFrame, by: Sequence[str], grain: Column, key: Column, names: list[str]):
+def _melt(df: DataFrame, by: Sequence[str], grain: str, key: str, names: list[str]) -> DataFrame:
     """Wide metric columns → `(*by, grain, key, metric, value)`."""
-    values = F.array(
-        *[
-            F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
-            for m in names
-        ]
+    pairs = ", ".join(f"{quote(m)}, CAST({m} AS DOUBLE)" for m in names)
+    return df.selectExpr(
+        *by,
+        f"{grain} AS grain",
+        f"{key} AS key",
+        f"stack({len(names)}, {pairs}) AS (metric, value)",
     )
-    return df.select(
-        *by, grain.alias("grain"), key.alias("key"), F.explode(values).alias("m")
-    ).select(*by, "grain", "key", "m.metric", "m.value")
+
+
+# The headline numbers of a summary, in order.
+SUMMARY_METRICS = [
+    "token_f1",
+    "token_precision",
+    "token_recall",
+    "entity_f1",
+    "entity_precision",
+    "entity_recall",
+    "exact_match_accuracy",
+]
 
 
 def _overall(counts: DataFrame, scored: DataFrame, by: Sequence[str]) -> DataFrame:
-    """One row per group with every headline number."""
-
-    def of(grain: str, metric: str) -> Column:
-        return F.when(F.col("grain") == grain, F.col(metric))
-
-    def weighted(metric: str) -> Column:
-        weight = of("label", "support")
-        return F.sum(of("label", metric) * weight) / F.nullif(F.sum(weight), F.lit(0))
-
-    headline = scored.groupBy(*by).agg(
-        weighted("precision").alias("token_precision"),
-        weighted("recall").alias("token_recall"),
-        weighted("f1").alias("token_f1"),
-        (F.sum(of("label", "hits")) / F.nullif(F.sum(of("label", "support")), F.lit(0))).alias(
-            "token_accuracy"
-        ),
-        F.sum(of("label", "support")).alias("total_tokens"),
-        *[
-            F.coalesce(F.sum(of("type", x)), F.lit(0)).alias(x)
-            for x in ("support", "predicted", "hits")
-        ],
-    )
-    scores = with_scores(headline).withColumnsRenamed(
-        {"precision": "entity_precision", "recall": "entity_recall", "f1": "entity_f1"}
+    """Every headline number per group, as `(*by, grain, key, metric, value)`."""
+    label, span = "FILTER (WHERE grain = 'label')", "FILTER (WHERE grain = 'type')"
+    total = f"nullif(sum(support) {label}, 0)"
+    columns = [
+        *[f"sum({m} * support) {label} / {total} AS token_{m}" for m in ("precision", "recall", "f1")],
+        f"sum(hits) {label} / {total} AS token_accuracy",
+        f"sum(support) {label} AS total_tokens",
+        *[f"coalesce(sum({x}) {span}, 0L) AS {x}" for x in ("support", "predicted", "hits")],
+    ]
+    totals = scored.groupBy(*by).agg(*map(F.expr, columns))
+    scores = with_scores(totals).withColumnsRenamed(
+        {m: f"entity_{m}" for m in ("precision", "recall", "f1")}
     )
 
-    def record(kind: str) -> Column:
-        is_kind = (F.col("grain") == "record") & (F.col("k1") == kind)
-        return F.sum(F.when(is_kind, F.col("n")).otherwise(F.lit(0)))
+    def record(kind: str) -> str:
+        return f"coalesce(sum(n) FILTER (WHERE grain = 'record' AND k1 = '{kind}'), 0L)"
 
+    n = record("sequences")
     records = counts.groupBy(*by).agg(
-        record("sequences").alias("num_sequences"),
-        (record("exact") / F.nullif(record("sequences"), F.lit(0))).alias("exact_match_accuracy"),
-        (record("partial") / F.nullif(record("sequences"), F.lit(0))).alias(
-            "partial_match_accuracy"
-        ),
-    )
-    parts = [
-        _melt(
-            scores,
-            by,
-            F.lit("overall"),
-            F.lit(""),
-            [
-                "token_precision",
-                "token_recall",
-                "token_f1",
-                "token_accuracy",
-                "total_tokens",
-                "entity_precision",
-                "entity_recall",
-                "entity_f1",
-            ],
-        ),
-        _melt(
-            records,
-            by,
-            F.lit("overall"),
-            F.lit(""),
-            ["num_sequences", "exact_match_accuracy", "partial_match_accuracy"],
-        ),
+        F.expr(f"{n} AS num_sequences"),
+        F.expr(f"{record('exact')} / nullif({n}, 0) AS exact_match_accuracy"),
+        F.expr(f"{record('partial')} / nullif({n}, 0) AS partial_match_accuracy"),
+    )
+    score_names = [
+        "token_precision",
+        "token_recall",
+        "token_f1",
+        "token_accuracy",
+        "total_tokens",
+        "entity_precision",
+        "entity_recall",
+        "entity_f1",
     ]
-    return parts[0].unionByName(parts[1])
+    record_names = ["num_sequences", "exact_match_accuracy", "partial_match_accuracy"]
+    return _melt(scores, by, "'overall'", "''", score_names).unionByName(
+        _melt(records, by, "'overall'", "''", record_names)
+    )
 
 
 def _match_rates(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     """A8 per type from the counters."""
-
-    def kind(name: str) -> Column:
-        of_kind = (F.col("grain") == "match") & (F.col("k2") == name)
-        return F.sum(F.when(of_kind, F.col("n")).otherwise(F.lit(0)))
-
-    per_key = counts.groupBy(*by, F.col("k1").alias("type")).agg(
-        kind("total").alias("total_examples"),
-        kind("exact").alias("exact"),
-        kind("partial").alias("partial"),
-    )
-    return per_key.filter(F.col("total_examples") > 0).withColumns(
-        {
-            "exact_match_rate": F.col("exact") / F.col("total_examples"),
-            "partial_match_rate": F.col("partial") / F.col("total_examples"),
-        }
+    kinds = [
+        f"coalesce(sum(n) FILTER (WHERE grain = 'match' AND k2 = '{kind}'), 0L) AS {kind}"
+        for kind in ("total", "exact", "partial")
+    ]
+    per_key = counts.groupBy(*by, F.col("k1").alias("type")).agg(*map(F.expr, kinds))
+    return per_key.filter("total > 0").selectExpr(
+        *by,
+        "type",
+        "exact / total AS exact_match_rate",
+        "partial / total AS partial_match_rate",
+        "total AS total_examples",
     )
 
 
@@ -542,58 +460,34 @@ def metrics_long(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     Grains: `overall`, `label`, `type` (spans) and `exact` (entity sets per type).
     """
     scored = rates(counts, by)
-    per_key = _melt(
-        scored, by, F.col("grain"), F.col("key"), ["precision", "recall", "f1", "support"]
-    )
+    per_key = _melt(scored, by, "grain", "key", ["precision", "recall", "f1", "support"])
     matched = _melt(
         _match_rates(counts, by),
         by,
-        F.lit("exact"),
-        F.col("type"),
+        "'exact'",
+        "type",
         ["exact_match_rate", "partial_match_rate", "total_examples"],
     )
     return _overall(counts, scored, by).unionByName(per_key).unionByName(matched)
 
 
-# The headline numbers of a summary, in order.
-SUMMARY_METRICS = [
-    "token_f1",
-    "token_precision",
-    "token_recall",
-    "entity_f1",
-    "entity_precision",
-    "entity_recall",
-    "exact_match_accuracy",
-]
-
-
 def summary(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """A10: the seven headline numbers, as `(*by, metric, value)`."""
     overall = _overall(counts, rates(counts, by), by)
-    return overall.filter(F.col("metric").isin(SUMMARY_METRICS)).select(*by, "metric", "value")
+    return overall.filter(f"metric IN ({quoted(SUMMARY_METRICS)})").select(*by, "metric", "value")
 
 
 def evaluate_predictions(seqs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """A9 over `(record_id, tokens, true_tags, pred_tags)`; fails on unequal lengths."""
-    aligned = (F.size("tokens") == F.size("true_tags")) & (
-        F.size("tokens") == F.size("pred_tags")
-    )
-    guarded = seqs.withColumn(
-        "tokens",
-        F.when(aligned, F.col("tokens")).otherwise(
-            F.raise_error(F.lit("tokens and tags differ in length")).cast("array<string>")
-        ),
-    )
-    return metrics_long(evaluation_counts(guarded, by), by)
+    guarded = """if(size(tokens) = size(true_tags) AND size(tokens) = size(pred_tags), tokens,
+        CAST(raise_error('tokens and tags differ in length') AS array<string>))"""
+    return metrics_long(evaluation_counts(seqs.withColumn("tokens", F.expr(guarded)), by), by)
 
 
 def misaligned(seqs: DataFrame) -> DataFrame:
     """E7 on both sides of a comparison."""
-    tokens = F.col("tokens")
     return record_violations(
-        seqs,
-        length_findings(tokens, F.col("true_tags")),
-        length_findings(tokens, F.col("pred_tags")),
+        seqs, length_findings("tokens", "true_tags"), length_findings("tokens", "pred_tags")
     )
 
 
@@ -602,19 +496,16 @@ def per_type_report(metrics: DataFrame, types: list[str] = ENTITY_TYPES) -> Data
 
     `metrics` is A9's long table, a few hundred rows.
     """
-    spark = metrics.sparkSession
-    listed = spark.createDataFrame(list(enumerate(types)), "type_no int, type string")
-    is_label = (F.col("grain") == "label") & F.col("key").rlike("^[BI]-")
-    keyed = metrics.select(
-        F.when(is_label, F.substring("key", 3, 2**31 - 1)).otherwise(F.col("key")).alias("type"),
-        F.when(is_label, F.concat(F.lower(F.substring("key", 1, 1)), F.lit("_"), "metric"))
-        .when(F.col("grain") == "type", F.concat(F.lit("entity_"), "metric"))
-        .when(F.col("grain") == "exact", F.col("metric"))
-        .alias("name"),
+    is_label = "grain = 'label' AND key RLIKE '^[BI]-'"
+    keyed = metrics.selectExpr(
+        f"if({is_label}, substr(key, 3), key) AS type",
+        f"""CASE WHEN {is_label} THEN concat(lower(substr(key, 1, 1)), '_', metric)
+            WHEN grain = 'type' THEN concat('entity_', metric)
+            WHEN grain = 'exact' THEN metric END AS name""",
         "value",
     )
     scores = ("precision", "recall", "f1", "support")
     names = [f"{p}_{m}" for p in ("b", "i", "entity") for m in scores]
     names += ["exact_match_rate", "partial_match_rate", "total_examples"]
     wide = keyed.groupBy("type").pivot("name", names).agg(F.first("value"))
-    return listed.join(wide, "type", "left").select("type_no", "type", *names)
+    return _listed(metrics, types).join(wide, "type", "left").select("type_no", "type", *names)

@@ -6,52 +6,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from titlespan.functions.arrays import let
+from titlespan.functions.sql import name
 from titlespan.functions.tags import (
-    MODES,
+    check_mode,
+    checked_spans,
+    effective_tag,
     entities_of,
-    known_types_only,
-    length_matches,
+    is_event,
     opens_span,
-    spans_of,
     tag_continues,
     tag_spans_of,
     tag_type,
 )
-from titlespan.types import ENTITY_TYPES, OUTSIDE, SPAN_SCHEMA
+from titlespan.types import ENTITY_TYPES
 
 
-def checked_spans(
-    tokens: Column,
-    tags: Column,
-    mode: str = "strict",
-    reference: Column | None = None,
-    on_error: str = "raise_length",
-) -> Column:
-    """E1–E3 with E7's length check.
-
-    `raise_length` fails on a length mismatch, `raise` also on an unknown type, `empty`
-    gives no spans for such a record. Reference mode checks the reference tags' length.
-    """
-    checked = tags if reference is None else reference
-    length_error = F.raise_error(
-        F.format_string("%d tokens but %d tags", F.size(tokens), F.size(checked))
-    ).cast(SPAN_SCHEMA)
-    type_error = F.raise_error(F.lit("span of an unknown type")).cast(SPAN_SCHEMA)
-    nothing = F.array().cast(SPAN_SCHEMA)
-    found = spans_of(tokens, tags, mode, reference)
-
-    def known_or(fallback: Column) -> Column:
-        return let(found, lambda ss: F.when(known_types_only(ss), ss).otherwise(fallback))
-
-    aligned = length_matches(tokens, checked)
-    if on_error == "raise_length":
-        return F.when(aligned, found).otherwise(length_error)
-    if on_error == "empty":
-        return F.when(aligned, known_or(nothing)).otherwise(nothing)
-    if on_error == "raise":
-        return F.when(aligned, known_or(type_error)).otherwise(length_error)
-    raise ValueError(f"on_error must be raise_length, raise or empty, got {on_error!r}")
+def _span_sql(mode: str, tag_col: str, reference_col: str | None, on_error: str) -> str:
+    reference = name(reference_col) if reference_col else None
+    return checked_spans("tokens", name(tag_col), mode, reference, on_error)
 
 
 def with_spans(
@@ -62,10 +34,8 @@ def with_spans(
     on_error: str = "raise_length",
 ) -> DataFrame:
     """Adds the `spans` array; stateless, so it also runs on a stream."""
-    reference = F.col(reference_col) if reference_col else None
-    return seqs.withColumn(
-        "spans", checked_spans(F.col("tokens"), F.col(tag_col), mode, reference, on_error)
-    )
+    found = _span_sql(mode, tag_col, reference_col, on_error)
+    return seqs.withColumn("spans", F.expr(found))
 
 
 def spans(
@@ -78,8 +48,7 @@ def spans(
     """`(record_id, span_no, type, start_pos, end_pos, text)`; no shuffle."""
     # The expression is exploded as it stands: over a column Spark would infer a filter on
     # its size and evaluate everything below a second time.
-    reference = F.col(reference_col) if reference_col else None
-    found = checked_spans(F.col("tokens"), F.col(tag_col), mode, reference, on_error)
+    found = F.expr(_span_sql(mode, tag_col, reference_col, on_error))
     return seqs.select("record_id", F.posexplode(found).alias("span_no", "s")).select(
         "record_id", "span_no", "s.*"
     )
@@ -88,7 +57,7 @@ def spans(
 def tag_spans(seqs: DataFrame, mode: str = "lenient", tag_col: str = "tags") -> DataFrame:
     """`(record_id, span_no, type, start_pos, end_pos)` from the tags alone."""
     return seqs.select(
-        "record_id", F.posexplode(tag_spans_of(F.col(tag_col), mode)).alias("span_no", "s")
+        "record_id", F.posexplode(F.expr(tag_spans_of(name(tag_col), mode))).alias("span_no", "s")
     ).select("record_id", "span_no", "s.*")
 
 
@@ -101,7 +70,7 @@ def entities(
 ) -> DataFrame:
     """`(record_id, entities)`, a map of every type to its texts in title order."""
     return with_spans(seqs, mode, tag_col, reference_col, on_error).select(
-        "record_id", entities_of(F.col("spans")).alias("entities")
+        "record_id", F.expr(entities_of("spans")).alias("entities")
     )
 
 
@@ -149,16 +118,6 @@ def _carry_last(df: DataFrame, value: Column, name: str, inclusive: bool) -> Dat
     )
 
 
-def _effective_column(mode: str, reference_col: str | None) -> Column:
-    tag = F.coalesce(F.col("tag"), F.lit(""))
-    if mode == "strict":
-        return tag
-    if mode == "lenient":
-        return F.when(tag == "", F.lit(OUTSIDE)).otherwise(tag)
-    blank_reference = F.coalesce(F.col(reference_col), F.lit("")) == ""
-    return F.when(blank_reference, F.lit("")).when(tag == "", F.lit("-")).otherwise(tag)
-
-
 def spans_from_long(
     tagged: DataFrame,
     mode: str = "strict",
@@ -170,30 +129,22 @@ def spans_from_long(
     For tables that already hold one token per row. No task sees more than `block` tokens
     of a record at once, however long the record is.
     """
-    if mode not in MODES or (mode == "reference") != (reference_col is not None):
-        raise ValueError("reference_col goes with mode='reference' and with no other")
-    effective = F.col("effective")
-    opens = opens_span(effective)
-    if mode == "strict":
-        is_event = effective != ""
-    else:
-        is_event = (effective == OUTSIDE) | opens
-
+    check_mode(mode, reference_col is not None)
+    reference = name(reference_col) if reference_col else None
     rows = tagged.select(
         "record_id",
         "pos",
         "token",
         F.floor(F.col("pos") / block).alias("block"),
-        _effective_column(mode, reference_col).alias("effective"),
-    )
-    seen = _carry_last(rows, F.when(is_event, effective), "previous", inclusive=False)
-    continues = F.coalesce(tag_continues(effective, F.col("previous")), F.lit(False))
-    boundary = F.when(
-        is_event & ~continues,
-        F.struct(F.col("pos").alias("start_pos"), tag_type(effective).alias("type")),
+        F.expr(effective_tag("tag", mode, reference)).alias("effective"),
     )
-    owned = _carry_last(seen, boundary, "owner", inclusive=True).filter(
-        F.col("owner.type").isNotNull() & ((effective == "") | opens)
+    event, opens = is_event("effective", mode), opens_span("effective")
+    seen = _carry_last(rows, F.expr(f"if({event}, effective, NULL)"), "previous", inclusive=False)
+    continues = f"coalesce({tag_continues('effective', 'previous')}, false)"
+    boundary = f"""if({event} AND NOT {continues},
+        struct(pos AS start_pos, {tag_type('effective')} AS type), NULL)"""
+    owned = _carry_last(seen, F.expr(boundary), "owner", inclusive=True).filter(
+        f"owner.type IS NOT NULL AND (effective = '' OR {opens})"
     )
     pieces = owned.groupBy("record_id", "owner", "block").agg(
         F.max("pos").alias("end_pos"),

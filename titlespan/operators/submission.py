@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, NumericType
 
+from titlespan.functions.sql import name, quote
 from titlespan.operators.spans import entities
-from titlespan.types import ENTITY_TYPES, SUBMISSION_COLUMNS
+from titlespan.types import ENTITY_TYPES
 
 SEPARATOR = "|"
 
@@ -16,36 +17,36 @@ def format_entities(
     df: DataFrame, id_col: str = "record_id", entities_col: str = "entities"
 ) -> DataFrame:
     """the id as text and, per type, its texts joined by a pipe or ''."""
-    return df.select(
-        F.col(id_col).cast("string").alias("id"),
+    entities_map = name(entities_col)
+    return df.selectExpr(
+        f"CAST({name(id_col)} AS STRING) AS id",
         *[
-            F.coalesce(F.array_join(F.col(entities_col)[t], SEPARATOR), F.lit("")).alias(t)
+            f"coalesce(array_join({entities_map}[{quote(t)}], '{SEPARATOR}'), '') AS {name(t)}"
             for t in ENTITY_TYPES
         ],
     )
 
 
-def _as_text(df: DataFrame, name: str) -> Column:
+def _as_text(df: DataFrame, column: str) -> str:
     """lists joined, scalars as text, missing and falsy values as ''."""
-    if name not in df.columns:
-        return F.lit("")
-    data_type, value = df.schema[name].dataType, F.col(name)
+    if column not in df.columns:
+        return "''"
+    data_type, value = df.schema[column].dataType, name(column)
+    text = f"CAST({value} AS STRING)"
     if isinstance(data_type, ArrayType):
-        text = F.array_join(F.transform(value, lambda x: x.cast("string")), SEPARATOR)
+        text = f"array_join(CAST({value} AS ARRAY<STRING>), '{SEPARATOR}')"
     elif isinstance(data_type, NumericType):
-        text = F.when(value != 0, value.cast("string"))
+        text = f"if({value} <> 0, {text}, NULL)"
     elif isinstance(data_type, BooleanType):
-        text = F.when(value, F.lit("True"))
-    else:
-        text = value.cast("string")
-    return F.coalesce(text, F.lit(""))
+        text = f"if({value}, 'True', NULL)"
+    return f"coalesce({text}, '')"
 
 
 def format_predictions(df: DataFrame, id_col: str = "record_id") -> DataFrame:
     """Predictions with one column per type → submission columns in order."""
-    return df.select(
-        F.col(id_col).cast("string").alias("id"),
-        *[_as_text(df, t).alias(t) for t in ENTITY_TYPES],
+    return df.selectExpr(
+        f"CAST({name(id_col)} AS STRING) AS id",
+        *[f"{_as_text(df, t)} AS {name(t)}" for t in ENTITY_TYPES],
     )
 
 
@@ -59,36 +60,31 @@ def submission(
 def submission_stats(df: DataFrame) -> DataFrame:
     """per type the filled, empty and multi-valued rows, beside the table's size as TSV."""
     header_bytes = len("\t".join(df.columns).encode()) + 1
-    row_bytes = F.octet_length(F.concat_ws("\t", *df.columns)) + 1
-    trimmed = {
-        t: F.regexp_replace(F.col(t), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
-        for t in ENTITY_TYPES
-    }
-    aggregated = df.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        (F.coalesce(F.sum(row_bytes), F.lit(0)) + header_bytes).alias("size_bytes"),
-        *[F.count_if(trimmed[t] != "").alias(f"filled_{i}") for i, t in enumerate(ENTITY_TYPES)],
-        *[
-            F.count_if(F.contains(F.col(t), F.lit(SEPARATOR))).alias(f"multi_{i}")
-            for i, t in enumerate(ENTITY_TYPES)
-        ],
-    )
-    per_type = [
-        F.struct(
-            F.lit(t).alias("type"),
-            F.col(f"filled_{i}").alias("non_empty_count"),
-            (F.col("total_records") - F.col(f"filled_{i}")).alias("empty_count"),
-            F.col(f"multi_{i}").alias("has_multiple_entities"),
-        )
-        for i, t in enumerate(ENTITY_TYPES)
+    row = ", ".join(name(c) for c in df.columns)
+    blank = r"regexp_replace({}, r'(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$', '') <> ''"
+    counters = [
+        "count(*) AS total_records",
+        f"coalesce(sum(octet_length(concat_ws('\\t', {row})) + 1), 0L) + {header_bytes} AS size_bytes",
     ]
-    return aggregated.select(
-        F.explode(F.array(*per_type)).alias("t"),
-        "total_records",
-        F.lit(len(df.columns)).alias("total_columns"),
-        "size_bytes",
-        (F.col("size_bytes") / F.lit(1024 * 1024)).alias("size_mb"),
-    ).select("t.*", "total_records", "total_columns", "size_bytes", "size_mb")
+    per_type = []
+    for i, t in enumerate(ENTITY_TYPES):
+        counters.append(f"count_if({blank.format(name(t))}) AS filled_{i}")
+        counters.append(f"count_if(contains({name(t)}, '{SEPARATOR}')) AS multi_{i}")
+        per_type.append(
+            f"struct({quote(t)} AS type, filled_{i} AS non_empty_count, "
+            f"total_records - filled_{i} AS empty_count, multi_{i} AS has_multiple_entities)"
+        )
+    return (
+        df.agg(*map(F.expr, counters))
+        .selectExpr(
+            f"explode(array({', '.join(per_type)})) AS t",
+            "total_records",
+            f"{len(df.columns)} AS total_columns",
+            "size_bytes",
+            "size_bytes / (1024 * 1024) AS size_mb",
+        )
+        .select("t.*", "total_records", "total_columns", "size_bytes", "size_mb")
+    )
 
 
 def merge_with_metadata(df: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
@@ -104,13 +100,3 @@ def merge_with_metadata(df: DataFrame, metadata: DataFrame | None = None) -> Dat
         return df
     as_text = metadata.withColumns({c: F.col(c).cast("string") for c in common})
     return df.join(as_text, common, "left")
-
-
-__all__ = [
-    "SUBMISSION_COLUMNS",
-    "format_entities",
-    "format_predictions",
-    "merge_with_metadata",
-    "submission",
-    "submission_stats",
-]

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from titlespan.functions.sql import name, quote, quoted
 from titlespan.functions.tags import fit_length
 from titlespan.operators.metrics import evaluate_predictions
 from titlespan.operators.tokens import tagged_long, true_tags, with_tokens
@@ -215,7 +216,7 @@ def predict_with(
 
 def align(predictions: DataFrame, tag_col: str = "pred_tags") -> DataFrame:
     """M4: as many tags as tokens."""
-    return predictions.withColumn(tag_col, fit_length(F.col(tag_col), F.size("tokens")))
+    return predictions.withColumn(tag_col, F.expr(fit_length(name(tag_col), "size(tokens)")))
 
 
 def prediction_stats(
@@ -231,29 +232,25 @@ def prediction_stats(
         F.count_if(F.col("pos").isNull() | (F.col("pos") == 0)).alias("texts"),
     )
 
-    def total(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+    def total(tags: str) -> str:
+        return f"coalesce(sum(n) FILTER (WHERE tag IN ({tags})), 0L)"
 
-    tag = F.col("tag")
+    per_type = [f"{total(quoted([f'B-{t}', f'I-{t}']))} AS n_{i}" for i, t in enumerate(types)]
     aggregated = counted.agg(
-        F.coalesce(F.sum("texts"), F.lit(0)).alias("texts"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"),
-        total(tag == OUTSIDE).alias("o_tags"),
-        *[total(tag.isin(f"B-{t}", f"I-{t}")).alias(f"n_{i}") for i, t in enumerate(types)],
+        F.expr("coalesce(sum(texts), 0L) AS texts"),
+        F.expr("coalesce(sum(n), 0L) AS tokens"),
+        F.expr(f"{total(quote(OUTSIDE))} AS o_tags"),
+        *map(F.expr, per_type),
     )
-
-    def entry(metric: str, value: Column) -> Column:
-        return F.struct(F.lit(metric).alias("metric"), value.cast("double").alias("value"))
-
-    mean = F.coalesce(F.col("tokens") / F.nullif("texts", F.lit(0)), F.lit(0.0))
-    entries = [
-        entry("total_texts", F.col("texts")),
-        entry("total_tokens", F.col("tokens")),
-        entry("o_tag_count", F.col("o_tags")),
-        entry("average_tokens_per_text", mean),
-        *[entry(f"entity_count:{t}", F.col(f"n_{i}")) for i, t in enumerate(types)],
-    ]
-    return aggregated.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    metrics = {
+        "total_texts": "texts",
+        "total_tokens": "tokens",
+        "o_tag_count": "o_tags",
+        "average_tokens_per_text": "coalesce(tokens / nullif(texts, 0), 0.0D)",
+        **{f"entity_count:{t}": f"n_{i}" for i, t in enumerate(types)},
+    }
+    pairs = ", ".join(f"{quote(m)}, CAST({sql} AS DOUBLE)" for m, sql in metrics.items())
+    return aggregated.selectExpr(f"stack({len(metrics)}, {pairs}) AS (metric, value)")
 
 
 def model_info(spark: SparkSession, types: list[str] = ENTITY_TYPES, **params: str) -> DataFrame:

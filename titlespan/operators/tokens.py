@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from titlespan.functions.tokens import feature_columns, neighbours, tokenize
+from titlespan.functions.sql import name
+from titlespan.functions.tokens import features, neighbours, tokenize
 from titlespan.types import OUTSIDE
 
 
 def with_tokens(df: DataFrame, title_col: str = "title") -> DataFrame:
     """Adds the `tokens` array."""
-    return df.withColumn("tokens", tokenize(F.col(title_col)))
+    return df.withColumn("tokens", F.expr(tokenize(name(title_col))))
 
 
 def tokens_long(df: DataFrame, id_col: str = "record_id", title_col: str = "title") -> DataFrame:
     """`(record_id, pos, token)`; titles without tokens give no rows."""
     return df.select(
         F.col(id_col).alias("record_id"),
-        F.posexplode(tokenize(F.col(title_col))).alias("pos", "token"),
+        F.posexplode(F.expr(tokenize(name(title_col)))).alias("pos", "token"),
     )
 
 
@@ -29,26 +30,25 @@ def token_features(
     """One row per token with all token and context features; no shuffle."""
     placed = df.select(
         F.col(id_col).alias("record_id"),
-        F.explode(neighbours(tokenize(F.col(title_col)))).alias("t"),
+        F.explode(F.expr(neighbours(tokenize(name(title_col))))).alias("t"),
     ).select("record_id", "t.*")
     return _with_features(placed)
 
 
 def _with_features(placed: DataFrame) -> DataFrame:
-    inside_left = F.col("pos") > 0
-    features = {
-        "is_first": F.col("pos") == 0,
-        **feature_columns(F.col("token")),
-        "prev_length": F.when(inside_left, F.length("prev_token")).otherwise(F.lit(0)),
-        "next_length": F.when(F.col("is_last"), F.lit(0)).otherwise(F.length("next_token")),
+    added = {
+        "is_first": "pos = 0",
+        **features("token"),
+        "prev_length": "if(pos = 0, 0, length(prev_token))",
+        "next_length": "if(is_last, 0, length(next_token))",
     }
-    return placed.withColumns(features)
+    return placed.selectExpr("*", *[f"{sql} AS {column}" for column, sql in added.items()])
 
 
-def positional_tags(tokens: Column, tag_cols: list[Column]) -> Column:
+def positional_tags(tokens: str, tag_cols: list[str]) -> str:
     """Token i takes the value of the i-th tag column, `O` past the end or on NULL."""
-    values = F.array(*tag_cols)
-    return F.transform(tokens, lambda _, i: F.coalesce(F.get(values, i), F.lit(OUTSIDE)))
+    values = ", ".join(name(c) for c in tag_cols)
+    return f"transform({tokens}, (t, i) -> coalesce(get(array({values}), i), '{OUTSIDE}'))"
 
 
 def default_tag_columns(df: DataFrame, id_col: str, title_col: str) -> list[str]:
@@ -66,7 +66,7 @@ def true_tags(
     return with_tokens(df, title_col).select(
         F.col(id_col).alias("record_id"),
         "tokens",
-        positional_tags(F.col("tokens"), [F.col(c) for c in names]).alias("true_tags"),
+        F.expr(positional_tags("tokens", names)).alias("true_tags"),
     )
 
 
@@ -80,7 +80,9 @@ def training_rows(
     tagged = true_tags(df, tag_cols, id_col, title_col)
     placed = tagged.select(
         "record_id",
-        F.explode(F.arrays_zip(neighbours(F.col("tokens")).alias("t"), "true_tags")).alias("z"),
+        F.explode(
+            F.arrays_zip(F.expr(neighbours("tokens")).alias("t"), F.col("true_tags"))
+        ).alias("z"),
     ).select("record_id", F.col("z.true_tags").alias("tag"), "z.t.*")
     return _with_features(placed)
 
@@ -93,17 +95,16 @@ def tagged_long(seqs: DataFrame, tag_col: str = "true_tags") -> DataFrame:
     )
 
 
-def present_tags(df: DataFrame, tag_cols: list[str]) -> Column:
+def present_tags(tag_cols: list[str]) -> str:
     """The non-NULL values of the tag columns, closed up."""
-    return F.filter(F.array(*tag_cols), lambda t: t.isNotNull())
+    return f"array_compact(array({', '.join(name(c) for c in tag_cols)}))"
 
 
-def token_array(df: DataFrame, token_col: str) -> Column:
+def token_array(df: DataFrame, token_col: str) -> str:
     """P5: an array as it is; a string split on single spaces, empty tokens kept."""
-    column = F.col(token_col)
     if isinstance(df.schema[token_col].dataType, StringType):
-        return F.split(column, " ", -1)
-    return column
+        return f"split({name(token_col)}, ' ', -1)"
+    return name(token_col)
 
 
 def sequences_from_wide(
@@ -116,7 +117,7 @@ def sequences_from_wide(
     """`(record_id, tokens, true_tags, pred_tags)` from wide tag columns."""
     return df.select(
         F.col(id_col).alias("record_id"),
-        token_array(df, token_col).alias("tokens"),
-        present_tags(df, true_cols).alias("true_tags"),
-        present_tags(df, pred_cols).alias("pred_tags"),
+        F.expr(token_array(df, token_col)).alias("tokens"),
+        F.expr(present_tags(true_cols)).alias("true_tags"),
+        F.expr(present_tags(pred_cols)).alias("pred_tags"),
     )

@@ -6,10 +6,10 @@ any SQL engine repeats exactly.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlespan.functions.arrays import let
+from titlespan.functions.sql import let, quoted
 from titlespan.functions.tokens import ABBREVIATIONS, AUTOMOTIVE_TERMS, tokenize
 from titlespan.session import spread
 from titlespan.types import ENTITY_TYPES
@@ -36,50 +36,44 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _step(record_id: Column, pos: Column, token: Column) -> Column:
-    return ((record_id * 7 + pos * 13 + F.length(token) * 5) % 10).cast("int")
+def _step(record_id: str, pos: str, token: str) -> str:
+    return f"({record_id} * 7 + {pos} * 13 + length({token}) * 5) % 10"
 
 
-def _type(record_id: Column, pos: Column, types: list[str]) -> Column:
-    names = F.array(*[F.lit(t) for t in types])
-    return F.get(names, ((record_id + F.shiftright(pos, 2)) % len(types)).cast("int"))
+def _moved(record_id: str, pos: str, token: str) -> str:
+    """The step of a prediction: one on from the true one for every seventh combination."""
+    step = _step(record_id, pos, token)
+    moves = f"({record_id} * 3 + {pos} * 5 + length({token})) % 7 = 0"
+    return f"if({moves}, ({step} + 1) % 10, {step})"
 
 
-def _tag(step: Column, type_name: Column) -> Column:
-    return (
-        F.when(step <= 2, F.lit("O"))
-        .when(step <= 4, F.concat(F.lit("B-"), type_name))
-        .when(step <= 7, F.concat(F.lit("I-"), type_name))
-        .when(step == 8, F.lit(""))
-        .otherwise(F.lit("bad"))
-    )
+def _tag(step: str, record_id: str, pos: str, types: list[str] = ENTITY_TYPES) -> str:
+    types_sql = f"array({quoted(types)})"
+    kind = f"get({types_sql}, CAST(({record_id} + shiftright({pos}, 2)) % {len(types)} AS INT))"
+    tag = f"""CASE WHEN m <= 2 THEN 'O' WHEN m <= 4 THEN concat('B-', {kind})
+        WHEN m <= 7 THEN concat('I-', {kind}) WHEN m = 8 THEN '' ELSE 'bad' END"""
+    return let("m", step, tag)
 
 
-def true_tag(record_id: Column, pos: Column, token: Column, types=ENTITY_TYPES) -> Column:
-    return _tag(_step(record_id, pos, token), _type(record_id, pos, types))
+def true_tag(record_id: str, pos: str, token: str, types: list[str] = ENTITY_TYPES) -> str:
+    return _tag(_step(record_id, pos, token), record_id, pos, types)
 
 
-def pred_tag(record_id: Column, pos: Column, token: Column, types=ENTITY_TYPES) -> Column:
-    """The true tag moved on by one step for every seventh combination."""
-    moved = (record_id * 3 + pos * 5 + F.length(token)) % 7 == 0
-    step = _step(record_id, pos, token)
-    return _tag(F.when(moved, (step + 1) % 10).otherwise(step), _type(record_id, pos, types))
+def pred_tag(record_id: str, pos: str, token: str) -> str:
+    return _tag(_moved(record_id, pos, token), record_id, pos)
 
 
-def _tags(tokens: Column, rule, record_id: Column, **kwargs) -> Column:
-    return let(
-        record_id, lambda r: F.transform(tokens, lambda t, i: rule(r, i, t, **kwargs))
-    )
+def _true_tags(types: list[str] = ENTITY_TYPES) -> str:
+    return f"transform(tokens, (t, i) -> {true_tag('record_id', 'i', 't', types)})"
+
+
+_PRED_TAGS = f"transform(tokens, (t, i) -> {pred_tag('record_id', 'i', 't')})"
 
 
 def tagged(titles: DataFrame) -> DataFrame:
     """`(record_id, tokens, true_tags, pred_tags)`."""
-    tokens, record_id = F.col("tokens"), F.col("record_id")
-    return titles.select("record_id", tokenize(F.col("title")).alias("tokens")).select(
-        "record_id",
-        "tokens",
-        _tags(tokens, true_tag, record_id).alias("true_tags"),
-        _tags(tokens, pred_tag, record_id).alias("pred_tags"),
+    return titles.selectExpr("record_id", f"{tokenize('title')} AS tokens").selectExpr(
+        "record_id", "tokens", f"{_true_tags()} AS true_tags", f"{_PRED_TAGS} AS pred_tags"
     )
 
 
@@ -90,19 +84,17 @@ def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def faulty_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`(record_id, tokens, tags)` with an unknown type in place of the last one for every
     fifth record, and one tag short for every seventh."""
-    tokens, record_id = F.col("tokens"), F.col("record_id")
-    titles = documents(spark, sf_dir)
     with_unknown = [*ENTITY_TYPES[:-1], UNKNOWN_TYPE]
-    tokenized = titles.select("record_id", tokenize(F.col("title")).alias("tokens"))
-    full = tokenized.select(
+    full = documents(spark, sf_dir).selectExpr("record_id", f"{tokenize('title')} AS tokens")
+    return full.selectExpr(
+        "record_id",
+        "tokens",
+        f"if(record_id % 5 = 0, {_true_tags(with_unknown)}, {_true_tags()}) AS tags",
+    ).selectExpr(
         "record_id",
         "tokens",
-        F.when(record_id % 5 == 0, _tags(tokens, true_tag, record_id, types=with_unknown))
-        .otherwise(_tags(tokens, true_tag, record_id))
-        .alias("tags"),
+        "if(record_id % 7 = 0, slice(tags, 1, greatest(size(tags) - 1, 0)), tags) AS tags",
     )
-    cut = F.slice("tags", F.lit(1), F.greatest(F.size("tags") - 1, F.lit(0)))
-    return full.withColumn("tags", F.when(record_id % 7 == 0, cut).otherwise(F.col("tags")))
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,12 +120,11 @@ def term_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wide_listings(spark: SparkSession, sf_dir: str, rule=true_tag, prefix: str = "t") -> DataFrame:
     """`listings` with one tag column per position, NULL past the last token."""
-    titled = listings(spark, sf_dir).withColumn("_tokens", tokenize(F.col("title")))
-
-    def tag_at(i: int) -> Column:
-        token = F.get("_tokens", F.lit(i))
-        return F.when(token.isNotNull(), rule(F.col("record_id"), F.lit(i), token))
-
-    return titled.withColumns({f"{prefix}{i}": tag_at(i) for i in range(WIDE_COLUMNS)}).drop(
-        "_tokens"
+    tags = [
+        f"if(size(tokens) > {i}, {rule('record_id', str(i), f'get(tokens, {i})')}, NULL)"
+        for i in range(WIDE_COLUMNS)
+    ]
+    titled = listings(spark, sf_dir).selectExpr("*", f"{tokenize('title')} AS tokens")
+    return titled.selectExpr(
+        "record_id", "title", *[f"{sql} AS {prefix}{i}" for i, sql in enumerate(tags)]
     )

@@ -19,10 +19,11 @@ def train(
     seqs = true_tags(raw, tag_cols, id_col, title_col).withColumn(
         "record_id", F.col("record_id").cast("bigint")
     )
-    tags = F.col("true_tags")
     found = checks.validate_input(raw, [title_col]).unionByName(
         checks.record_violations(
-            seqs, checks.alignment_findings(F.col("tokens"), tags), checks.sequence_findings(tags)
+            seqs,
+            checks.alignment_findings("tokens", "true_tags"),
+            checks.sequence_findings("true_tags"),
         )
     )
     store.save_model(tagger.fit_sequences(seqs), model_path)

@@ -107,8 +107,8 @@ def training_rows(spark, d):
 @query
 def label_encode(spark, d):
     tagged = tokens.tagged_long(inputs.sequences(spark, d)).select("record_id", "pos", "tag")
-    coded = tagged.withColumn("label_id", encode_label(F.col("tag")))
-    return coded.withColumn("label", decode_label(F.col("label_id")))
+    coded = tagged.selectExpr("*", f"{encode_label('tag')} AS label_id")
+    return coded.selectExpr("*", f"{decode_label('label_id')} AS label")
 
 
 # --- spans -------------------------------------------------------------------------------
@@ -243,12 +243,11 @@ def data_quality_lineitem(spark, d):
 @query
 def validation_summary(spark, d):
     faulty = inputs.faulty_sequences(spark, d)
-    tags = F.col("tags")
     found = checks.record_violations(
         faulty,
-        checks.length_findings(F.col("tokens"), tags),
-        checks.alignment_findings(F.col("tokens"), tags),
-        checks.sequence_findings(tags),
+        checks.length_findings("tokens", "tags"),
+        checks.alignment_findings("tokens", "tags"),
+        checks.sequence_findings("tags"),
     )
     return checks.validation_summary(found)
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # The entity types, in output order.
 ENTITY_TYPES = [
@@ -25,7 +24,6 @@ INPUT_COLUMNS = ["title", *ENTITY_TYPES]
 SUBMISSION_COLUMNS = ["id", *ENTITY_TYPES]
 
 SPAN_SCHEMA = "array<struct<type:string,start_pos:int,end_pos:int,text:string>>"
-VIOLATION_SCHEMA = "rule string, record_id bigint, pos int, col string, detail string, n bigint"
 
 
 def labels(types: list[str] = ENTITY_TYPES) -> list[str]:
@@ -38,13 +36,16 @@ def label_vocab(spark: SparkSession, types: list[str] = ENTITY_TYPES) -> DataFra
     return spark.createDataFrame(list(enumerate(labels(types))), "label_id int, label string")
 
 
-def encode_label(tag: Column, types: list[str] = ENTITY_TYPES) -> Column:
-    """Label → id; NULL for a tag outside the vocabulary. `array_position` is 1-based."""
-    vocab = F.array(*[F.lit(x) for x in labels(types)])
-    position = F.array_position(vocab, tag)
-    return F.when(position > 0, (position - 1).cast("int"))
+def _vocabulary(types: list[str]) -> str:
+    return "array(" + ", ".join(f"'{x}'" for x in labels(types)) + ")"
 
 
-def decode_label(label_id: Column, types: list[str] = ENTITY_TYPES) -> Column:
+def encode_label(tag: str, types: list[str] = ENTITY_TYPES) -> str:
+    """Label → id; NULL for a tag outside the vocabulary."""
+    position = f"array_position({_vocabulary(types)}, {tag})"
+    return f"CAST(nullif({position}, 0) - 1 AS INT)"
+
+
+def decode_label(label_id: str, types: list[str] = ENTITY_TYPES) -> str:
     """Id → label; NULL for an id out of range."""
-    return F.get(F.array(*[F.lit(x) for x in labels(types)]), label_id)
+    return f"get({_vocabulary(types)}, {label_id})"
