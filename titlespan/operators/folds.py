@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from titlespan.functions.sql import let
 from titlespan.operators import metrics
 from titlespan.operators.tagger import MAX_BROADCAST_BYTES, fit_per_fold, predict_tokens
 from titlespan.sources.store import written
@@ -27,9 +28,9 @@ def length_edges(df: DataFrame, q: int = 5) -> DataFrame:
 
 def with_length_bins(df: DataFrame, q: int = 5) -> DataFrame:
     """K1: adds `bin`, the quantile bin of the token count; duplicate edges are dropped."""
-    edges = df.select("*", length_edges(df, q).scalar().alias("_edges"))
-    below = F.size(F.filter("_edges", lambda e: e < F.size("tokens")))
-    return edges.withColumn("bin", F.greatest(below - 1, F.lit(0))).drop("_edges")
+    with_edges = df.select("*", length_edges(df, q).scalar().alias("_edges"))
+    below = let("n", "size(tokens)", "size(filter(_edges, e -> e < n))")
+    return with_edges.withColumn("bin", F.expr(f"greatest({below} - 1, 0)")).drop("_edges")
 
 
 def _digest(id_col: str, seed: int) -> Column:
@@ -77,10 +78,11 @@ def cross_validate(
     """K3: A10 per fold, for the lexicon tagger; `(fold, metric, value)`.
 
     One count table serves all folds: a fold's training counts are the totals without its
-    own, so nothing is trained k times over the data.
+    own, so nothing is trained k times over the data. The assignment is written once, as
+    fitting and predicting both read it.
     """
     folded = stratified_folds(with_length_bins(seqs), k, seed)
-    return evaluate_folds(folded, k, max_broadcast_bytes)
+    return evaluate_folds(written(folded, "folds"), k, max_broadcast_bytes)
 
 
 def evaluate_folds(folded: DataFrame, k: int, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titlespan.functions.sql import quote, quoted
+from titlespan.functions.sql import let, quote, quoted
 from titlespan.functions.tags import (
     blank_to_empty,
     entities_of,
@@ -193,18 +193,16 @@ def mean_f1_by_type(type_metrics: DataFrame, types: list[str] = ENTITY_TYPES) ->
 
 def _exact_match(true_entities: str, pred_entities: str, types: list[str]) -> str:
     """A8 inside the row: `(type, exact, partial)` per type, sets compared."""
-    sides = (
-        f"struct(t AS type, array_distinct({true_entities}[t]) AS a, "
-        f"array_distinct({pred_entities}[t]) AS b)"
-    )
+    sides = "struct(t AS type, array_distinct(te[t]) AS a, array_distinct(pe[t]) AS b)"
     compared = (
         "struct(s.type AS type, size(array_except(s.a, s.b)) = 0 "
         "AND size(array_except(s.b, s.a)) = 0 AS exact, arrays_overlap(s.a, s.b) AS overlap)"
     )
-    return (
+    by_type = (
         f"transform(transform(transform(array({quoted(types)}), t -> {sides}), s -> {compared}), "
         "c -> struct(c.type AS type, c.exact AS exact, c.overlap AND NOT c.exact AS partial))"
     )
+    return let("te", true_entities, let("pe", pred_entities, by_type))
 
 
 def with_exact_match(

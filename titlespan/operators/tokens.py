@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from titlespan.functions.sql import name
+from titlespan.functions.sql import let, name
 from titlespan.functions.tokens import features, neighbours, tokenize
 from titlespan.types import OUTSIDE
 
@@ -47,8 +47,8 @@ def _with_features(placed: DataFrame) -> DataFrame:
 
 def positional_tags(tokens: str, tag_cols: list[str]) -> str:
     """Token i takes the value of the i-th tag column, `O` past the end or on NULL."""
-    values = ", ".join(name(c) for c in tag_cols)
-    return f"transform({tokens}, (t, i) -> coalesce(get(array({values}), i), '{OUTSIDE}'))"
+    values = f"array({', '.join(name(c) for c in tag_cols)})"
+    return let("tags", values, f"transform({tokens}, (t, i) -> coalesce(get(tags, i), '{OUTSIDE}'))")
 
 
 def default_tag_columns(df: DataFrame, id_col: str, title_col: str) -> list[str]:

@@ -623,6 +623,8 @@ def stream_submission(spark, d):
     """The flagship on a stream: same expressions, same rows."""
     schema = spark.read.parquet(f"{d}/documents.parquet").schema
     stream = spark.readStream.schema(schema).parquet(f"{d}/documents.parque[t]")
+    # The table is one file, hence one task; a folder of many files needs no shuffle here.
+    stream = stream.repartition(spark.sparkContext.defaultParallelism)
     titles = stream.select(F.col("doc_id").alias("record_id"), F.col("text").alias("title"))
     seqs = inputs.tagged(titles).withColumnRenamed("true_tags", "tags")
     out = new_path(spark, "stream-out")
