@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.model import spans as expected_spans
@@ -103,9 +102,9 @@ def test_tag_spans_equal_spans_without_text(spark):
 def test_errors(spark):
     short = spark.createDataFrame([(1, list("abcd"), parse("O O O"))], SEQ)
     unknown = spark.createDataFrame([(2, list("abcd"), parse("B-Foo O B-P O"))], SEQ)
-    with pytest.raises(PySparkException, match="4 tokens but 3 tags"):
+    with pytest.raises(Exception, match="4 tokens but 3 tags"):
         ops.spans(short).collect()
-    with pytest.raises(PySparkException, match="unknown type"):
+    with pytest.raises(Exception, match="unknown type"):
         ops.spans(unknown, on_error="raise").collect()
     assert [r.text for r in ops.spans(unknown, "lenient").collect()] == ["c"]
     rows = ops.batch_reconstruct(short.union(unknown)).collect()

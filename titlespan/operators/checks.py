@@ -258,9 +258,8 @@ def data_quality(df: DataFrame, max_length: int = 1000) -> DataFrame:
 
 def validation_summary(violations: DataFrame) -> DataFrame:
     """V9: `(rule, violations, is_valid)` per rule, and in total under the rule `all`."""
-    per_rule = violations.rollup("rule").agg(F.count(F.lit(1)).alias("violations"))
-    return per_rule.select(
-        F.coalesce("rule", F.lit("all")).alias("rule"),
-        "violations",
-        (F.col("violations") == 0).alias("is_valid"),
-    )
+    per_rule = violations.groupBy("rule").agg(F.expr("count(*) AS violations"))
+    # A rollup of no rows has no total; this has.
+    total = per_rule.agg(F.expr("coalesce(sum(violations), 0L) AS violations"))
+    rows = per_rule.unionByName(total.selectExpr("'all' AS rule", "violations"))
+    return rows.selectExpr("*", "violations = 0 AS is_valid")

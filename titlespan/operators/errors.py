@@ -25,9 +25,12 @@ def _mismatches(pairs: DataFrame) -> DataFrame:
 
 def error_counts(pairs: DataFrame) -> DataFrame:
     """Errors per type, and in total under the type `all`."""
-    typed = _mismatches(pairs).selectExpr("*", ERROR_TYPE)
-    totals = typed.rollup("error_type").agg(F.expr("coalesce(sum(n), 0L) AS n"))
-    return totals.selectExpr("coalesce(error_type, 'all') AS error_type", "n")
+    per_type = (
+        _mismatches(pairs).selectExpr("*", ERROR_TYPE).groupBy("error_type").agg(F.sum("n").alias("n"))
+    )
+    # A rollup of no rows has no total; this has.
+    total = per_type.agg(F.expr("coalesce(sum(n), 0L) AS n"))
+    return per_type.unionByName(total.selectExpr("'all' AS error_type", "n"))
 
 
 def confusion_pairs(pairs: DataFrame) -> DataFrame:

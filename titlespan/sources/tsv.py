@@ -112,7 +112,8 @@ def corrupt_rows(df: DataFrame, delimiter: str = "\t") -> DataFrame:
 def file_info(spark: SparkSession, path: str) -> DataFrame:
     """Per file its path, bytes, MB, gzip flag, and lines if it is not compressed.
 
-    Sizes come from the file listing; only uncompressed files are read.
+    Sizes come from the file listing; only uncompressed files are read. Spark's scans leave
+    out files of zero bytes, and so does this.
     """
     listed = spark.read.format("binaryFile").load(path).select(
         F.col("_metadata.file_path").alias("file_path"),
@@ -131,7 +132,7 @@ def file_info(spark: SparkSession, path: str) -> DataFrame:
         "file_size_bytes",
         F.round(F.col("file_size_bytes") / (1024 * 1024), 2).alias("file_size_mb"),
         compressed.alias("is_compressed"),
-        F.when(~compressed, F.coalesce("lines", F.lit(0))).alias("total_lines"),
+        F.col("lines").alias("total_lines"),
     )
 
 
