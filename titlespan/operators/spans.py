@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titlespan.functions.sql import name
+from titlespan.functions.sql import let, name
 from titlespan.functions.tags import (
     check_mode,
     checked_spans,
@@ -86,35 +85,50 @@ def entities_wide(entities_df: DataFrame, types: list[str] = ENTITY_TYPES) -> Da
 
 # --- long tables -------------------------------------------------------------------------
 #
-# A long table holds one token per row, so a record may be far too big for one task. The
-# scan below therefore runs in two levels: windows over blocks of `block` positions, then
-# one window per record over the block summaries, which are `block` times fewer.
-
-
-def _carry_last(df: DataFrame, value: Column, name: str, inclusive: bool) -> DataFrame:
-    """Adds the last non-NULL `value` of the record up to this row, or before it."""
-    last_row = 0 if inclusive else -1
-    in_block = W.partitionBy("record_id", "block").orderBy("pos")
-    scanned = df.withColumn("_value", value)
-    summary = scanned.groupBy("record_id", "block").agg(
-        F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col("pos"))).alias("_last")
-    )
-    over_blocks = W.partitionBy("record_id").orderBy("block")
-    carried = summary.select(
+# A long table holds one token per row, so a record may be far too big for one task. It is
+# cut into blocks of positions, which are handled inside the row like whole sequences. What
+# a block needs to know of the ones before it is one tag and the span left open, and these
+# come from a window over block summaries, `block` times fewer rows than tokens.
+
+
+def _events(mode: str) -> str:
+    """The tags of a block that may start or end a span, with their place in the block."""
+    placed = "transform(items, (x, i) -> struct(i AS at, x.pos AS pos, x.tag AS tag))"
+    return f"filter({placed}, e -> {is_event('e.tag', mode)})"
+
+
+def _breaks(before_first: str) -> str:
+    """The events that do not continue the one before; `before_first` precedes the block."""
+    continues = tag_continues("e.tag", f"coalesce(get(events, j - 1).tag, {before_first})")
+    return f"filter(events, (e, j) -> NOT coalesce({continues}, false))"
+
+
+def _start(event: str) -> str:
+    return f"struct({event}.pos AS start_pos, {tag_type(f'{event}.tag')} AS type)"
+
+
+def _block_states(blocks: DataFrame) -> DataFrame:
+    """Per block the last event before it and the span open at its beginning.
+
+    Only a block's first event depends on the tag carried into it; the last break after
+    that event is known from the block alone.
+    """
+    later = "filter(breaks, b -> b.at > events[0].at)"
+    last_later = let("later", later, f"if(size(later) > 0, {_start('element_at(later, -1)')}, NULL)")
+    summary = blocks.selectExpr(
         "record_id",
         "block",
-        F.last("_last", ignorenulls=True)
-        .over(over_blocks.rowsBetween(W.unboundedPreceding, -1))
-        .alias("_carried"),
+        "get(events, 0) AS first",
+        "get(events, size(events) - 1).tag AS last_tag",
+        f"if(size(events) = 0, NULL, {let('breaks', _breaks('NULL'), last_later)}) AS later",
     )
-    local = F.last("_value", ignorenulls=True).over(
-        in_block.rowsBetween(W.unboundedPreceding, last_row)
-    )
-    return (
-        scanned.withColumn("_local", local)
-        .join(carried, ["record_id", "block"], "left")
-        .withColumn(name, F.coalesce("_local", "_carried"))
-        .drop("_value", "_local", "_carried")
+    before = "PARTITION BY record_id ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    carried = summary.selectExpr("*", f"last(last_tag, true) OVER ({before}) AS carried")
+    first_breaks = f"first IS NOT NULL AND NOT coalesce({tag_continues('first.tag', 'carried')}, false)"
+    return carried.selectExpr(
+        "*", f"coalesce(later, if({first_breaks}, {_start('first')}, NULL)) AS last_break"
+    ).selectExpr(
+        "record_id", "block", "carried", f"last(last_break, true) OVER ({before}) AS open_span"
     )
 
 
@@ -131,41 +145,56 @@ def spans_from_long(
     """
     check_mode(mode, reference_col is not None)
     reference = name(reference_col) if reference_col else None
-    rows = tagged.select(
+    rows = tagged.selectExpr(
         "record_id",
-        "pos",
-        "token",
-        F.floor(F.col("pos") / block).alias("block"),
-        F.expr(effective_tag("tag", mode, reference)).alias("effective"),
-    )
-    event, opens = is_event("effective", mode), opens_span("effective")
-    seen = _carry_last(rows, F.expr(f"if({event}, effective, NULL)"), "previous", inclusive=False)
-    continues = f"coalesce({tag_continues('effective', 'previous')}, false)"
-    boundary = f"""if({event} AND NOT {continues},
-        struct(pos AS start_pos, {tag_type('effective')} AS type), NULL)"""
-    owned = _carry_last(seen, F.expr(boundary), "owner", inclusive=True).filter(
-        f"owner.type IS NOT NULL AND (effective = '' OR {opens})"
+        # Never NULL, which spares the two sides of the join below a filter that differs.
+        f"coalesce(floor(pos / {block}), 0L) AS block",
+        f"struct(pos, {effective_tag('tag', mode, reference)} AS tag, token) AS item",
     )
-    pieces = owned.groupBy("record_id", "owner", "block").agg(
-        F.max("pos").alias("end_pos"),
-        F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("members"),
+    blocks = (
+        rows.groupBy("record_id", "block")
+        .agg(F.array_sort(F.collect_list("item")).alias("items"))
+        .selectExpr("*", f"{_events(mode)} AS events")
     )
-    texts = pieces.select(
-        "record_id",
-        "owner",
-        "block",
-        "end_pos",
-        F.array_join(F.transform("members", lambda m: m["token"]), " ").alias("text"),
+    # An inner join asks the same of both sides, so their common shuffle runs once.
+    joined = blocks.join(_block_states(blocks), ["record_id", "block"], "inner")
+
+    # The span open at the beginning, then those that start here, as ranges of places.
+    bounds = f"""concat(
+        array(struct(0 AS at, open_span AS span)),
+        transform({_breaks('carried')}, b -> struct(b.at AS at, {_start('b')} AS span)))"""
+    stop = "coalesce(get(bounds, k + 1).at, size(items))"
+    members = f"""filter(slice(items, b.at + 1, {stop} - b.at),
+        m -> m.tag = '' OR {opens_span('m.tag')})"""
+    pieces = let(
+        "bounds",
+        bounds,
+        f"""filter(
+            transform(bounds, (b, k) -> struct(
+                b.span AS span, if(b.span.type IS NULL, array(), {members}) AS members)),
+            p -> size(p.members) > 0)""",
     )
-    whole = texts.groupBy("record_id", "owner").agg(
-        F.max("end_pos").alias("end_pos"),
-        F.array_sort(F.collect_list(F.struct("block", "text"))).alias("parts"),
-    )
-    found = whole.select(
-        "record_id",
-        "owner.type",
-        "owner.start_pos",
-        "end_pos",
-        F.array_join(F.transform("parts", lambda p: p["text"]), " ").alias("text"),
+    # The pieces of a span meet under its start; most spans are a single piece.
+    found = (
+        joined.select("record_id", "block", F.explode(F.expr(pieces)).alias("p"))
+        .selectExpr(
+            "record_id",
+            "p.span.type",
+            "p.span.start_pos",
+            "element_at(p.members, -1).pos AS last_pos",
+            "struct(block, array_join(transform(p.members, m -> m.token), ' ') AS text) AS part",
+        )
+        .groupBy("record_id", "type", "start_pos")
+        .agg(
+            F.max("last_pos").alias("end_pos"),
+            F.array_sort(F.collect_list("part")).alias("parts"),
+        )
+        .selectExpr(
+            "record_id",
+            "type",
+            "start_pos",
+            "end_pos",
+            "array_join(transform(parts, p -> p.text), ' ') AS text",
+        )
     )
     return found.filter(F.col("type").isin(ENTITY_TYPES)) if mode == "lenient" else found
