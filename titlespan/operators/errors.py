@@ -60,15 +60,14 @@ def top_confusion_pairs(pairs: DataFrame, k: int = 10) -> DataFrame:
 def error_examples(seqs: DataFrame, limit: int | None = 100) -> DataFrame:
     """All errors of the first `limit` records that have any; `None` takes every record.
 
-    The ids are picked first, so that only 8 bytes per record enter the top-k; the broadcast
-    side has at most `limit` rows.
+    The ids are picked first, so that only 8 bytes per record enter the top-k.
     """
     pairs = zipped_pairs()
     if limit is not None:
         differs = F.exists(pairs, lambda p: p["true_tag"] != p["pred_tag"])
         ids = F.when(differs, F.array("record_id")).otherwise(F.array().cast("array<bigint>"))
         first = seqs.select(F.explode(ids).alias("record_id")).orderBy("record_id").limit(limit)
-        seqs = seqs.join(F.broadcast(first), "record_id", "left_semi")
+        seqs = seqs.join(first, "record_id", "left_semi")
     rows = seqs.select("record_id", F.posexplode(pairs).alias("pos", "p"))
     return errors(rows.select("record_id", "pos", "p.*"))
 

@@ -22,7 +22,7 @@ from titlespan.functions.tags import (
     tag_spans_of,
 )
 from titlespan.operators.checks import length_findings, record_violations
-from titlespan.types import ENTITY_TYPES
+from titlespan.types import ENTITY_TYPES, type_table
 
 # --- pairs and confusion -----------------------------------------------------------------
 
@@ -173,16 +173,11 @@ def type_token_metrics(rates_df: DataFrame, types: list[str] = ENTITY_TYPES) ->
     ).selectExpr("substr(key, 3) AS type", "key AS tag", "precision", "recall", "f1", "support")
 
 
-def _listed(df: DataFrame, types: list[str]) -> DataFrame:
-    """The types in order, as a table of a few rows."""
-    return df.sparkSession.createDataFrame(list(enumerate(types)), "type_no int, type string")
-
-
 def mean_f1_by_type(type_metrics: DataFrame, types: list[str] = ENTITY_TYPES) -> DataFrame:
     """Mean of the B- and I- f1 per type, 0.0 for a type that does not occur."""
     means = type_metrics.groupBy("type").agg(F.avg("f1").alias("mean_f1"))
     return (
-        _listed(type_metrics, types)
+        type_table(type_metrics.sparkSession, types)
         .join(means, "type", "left")
         .selectExpr("type_no", "type", "coalesce(mean_f1, 0.0D) AS mean_f1")
     )
@@ -506,4 +501,5 @@ def per_type_report(metrics: DataFrame, types: list[str] = ENTITY_TYPES) -> Data
     names = [f"{p}_{m}" for p in ("b", "i", "entity") for m in scores]
     names += ["exact_match_rate", "partial_match_rate", "total_examples"]
     wide = keyed.groupBy("type").pivot("name", names).agg(F.first("value"))
-    return _listed(metrics, types).join(wide, "type", "left").select("type_no", "type", *names)
+    listed = type_table(metrics.sparkSession, types)
+    return listed.join(wide, "type", "left").select("type_no", "type", *names)

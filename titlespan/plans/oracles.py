@@ -704,8 +704,8 @@ SELECT token, tag, n, total, round(n / total, 6) AS confidence FROM lex""",
         "lexicon_confidence": f"""WITH {_PREDICT}
 SELECT record_id, pos, token, round(c, 6) AS confidence FROM predicted""",
         "align_predictions": f"""WITH {_tagged()}
-SELECT record_id, pos, token, CASE WHEN record_id % 2 = 0 OR pos < ceil(len(toks) / 2) THEN pred_tag
-  ELSE 'O' END AS tag FROM ev JOIN recs USING (record_id)""",
+SELECT record_id, pos, token, CASE WHEN record_id % 2 = 0 OR pos < ceil(n / 2) THEN pred_tag
+  ELSE 'O' END AS tag FROM ev JOIN (SELECT record_id, len(toks) AS n FROM recs) USING (record_id)""",
         "prediction_stats": f"""WITH {_tagged()}, s AS ({' UNION ALL '.join(stat_rows)})
 SELECT metric, round(value, 6) AS value FROM s""",
         "evaluate_model": f"""WITH {_tokens(LISTINGS)}, given AS (

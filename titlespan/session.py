@@ -39,7 +39,10 @@ def spread(df: DataFrame) -> DataFrame:
     """Use every core when the input has fewer files than there are cores.
 
     Non-splittable files (gzip, one row group) would otherwise leave one task per file.
-    Inputs with enough files pass through without a shuffle.
+    Inputs with enough files pass through without a shuffle. A scan of many partitions is
+    told by their number, so that the file names of a large table are never listed here.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    if df.rdd.getNumPartitions() >= 4 * cores or len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores)

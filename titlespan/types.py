@@ -33,7 +33,13 @@ def labels(types: list[str] = ENTITY_TYPES) -> list[str]:
 
 def label_vocab(spark: SparkSession, types: list[str] = ENTITY_TYPES) -> DataFrame:
     """The vocabulary as a table `(label_id, label)` of 2·types+1 rows."""
-    return spark.createDataFrame(list(enumerate(labels(types))), "label_id int, label string")
+    return spark.range(1).selectExpr(f"posexplode({_vocabulary(types)}) AS (label_id, label)")
+
+
+def type_table(spark: SparkSession, types: list[str] = ENTITY_TYPES) -> DataFrame:
+    """The types in order as a table `(type_no, type)`."""
+    names = ", ".join(f"'{t}'" for t in types)
+    return spark.range(1).selectExpr(f"posexplode(array({names})) AS (type_no, type)")
 
 
 def _vocabulary(types: list[str]) -> str:
