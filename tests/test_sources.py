@@ -6,7 +6,7 @@ from titlespan import session
 from titlespan.operators import tagger
 from titlespan.plans import jobs
 from titlespan.sources import samples, store, tsv
-from titlespan.streaming import pipeline
+from titlespan.streaming import incremental
 
 
 def write_gz(path, text):
@@ -118,17 +118,17 @@ def test_stream_equals_batch(spark, raw, tmp_path):
         "lexicon",
     )
     raw.select("id", "title").repartition(3, "id").write.option("sep", "\t").option("header", True).csv(source)
-    stream = pipeline.tsv_stream(spark, source, ["id", "title"], files_per_trigger=1)
+    stream = incremental.tsv_stream(spark, source, ["id", "title"], files_per_trigger=1)
     checkpoint = str(tmp_path / "state")
-    pipeline.tagged_submission_stream(stream, lexicon, out, checkpoint).awaitTermination()
+    incremental.tagged_submission_stream(stream, lexicon, out, checkpoint).awaitTermination()
     batch_out = str(tmp_path / "batch")
     store.save_model(lexicon, str(tmp_path / "model"))
     jobs.predict(spark, str(tmp_path / "model"), raw, batch_out)
     want = sorted(tsv.read_submission(spark, batch_out).collect())
-    assert sorted(pipeline.read_batches(spark, out).collect()) == want
+    assert sorted(incremental.read_batches(spark, out).collect()) == want
     # A second start finds nothing new and adds nothing.
-    pipeline.tagged_submission_stream(stream, lexicon, out, checkpoint).awaitTermination()
-    assert sorted(pipeline.read_batches(spark, out).collect()) == want
+    incremental.tagged_submission_stream(stream, lexicon, out, checkpoint).awaitTermination()
+    assert sorted(incremental.read_batches(spark, out).collect()) == want
 
 
 def test_running_counts_and_quality(spark, tmp_path):
@@ -136,7 +136,7 @@ def test_running_counts_and_quality(spark, tmp_path):
     spark.createDataFrame([(["O", "B-OEM", None],), (["O"],), ([],)], "tags array<string>").write.parquet(source)
     stream = spark.readStream.schema("tags array<string>").parquet(source)
     query = (
-        pipeline.running_tag_counts(stream)
+        incremental.running_tag_counts(stream)
         .writeStream.outputMode("complete")
         .format("memory")
         .queryName("tag_counts")
@@ -147,7 +147,7 @@ def test_running_counts_and_quality(spark, tmp_path):
     query.awaitTermination()
     assert {r.tag: r.n for r in spark.table("tag_counts").collect()} == {"O": 2, "B-OEM": 1, "": 1}
     out = str(tmp_path / "quality")
-    pipeline.quality_stream(stream, out, str(tmp_path / "state2")).awaitTermination()
+    incremental.quality_stream(stream, out, str(tmp_path / "state2")).awaitTermination()
     assert spark.read.json(out).first().total_records == 3
 
 

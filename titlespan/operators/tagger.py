@@ -81,12 +81,12 @@ def fit_per_fold(folded: DataFrame, k: int, tag_col: str = "true_tags") -> DataF
 
 
 def lexicon_bytes(lexicon: DataFrame) -> int:
-    """Size of the lexicon's strings and a flat allowance per row; one aggregate."""
-    tag = F.col("tag")
+    """Size of the lexicon as joined rows: its strings and an allowance per row and fold."""
     if lexicon.schema["tag"].dataType.typeName() == "array":
-        tag = F.array_join(tag, ",", "")
-    row = F.octet_length("token") + F.octet_length(tag) + 64
-    return lexicon.agg(F.coalesce(F.sum(row), F.lit(0)).alias("b")).first()["b"]
+        row = "octet_length(token) + octet_length(array_join(tag, '')) + 64 + 48 * size(tag)"
+    else:
+        row = "octet_length(token) + octet_length(tag) + 64"
+    return lexicon.agg(F.expr(f"coalesce(sum({row}), 0L) AS b")).first()["b"]
 
 
 def lookup(

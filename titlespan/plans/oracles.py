@@ -548,6 +548,13 @@ UNION ALL SELECT 'weighted avg', sum(p * support) / sum(support), sum(r * suppor
   WHEN 1 THEN 'Sample{t}_' || o_orderkey || '|Sample{t}_' || (o_orderkey + 1) ELSE '' END AS "{t}\""""
         for t in ENTITY_TYPES
     )
+    listing_model = f"""{_tokens(LISTINGS)}, given AS (
+  SELECT record_id, pos, token, {_tag('m', 'ty')} AS true_tag
+  FROM (SELECT *, {_type()} AS ty,
+      (record_id * 7 + pos * 13 + length(token) * 5) % 10 AS m FROM tok)
+), {_lexicon('SELECT token, true_tag AS tag FROM given')}, ev AS (
+  SELECT g.*, coalesce(l.tag, 'O') AS pred_tag FROM given g LEFT JOIN lex l ON l.token = g.token
+)"""
     train_tag = "CASE WHEN true_tag = 'bad' THEN 'O' ELSE true_tag END"
 
     return {
@@ -708,13 +715,9 @@ SELECT record_id, pos, token, CASE WHEN record_id % 2 = 0 OR pos < ceil(n / 2) T
   ELSE 'O' END AS tag FROM ev JOIN (SELECT record_id, len(toks) AS n FROM recs) USING (record_id)""",
         "prediction_stats": f"""WITH {_tagged()}, s AS ({' UNION ALL '.join(stat_rows)})
 SELECT metric, round(value, 6) AS value FROM s""",
-        "evaluate_model": f"""WITH {_tokens(LISTINGS)}, given AS (
-  SELECT record_id, pos, token, {_tag('m', 'ty')} AS true_tag
-  FROM (SELECT *, {_type()} AS ty,
-      (record_id * 7 + pos * 13 + length(token) * 5) % 10 AS m FROM tok)
-), {_lexicon('SELECT token, true_tag AS tag FROM given')}, ev AS (
-  SELECT g.*, coalesce(l.tag, 'O') AS pred_tag FROM given g LEFT JOIN lex l ON l.token = g.token
-), {_metric_ctes()} {_metrics_long()}""",
+        "evaluate_model": f"WITH {listing_model}, {_metric_ctes()} {_metrics_long()}",
+        "predict_listings": f"""WITH {listing_model}, {_spans('s', 'ev', 'pred_tag', 'strict')}
+{_submission('recs', 's')}""",
         "user_model_predict": f"""WITH {_tokens(CONVERSATIONS)}
 SELECT record_id, pos, token,
   CASE WHEN regexp_matches(token, '^[0-9]+$') THEN 'B-Anzahl' ELSE 'O' END AS tag FROM tok""",

@@ -20,7 +20,7 @@ from titlespan.operators import (
 from titlespan.plans import inputs, jobs
 from titlespan.session import new_path
 from titlespan.sources import samples, store, tsv
-from titlespan.streaming import pipeline
+from titlespan.streaming import incremental
 from titlespan.types import decode_label, encode_label, labels
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -618,6 +618,16 @@ def predict_submission(spark, d):
     return tsv.read_submission(spark, out)
 
 
+@query
+def predict_listings(spark, d):
+    """Short product titles end to end: train, save, load, predict, format."""
+    wide = inputs.wide_listings(spark, d)
+    names = [f"t{i}" for i in range(inputs.WIDE_COLUMNS)]
+    lexicon = _model(spark, tokens.true_tags(wide, names))
+    predicted = tagger.predict(inputs.listings(spark, d), lexicon)
+    return submission.submission(predicted, tag_col="pred_tags")
+
+
 @query
 def stream_submission(spark, d):
     """The flagship on a stream: same expressions, same rows."""
@@ -628,6 +638,6 @@ def stream_submission(spark, d):
     titles = stream.select(F.col("doc_id").alias("record_id"), F.col("text").alias("title"))
     seqs = inputs.tagged(titles).withColumnRenamed("true_tags", "tags")
     out = new_path(spark, "stream-out")
-    started = pipeline.submission_stream(seqs, out, new_path(spark, "stream-state"))
+    started = incremental.submission_stream(seqs, out, new_path(spark, "stream-state"))
     started.awaitTermination()
     return tsv.read_submission(spark, out)

@@ -1 +1 @@
-"""Structured Streaming pipelines."""
+"""Structured Streaming."""
