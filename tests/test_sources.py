@@ -91,7 +91,7 @@ def raw(spark):
         [
             ("1", "Bosch Öl", "B-Hersteller", "B-Produktart"),
             ("2", "ATE Öl x", "B-Hersteller", "B-Produktart"),
-            ("3", "Bosch x", "B-Hersteller", "O"),
+            ("x3", "Bosch x", "B-Hersteller", "O"),
         ],
         "id string, title string, t0 string, t1 string",
     )
@@ -106,7 +106,7 @@ def test_jobs(spark, raw, tmp_path):
     assert spark.read.json(f"{report}/metrics").filter("metric = 'token_accuracy'").first().value == 1.0
     assert jobs.predict(spark, model, raw, out) == 3
     rows = {r.id: (r.Hersteller, r.Produktart) for r in tsv.read_submission(spark, out).collect()}
-    assert rows == {"1": ("Bosch", "Öl"), "2": ("ATE", "Öl"), "3": ("Bosch", "")}
+    assert rows == {"1": ("Bosch", "Öl"), "2": ("ATE", "Öl"), "x3": ("Bosch", "")}
 
 
 def test_stream_equals_batch(spark, raw, tmp_path):

@@ -131,3 +131,20 @@ def test_no_shuffle_and_no_second_evaluation(spark):
     plan = ops.spans(seqs)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert plan.count("split(") == 1
+
+
+def test_one_record_with_most_of_a_long_table(spark):
+    """Its blocks are spread over tasks, and spans cross their borders."""
+    seqs = spark.range(50).selectExpr(
+        "id AS record_id",
+        "transform(sequence(1, if(id = 0, 60000, 20)), i -> concat('w', i)) AS tokens",
+        "transform(sequence(1, if(id = 0, 60000, 20)), i -> "
+        "CASE WHEN i % 997 = 0 THEN 'B-OEM' WHEN i % 1501 = 0 THEN 'O' ELSE '' END) AS tags",
+    )
+    tagged = seqs.select(
+        "record_id", F.posexplode(F.arrays_zip("tokens", "tags")).alias("pos", "z")
+    ).selectExpr("record_id", "pos", "z.tokens AS token", "z.tags AS tag")
+    want = ops.spans(seqs).drop("span_no").collect()
+    got = ops.spans_from_long(tagged, block=500).select("record_id", "type", "start_pos", "end_pos", "text")
+    assert len(want) > 50
+    assert sorted(got.collect()) == sorted(want)

@@ -78,7 +78,8 @@ def test_unknown_tokens_are_outside(spark, seqs):
 
 
 def test_user_model_with_failures(spark):
-    titles = spark.createDataFrame([(1, "a 5"), (2, "boom"), (3, ""), (4, "long one")], "record_id bigint, title string")
+    data = [("1", "a 5"), ("2", "boom"), ("3", ""), ("4", "long one")]
+    titles = spark.createDataFrame(data, "record_id string, title string")
 
     def model(batch):
         if any("boom" in tokens for tokens in batch):
@@ -87,7 +88,7 @@ def test_user_model_with_failures(spark):
 
     predicted = tagger.predict_with(with_tokens(titles), model)
     rows = {r.record_id: r.pred_tags for r in predicted.collect()}
-    assert rows == {1: ["B-OEM", "O"], 2: ["O"], 3: [], 4: ["B-OEM", "O"]}
+    assert rows == {"1": ["B-OEM", "O"], "2": ["O"], "3": [], "4": ["B-OEM", "O"]}
 
 
 def test_align(spark):

@@ -65,7 +65,7 @@ def error_examples(seqs: DataFrame, limit: int | None = 100) -> DataFrame:
     pairs = zipped_pairs()
     if limit is not None:
         differs = F.exists(pairs, lambda p: p["true_tag"] != p["pred_tag"])
-        ids = F.when(differs, F.array("record_id")).otherwise(F.array().cast("array<bigint>"))
+        ids = F.filter(F.array("record_id"), lambda _: differs)
         first = seqs.select(F.explode(ids).alias("record_id")).orderBy("record_id").limit(limit)
         seqs = seqs.join(first, "record_id", "left_semi")
     rows = seqs.select("record_id", F.posexplode(pairs).alias("pos", "p"))

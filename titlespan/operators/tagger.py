@@ -208,8 +208,9 @@ def predict_with(
                 tags = [one(t) for t in token_lists]
             yield batch.assign(pred_tags=tags)
 
+    id_type = seqs.schema["record_id"].dataType.simpleString()
     tagged = seqs.select("record_id", "tokens").mapInPandas(
-        run, "record_id bigint, tokens array<string>, pred_tags array<string>"
+        run, f"record_id {id_type}, tokens array<string>, pred_tags array<string>"
     )
     return align(tagged)
 

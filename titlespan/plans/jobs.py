@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from titlespan.operators import checks, metrics, tagger
 from titlespan.operators.submission import submission
@@ -16,15 +15,15 @@ def train(
     raw: DataFrame, tag_cols: list[str], model_path: str, id_col: str = "id", title_col: str = "title"
 ) -> DataFrame:
     """R1 → V1, V3 → M1 → S10. Returns the summary of the input's violations."""
-    seqs = true_tags(raw, tag_cols, id_col, title_col).withColumn(
-        "record_id", F.col("record_id").cast("bigint")
+    seqs = true_tags(raw, tag_cols, id_col, title_col)
+    in_records = checks.record_violations(
+        seqs,
+        checks.alignment_findings("tokens", "true_tags"),
+        checks.sequence_findings("true_tags"),
     )
-    found = checks.validate_input(raw, [title_col]).unionByName(
-        checks.record_violations(
-            seqs,
-            checks.alignment_findings("tokens", "true_tags"),
-            checks.sequence_findings("true_tags"),
-        )
+    # Ids may be of any type, and the summary needs none.
+    found = checks.validate_input(raw, [title_col]).select("rule").unionByName(
+        in_records.select("rule")
     )
     store.save_model(tagger.fit_sequences(seqs), model_path)
     return checks.validation_summary(found)

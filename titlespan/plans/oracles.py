@@ -9,7 +9,7 @@ from __future__ import annotations
 from titlespan.functions.tags import UPPER_PATTERN, type_pattern
 from titlespan.functions.tokens import ABBREVIATIONS, AUTOMOTIVE_TERMS
 from titlespan.operators.metrics import SUMMARY_METRICS
-from titlespan.plans.inputs import UNKNOWN_TYPE, WIDE_COLUMNS
+from titlespan.plans.inputs import UNKNOWN_TYPE
 from titlespan.types import ENTITY_TYPES, SUBMISSION_COLUMNS, labels
 
 # RE2's \s covers ASCII only.
