@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from titlespan.llm import bpe, exact_dedup, packing, quality
+from titlespan.llm import (
+    bpe,
+    embedding_dedup,
+    exact_dedup,
+    near_dedup,
+    packing,
+    quality,
+    token_counts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,9 +22,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 def registry() -> dict[str, Query]:
     found = [
         packing.op1_pack,
+        near_dedup.op5_near_dedup,
         bpe.op6_bpe,
         exact_dedup.op7_exact_dedup,
         quality.op8_quality,
+        token_counts.op9_token_counts,
+        embedding_dedup.op10_embedding_dedup,
     ]
     return {f.__name__: f for f in found}
 
