@@ -13,6 +13,7 @@ from titlespan.llm import (
     near_dedup,
     packing,
     quality,
+    repeats,
     token_counts,
 )
 
@@ -22,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def registry() -> dict[str, Query]:
     found = [
         packing.op1_pack,
+        repeats.op4_repeats,
         near_dedup.op5_near_dedup,
         bpe.op6_bpe,
         exact_dedup.op7_exact_dedup,
