@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from titlespan.llm import exact_dedup, packing, quality
+from titlespan.llm import exact_dedup, near_dedup, packing, pii, quality
 from titlespan.llm.common import documents, written
 
 STAGES = [
     ("quality", quality.stage),
     ("exact_dedup", exact_dedup.stage),
+    ("near_dedup", near_dedup.stage),
+    ("pii", pii.stage),
     ("packing", packing.stage),
 ]
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlespan.llm.common import ascii_lower, documents, join_groups, two_columns, written
+from titlespan.llm.common import ascii_lower, documents, join_groups, quoted_name, two_columns, written
 
 LOADS = 2
 #: Digests of a bucket on average; fixes the number of buckets, and so a filter's memory.
@@ -330,7 +330,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keepers = groups.select("keep_id", F.col("digest").alias("keep_digest"))
     digest = F.unhex(F.sha2(ascii_lower(F.coalesce(F.col("text"), F.lit(""))).cast("binary"), 256))
     keyed = docs.select(
-        F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("key"), digest.alias("digest")
+        F.struct(*map(quoted_name, docs.columns)).alias("row"), F.col("doc_id").alias("key"), digest.alias("digest")
     )
     stays = keyed.join(
         keepers,

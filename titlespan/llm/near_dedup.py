@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlespan.llm.common import documents, join_groups, two_columns, written
+from titlespan.llm.common import documents, join_groups, quoted_name, two_columns, written
 from titlespan.llm.links import components
 
 WORDS = 5
@@ -417,7 +417,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _, found = linked(docs, WORDS, PERCENT)
     keepers = found.select("component_id", "keep_hash").distinct()
     keyed = docs.select(
-        F.struct(*docs.columns).alias("row"),
+        F.struct(*map(quoted_name, docs.columns)).alias("row"),
         F.col("doc_id").alias("key"),
         _text_hash(F.col("text")).alias("key_hash"),
         (~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")).alias("wordless"),

@@ -12,6 +12,7 @@ from titlespan.llm import (
     exact_dedup,
     near_dedup,
     packing,
+    pii,
     quality,
     repeats,
     token_counts,
@@ -23,6 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def registry() -> dict[str, Query]:
     found = [
         packing.op1_pack,
+        pii.op3_pii,
         repeats.op4_repeats,
         near_dedup.op5_near_dedup,
         bpe.op6_bpe,
