@@ -33,7 +33,7 @@ PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
     "phone": r"(?<![0-9A-Za-z+])\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
     r"|(?<![0-9A-Za-z+])\+[2-9][0-9]{0,2}(?:[ -]?\(?[0-9]{2,4}\)?){2,4}(?![0-9]|\.[0-9])"
-    r"|(?<![0-9A-Za-z(])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])"
+    r"|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])"
     r"|(?<![0-9A-Za-z.-])[0-9]{3}([.-])[0-9]{3}\1[0-9]{4}(?![0-9]|[.-][0-9])",
     "address": rf"(?<![0-9A-Za-z]|[0-9]\.)(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9A-Za-z]|\.[0-9])",
     "date": r"(?<![0-9A-Za-z]|[0-9][./-])(?:(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])"
