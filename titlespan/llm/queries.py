@@ -16,6 +16,7 @@ from titlespan.llm import (
     quality,
     repeats,
     token_counts,
+    token_files,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def registry() -> dict[str, Query]:
     found = [
         packing.op1_pack,
+        token_files.op2_token_files,
         pii.op3_pii,
         repeats.op4_repeats,
         near_dedup.op5_near_dedup,
