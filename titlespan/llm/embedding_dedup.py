@@ -11,6 +11,7 @@ cosine in double precision. What leaves a task are sums of links and a spanning
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,11 +25,11 @@ from titlespan.llm.links import components
 
 COSINE = 0.9
 #: Classes of a block, and pivots at most.
-BLOCK = 4096
+BLOCK = 8192
 PIVOTS = 2048
 #: Points of a node that is not divided any more, and rows of a matrix of distances.
 LEAF = 8
-CHUNK = 1024
+CHUNK = 512
 #: Distances nearer than this to a bound are not decided by it.
 MARGIN = 1e-6
 
@@ -81,17 +82,45 @@ class CoverTree:
             return node
         while radius > reach:  # levels at which the node would have one child
             radius /= 2
-        left = members
-        own = distances
-        while len(left):
-            if own is None:
-                own = apart(points[left], points[left[0] : left[0] + 1])[:, 0]
-            near = own <= radius
-            near[0] = True
-            node.children.append(self._node(points, left[near], radius, order, own[near]))
-            left, own = left[~near], None
+        for near, own in _covered(points[members], radius):
+            node.children.append(self._node(points, members[near], radius, order, own))
         return node
 
+    def __getstate__(self):
+        """What travels: the vectors, in half the room where that loses nothing."""
+        small = self.raw.astype(np.float32)
+        raw = small if np.array_equal(small.astype(np.float64), self.raw) else self.raw
+        return {"raw": raw, "sizes": self.sizes, "order": self.order, "root": self.root}
+
+    def __setstate__(self, state):
+        self.__dict__ |= state
+        self.raw = self.raw.astype(np.float64)
+        self.points = unit(self.raw)
+        self.sums = np.concatenate([[0], np.cumsum(self.sizes)])
+
+
+def _covered(points: np.ndarray, radius: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The points in balls around the first point that no ball before has: places and distances
+    to the ball's middle, the middle first."""
+    left = np.ones(len(points), bool)
+    start = 0
+    while start < len(points):
+        middles = start + np.flatnonzero(left[start : start + 8 * CHUNK])[:CHUNK]
+        start = int(middles[-1]) + 1 if len(middles) else start + 8 * CHUNK
+        rest = np.flatnonzero(left)
+        if not len(middles):
+            continue
+        dots = points[middles] @ points[rest].T
+        within = dots >= 1.0 - radius * radius / 2.0
+        for i, middle in enumerate(middles.tolist()):
+            if not left[middle]:
+                continue
+            here = rest[within[i]]
+            here = here[left[here]]
+            here = np.concatenate([[middle], here[here != middle]])
+            left[here] = False
+            yield here, apart(points[here], points[middle : middle + 1])[:, 0]
+
 
 class Walk:
     """The links between the points of two trees, or within one."""
@@ -106,7 +135,7 @@ class Walk:
         if self.same:
             self._within(left.root)
         else:
-            self._between([left.root], [right.root])
+            self._across([left.root], [right.root])
 
     def find(self, x: int) -> int:
         parent = self.parent
@@ -156,7 +185,23 @@ class Walk:
             return
         for child in node.children:
             self._within(child)
-        self._between(node.children, node.children)
+        wide = [c for c in node.children if c.reach > 0]
+        points = [c for c in node.children if c.reach == 0]
+        # Single points apart from the others: their pairs have the narrowest bound.
+        for one, other in ((wide, wide), (wide, points), (points, points)):
+            if one and other:
+                self._between(one, other)
+
+    def _across(self, first: list[Node], second: list[Node]) -> None:
+        """All pairs of nodes of two trees or of two branches, single points apart."""
+        sides = [
+            [[n for n in nodes if (n.reach > 0) == wide] for wide in (True, False)]
+            for nodes in (first, second)
+        ]
+        for one in sides[0]:
+            for other in sides[1]:
+                if one and other:
+                    self._between(one, other)
 
     def _between(self, first: list[Node], second: list[Node]) -> None:
         """All pairs of two lists of nodes; of one list with itself, each pair once."""
@@ -167,18 +212,25 @@ class Walk:
         for start in range(0, len(first), CHUNK):
             part = first[start : start + CHUNK]
             own = np.array([n.reach for n in part])
-            distance = apart(self.left.points[[n.center for n in part]], other)
-            bound = own[:, None] + reach[None, :]
-            near = distance - bound <= self.far + MARGIN
+            dots = self.left.points[[n.center for n in part]] @ other.T
+            # Nothing is nearer than the widest pair of the part allows: most pairs end here.
+            widest = self.far + MARGIN + own.max() + reach.max()
+            rows, columns = np.nonzero(dots >= 1.0 - widest * widest / 2.0)
             if once:
-                near &= np.arange(len(second))[None, :] > np.arange(start, start + len(part))[:, None]
-            whole = near & (distance + bound <= self.far - MARGIN)
-            for i, j in zip(*np.nonzero(whole), strict=True):
-                self._taken(part[i], second[j])
-            for i, j in zip(*np.nonzero(near & ~whole), strict=True):
+                later = columns > rows + start
+                rows, columns = rows[later], columns[later]
+            distance = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * dots[rows, columns]))
+            bound = own[rows] + reach[columns]
+            near = distance - bound <= self.far + MARGIN
+            whole = distance + bound <= self.far - MARGIN
+            for i, j, taken in zip(
+                rows[near].tolist(), columns[near].tolist(), whole[near].tolist(), strict=True
+            ):
                 a, b = part[i], second[j]
-                if a.children or b.children:
-                    self._between(a.children or [a], b.children or [b])
+                if taken:
+                    self._taken(a, b)
+                elif a.children or b.children:
+                    self._across(a.children or [a], b.children or [b])
                 else:
                     self._points(a, b)
 
@@ -288,16 +340,35 @@ def _near_cells(spark: SparkSession, pivots, reach: dict[int, float], cosine: fl
     return spark.createDataFrame(pa.Table.from_arrays(columns, ["one", "other"]))
 
 
-def _packed_blocks(celled: DataFrame) -> DataFrame:
-    """`(block, cell, classes, sizes, vectors)`: a row for each block, its members packed."""
+def _blocks(celled: DataFrame) -> DataFrame:
+    """`(block, cell, classes, tree)`: a row for each block of at most about `BLOCK` classes, with
+    its cover tree and the classes in the tree's order."""
     counts = celled.groupBy("cell").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     placed = celled.join(F.broadcast(counts), "cell").withColumn(
         "block", F.concat_ws("-", "cell", F.pmod(F.xxhash64("class"), blocks))
     )
-    listed = F.sort_array(F.collect_list(F.struct("class", "size", "vector")))
-    return placed.groupBy("block", "cell").agg(listed.alias("m")).selectExpr(
-        "block", "cell", "m.class AS classes", "m.size AS sizes", "m.vector AS vectors"
+    kind = pa.schema(
+        [("block", pa.string()), ("cell", pa.int64()), ("classes", pa.list_(pa.binary())), ("tree", pa.binary())]
+    )
+
+    def build(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("class")
+        tree = CoverTree(
+            _doubles(rows.column("vector").to_pylist()), rows.column("size").to_numpy().astype(np.int64)
+        )
+        classes = rows.column("class").to_pylist()
+        row = {
+            "block": rows.column("block")[0].as_py(),
+            "cell": rows.column("cell")[0].as_py(),
+            "classes": [classes[i] for i in tree.order],
+            "tree": pickle.dumps(tree),
+        }
+        return pa.Table.from_pylist([row], kind)
+
+    narrow = placed.select("block", "cell", "class", "size", "vector")
+    return narrow.groupBy("block").applyInArrow(
+        build, "block string, cell long, classes array<binary>, tree binary"
     )
 
 
@@ -313,7 +384,7 @@ def linked(classes: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
         pivots[length // 8] = unit(_doubles([bytes(r["vector"]) for r in rows]))
     celled = written(_celled(classes, pivots), "embed-cells")
     reach = {r[0]: r[1] for r in celled.groupBy("cell").agg(F.max("distance")).collect()}
-    blocks = written(_packed_blocks(celled), "embed-blocks")
+    blocks = written(_blocks(celled), "embed-blocks")
     cells = _near_cells(spark, pivots, reach, cosine)
     names = blocks.select("block", "cell")
     pairs = (
@@ -324,43 +395,41 @@ def linked(classes: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
     )
     sides = [
         blocks.select(
-            F.col("block").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("classes", "sizes", "vectors")]
+            F.col("block").alias(n), F.col("classes").alias(f"classes_{n}"), F.col("tree").alias(f"tree_{n}")
         )
-        for name in ("first", "second")
+        for n in ("first", "second")
     ]
     joined = pairs.join(sides[0], "first").join(sides[1], "second")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees: dict = {}
+        trees: dict[str, CoverTree] = {}
 
-        def tree(name, sizes, vectors):
-            if name not in trees:
+        def tree(block: str, data: pa.Scalar) -> CoverTree:
+            if block not in trees:
                 if len(trees) >= 4:
                     trees.clear()
-                trees[name] = CoverTree(_doubles(vectors.as_py()), np.array(sizes.as_py(), np.int64))
-            return trees[name]
+                trees[block] = pickle.loads(data.as_py())
+            return trees[block]
 
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {n: c[i] for n, c in zip(batch.schema.names, batch.columns, strict=True)}
-                first, second = row["first"].as_py(), row["second"].as_py()
+                sides = ("first", "second")
                 yield found(
-                    [tree(n, row[f"sizes_{s}"], row[f"vectors_{s}"]) for n, s in ((first, "first"), (second, "second"))],
-                    [row[f"classes_{s}"].as_py() for s in ("first", "second")],
+                    [tree(row[n].as_py(), row[f"tree_{n}"]) for n in sides],
+                    [row[f"classes_{n}"].as_py() for n in sides],
                 )
 
     def found(trees: list[CoverTree], classes: list[list[bytes]]) -> pa.RecordBatch:
         walk = Walk(*trees, cosine)
-        names = [[own[i] for i in t.order] for t, own in zip(trees, classes, strict=True)]
-        names = names[:1] if walk.same else names
-        all_names = [n for own in names for n in own]
+        names = classes[0] if walk.same else classes[0] + classes[1]
         links = np.concatenate(walk.links())
-        roots = [walk.find(i) for i in range(len(all_names))]
-        some = [i for i in range(len(all_names)) if links[i] or roots[i] != i]
+        roots = [walk.find(i) for i in range(len(names))]
+        some = [i for i in range(len(names)) if links[i] or roots[i] != i]
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([all_names[i] for i in some], pa.binary()),
-                pa.array([all_names[roots[i]] for i in some], pa.binary()),
+                pa.array([names[i] for i in some], pa.binary()),
+                pa.array([names[roots[i]] for i in some], pa.binary()),
                 pa.array(links[some] if some else [], pa.int64()),
             ],
             ["a", "b", "links"],
