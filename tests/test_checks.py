@@ -42,8 +42,11 @@ def test_alignment(spark):
     )
     assert rules(checks.validate_alignment(df)) == [
         ("bad_tag", 2, 1, None, "B-X", 1),
+        ("bad_tag", 2, 2, None, "bad", 1),
         ("length_mismatch", 3, None, None, "1 tokens, 2 tags", 1),
     ]
+    first = checks.record_violations(df, checks.alignment_findings("tokens", "tags", first_only=True))
+    assert [r[2] for r in rules(first) if r[0] == "bad_tag"] == [1]
     upper = {r[1]: r[4] for r in rules(checks.validate_alignment(df, pattern="upper"))}
     assert upper == {1: "B-Hersteller", 2: "bad", 3: "1 tokens, 2 tags"}
     assert [r[1] for r in rules(checks.length_violations(df))] == [3]

@@ -61,8 +61,42 @@ def test_confusion_identities(seqs, data):
 
 
 def test_matrix_has_vocabulary_columns(seqs):
-    wide = metrics.confusion_matrix(metrics.confusion(metrics.token_pairs(seqs)), labels())
-    assert wide.columns == ["true_tag", *labels()]
+    listed = [*labels(), "", "X", "bad"]
+    pairs = metrics.token_pairs(seqs).filter("true_tag IN ('', 'O') AND pred_tag IN ('', 'O')")
+    wide = metrics.confusion_matrix(metrics.confusion(pairs), listed)
+    assert wide.columns == ["true_tag", *(x or metrics.BLANK_COLUMN for x in listed)]
+    assert sorted(r.true_tag for r in wide.collect()) == sorted(listed)
+
+
+def test_matrix_holds_every_pair(seqs):
+    pairs = metrics.token_pairs(seqs)
+    wide = metrics.confusion_matrix(metrics.confusion(pairs))
+    seen = [r.label for r in metrics.labels_seen(pairs).collect()]
+    assert wide.columns[1:] == [x or metrics.BLANK_COLUMN for x in seen]
+    assert sum(sum(r[1:]) for r in wide.collect()) == pairs.count()
+    with pytest.raises(Exception, match="label is not listed"):
+        metrics.confusion_matrix(metrics.confusion(pairs), ["O"]).collect()
+
+
+@pytest.mark.parametrize("tags", [(["O", "B-EAN"], ["O"]), (["O"], ["O", "O"]), (["O", "O"], None)])
+def test_unequal_lengths_are_errors(spark, tags):
+    df = spark.createDataFrame([(1, ["a", "b"], *tags)], SCHEMA)
+    for found in (
+        metrics.token_pairs(df),
+        errors.error_examples(df),
+        metrics.evaluation_counts(df),
+        metrics.evaluate_predictions(df),
+    ):
+        with pytest.raises(Exception, match="differ in length"):
+            found.collect()
+
+
+def test_tables_must_pair_up(spark):
+    true = spark.createDataFrame([(1, ["a"], ["O"]), (2, ["b"], ["O"])], "record_id int, tokens array<string>, tags array<string>")
+    assert metrics.evaluate_tables(true, true.drop("tokens")).filter("key = 'O'").count()
+    for pred in (true.filter("record_id = 1"), true.union(true)):
+        with pytest.raises(Exception, match="do not pair up"):
+            metrics.evaluate_tables(true, pred.drop("tokens")).collect()
 
 
 def test_entity_scores_equal_sets_of_spans(seqs, data):
@@ -204,7 +238,7 @@ def test_error_examples_take_whole_records(seqs, data):
     got = errors.error_examples(seqs, limit=10).collect()
     assert {r.record_id for r in got} == set(ids[:10])
     assert len(got) == sum(t != p for i, _, ts, ps in data if i in ids[:10] for t, p in zip(ts, ps))
-    everything = errors.error_examples(seqs, limit=None)
+    everything = errors.error_examples(seqs)
     assert everything.count() == errors.errors(metrics.token_pairs(seqs)).count()
     matrix = errors.entity_error_matrix(everything).collect()
     assert sum(r.n for r in matrix) == everything.count()

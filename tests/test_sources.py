@@ -57,6 +57,42 @@ def test_corrupt_rows_and_fallback(spark, tmp_path):
     assert rows["1"] == "x" and rows["2"] == "y" and rows["3"] == "" and set(rows) == {"1", "2", "3", "4"}
 
 
+def test_default_read_loses_nothing(spark, tmp_path):
+    stray = write_gz(tmp_path / "a.gz", 'id\ttitle\tEAN\n1\t"Bosch 12\t4711\n2\tx\t5\n')
+    assert sorted(map(tuple, tsv.read_tsv_gz(spark, stray).collect())) == [
+        ("1", '"Bosch 12', "4711"), ("2", "x", "5"),
+    ]
+    surplus = write_gz(tmp_path / "b.gz", "id\ttitle\n1\tx\textra\n")
+    with pytest.raises(Exception, match="more fields than the header"):
+        tsv.read_tsv_gz(spark, surplus).collect()
+    assert [tuple(r) for r in tsv.read_tsv_gz(spark, surplus, on_surplus="drop").collect()] == [("1", "x")]
+    read = tsv.read_tsv_gz(spark, surplus, keep_corrupt=True)
+    assert [tuple(r) for r in tsv.surplus_violations(read).collect()] == [
+        ("surplus_fields", None, "1\tx\textra", 1)
+    ]
+
+
+def test_headers_are_matched_by_name(spark, tmp_path):
+    (tmp_path / "one").mkdir()
+    (tmp_path / "two").mkdir()
+    write_gz(tmp_path / "one" / "a.gz", "id\ttitle\tEAN\n1\tx\t5\n")
+    write_gz(tmp_path / "two" / "a.gz", "id\tEAN\ttitle\n2\t6\ty\n")
+    read = tsv.read_tsv_gz(spark, [f"{tmp_path}/one/*.gz", f"{tmp_path}/two/*.gz"])
+    assert sorted((r.id, r.title, r.EAN) for r in read.collect()) == [("1", "x", "5"), ("2", "y", "6")]
+    with pytest.raises(Exception, match="header"):
+        tsv.read_tsv_gz(spark, f"{tmp_path}/*/*.gz").collect()
+
+
+def test_streams_check_what_they_write(spark, tmp_path):
+    schema = "record_id string, tokens array<string>, tags array<string>"
+    spark.createDataFrame([("a\tb", ["x"], ["O"])], schema).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    with pytest.raises(Exception, match="TAB, a line break or NULL"):
+        incremental.submission_stream(
+            stream, str(tmp_path / "out"), str(tmp_path / "state")
+        ).awaitTermination()
+
+
 def test_file_info(spark, tmp_path):
     write_gz(tmp_path / "a.gz", "x\ny\n")
     (tmp_path / "b.txt").write_text("x\ny\nz")
@@ -68,7 +104,8 @@ def test_file_info(spark, tmp_path):
 
 def test_few_files_are_spread(spark, tmp_path):
     path = write_gz(tmp_path / "a.gz", "id\n" + "\n".join(map(str, range(100))))
-    assert tsv.read_tsv_gz(spark, path).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert tsv.read_tsv_gz(spark, path).rdd.getNumPartitions() == 1
+    assert tsv.read_tsv_gz(spark, path, partitions=5).rdd.getNumPartitions() == 5
     spark.range(100).repartition(20).write.parquet(str(tmp_path / "many"))
     many = spark.read.parquet(str(tmp_path / "many"))
     assert session.spread(many) is many

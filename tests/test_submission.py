@@ -1,5 +1,6 @@
 import pytest
 
+from titlespan.operators import checks
 from titlespan.operators import submission as ops
 from titlespan.sources import samples, tsv
 from titlespan.types import ENTITY_TYPES, SUBMISSION_COLUMNS
@@ -96,3 +97,21 @@ def test_samples(spark):
     sample = {r.id: r for r in samples.sample_submission(samples.ids(spark, 5)).collect()}
     assert sample["0"].EAN == "SampleEAN_0" and sample["1"].EAN == "SampleEAN_1|SampleEAN_2"
     assert list(sample["2"][1:]) == [""] * len(ENTITY_TYPES)
+
+
+def test_repeated_metadata_is_an_error(spark):
+    df = spark.createDataFrame([("1",)], "id string")
+    meta = spark.createDataFrame([(1, "a"), (1, "b")], "id int, kind string")
+    with pytest.raises(Exception, match="more than once"):
+        ops.merge_with_metadata(df, meta).collect()
+
+
+def test_unknown_types_are_errors(spark):
+    seqs = spark.createDataFrame(
+        [(1, ["a", "b"], ["B-Foo", "B-EAN"])], "record_id int, tokens array<string>, tags array<string>"
+    )
+    with pytest.raises(Exception, match="unknown type"):
+        ops.submission(seqs).collect()
+    found = [(r.rule, r.pos, r.detail) for r in checks.unknown_types(seqs).collect()]
+    assert found == [("unknown_type", 0, "Foo")]
+    assert ops.submission(seqs, on_error="empty").first().EAN == ""

@@ -51,7 +51,7 @@ def test_fit_takes_the_majority(seqs, data):
 @pytest.mark.parametrize("limit", [tagger.MAX_BROADCAST_BYTES, 0])
 def test_both_lookups_predict_the_same(spark, seqs, data, limit, monkeypatch):
     """With a limit of 0 the lexicon is joined by shuffle, the frequent tokens apart."""
-    monkeypatch.setattr(tagger, "HOT_TOKENS", 2)
+    monkeypatch.setattr(tagger, "HOT_SHARE", 2)
     best, _ = majority(data[:200])
     lexicon = tagger.fit_sequences(seqs.filter("record_id < 200"))
     predicted = tagger.predict_tokens(seqs, lexicon, parallel=["true_tags"], max_broadcast_bytes=limit)
@@ -67,7 +67,48 @@ def test_shuffled_lookup_broadcasts_frequent_tokens_only(seqs):
     rows = seqs.selectExpr("record_id", "posexplode(tokens) AS (pos, token)")
     joined = tagger.lookup(rows, lexicon, max_broadcast_bytes=0)
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert f"GlobalLimit {tagger.HOT_TOKENS}" in plan
+    assert "scalar-subquery" in plan and "ResolvedHint" not in plan.replace("strategy=broadcast", "", 1)
+
+
+def test_repeated_and_missing_ids_keep_their_rows(spark, seqs):
+    titles = spark.createDataFrame(
+        [(1, "a b c"), (1, "x y"), (None, "p"), (None, "q r"), (2, None)], "record_id bigint, title string"
+    )
+    lexicon = tagger.fit_sequences(seqs)
+    for limit in (tagger.MAX_BROADCAST_BYTES, 0):
+        found = tagger.predict_tokens(with_tokens(titles), lexicon, max_broadcast_bytes=limit)
+        got = [(r.record_id, r.tokens) for r in found.collect()]
+        expected = [(1, ["a", "b", "c"]), (1, ["x", "y"]), (None, ["p"]), (None, ["q", "r"]), (2, [])]
+        assert sorted(map(repr, got)) == sorted(map(repr, expected))
+
+
+def test_whole_records_are_shuffled_not_tokens(seqs):
+    lexicon = tagger.fit_sequences(seqs)
+    found = tagger.predict_tokens(seqs, lexicon, parallel=["true_tags"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.splitlines() if "Exchange hashpartitioning(_row" in x]
+    assert len(exchanges) == 1 and "REPARTITION_BY_COL" in exchanges[0]
+
+
+def test_failures_of_a_model_show(spark, seqs):
+    def broken(batch):
+        raise KeyError("weights")
+
+    found = tagger.predict_with(seqs, broken).collect()
+    assert all(r.error == "KeyError: 'weights'" and set(r.pred_tags) <= {"O"} for r in found)
+    good = tagger.predict_with(seqs, lambda batch: [["O"] * len(t) for t in batch], keep=["true_tags"])
+    assert good.columns == ["record_id", "true_tags", "tokens", "pred_tags", "error"]
+    assert good.filter("error IS NOT NULL").count() == 0
+
+
+def test_records_of_one_id_share_a_fold(spark):
+    df = spark.createDataFrame(
+        [(i % 40 if i % 9 else None, ["a"] * (i % 7)) for i in range(200)],
+        "record_id bigint, tokens array<string>",
+    )
+    folded = folds.with_folds(df, k=4).collect()
+    assert len(folded) == 200
+    assert all(len({r.fold for r in folded if r.record_id == i}) == 1 for i in [None, *range(40)])
 
 
 def test_unknown_tokens_are_outside(spark, seqs):

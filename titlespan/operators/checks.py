@@ -14,6 +14,7 @@ from titlespan.functions.tags import (
     length_matches,
     token_usage,
     type_pattern,
+    spans_of,
 )
 from titlespan.types import ENTITY_TYPES, INPUT_COLUMNS, SUBMISSION_COLUMNS
 
@@ -81,16 +82,21 @@ def length_findings(tokens: str, tags: str) -> str:
     return f"if({length_matches(tokens, tags)}, {nothing}, array({finding}))"
 
 
-def alignment_findings(tokens: str, tags: str, pattern: str | None = None) -> str:
-    """V2: a length mismatch, else the first tag that does not match the pattern.
+def alignment_findings(
+    tokens: str, tags: str, pattern: str | None = None, first_only: bool = False
+) -> str:
+    """V2: a length mismatch, else every tag that does not match the pattern, or the first one.
 
     The pattern defaults to the list of types; `upper` is the literal one that takes only
     upper-case type names.
     """
     regex = {None: type_pattern(), "upper": UPPER_PATTERN}.get(pattern, pattern)
     bad_tag = _record_finding("'bad_tag'", "b.pos", "b.tag")
-    first_bad = f"transform(slice({bad_tag_positions(tags, regex)}, 1, 1), b -> {bad_tag})"
-    return f"if({length_matches(tokens, tags)}, {first_bad}, {length_findings(tokens, tags)})"
+    found = bad_tag_positions(tags, regex)
+    if first_only:
+        found = f"slice({found}, 1, 1)"
+    bad = f"transform({found}, b -> {bad_tag})"
+    return f"if({length_matches(tokens, tags)}, {bad}, {length_findings(tokens, tags)})"
 
 
 def sequence_findings(tags: str) -> str:
@@ -105,6 +111,12 @@ def type_findings(entities: str, types: list[str] = ENTITY_TYPES) -> str:
     return f"transform({unknown}, t -> {_record_finding(quote('unknown_type'), 'NULL', 't')})"
 
 
+def span_type_findings(spans: str, types: list[str] = ENTITY_TYPES) -> str:
+    """V4 before the spans become entities: each span whose type is not in the list."""
+    finding = _record_finding("'unknown_type'", "s.start_pos", "s.type")
+    return f"transform(filter({spans}, s -> s.type NOT IN ({quoted(types)})), s -> {finding})"
+
+
 def usage_findings(
     entities: str, tokens: str, overuse: bool = True, unknown: bool = True
 ) -> str:
@@ -172,6 +184,11 @@ def validate_entities(
     )
 
 
+def unknown_types(seqs: DataFrame, tag_col: str = "tags") -> DataFrame:
+    """V4: spans in strict mode of a type that is not in the list, with where they start."""
+    return record_violations(seqs, span_type_findings(spans_of("tokens", name(tag_col))))
+
+
 def validate_reconstruction(
     records: DataFrame, entities_col: str = "entities", tokens_col: str = "tokens"
 ) -> DataFrame:

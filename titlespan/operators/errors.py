@@ -57,8 +57,8 @@ def top_confusion_pairs(pairs: DataFrame, k: int = 10) -> DataFrame:
     return shares.orderBy(F.desc("n"), "pair").limit(k)
 
 
-def error_examples(seqs: DataFrame, limit: int | None = 100) -> DataFrame:
-    """All errors of the first `limit` records that have any; `None` takes every record.
+def error_examples(seqs: DataFrame, limit: int | None = None) -> DataFrame:
+    """All errors, or with `limit` those of the first records that have any.
 
     The ids are picked first, so that only 8 bytes per record enter the top-k.
     """

@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from titlespan.functions.sql import let
 from titlespan.operators import metrics
-from titlespan.operators.tagger import MAX_BROADCAST_BYTES, fit_per_fold, predict_tokens
+from titlespan.operators.tagger import (
+    MAX_BROADCAST_BYTES,
+    BatchModel,
+    fit_per_fold,
+    predict_tokens,
+    predicted_beside,
+)
 from titlespan.sources.store import written
 
 _PLACES = 9
+#: Records that are ranked together, about.
+PART_ROWS = 100_000
 
 
 def length_edges(df: DataFrame, q: int = 5) -> DataFrame:
@@ -34,7 +45,8 @@ def with_length_bins(df: DataFrame, q: int = 5) -> DataFrame:
 
 
 def _digest(id_col: str, seed: int) -> Column:
-    return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(str(seed))))
+    known = F.coalesce(F.col(id_col).cast("string"), F.lit("NULL"))
+    return F.md5(F.concat(known, F.lit(str(seed))))
 
 
 def stratified_folds(
@@ -43,15 +55,20 @@ def stratified_folds(
     seed: int = 42,
     bin_col: str = "bin",
     id_col: str = "record_id",
-    prefix: int = 3,
+    prefix: int | None = None,
 ) -> DataFrame:
     """K2: adds `fold`; within a bin the folds differ by at most one record.
 
     Records are ranked by the digest of id and seed. A bin may hold a third of all
     records, so the rank is taken in two levels: within the records that share the first
     `prefix` digits of the digest, plus the number of records with smaller first digits.
-    That offset table has at most bins·16^prefix rows.
+    The prefix follows from the number of records, so that a part holds about `PART_ROWS` of
+    them; the ranks do not depend on it. Give narrow rows: they are sorted.
     """
+    if prefix is None:
+        prefix, parts = 1, df.count() / PART_ROWS
+        while 16**prefix < parts:
+            prefix += 1
     placed = df.withColumn("_digest", _digest(id_col, seed)).withColumn(
         "_part", F.substring("_digest", 1, prefix)
     )
@@ -78,11 +95,36 @@ def cross_validate(
     """K3: A10 per fold, for the lexicon tagger; `(fold, metric, value)`.
 
     One count table serves all folds: a fold's training counts are the totals without its
-    own, so nothing is trained k times over the data. The assignment is written once, as
-    fitting and predicting both read it.
+    own, so nothing is trained k times over the data. Ids are ranked without their records;
+    records that share an id share its fold. The assignment is written once, as fitting and
+    predicting both read it.
     """
-    folded = stratified_folds(with_length_bins(seqs), k, seed)
-    return evaluate_folds(written(folded, "folds"), k, max_broadcast_bytes)
+    folded = written(with_folds(seqs, k, seed), "folds")
+    return evaluate_folds(folded, k, max_broadcast_bytes)
+
+
+def with_folds(seqs: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
+    """K1, K2 over whole records: `fold` is found for the ids alone and joined back."""
+    binned = with_length_bins(seqs)
+    ids = binned.groupBy("record_id").agg(F.min("bin").alias("bin"))
+    folds = stratified_folds(ids, k, seed).select(F.col("record_id").alias("_id"), "fold")
+    joined = binned.join(folds, F.col("record_id").eqNullSafe(F.col("_id")))
+    return joined.drop("_id", "bin")
+
+
+def cross_validate_with(
+    fit: Callable[[DataFrame], DataFrame | BatchModel], seqs: DataFrame, k: int = 5, seed: int = 42
+) -> DataFrame:
+    """K3 for any model: `fit` is given the records of the other folds and returns a lexicon or
+    a user's model, which then predicts the records of the fold; `(fold, metric, value)`."""
+    folded = written(with_folds(seqs, k, seed), "folds")
+    parts = []
+    for fold in range(k):
+        model = fit(folded.filter(F.col("fold") != fold).drop("fold"))
+        predicted = predicted_beside(folded.filter(F.col("fold") == fold), model, keep=["fold"])
+        parts.append(predicted.select("record_id", "fold", "tokens", "true_tags", "pred_tags"))
+    counts = metrics.evaluation_counts(reduce(DataFrame.unionByName, parts), by=["fold"])
+    return metrics.summary(counts, by=["fold"])
 
 
 def evaluate_folds(folded: DataFrame, k: int, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:

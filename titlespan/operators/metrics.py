@@ -26,13 +26,21 @@ from titlespan.types import ENTITY_TYPES, type_table
 
 # --- pairs and confusion -----------------------------------------------------------------
 
+_ALIGNED = "size(tokens) <=> size(true_tags) AND size(tokens) <=> size(pred_tags)"
+
+
+def if_aligned(value: str) -> str:
+    """`value`, or an error where a record has not one tag of each side for every token."""
+    return f"if({_ALIGNED}, {value}, raise_error('tokens and tags differ in length'))"
+
+
 def zipped_pairs() -> Column:
-    """Column of `(token, true_tag, pred_tag)` structs in title order."""
-    return F.arrays_zip(
-        F.col("tokens").alias("token"),
-        F.expr(blank_to_empty("true_tags")).alias("true_tag"),
-        F.expr(blank_to_empty("pred_tags")).alias("pred_tag"),
+    """Column of `(token, true_tag, pred_tag)` structs in title order; lengths must agree."""
+    zipped = (
+        f"arrays_zip(tokens, {blank_to_empty('true_tags')}, {blank_to_empty('pred_tags')})"
     )
+    named = "array<struct<token:string,true_tag:string,pred_tag:string>>"
+    return F.expr(f"CAST({if_aligned(zipped)} AS {named})")
 
 
 def token_pairs(seqs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -70,11 +78,30 @@ def confusion(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return pairs.groupBy(*by, "true_tag", "pred_tag").agg(F.expr("count(*) AS n"))
 
 
-def confusion_matrix(confusion_df: DataFrame, labels: list[str]) -> DataFrame:
-    """A2: one row per true label, one column per predicted label."""
-    return (
-        confusion_df.groupBy("true_tag").pivot("pred_tag", labels).agg(F.sum("n")).na.fill(0)
-    )
+#: Column of the blank label in a matrix, as columns need names.
+BLANK_COLUMN = "blank"
+
+
+def confusion_matrix(confusion_df: DataFrame, labels: list[str] | None = None) -> DataFrame:
+    """A2: one row and one column for every label of either side, so that no count is lost.
+
+    Labels are those that occur, sorted, or the given ones; a label that is not among those is
+    an error. The driver sees labels only, a few dozen.
+    """
+    if labels is None:
+        both = confusion_df.select(F.explode(F.array("true_tag", "pred_tag")).alias("label"))
+        labels = [r["label"] for r in both.distinct().orderBy("label").collect()]
+
+    def listed(c: str) -> Column:
+        unknown = F.raise_error(F.concat(F.lit("label is not listed: "), F.col(c)))
+        return F.when(F.col(c).isin(labels), F.col(c)).otherwise(unknown.cast("string"))
+
+    known = confusion_df.select(*[listed(c).alias(c) for c in ("true_tag", "pred_tag")], "n")
+    spark = confusion_df.sparkSession
+    rows = spark.createDataFrame([(x,) for x in labels], "true_tag string")
+    cells = known.groupBy("true_tag").pivot("pred_tag", labels).agg(F.sum("n"))
+    matrix = rows.join(cells, "true_tag", "left").na.fill(0)
+    return matrix.withColumnRenamed("", BLANK_COLUMN)
 
 
 def labels_seen(pairs: DataFrame) -> DataFrame:
@@ -294,7 +321,7 @@ def evaluation_counts(seqs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     Records are compared inside the row; only counters reach the shuffle, and they are
     summed before it.
     """
-    pairs = (
+    pairs = if_aligned(
         f"zip_with({blank_to_empty('true_tags')}, {blank_to_empty('pred_tags')}, "
         "(t, p) -> struct(t AS t, p AS p))"
     )
@@ -472,9 +499,28 @@ def summary(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def evaluate_predictions(seqs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """A9 over `(record_id, tokens, true_tags, pred_tags)`; fails on unequal lengths."""
-    guarded = """if(size(tokens) = size(true_tags) AND size(tokens) = size(pred_tags), tokens,
-        CAST(raise_error('tokens and tags differ in length') AS array<string>))"""
-    return metrics_long(evaluation_counts(seqs.withColumn("tokens", F.expr(guarded)), by), by)
+    return metrics_long(evaluation_counts(seqs, by), by)
+
+
+def evaluate_tables(true: DataFrame, pred: DataFrame) -> DataFrame:
+    """A11 over `(record_id, tokens, tags)` and `(record_id, tags)`; fails if a record is on one
+    side only or an id is not unique."""
+    sides = [
+        t.groupBy("record_id").agg(F.count(F.lit(1)).alias(f"{s}_n"), *columns)
+        for s, t, columns in (
+            ("true", true, [F.any_value("tokens").alias("tokens"), F.any_value("tags").alias("true_tags")]),
+            ("pred", pred, [F.any_value("tags").alias("pred_tags")]),
+        )
+    ]
+    paired = sides[0].join(
+        sides[1].withColumnRenamed("record_id", "pred_id"),
+        F.col("record_id").eqNullSafe(F.col("pred_id")),
+        "full_outer",
+    )
+    problem = "raise_error('records of the two sides do not pair up')"
+    tokens = f"if(true_n = 1 AND pred_n = 1, tokens, {problem})"
+    checked = paired.selectExpr("record_id", f"{tokens} AS tokens", "true_tags", "pred_tags")
+    return evaluate_predictions(checked)
 
 
 def misaligned(seqs: DataFrame) -> DataFrame:

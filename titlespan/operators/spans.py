@@ -65,9 +65,13 @@ def entities(
     mode: str = "strict",
     tag_col: str = "tags",
     reference_col: str | None = None,
-    on_error: str = "raise_length",
+    on_error: str = "raise",
 ) -> DataFrame:
-    """`(record_id, entities)`, a map of every type to its texts in title order."""
+    """`(record_id, entities)`, a map of every type to its texts in title order.
+
+    The map has the listed types only, so a span of another type is an error unless `on_error`
+    says otherwise; `checks.unknown_types` lists such spans.
+    """
     return with_spans(seqs, mode, tag_col, reference_col, on_error).select(
         "record_id", F.expr(entities_of("spans")).alias("entities")
     )
@@ -140,8 +144,8 @@ def spans_from_long(
 ) -> DataFrame:
     """E1–E3 over `(record_id, pos, token, tag)`: `(record_id, type, start_pos, end_pos, text)`.
 
-    For tables that already hold one token per row. No task sees more than `block` tokens
-    of a record at once, however long the record is.
+    For tables that already hold one token per row. Tags are worked on `block` tokens at a time,
+    however long the record is; only the text of one span is put together as a whole.
     """
     check_mode(mode, reference_col is not None)
     reference = name(reference_col) if reference_col else None

@@ -51,9 +51,12 @@ def format_predictions(df: DataFrame, id_col: str = "record_id") -> DataFrame:
 
 
 def submission(
-    seqs: DataFrame, tag_col: str = "tags", on_error: str = "raise_length"
+    seqs: DataFrame, tag_col: str = "tags", on_error: str = "raise"
 ) -> DataFrame:
-    """E1 → E4 → F1. Every record gives one row, with or without spans; no shuffle."""
+    """E1 → E4 → F1. Every record gives one row, with or without spans; no shuffle.
+
+    A span of an unknown type fails the job; `empty` leaves such a record empty instead.
+    """
     return format_entities(entities(seqs, "strict", tag_col, on_error=on_error))
 
 
@@ -91,7 +94,8 @@ def merge_with_metadata(df: DataFrame, metadata: DataFrame | None = None) -> Dat
     """left join of the submission with source columns on all common columns.
 
     Common columns are compared as text, as the submission holds text only. Without
-    metadata or a common column the submission comes back as it is.
+    metadata or a common column the submission comes back as it is. Metadata that a row finds
+    twice is an error, as it would multiply the row.
     """
     if metadata is None:
         return df
@@ -99,4 +103,11 @@ def merge_with_metadata(df: DataFrame, metadata: DataFrame | None = None) -> Dat
     if not common:
         return df
     as_text = metadata.withColumns({c: F.col(c).cast("string") for c in common})
-    return df.join(as_text, common, "left")
+    others = [c for c in metadata.columns if c not in common]
+    once = as_text.groupBy(*common).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.any_value(c).alias(c) for c in others]
+    )
+    problem = F.raise_error(F.lit("metadata holds a key more than once"))
+    joined = df.join(once, common, "left")
+    checked = F.when(F.coalesce("_n", F.lit(1)) == 1, F.col(common[0])).otherwise(problem.cast("string"))
+    return joined.withColumn(common[0], checked).select(*df.columns, *others)

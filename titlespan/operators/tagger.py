@@ -20,9 +20,11 @@ from titlespan.operators.tokens import tagged_long, true_tags, with_tokens
 from titlespan.types import ENTITY_TYPES, OUTSIDE, labels
 
 MAX_BROADCAST_BYTES = 64 << 20
-# A token is frequent when it is among this many most frequent ones; every other token has
-# less than one in HOT_TOKENS of the rows.
-HOT_TOKENS = 1000
+# A token is frequent when it holds more rows than one in so many of a shuffle task's share.
+HOT_SHARE = 20
+
+# A model of the user: token lists in, tag lists out.
+BatchModel = Callable[[list[list[str]]], list[list[str]]]
 
 
 def fit(tagged: DataFrame) -> DataFrame:
@@ -92,21 +94,37 @@ def lexicon_bytes(lexicon: DataFrame) -> int:
 def lookup(
     tokens: DataFrame, lexicon: DataFrame, max_broadcast_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
-    """M3: left join of `(record_id, pos, token, …)` with the lexicon on the token."""
-    entries = lexicon.select("token", F.col("tag").alias("_tag"), F.col("confidence").alias("_c"))
+    """M3: left join of `(…, token, …)` with the lexicon on the token."""
     if lexicon_bytes(lexicon) <= max_broadcast_bytes:
-        return tokens.join(F.broadcast(entries), "token", "left")
+        return _looked_up_here(tokens, lexicon)
+    return _looked_up_by_shuffle(tokens, lexicon)
+
+
+def _entries(lexicon: DataFrame) -> DataFrame:
+    return lexicon.select("token", F.col("tag").alias("_tag"), F.col("confidence").alias("_c"))
+
+
+def _looked_up_here(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
+    return tokens.join(F.broadcast(_entries(lexicon)), "token", "left")
 
-    # The frequent tokens of the input get their entries from a table of HOT_TOKENS rows.
-    # In the shuffled join they carry a salt that no entry has, which spreads them evenly.
-    frequent = (
+
+def _looked_up_by_shuffle(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """The input's frequent tokens get their entries from a small table, the others by a
+    shuffled join, in which the frequent ones carry a salt that no entry has.
+
+    Tokens with more than one in `HOT_SHARE` of a task's share of the rows are fewer than
+    `HOT_SHARE` times the tasks, whatever the input; all others are too rare to skew a task.
+    """
+    entries = _entries(lexicon)
+    place = [c for c in (ROW, "record_id", "pos") if c in tokens.columns]
+    tasks = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = (
         tokens.filter(F.col("token").isNotNull())
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .orderBy(F.desc("_n"), "token")
-        .limit(HOT_TOKENS)
-        .select("token")
     )
+    total = counted.agg(F.sum("_n").alias("_all"))
+    frequent = counted.filter(F.col("_n") * (HOT_SHARE * tasks) > total.scalar()).select("token")
     hot = frequent.join(entries, "token", "left").select(
         "token",
         F.lit(True).alias("_hot"),
@@ -116,7 +134,7 @@ def lookup(
     marked = tokens.join(F.broadcast(hot), "token", "left").withColumn(
         "_salt",
         F.when(
-            F.col("_hot") | F.col("token").isNull(), F.xxhash64("record_id", "pos")
+            F.col("_hot") | F.col("token").isNull(), F.xxhash64(*place)
         ),
     )
     cold = entries.withColumnRenamed("token", "_key")
@@ -131,6 +149,10 @@ def lookup(
     ).drop("_hot", "_hot_tag", "_hot_c", "_salt", "_key")
 
 
+# Tells records apart whose ids are equal or missing.
+ROW = "_row"
+
+
 def predict_tokens(
     seqs: DataFrame,
     lexicon: DataFrame,
@@ -144,13 +166,25 @@ def predict_tokens(
     A token outside the lexicon is `O` with confidence 1. `parallel` names arrays as long
     as the tokens, which travel with them; `keep` names columns of the record. With
     `fold_col` the lexicon holds one entry per fold.
+
+    Every input row gives one output row, also where ids repeat or are missing. With a
+    lexicon small enough to be broadcast, the rows are dealt out before they are taken apart, so
+    that tokens are put together again where they are and only whole records are shuffled.
     """
+    small = lexicon_bytes(lexicon) <= max_broadcast_bytes
+    numbered = seqs.select(
+        F.monotonically_increasing_id().alias(ROW), "record_id", *keep, "tokens", *parallel
+    )
+    if small:
+        numbered = numbered.repartition(ROW)
     arrays = F.arrays_zip("tokens", *parallel)
-    rows = seqs.select("record_id", *keep, F.posexplode_outer(arrays).alias("pos", "z")).select(
-        "record_id", *keep, "pos", F.col("z.tokens").alias("token"),
+    rows = numbered.select(
+        ROW, "record_id", *keep, F.posexplode_outer(arrays).alias("pos", "z")
+    ).select(
+        ROW, "record_id", *keep, "pos", F.col("z.tokens").alias("token"),
         *[F.col(f"z.{p}").alias(p) for p in parallel],
     )
-    found = lookup(rows, lexicon, max_broadcast_bytes)
+    found = _looked_up_here(rows, lexicon) if small else _looked_up_by_shuffle(rows, lexicon)
     tag, confidence = F.col("_tag"), F.col("_c")
     if fold_col:
         tag, confidence = F.get(tag, F.col(fold_col)), F.get(confidence, F.col(fold_col))
@@ -161,8 +195,9 @@ def predict_tokens(
         F.coalesce(tag, F.lit(OUTSIDE)).alias("pred_tag"),
         F.coalesce(confidence, F.lit(1.0)).alias("confidence"),
     )
-    regrouped = found.groupBy("record_id", *keep).agg(
-        F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), token_struct))).alias("s")
+    regrouped = found.groupBy(ROW).agg(
+        *[F.first(c).alias(c) for c in ("record_id", *keep)],
+        F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), token_struct))).alias("s"),
     )
     return regrouped.select(
         "record_id",
@@ -177,41 +212,41 @@ def predict_tokens(
 def predict(
     df: DataFrame, lexicon: DataFrame, id_col: str = "record_id", title_col: str = "title"
 ) -> DataFrame:
-    """M2: T1, then M3."""
+    """M2: T1, then M3; one row for each row, whatever its id."""
     titled = with_tokens(df, title_col).select(F.col(id_col).alias("record_id"), "tokens")
     return predict_tokens(titled, lexicon)
 
 
-def predict_with(
-    seqs: DataFrame, model: Callable[[list[list[str]]], list[list[str]]]
-) -> DataFrame:
-    """M3's hook for user models: `(record_id, tokens, pred_tags)` in Arrow batches.
+def predict_with(seqs: DataFrame, model: BatchModel, keep: Sequence[str] = ()) -> DataFrame:
+    """M3's hook for user models: `(record_id, *keep, tokens, pred_tags, error)` in Arrow batches.
 
     The model gets a batch of token lists. When a batch fails its records are tried one by
-    one, and a record that fails is all `O` (M8). Tags are cut or padded to the tokens.
+    one; a record that fails is all `O` (M8) and has the failure's text in `error`, which is
+    NULL otherwise. Tags are cut or padded to the tokens. `keep` names columns to carry along.
     """
 
-    def one(tokens: list[str]) -> list[str]:
+    def one(tokens: list[str]) -> tuple[list[str], str | None]:
         try:
-            return list(model([tokens])[0])
-        except Exception:
-            return [OUTSIDE] * len(tokens)
+            return list(model([tokens])[0]), None
+        except Exception as failure:
+            return [OUTSIDE] * len(tokens), f"{type(failure).__name__}: {failure}"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             token_lists = [list(t) for t in batch["tokens"]]
             try:
-                tags = [list(t) for t in model(token_lists)]
+                tags = [(list(t), None) for t in model(token_lists)]
                 if len(tags) != len(token_lists):
                     raise ValueError("one tag list per token list is needed")
             except Exception:
                 tags = [one(t) for t in token_lists]
-            yield batch.assign(pred_tags=tags)
+            found = pd.Series([t for t, _ in tags], index=batch.index, dtype=object)
+            failed = pd.Series([e for _, e in tags], index=batch.index, dtype=object)
+            yield batch.assign(pred_tags=found, error=failed)
 
-    id_type = seqs.schema["record_id"].dataType.simpleString()
-    tagged = seqs.select("record_id", "tokens").mapInPandas(
-        run, f"record_id {id_type}, tokens array<string>, pred_tags array<string>"
-    )
+    narrow = seqs.select("record_id", *keep, "tokens")
+    kinds = [f"{name(f.name)} {f.dataType.simpleString()}" for f in narrow.schema]
+    tagged = narrow.mapInPandas(run, ", ".join([*kinds, "pred_tags array<string>", "error string"]))
     return align(tagged)
 
 
@@ -266,13 +301,25 @@ def model_info(spark: SparkSession, types: list[str] = ENTITY_TYPES, **params: s
 
 def evaluate_model(
     df: DataFrame,
-    lexicon: DataFrame,
+    model: DataFrame | BatchModel,
     tag_cols: list[str],
     id_col: str = "record_id",
     title_col: str = "title",
 ) -> DataFrame:
-    """M8: T1, R2, M3, then A11 over a wide table of titles and tag columns."""
+    """M8: T1, R2, M3, then A11 over a wide table of titles and tag columns.
+
+    `model` is a lexicon or a user's model.
+    """
     if not tag_cols:
         raise ValueError("evaluation needs the columns with the true tags")
     truth = true_tags(df, tag_cols, id_col, title_col)
-    return evaluate_predictions(predict_tokens(truth, lexicon, parallel=["true_tags"]))
+    return evaluate_predictions(predicted_beside(truth, model))
+
+
+def predicted_beside(
+    truth: DataFrame, model: DataFrame | BatchModel, keep: Sequence[str] = ()
+) -> DataFrame:
+    """`(record_id, *keep, tokens, true_tags, pred_tags, …)` by a lexicon or a user's model."""
+    if isinstance(model, DataFrame):
+        return predict_tokens(truth, model, parallel=["true_tags"], keep=keep)
+    return predict_with(truth, model, keep=[*keep, "true_tags"])

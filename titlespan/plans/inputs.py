@@ -30,9 +30,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`(record_id, title)` of the turns; a conversation has fewer than 1,000 of them."""
+    """`(record_id, title)` of the turns; a conversation must have fewer than 1,000 of them."""
+    turn = F.when(F.col("turn").between(0, 999), F.col("turn")).otherwise(
+        F.raise_error(F.lit("a conversation has too many turns")).cast("long")
+    )
     return table(spark, sf_dir, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("record_id"), F.col("text").alias("title")
+        (F.col("conv_id") * 1000 + turn).alias("record_id"), F.col("text").alias("title")
     )
 
 
@@ -124,7 +127,10 @@ def wide_listings(spark: SparkSession, sf_dir: str, rule=true_tag, prefix: str =
         f"if(size(tokens) > {i}, {rule('record_id', str(i), f'get(tokens, {i})')}, NULL)"
         for i in range(WIDE_COLUMNS)
     ]
-    titled = listings(spark, sf_dir).selectExpr("*", f"{tokenize('title')} AS tokens")
+    titled = listings(spark, sf_dir).selectExpr("*", f"{tokenize('title')} AS tokens").withColumn(
+        "tokens",
+        F.expr(f"if(size(tokens) <= {WIDE_COLUMNS}, tokens, raise_error('a listing is too long'))"),
+    )
     return titled.selectExpr(
         "record_id", "title", *[f"{sql} AS {prefix}{i}" for i, sql in enumerate(tags)]
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from titlespan.functions.tags import UPPER_PATTERN, type_pattern
 from titlespan.functions.tokens import ABBREVIATIONS, AUTOMOTIVE_TERMS
-from titlespan.operators.metrics import SUMMARY_METRICS
+from titlespan.operators.metrics import BLANK_COLUMN, SUMMARY_METRICS
 from titlespan.plans.inputs import UNKNOWN_TYPE
 from titlespan.types import ENTITY_TYPES, SUBMISSION_COLUMNS, labels
 
@@ -171,14 +171,12 @@ _LENGTHS = _violation(
 
 
 def _alignment(pattern: str) -> str:
-    first_bad = _violation(
-        "'bad_tag'", "bad", record_id="record_id", pos="pos", detail="tag"
-    )
+    bad = _violation("'bad_tag'", "bad", record_id="record_id", pos="pos", detail="tag")
     return f"""bad AS (
-  SELECT k.record_id, min(k.pos)::INTEGER AS pos, arg_min(k.tag, k.pos) AS tag
+  SELECT k.record_id, k.pos, k.tag
   FROM kept k JOIN sizes s ON s.record_id = k.record_id AND s.n_tokens = s.n_tags
-  WHERE NOT regexp_matches(k.tag, '{pattern}') GROUP BY k.record_id
-), misaligned AS ({first_bad} UNION ALL {_LENGTHS})"""
+  WHERE NOT regexp_matches(k.tag, '{pattern}')
+), misaligned AS ({bad} UNION ALL {_LENGTHS})"""
 
 
 def _transitions(source: str, tag: str) -> str:
@@ -213,7 +211,8 @@ _DOUBTFUL = f"""{_tagged()}, {_spans('s', 'ev', 'true_tag', 'strict')}, used AS
 )"""
 
 
-def _quality(table: str, texts: list[str], others: list[str], order: list[str]) -> str:
+def _quality(table: str, texts: list[str], others: list[str]) -> str:
+    order = [*texts, *others]
     names = ", ".join(f'"{c}"' for c in order)
     totals = f"""(SELECT count(*) FROM {table})::BIGINT AS total_records,
   {len(order)}::INTEGER AS total_columns,
@@ -367,11 +366,6 @@ _ERROR = (
 _ERRORS = f"""{_tagged()}, err AS (
   SELECT *, {_ERROR} AS error_type FROM ev WHERE true_tag <> pred_tag
 )"""
-_EXAMPLES = f"""{_ERRORS}, examples AS (
-  SELECT * FROM err WHERE record_id IN (
-    SELECT DISTINCT record_id FROM err ORDER BY record_id LIMIT 100)
-)"""
-
 
 def _short(tag: str) -> str:
     return f"CASE WHEN contains({tag}, '-') THEN string_split({tag}, '-')[-1] ELSE 'O' END"
@@ -506,9 +500,14 @@ def oracles() -> dict[str, str]:
         _violation("'missing_column'", "(SELECT 1)", col="'EAN'"),
         _violation("'null_values'", null_lang, "k", col="'lang'"),
     ]
+    all_labels = [*labels(), "", "bad"]
     pivot = ", ".join(
-        f"coalesce(sum(n) FILTER (pred_tag = '{x}'), 0)::BIGINT AS \"{x}\"" for x in labels()
+        f"coalesce(sum(n) FILTER (pred_tag = '{x}'), 0)::BIGINT AS \"{x or BLANK_COLUMN}\""
+        for x in all_labels
     )
+    error_matrix = f"""WITH {_ERRORS}
+SELECT {_short('true_tag')} AS true_type, {_short('pred_tag')} AS pred_type, count(*) AS n
+FROM err GROUP BY ALL"""
     type_cols = "p AS precision, r AS recall, f AS f1, support"
     rounded_scores = (
         "round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1"
@@ -548,13 +547,24 @@ UNION ALL SELECT 'weighted avg', sum(p * support) / sum(support), sum(r * suppor
   WHEN 1 THEN 'Sample{t}_' || o_orderkey || '|Sample{t}_' || (o_orderkey + 1) ELSE '' END AS "{t}\""""
         for t in ENTITY_TYPES
     )
-    listing_model = f"""{_tokens(LISTINGS)}, given AS (
+    per_type = f"""x AS (
+  SELECT type, round(count(*) FILTER (exact) / count(*), 6) AS exact_match_rate,
+    round(count(*) FILTER (partial) / count(*), 6) AS partial_match_rate,
+    count(*)::DOUBLE AS total_examples FROM cmp GROUP BY type
+) SELECT types.type_no::INTEGER AS type_no, types.type, {report},
+  x.exact_match_rate, x.partial_match_rate, x.total_examples
+FROM types LEFT JOIN lab b ON b.key = 'B-' || types.type LEFT JOIN lab i ON i.key = 'I-' || types.type
+LEFT JOIN typ entity ON entity.key = types.type LEFT JOIN x ON x.type = types.type"""
+    tagged_listings = f"""{_tokens(LISTINGS)}, given AS (
   SELECT record_id, pos, token, {_tag('m', 'ty')} AS true_tag
   FROM (SELECT *, {_type()} AS ty,
       (record_id * 7 + pos * 13 + length(token) * 5) % 10 AS m FROM tok)
-), {_lexicon('SELECT token, true_tag AS tag FROM given')}, ev AS (
+)"""
+    listing_model = f"""{tagged_listings}, {_lexicon('SELECT token, true_tag AS tag FROM given')}, ev AS (
   SELECT g.*, coalesce(l.tag, 'O') AS pred_tag FROM given g LEFT JOIN lex l ON l.token = g.token
 )"""
+    cv_folds = f"""WITH m AS ({_CV_METRICS})
+SELECT fold::INTEGER AS fold, metric, round(value, 6) AS value FROM m"""
     train_tag = "CASE WHEN true_tag = 'bad' THEN 'O' ELSE true_tag END"
 
     return {
@@ -604,15 +614,33 @@ failed AS (
         + _violation(
             "'unknown_token'", "usage WHERE have = 0", "used", record_id="record_id", detail="token"
         ),
-        "submission_violations": f"WITH {raw} " + " UNION ALL ".join([mismatch, *bad_cells]),
-        "data_quality": _quality(
-            "documents", ["text", "lang", "source"], ["n_chars"], ["text", "lang", "source", "n_chars"]
+        "reconstruction_violations": f"WITH {_DOUBTFUL} "
+        + _violation(
+            "'token_overuse'",
+            "usage WHERE used > have AND have > 0",
+            "used - have",
+            record_id="record_id",
+            detail="token",
+        )
+        + " UNION ALL "
+        + _violation(
+            "'unknown_token'", "usage WHERE have = 0", "used", record_id="record_id", detail="token"
+        ),
+        "unknown_types": f"WITH {_FAULTY}, {_spans('s', 'kept', 'tag', 'strict')} "
+        + _violation(
+            "'unknown_type'",
+            f"s WHERE type NOT IN {_in(ENTITY_TYPES)}",
+            record_id="record_id",
+            pos="start_pos",
+            detail="type",
         ),
+        "submission_violations": f"WITH {raw} " + " UNION ALL ".join([mismatch, *bad_cells]),
+        "data_quality": _quality("documents", ["text", "lang", "source"], ["doc_id", "n_chars"]),
         "data_quality_lineitem": _quality(
             "lineitem",
             ["l_returnflag", "l_linestatus"],
-            ["l_quantity", "l_discount", "l_tax"],
-            ["l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax"],
+            ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+             "l_extendedprice", "l_discount", "l_tax", "l_shipdate"],
         ),
         "validation_summary": f"""WITH {_FAULTY}, {_alignment(type_pattern())},
 {_transitions('kept', 'tag')}, found AS (
@@ -624,7 +652,8 @@ FROM found GROUP BY ROLLUP (rule)""",
 SELECT true_tag, pred_tag, count(*) AS n FROM ev GROUP BY ALL""",
         "confusion_pivot": f"""WITH {_tagged()}, conf AS (
   SELECT true_tag, pred_tag, count(*) AS n FROM ev GROUP BY ALL
-) SELECT true_tag, {pivot} FROM conf GROUP BY true_tag""",
+) SELECT l.true_tag, {pivot} FROM (SELECT unnest({_list(all_labels)}) AS true_tag) l
+LEFT JOIN conf ON conf.true_tag = l.true_tag GROUP BY l.true_tag""",
         "labels_seen": f"""WITH {_tagged()}
 SELECT true_tag AS label FROM ev UNION SELECT pred_tag FROM ev""",
         "per_label_metrics": f"""WITH {_LABELS}
@@ -663,14 +692,7 @@ FROM cmp GROUP BY type""",
 SELECT metric, round(value, 6) AS value FROM overall WHERE metric IN {_in(SUMMARY_METRICS)}""",
         "evaluate_predictions": f"WITH {_tagged(CONVERSATIONS)}, {_metric_ctes()} {_metrics_long()}",
         "eval_from_wide": f"WITH {_tagged(LISTINGS)}, {_metric_ctes()} {_metrics_long()}",
-        "per_type_report": f"""WITH {_tagged()}, {_metric_ctes()}, x AS (
-  SELECT type, round(count(*) FILTER (exact) / count(*), 6) AS exact_match_rate,
-    round(count(*) FILTER (partial) / count(*), 6) AS partial_match_rate,
-    count(*)::DOUBLE AS total_examples FROM cmp GROUP BY type
-) SELECT types.type_no::INTEGER AS type_no, types.type, {report},
-  x.exact_match_rate, x.partial_match_rate, x.total_examples
-FROM types LEFT JOIN lab b ON b.key = 'B-' || types.type LEFT JOIN lab i ON i.key = 'I-' || types.type
-LEFT JOIN typ entity ON entity.key = types.type LEFT JOIN x ON x.type = types.type""",
+        "per_type_report": f"WITH {_tagged()}, {_metric_ctes()}, {per_type}",
         "error_rows": f"""WITH {_ERRORS}
 SELECT record_id, pos, token, true_tag, pred_tag, error_type FROM err""",
         "error_types": f"""WITH {_ERRORS}
@@ -684,14 +706,10 @@ SELECT error_type, count(*) AS n,
 SELECT true_tag || ' -> ' || pred_tag AS pair, count(*) AS n,
   round(count(*) / (SELECT count(*) FROM err) * 100, 6) AS percentage
 FROM err GROUP BY pair ORDER BY n DESC, pair LIMIT 10""",
-        "error_examples": f"""WITH {_EXAMPLES}
-SELECT record_id, pos, token, true_tag, pred_tag, error_type FROM examples""",
-        "entity_error_matrix": f"""WITH {_EXAMPLES}
-SELECT {_short('true_tag')} AS true_type, {_short('pred_tag')} AS pred_type, count(*) AS n
-FROM examples GROUP BY ALL""",
-        "entity_error_matrix_all": f"""WITH {_ERRORS}
-SELECT {_short('true_tag')} AS true_type, {_short('pred_tag')} AS pred_type, count(*) AS n
-FROM err GROUP BY ALL""",
+        "error_examples": f"""WITH {_ERRORS}
+SELECT record_id, pos, token, true_tag, pred_tag, error_type FROM err""",
+        "entity_error_matrix": error_matrix,
+        "entity_error_matrix_all": error_matrix,
         "submission_rows": submission,
         "submission_roundtrip": submission,
         "stream_submission": submission,
@@ -716,6 +734,23 @@ SELECT record_id, pos, token, CASE WHEN record_id % 2 = 0 OR pos < ceil(n / 2) T
         "prediction_stats": f"""WITH {_tagged()}, s AS ({' UNION ALL '.join(stat_rows)})
 SELECT metric, round(value, 6) AS value FROM s""",
         "evaluate_model": f"WITH {listing_model}, {_metric_ctes()} {_metrics_long()}",
+        "evaluate_user_model": f"""WITH {tagged_listings}, ev AS (
+  SELECT *, CASE WHEN regexp_matches(token, '^[0-9]+$') THEN 'B-Anzahl' ELSE 'O' END AS pred_tag FROM given
+), {_metric_ctes()} {_metrics_long()}""",
+        "predict_repeated_ids": f"""WITH {_PREDICT}
+SELECT CASE WHEN t.record_id % 5 <> 0 THEN t.record_id % 3 END AS record_id,
+  coalesce(string_agg(token, ' ' ORDER BY pos), '') AS tokens,
+  coalesce(string_agg(tag, ' ' ORDER BY pos), '') AS pred_tags
+FROM titles t LEFT JOIN predicted p ON p.record_id = t.record_id GROUP BY t.record_id""",
+        "saved_model_info": f"""WITH {_tagged()}, {_lexicon('SELECT token, true_tag AS tag FROM ev')}
+SELECT 'lexicon' AS model_class, {len(labels())}::INTEGER AS num_labels, true AS is_trained,
+  count(*) AS n_entries FROM lex""",
+        "train_job": f"""WITH {tagged_listings}, {_transitions('given', 'true_tag')}, found AS (
+  SELECT 'bad_tag' AS rule FROM given WHERE NOT regexp_matches(true_tag, '{type_pattern()}')
+  UNION ALL SELECT rule FROM transitions
+) SELECT coalesce(rule, 'all') AS rule, count(*) AS violations, count(*) = 0 AS is_valid
+FROM found GROUP BY ROLLUP (rule)""",
+        "evaluate_job": f"WITH {listing_model}, {_metric_ctes()}, {per_type}",
         "predict_listings": f"""WITH {listing_model}, {_spans('s', 'ev', 'pred_tag', 'strict')}
 {_submission('recs', 's')}""",
         "user_model_predict": f"""WITH {_tokens(CONVERSATIONS)}
@@ -723,8 +758,8 @@ SELECT record_id, pos, token,
   CASE WHEN regexp_matches(token, '^[0-9]+$') THEN 'B-Anzahl' ELSE 'O' END AS tag FROM tok""",
         "length_bins": f"WITH {_tokens()}, {_BINS} SELECT record_id, n_tokens, bin FROM bins",
         "stratified_folds": f"WITH {_tokens()}, {_BINS} SELECT record_id, bin, fold FROM folded",
-        "cv_fold_metrics": f"""WITH m AS ({_CV_METRICS})
-SELECT fold::INTEGER AS fold, metric, round(value, 6) AS value FROM m""",
+        "cv_fold_metrics": cv_folds,
+        "cv_user_model": cv_folds,
         "cv_summary": f"""WITH m AS ({_CV_METRICS})
 SELECT metric, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM m GROUP BY metric""",
         "tsv_roundtrip": r"""SELECT doc_id::VARCHAR AS id, regexp_replace(text, '[\r\n]+', ' ', 'g') AS title,
@@ -732,6 +767,18 @@ SELECT metric, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std
         "tsv_corrupt_rows": """SELECT p_partkey || chr(9) || p_name || chr(9) || p_brand || chr(9) || 'extra'
   AS line, 4 AS n_fields FROM part WHERE p_size > 40""",
         "tsv_fallback": "SELECT p_partkey::VARCHAR AS id, p_name AS name, p_brand AS brand FROM part",
+        "tsv_messy": """SELECT p_partkey::VARCHAR AS id,
+  CASE WHEN p_size % 7 = 0 THEN chr(34) ELSE '' END || p_name AS name, p_brand AS brand FROM part""",
+        "tsv_surplus": """SELECT 'surplus_fields' AS rule, NULL::VARCHAR AS col,
+  p_partkey || chr(9) || CASE WHEN p_size % 7 = 0 THEN chr(34) ELSE '' END || p_name || chr(9) || p_brand
+    || chr(9) || 'extra' AS detail, 1::BIGINT AS n
+FROM part WHERE p_size > 40 AND p_partkey % 2 = 0""",
+        "file_info": """SELECT sum(b)::BIGINT AS file_size_bytes, round(sum(b) / (1024 * 1024), 2) AS file_size_mb,
+  false AS is_compressed, count(*) AS total_lines
+FROM (SELECT octet_length(encode(p_partkey || chr(9) || p_name || chr(9) || p_brand)) + 1 AS b FROM part)""",
+        "stream_titles": f"""WITH {_PREDICT}, {_spans('s', 'predicted', 'tag', 'strict')}
+{_submission('titles', 's')}""",
+        "stream_tag_counts": f"WITH {_tagged()} SELECT true_tag AS tag, count(*) AS n FROM ev GROUP BY true_tag",
         "sample_submission": f"SELECT o_orderkey::VARCHAR AS id, {samples} FROM orders",
         "predict_submission": f"""WITH {_PREDICT}, {_spans('s', 'predicted', 'tag', 'strict')}
 {_submission('titles', 's')}""",

@@ -214,6 +214,16 @@ def unknown_tokens(spark, d):
     return checks.unknown_tokens(_doubtful_entities(spark, d))
 
 
+@query
+def reconstruction_violations(spark, d):
+    return checks.validate_reconstruction(_doubtful_entities(spark, d))
+
+
+@query
+def unknown_types(spark, d):
+    return checks.unknown_types(inputs.faulty_sequences(spark, d))
+
+
 @query
 def submission_violations(spark, d):
     table = inputs.table(spark, d, "documents")
@@ -229,15 +239,12 @@ def submission_violations(spark, d):
 
 @query
 def data_quality(spark, d):
-    return checks.data_quality(inputs.table(spark, d, "documents").drop("doc_id"))
+    return checks.data_quality(inputs.table(spark, d, "documents"))
 
 
 @query
 def data_quality_lineitem(spark, d):
-    table = inputs.table(spark, d, "lineitem")
-    return checks.data_quality(
-        table.select("l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax")
-    )
+    return checks.data_quality(inputs.table(spark, d, "lineitem"))
 
 
 @query
@@ -270,7 +277,8 @@ def confusion_matrix(spark, d):
 
 @query
 def confusion_pivot(spark, d):
-    return metrics.confusion_matrix(metrics.confusion(_pairs(spark, d)), labels())
+    # The tags of the inputs: the labels, blank, and one that is no tag.
+    return metrics.confusion_matrix(metrics.confusion(_pairs(spark, d)), [*labels(), "", "bad"])
 
 
 @query
@@ -407,7 +415,7 @@ def entity_error_matrix(spark, d):
 
 @query
 def entity_error_matrix_all(spark, d):
-    return errors.entity_error_matrix(errors.error_examples(inputs.sequences(spark, d), None))
+    return errors.entity_error_matrix(errors.errors(_pairs(spark, d)))
 
 
 # --- submission --------------------------------------------------------------------------
@@ -453,7 +461,9 @@ def submission_roundtrip(spark, d):
     path = new_path(spark, "submission")
     tsv.save_submission(submission.submission(_true_sequences(spark, d)), path)
     tsv.verify_output(spark, path)
-    return tsv.read_submission(spark, path)
+    read = tsv.read_submission(spark, path)
+    checks.assert_submission(read)
+    return read
 
 
 # --- tagger ------------------------------------------------------------------------------
@@ -512,16 +522,45 @@ def evaluate_model(spark, d):
     return _rounded(tagger.evaluate_model(wide, lexicon, names), "value")
 
 
+def _digits_are_numbers(batch):
+    return [["B-Anzahl" if t.isascii() and t.isdigit() else "O" for t in ts] for ts in batch]
+
+
 @query
 def user_model_predict(spark, d):
-    def digits_are_numbers(batch):
-        return [["B-Anzahl" if t.isascii() and t.isdigit() else "O" for t in ts] for ts in batch]
-
     titles = tokens.with_tokens(inputs.conversations(spark, d))
-    predicted = tagger.predict_with(titles, digits_are_numbers)
+    predicted = tagger.predict_with(titles, _digits_are_numbers)
     return tokens.tagged_long(predicted, "pred_tags")
 
 
+@query
+def evaluate_user_model(spark, d):
+    names = [f"t{i}" for i in range(inputs.WIDE_COLUMNS)]
+    found = tagger.evaluate_model(inputs.wide_listings(spark, d), _digits_are_numbers, names)
+    return _rounded(found, "value")
+
+
+@query
+def predict_repeated_ids(spark, d):
+    """Titles whose ids repeat or are missing: a row each, told apart by their tags."""
+    lexicon = _model(spark, inputs.sequences(spark, d))
+    titles = inputs.conversations(spark, d)
+    number = F.col("record_id")
+    blurred = titles.withColumn("record_id", F.when(number % 5 != 0, number % 3))
+    tagged = tagger.predict(blurred, lexicon)
+    return tagged.select("record_id", *[F.array_join(c, " ").alias(c) for c in ("tokens", "pred_tags")])
+
+
+@query
+def saved_model_info(spark, d):
+    """M7 beside the entries it describes."""
+    path = new_path(spark, "model")
+    store.save_model(tagger.fit_sequences(inputs.sequences(spark, d)), path)
+    entries = store.load_model(spark, path).agg(F.count(F.lit(1)).alias("n_entries"))
+    info = store.load_info(spark, path).select("model_class", "num_labels", "is_trained")
+    return info.join(entries)
+
+
 # --- folds -------------------------------------------------------------------------------
 
 
@@ -549,6 +588,14 @@ def cv_summary(spark, d):
     return _rounded(folds.cv_summary(folds.cross_validate(inputs.sequences(spark, d))), "mean", "std")
 
 
+@query
+def cv_user_model(spark, d):
+    """Cross-validation of a model that its user fits: here the lexicon, once for each fold."""
+    seqs = inputs.sequences(spark, d).drop("pred_tags")
+    scores = folds.cross_validate_with(lambda train: _model(spark, train), seqs)
+    return _rounded(scores, "value")
+
+
 # --- sources, sinks, jobs, streams -------------------------------------------------------
 
 
@@ -588,16 +635,47 @@ def tsv_corrupt_rows(spark, d):
 
 @query
 def tsv_fallback(spark, d):
-    return tsv.with_fallback(
-        tsv.read_tsv_gz(spark, _lines_with_surplus(spark, d), keep_corrupt=True)
-    )
+    return tsv.read_tsv_gz(spark, _lines_with_surplus(spark, d), on_surplus="drop")
+
+
+def _messy_lines(spark: SparkSession, d: str) -> list[str]:
+    """Gzip TSV of the parts in two folders whose headers differ in order, with stray quotes and
+    surplus fields."""
+    part = inputs.table(spark, d, "part")
+    stray = F.when(F.col("p_size") % 7 == 0, F.concat(F.lit('"'), F.col("p_name"))).otherwise(F.col("p_name"))
+    columns = {"id": F.col("p_partkey").cast("string"), "name": stray, "brand": F.col("p_brand")}
+    paths = []
+    for parity, order in enumerate((["id", "name", "brand"], ["brand", "name", "id"])):
+        path = new_path(spark, "messy")
+        line = F.concat_ws("\t", *[columns[c] for c in order])
+        surplus = F.when(F.col("p_size") > 40, F.concat(line, F.lit("\textra"))).otherwise(line)
+        half = part.filter(F.col("p_partkey") % 2 == parity).select(surplus.alias("\t".join(order)))
+        writer = tsv.write_options(half.write).option("sep", "\u0001")
+        writer.option("header", True).option("compression", "gzip").csv(path)
+        paths.append(f"{path}/*.gz")
+    return paths
+
+
+@query
+def tsv_messy(spark, d):
+    return tsv.read_tsv_gz(spark, _messy_lines(spark, d), on_surplus="drop")
+
+
+@query
+def tsv_surplus(spark, d):
+    read = tsv.read_tsv_gz(spark, _messy_lines(spark, d)[0], keep_corrupt=True)
+    return tsv.surplus_violations(read)
 
 
 @query
 def file_info(spark, d):
-    info = tsv.file_info(spark, f"{d}/*.parquet")
-    name = F.substring_index("file_path", "/", -1)
-    return info.select(name.alias("file"), "file_size_bytes", "file_size_mb", "is_compressed")
+    """Of the parts written as one plain file."""
+    path = new_path(spark, "plain")
+    part = inputs.table(spark, d, "part")
+    lines = part.select(F.concat_ws("\t", F.col("p_partkey").cast("string"), "p_name", "p_brand"))
+    lines.coalesce(1).write.text(path)
+    info = tsv.file_info(spark, path)
+    return info.select("file_size_bytes", "file_size_mb", "is_compressed", "total_lines")
 
 
 @query
@@ -610,6 +688,23 @@ def sample_submission(spark, d):
     return samples.sample_submission(inputs.table(spark, d, "orders"), "o_orderkey")
 
 
+@query
+def train_job(spark, d):
+    names = [f"t{i}" for i in range(inputs.WIDE_COLUMNS)]
+    wide = inputs.wide_listings(spark, d)
+    return jobs.train(wide, names, new_path(spark, "model"), id_col="record_id")
+
+
+@query
+def evaluate_job(spark, d):
+    """The report per type, from metrics written and read back as JSON."""
+    names = [f"t{i}" for i in range(inputs.WIDE_COLUMNS)]
+    wide, model = inputs.wide_listings(spark, d), new_path(spark, "model")
+    jobs.train(wide, names, model, id_col="record_id")
+    report = jobs.evaluate(spark, model, wide, names, new_path(spark, "report"), id_col="record_id")
+    return _rounded(report, *[c for c in report.columns if c not in ("type_no", "type")])
+
+
 @query
 def predict_submission(spark, d):
     model, out = new_path(spark, "model"), new_path(spark, "predictions")
@@ -641,3 +736,31 @@ def stream_submission(spark, d):
     started = incremental.submission_stream(seqs, out, new_path(spark, "stream-state"))
     started.awaitTermination()
     return tsv.read_submission(spark, out)
+
+
+@query
+def stream_titles(spark, d):
+    """Titles in TSV files → stream → lexicon → spans → submission rows."""
+    source, out = new_path(spark, "titles"), new_path(spark, "stream-out")
+    titles = inputs.conversations(spark, d).select(
+        F.col("record_id").cast("string").alias("id"),
+        F.regexp_replace("title", "[\r\n\t]+", " ").alias("title"),
+    )
+    titles.write.option("sep", "\t").option("header", True).option("escape", '"').csv(source)
+    lexicon = _model(spark, inputs.sequences(spark, d))
+    stream = incremental.tsv_stream(spark, source, ["id", "title"])
+    state = new_path(spark, "stream-state")
+    incremental.tagged_submission_stream(stream, lexicon, out, state).awaitTermination()
+    return incremental.read_batches(spark, out)
+
+
+@query
+def stream_tag_counts(spark, d):
+    """Running counts over a stream, as its last batch leaves them."""
+    schema = spark.read.parquet(f"{d}/documents.parquet").schema
+    stream = spark.readStream.schema(schema).parquet(f"{d}/documents.parque[t]")
+    titles = stream.select(F.col("doc_id").alias("record_id"), F.col("text").alias("title"))
+    counts = incremental.running_tag_counts(inputs.tagged(titles), "true_tags")
+    out = new_path(spark, "stream-counts")
+    incremental.latest(counts, out, new_path(spark, "stream-state")).awaitTermination()
+    return spark.read.schema("tag string, n bigint").parquet(out)

@@ -20,7 +20,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
     return _local_folder(spark.sparkContext.applicationId)
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from titlespan.session import spread
 from titlespan.types import SUBMISSION_COLUMNS
 
 CORRUPT = "_corrupt"
@@ -34,18 +35,40 @@ def read_tsv_gz(
     quotechar: str = '"',
     keep_corrupt: bool = False,
     multiline: bool = False,
+    on_surplus: str = "raise",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Gzip TSV with CSV quoting, header names, every column a string.
 
     Blank lines are skipped, '' stays '', `NA` and `null` stay text, short rows are filled
-    with ''. `path` takes a glob ending in `.gz`. A gzip file is one task, so few files are
-    spread over the cores after the scan.
-
-    With `keep_corrupt` the raw line of a row whose field count differs from the header
-    is kept in `_corrupt`; see `with_fallback` and `corrupt_rows`. `multiline` accepts
-    line breaks inside quotes.
+    with ''. `path` takes a glob ending in `.gz`, or a list of them. The files of one glob must
+    have one header, or the read fails; the globs of a list may have theirs in any order, and
+    columns are matched by name. A gzip file is one task; `partitions` deals its rows out.
+
+    A row that the quoted parse cannot place is split on the delimiter (`with_fallback`). A row
+    with more fields than the header fails the read; `on_surplus="drop"` leaves its last
+    fields out. With `keep_corrupt` neither happens: the raw line of a row whose field count
+    differs from the header is kept in `_corrupt`, and `with_fallback`, `corrupt_rows` and
+    `surplus_violations` take it from there. `multiline` accepts line breaks inside quotes.
     """
-    paths = _paths(path)
+    if on_surplus not in ("raise", "drop"):
+        raise ValueError(f"on_surplus must be 'raise' or 'drop', got {on_surplus!r}")
+    parts = [
+        _read_one(spark, p, delimiter, encoding, quotechar, multiline) for p in _paths(path)
+    ]
+    if not keep_corrupt:
+        parts = [with_fallback(p, delimiter, on_surplus) for p in parts]
+    names = sorted(parts[0].columns)
+    if any(sorted(p.columns) != names for p in parts):
+        raise ValueError(f"files differ in their columns: {[p.columns for p in parts]}")
+    read = reduce(DataFrame.unionByName, parts)
+    return read.repartition(partitions) if partitions else read
+
+
+def _read_one(
+    spark: SparkSession, path: str, delimiter: str, encoding: str, quotechar: str, multiline: bool
+) -> DataFrame:
+    """The files of one glob with their common header and the raw line of rows that do not fit."""
 
     def reader():
         return (
@@ -57,15 +80,11 @@ def read_tsv_gz(
             .option("multiLine", multiline)
         )
 
-    columns = reader().csv(paths[0]).columns
-    schema = string_schema(columns)
-    if keep_corrupt:
-        # Without column pruning a row is checked in full whichever columns are read.
-        schema = schema.add(CORRUPT, StringType())
-        scan = reader().option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
-    else:
-        scan = reader()
-    return spread(scan.schema(schema).csv(paths)).na.fill("", columns)
+    columns = reader().csv(path).columns
+    schema = string_schema(columns).add(CORRUPT, StringType())
+    # Without column pruning a row is checked in full whichever columns are read.
+    scan = reader().option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+    return scan.option("enforceSchema", False).schema(schema).csv(path).na.fill("", columns)
 
 
 def _data_columns(df: DataFrame) -> list[str]:
@@ -76,14 +95,21 @@ def _raw_fields(delimiter: str) -> Column:
     return F.split(CORRUPT, "\\Q" + delimiter + "\\E", -1)
 
 
-def with_fallback(df: DataFrame, delimiter: str = "\t") -> DataFrame:
+def with_fallback(
+    df: DataFrame, delimiter: str = "\t", on_surplus: str = "drop"
+) -> DataFrame:
     """A row the quoted parse could not place is split on the delimiter, no quoting.
 
     Applies to rows with at least as many raw fields as the header; shorter rows are legal.
-    Surplus fields are dropped here and listed by `corrupt_rows`.
+    Surplus fields are left out here and listed by `corrupt_rows` and `surplus_violations`, or
+    fail the read with `on_surplus="raise"`.
     """
     columns = _data_columns(df)
     fields = _raw_fields(delimiter)
+    if on_surplus == "raise":
+        problem = F.raise_error(F.concat(F.lit("more fields than the header has: "), F.col(CORRUPT)))
+        too_many = F.size(fields) > len(columns)
+        fields = F.when(too_many, problem.cast("array<string>")).otherwise(fields)
     misread = F.col(CORRUPT).isNotNull() & (F.size(fields) >= len(columns))
     return df.select(
         *[
@@ -109,6 +135,17 @@ def corrupt_rows(df: DataFrame, delimiter: str = "\t") -> DataFrame:
     )
 
 
+def surplus_violations(df: DataFrame, delimiter: str = "\t") -> DataFrame:
+    """`corrupt_rows` as violations, a row for each line with its number of surplus fields."""
+    width = len(_data_columns(df))
+    return corrupt_rows(df, delimiter).selectExpr(
+        "'surplus_fields' AS rule",
+        "CAST(NULL AS STRING) AS col",
+        "line AS detail",
+        f"CAST(n_fields - {width} AS BIGINT) AS n",
+    )
+
+
 def file_info(spark: SparkSession, path: str) -> DataFrame:
     """Per file its path, bytes, MB, gzip flag, and lines if it is not compressed.
 
@@ -136,7 +173,7 @@ def file_info(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _guarded(df: DataFrame) -> DataFrame:
+def guarded(df: DataFrame) -> DataFrame:
     """V7 inside the write: a bad value fails the job, which then commits no file."""
     if df.columns != SUBMISSION_COLUMNS:
         raise ValueError(f"expected columns {SUBMISSION_COLUMNS}, got {df.columns}")
@@ -174,7 +211,7 @@ def save_submission(
     compression: str = "none",
 ) -> None:
     """Writes the submission; validation is part of the same pass."""
-    rows = _guarded(df) if validate else df
+    rows = guarded(df) if validate else df
     writer = write_options(rows.write.mode("errorifexists"))
     writer.option("header", include_header).option("compression", compression).csv(path)
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from titlespan.operators.checks import data_quality
 from titlespan.operators.submission import submission
 from titlespan.operators.tagger import predict
-from titlespan.sources.tsv import read_submission, string_schema, write_options
+from titlespan.sources.tsv import guarded, read_submission, string_schema, write_options
 
 
 def tsv_stream(
@@ -20,11 +20,15 @@ def tsv_stream(
     delimiter: str = "\t",
     quotechar: str = '"',
 ) -> DataFrame:
-    """G1: new files of a folder as a stream, every column a string."""
+    """G1: new files of a folder as a stream, every column a string.
+
+    A file whose header differs from `columns` fails the stream instead of swapping columns.
+    """
     return (
         spark.readStream.schema(string_schema(columns))
         .option("sep", delimiter)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("quote", quotechar)
         .option("escape", quotechar)
         .option("maxFilesPerTrigger", files_per_trigger)
@@ -36,9 +40,9 @@ def tsv_stream(
 def submission_stream(seqs: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """G2 for a stream of `(record_id, tokens, tags)`: E1 and F1 keep no state.
 
-    The file sink commits each batch once.
+    The file sink commits each batch once; a value that no TSV can hold fails the batch.
     """
-    writer = write_options(submission(seqs).writeStream.format("csv"))
+    writer = write_options(guarded(submission(seqs)).writeStream.format("csv"))
     return (
         writer.option("header", True)
         .option("path", out)
@@ -65,7 +69,7 @@ def tagged_submission_stream(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         tagged = predict(batch, lexicon, id_col, title_col)
-        rows = submission(tagged, tag_col="pred_tags")
+        rows = guarded(submission(tagged, tag_col="pred_tags"))
         writer = write_options(rows.write.mode("overwrite")).option("header", True)
         writer.csv(f"{out}/batch={batch_id}")
 
@@ -92,6 +96,21 @@ def running_tag_counts(tags: DataFrame, tag_col: str = "tags") -> DataFrame:
     )
 
 
+def latest(counts: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """A running aggregate as a table that every micro-batch replaces as a whole."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(out)
+
+    return (
+        counts.writeStream.foreachBatch(run)
+        .outputMode("complete")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def quality_stream(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """V8 per micro-batch, one folder per batch."""
 
