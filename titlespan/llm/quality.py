@@ -3,7 +3,8 @@
 Two zstandard dictionaries are built from texts labelled good and bad. A text is compressed with
 each, block by block so that the dictionaries and not the text's own past do the work; the
 difference of the two sizes, divided by the text's size, tells which it resembles. Labelled
-texts that no dictionary has seen calibrate the difference to a probability.
+texts that no dictionary has seen calibrate the difference, and how short a text is, as a few
+words prove little, to a probability.
 """
 
 from __future__ import annotations
@@ -28,16 +29,18 @@ DICTIONARY_BYTES = 110 << 10
 BLOCK = 512
 LEVEL = 3
 THRESHOLD = 0.7
+#: Bytes at which a text counts as half short.
+SHORT = 64
 
 
 @dataclass(frozen=True)
 class QualityModel:
-    """Dictionaries (each below 112 KB) and the two numbers of the calibration."""
+    """Dictionaries (each below 112 KB) and the calibration's weights: of the difference, of
+    shortness, and the constant."""
 
     good: bytes
     bad: bytes
-    slope: float
-    offset: float
+    weights: tuple[float, float, float]
 
 
 def blocks(text: str) -> Iterator[bytes]:
@@ -58,13 +61,13 @@ class _Compressors:
                 )
             )
 
-    def difference(self, text: str | None) -> float:
-        """(size with the bad dictionary - size with the good one) / size; 0 for no text."""
-        if not text:
-            return 0.0
-        data = list(blocks(text))
+    def features(self, text: str | None) -> tuple[float, float]:
+        """(size with the bad dictionary - size with the good one) / (size + `SHORT`), and the
+        shortness, from 0 to 1; (0, 1) for no text."""
+        data = list(blocks(text or ""))
         good, bad = (sum(len(c.compress(b)) for b in data) for c in self.pair)
-        return (bad - good) / sum(map(len, data))
+        size = sum(map(len, data)) + SHORT
+        return (bad - good) / size, SHORT / size
 
 
 @cache
@@ -119,14 +122,13 @@ def fit(
             taken.append(row["text"])
         texts[label] = taken
     if min(map(len, texts.values())) < 12:
-        return QualityModel(b"", b"", 0.0, float(np.log(share / (1 - share))))
+        return QualityModel(b"", b"", (0.0, 0.0, float(np.log(share / (1 - share)))))
     built = {label: _dictionary([t for i, t in enumerate(ts) if i % 3]) for label, ts in texts.items()}
     compressors = _Compressors(built[1], built[0])
     unseen = {label: ts[::3] for label, ts in texts.items()}
-    x = np.array([compressors.difference(t) for label in (0, 1) for t in unseen[label]])
+    x = np.array([compressors.features(t) for label in (0, 1) for t in unseen[label]])
     y = np.repeat([0.0, 1.0], [len(unseen[0]), len(unseen[1])])
-    slope, offset = _logistic(x, y, share)
-    return QualityModel(built[1], built[0], slope, offset)
+    return QualityModel(built[1], built[0], _logistic(x, y, share))
 
 
 def _dictionary(texts: list[str]) -> bytes:
@@ -138,33 +140,33 @@ def _dictionary(texts: list[str]) -> bytes:
         return b"".join(samples)[-size:]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> tuple[float, float]:
+def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> tuple[float, float, float]:
     """Platt's scaling by Newton steps; `share` is the weight of the ones, targets are softened."""
     ones, zeros = y.sum(), (1 - y).sum()
     target = np.where(y > 0, (ones + 1) / (ones + 2), 1 / (zeros + 2))
     weight = np.where(y > 0, share / ones, (1 - share) / zeros)
-    scale = max(np.abs(x).max(), 1e-9)
-    features = np.stack([x / scale, np.ones_like(x)], axis=1)
-    beta = np.zeros(2)
-    for _ in range(50):
+    scale = np.append(np.maximum(np.abs(x).max(axis=0), 1e-9), 1.0)
+    features = np.c_[x, np.ones(len(x))] / scale
+    beta = np.zeros(features.shape[1])
+    for _ in range(80):
         p = 1 / (1 + np.exp(-np.clip(features @ beta, -30, 30)))
         gradient = features.T @ (weight * (p - target)) + 1e-4 * beta
-        curvature = (features.T * (weight * p * (1 - p))) @ features + 1e-4 * np.eye(2)
+        curvature = (features.T * (weight * p * (1 - p))) @ features + 1e-4 * np.eye(len(beta))
         beta -= np.linalg.solve(curvature, gradient)
-    return float(beta[0] / scale), float(beta[1])
+    return tuple(float(b) for b in beta / scale)
 
 
 def score(text: Column, model: QualityModel) -> Column:
-    """A text's score, 0 to 1; null and empty texts get that of a difference of 0."""
+    """A text's score, 0 to 1; null and empty texts get that of no difference and full shortness."""
 
     @F.pandas_udf("double")
     def run(texts: pd.Series) -> pd.Series:
-        if not model.good:
-            differences = np.zeros(len(texts))
-        else:
-            work = _compressors(model.good, model.bad).difference
-            differences = np.fromiter((work(t) for t in texts), float, len(texts))
-        return pd.Series(1 / (1 + np.exp(-np.clip(model.slope * differences + model.offset, -30, 30))))
+        features = np.zeros((len(texts), 2))
+        if model.good and len(texts):
+            work = _compressors(model.good, model.bad).features
+            features = np.array([work(t) for t in texts])
+        logits = features @ np.array(model.weights[:2]) + model.weights[2]
+        return pd.Series(1 / (1 + np.exp(-np.clip(logits, -30, 30))))
 
     return run(text)
 
