@@ -20,8 +20,8 @@ from titlespan.llm.common import documents, two_columns
 
 BLANK = "▁"
 #: Nodes of a trie and remembered counts; a full one starts anew. Bounds memory, never results.
-NODES = 400_000
-KEPT = 200_000
+NODES = 300_000
+KEPT = 150_000
 #: Longer pre-tokens are scored without a trie, in a row of their own.
 IN_TRIE = 128
 #: What a byte of a letter beyond the vocabulary scores below the worst piece.
@@ -56,45 +56,65 @@ class CountTrie:
         self.scores = scores
         self.longest = max(map(len, scores), default=1)
         self.unknown = min(scores.values(), default=0.0) - UNKNOWN
+        # By the last three letters: the lengths of the pieces that end so.
+        self.lengths: dict[str, tuple[int, ...]] = {}
+        for piece in scores:
+            if len(piece) > 2:
+                known = self.lengths.get(piece[-3:], ())
+                if len(piece) not in known:
+                    self.lengths[piece[-3:]] = (*known, len(piece))
         self.terminal: dict[str, int] = {}
         self._clear()
 
     def _clear(self) -> None:
-        self.children: list[dict[str, int]] = [{}]
-        self.best: list[tuple[float, int]] = [(0.0, 0)]
-
-    def _forward(self, text: str, end: int, best_at) -> tuple[float, int]:
-        """Score and minus tokens of the prefix that ends at `end`, from those of shorter ones."""
-        score, tokens = best_at(end - 1)
-        letter = text[end - 1]
-        width = len(letter.encode("utf-8", "surrogatepass"))
-        found = (score + width * self.unknown, tokens - width)
+        """Nodes are numbers; an edge is a node and a letter in one number."""
+        self.edges: dict[int, int] = {}
+        self.score: list[float] = [0.0]
+        self.tokens: list[int] = [0]
+
+    def _forward(self, text: str, end: int, score: list[float], tokens: list[int], path) -> tuple[float, int]:
+        """Best score and its number of tokens for the prefix that ends at `end`, from those of
+        shorter prefixes; `path` has their places in the two lists."""
         known = self.scores.get
-        for start in range(max(0, end - self.longest), end):
-            piece = known(text[start:end])
+        lengths = (1, 2, *self.lengths.get(text[max(0, end - 3) : end], ()))
+        best, fewest = None, 0
+        for length in lengths:
+            if length > end:
+                continue
+            piece = known(text[end - length : end])
             if piece is not None:
-                score, tokens = best_at(start)
-                found = max(found, (score + piece, tokens - 1))
-        return found
+                before = path[end - length]
+                found, count = score[before] + piece, tokens[before] + 1
+                if best is None or found > best or (found == best and count < fewest):
+                    best, fewest = found, count
+        before = path[end - 1]
+        width = len(text[end - 1].encode("utf-8", "surrogatepass"))
+        found, count = score[before] + width * self.unknown, tokens[before] + width
+        if best is None or found > best or (found == best and count < fewest):
+            best, fewest = found, count
+        return best, fewest
 
     def _insert(self, text: str) -> int:
-        path, node = [0], 0
-        best, children = self.best, self.children
+        path, node, edges = [0], 0, self.edges
         for end, letter in enumerate(text, 1):
-            below = children[node].get(letter)
+            edge = node << 21 | ord(letter)
+            below = edges.get(edge)
             if below is None:
-                below = children[node][letter] = len(children)
-                children.append({})
-                best.append(self._forward(text, end, lambda i: best[path[i]]))
+                best, fewest = self._forward(text, end, self.score, self.tokens, path)
+                below = edges[edge] = len(self.score)
+                self.score.append(best)
+                self.tokens.append(fewest)
             path.append(below)
             node = below
-        return -best[node][1]
+        return self.tokens[node]
 
     def _alone(self, text: str) -> int:
-        row = [(0.0, 0)]
+        score, tokens, path = [0.0], [0], range(len(text) + 1)
         for end in range(1, len(text) + 1):
-            row.append(self._forward(text, end, row.__getitem__))
-        return -row[-1][1]
+            best, fewest = self._forward(text, end, score, tokens, path)
+            score.append(best)
+            tokens.append(fewest)
+        return tokens[-1]
 
     def count(self, pre_token: str) -> int:
         known = self.terminal.get(pre_token)
@@ -103,7 +123,7 @@ class CountTrie:
         text = BLANK + pre_token
         if len(text) > IN_TRIE:
             return self._alone(text)
-        if len(self.best) > NODES:
+        if len(self.score) > NODES:
             self._clear()
         if len(self.terminal) >= KEPT:
             self.terminal.clear()
