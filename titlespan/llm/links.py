@@ -72,20 +72,25 @@ def _hung(edges: DataFrame, large: bool) -> DataFrame:
     return moved.union(joined.selectExpr("a", "m AS b")).distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other, and none hangs on a node that itself hangs."""
+    ends = edges.selectExpr("a AS node", "1 AS hangs", "0 AS holds").union(
+        edges.selectExpr("b", "0", "1")
+    )
+    nodes = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    loose = nodes.filter("hangs > 1 OR hangs = 1 AND holds = 1")
+    return loose.limit(1).count() == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
     """`(node, component)` of every node of `edges(a, b)`; a component's name is its least node.
 
-    Alternates the two star steps until nothing moves, which takes logarithmically many rounds;
-    each round is a written table. Loops and repeated edges do no harm; no edges, no rows.
+    Alternates the two star steps until all components are stars, which takes logarithmically
+    many rounds; each step is a written table. Loops and repeated edges do no harm; no edges, no rows.
     """
     plain = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now = written(forest(plain), "links")
-    state = None
-    while True:
-        counted = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if tuple(counted) == state or not counted[0]:
-            break
-        state = tuple(counted)
+    now = written(forest(plain).distinct(), "links")
+    while not _stars(now):
         now = written(_hung(written(_hung(now, large=True), "links"), large=False), "links")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
