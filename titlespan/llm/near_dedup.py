@@ -7,8 +7,10 @@ likely it still reaches the threshold, and below the miss probability it goes. S
 verified on their full sets of shingles.
 
 Only links between different components matter, so a bucket is first held against its least
-member. Where that leaves a bucket in several components, all its pairs across components are
-compared, in blocks of bounded size; pairs never leave the tasks unless they survive.
+member. Where that leaves a bucket in several components, its pairs across components are
+compared, in blocks of bounded size: first each block gives the strongest pairs that would tie
+its components together, one fewer than those at most; then, for what is still apart, all pairs
+that survive. So a large group of near copies is tied together without its pairs.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ POSTERIOR_MISS = 1e-6
 BATCH = 25
 #: Members of a block in which a bucket's pairs are compared.
 BLOCK = 512
+#: Pairs whose signatures are compared at once.
+PAIRS = 1 << 16
 KEPT_WORDS = 300_000
 SEED = 20
 
@@ -52,6 +56,7 @@ def bands_of(percent: int) -> tuple[int, int]:
     return HASHES // rows, rows
 
 
+@cache
 def least_matches(compared: int, percent: int) -> int:
     """Matches below which the posterior chance of similarity is under `POSTERIOR_MISS`.
 
@@ -166,18 +171,22 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(len(column), -1)
 
 
-def likely(left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
-    """Which rows of two equally long signature matrices survive all batches."""
-    alive = np.arange(len(left))
-    matches = np.zeros(len(left), np.int64)
+def likely(
+    left: np.ndarray, right: np.ndarray, percent: int, x: np.ndarray, y: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs survive all batches, the k-th being row `x[k]` of `left` and `y[k]` of `right`;
+    and in how many places they agree."""
+    alive = np.arange(len(x))
+    matches = np.zeros(len(x), np.int64)
     for at in range(0, left.shape[1], BATCH):
-        here = slice(at, at + BATCH)
-        matches = matches + (left[alive, here] == right[alive, here]).sum(axis=1)
+        # Batches of columns behind each other in memory, so that a pair reads two short runs.
+        one, other = (np.ascontiguousarray(m[:, at : at + BATCH]) for m in (left, right))
+        matches = matches + (one[x[alive]] == other[y[alive]]).sum(axis=1)
         keep = matches >= least_matches(min(at + BATCH, left.shape[1]), percent)
         alive, matches = alive[keep], matches[keep]
         if not len(alive):
             break
-    return alive
+    return alive, matches
 
 
 def _star_survivors(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
@@ -187,7 +196,9 @@ def _star_survivors(pairs: DataFrame, signatures: DataFrame, percent: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            alive = likely(_matrix(batch.column("of_a")), _matrix(batch.column("of_b")), percent)
+            all_rows = np.arange(batch.num_rows)
+            sides = [_matrix(batch.column(c)) for c in ("of_a", "of_b")]
+            alive, _ = likely(*sides, percent, all_rows, all_rows)
             kept = batch.take(pa.array(alive))
             yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], ["a", "b"])
 
@@ -195,29 +206,54 @@ def _star_survivors(pairs: DataFrame, signatures: DataFrame, percent: int) -> Da
     return joined.mapInArrow(run, "a binary, b binary")
 
 
-def _block_survivors(members: DataFrame, percent: int) -> DataFrame:
+def _block_survivors(members: DataFrame, percent: int, ties_only: bool) -> DataFrame:
     """`(a, b)` across components within blocks; `members` has a row per block pair and member:
-    `(bucket, one, other, block, class, component, signature)`."""
-
-    def compared(rows: list) -> Iterator[tuple[bytes, bytes]]:
-        # rows: block is `one`?, class, component, signature
+    `(bucket, one, other, block, class, component, signature)`. With `ties_only` the strongest
+    pairs that tie the components of a block pair together."""
+
+    def tying(i: np.ndarray, j: np.ndarray, strength: np.ndarray, numbers) -> Iterator[int]:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = parent[up]
+                x = up
+            return x
+
+        for k in np.argsort(-strength, kind="stable").tolist():
+            one, other = root(int(numbers[0][i[k]])), root(int(numbers[1][j[k]]))
+            if one != other:
+                parent[one] = other
+                yield k
+
+    def compared(rows: list, same: bool) -> Iterator[tuple[bytes, bytes]]:
+        # rows: of the first block?, class, component, signature
         first = [r for r in rows if r[0]]
-        second = [r for r in rows if not r[0]] or first
-        same = second is first
+        second = first if same else [r for r in rows if not r[0]]
+        if not first or not second:
+            return
         names: dict = {}
         numbers = [np.array([names.setdefault(r[2], len(names)) for r in side]) for side in (first, second)]
         left, right = (
             np.frombuffer(b"".join(r[3] for r in side), "<u4").reshape(len(side), -1)
             for side in (first, second)
         )
-        for i in range(len(first)):
-            others = np.flatnonzero(numbers[1] != numbers[0][i])
-            if same:
-                others = others[others > i]
-            if len(others):
-                own = np.broadcast_to(left[i], (len(others), left.shape[1]))
-                for j in others[likely(own, right[others], percent)]:
-                    yield first[i][1], second[j][1]
+        wanted = numbers[0][:, None] != numbers[1][None, :]
+        if same:
+            wanted = np.triu(wanted)
+        i, j = np.nonzero(wanted)
+        kept = [
+            (at + alive, strength)
+            for at in range(0, len(i), PAIRS)
+            for alive, strength in [likely(left, right, percent, i[at : at + PAIRS], j[at : at + PAIRS])]
+        ]
+        if not kept:
+            return
+        alive, strength = (np.concatenate(parts) for parts in zip(*kept, strict=True))
+        i, j = i[alive], j[alive]
+        chosen = tying(i, j, strength, numbers) if ties_only else range(len(i))
+        for k in chosen:
+            yield first[i[k]][1], second[j[k]][1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(found: set) -> pa.RecordBatch:
@@ -230,14 +266,14 @@ def _block_survivors(members: DataFrame, percent: int) -> DataFrame:
             for bucket, one, other, block, *rest in zip(*columns, strict=True):
                 if (bucket, one, other) != key:
                     if rows:
-                        found.update(compared(rows))
+                        found.update(compared(rows, key[1] == key[2]))
                         if len(found) >= 5000:
                             yield out(found)
                             found = set()
                     key, rows = (bucket, one, other), []
                 rows.append((block == one, *rest))
         if rows:
-            found.update(compared(rows))
+            found.update(compared(rows, key[1] == key[2]))
         yield out(found)
 
     spread = members.repartition("bucket", "one", "other").sortWithinPartitions("bucket", "one", "other")
@@ -303,26 +339,22 @@ def linked(
     links = written(_verified(survivors, texts, words, percent), "near-links")
     first = written(components(links), "near-first")
 
-    # Buckets that their least members left in several components.
-    known = first.select(F.col("node").alias("class"), "component")
-    placed = members.filter("members > 2").join(known, "class", "left").select(
-        "bucket", "class", F.coalesce("component", "class").alias("component")
-    )
-    placed = written(placed, "near-placed")
-    split = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    split = split.filter("low <> high").select("bucket")
-    mixed = written(_blocked(written(placed.join(split, "bucket", "left_semi"), "near-split")), "near-blocked")
-    more = _block_survivors(mixed.join(signatures, "class").select(
-        "bucket", "one", "other", "block", "class", "component", "signature"), percent)
-    more = more.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    more = written(more.join(survivors, ["a", "b"], "left_anti"), "near-more")
-    if more.limit(1).count():
+    tested, now = survivors, first
+    for ties_only in (True, False):
+        mixed = written(_blocked(written(_split(members, now), "near-split")), "near-blocked")
+        asked = mixed.join(signatures, "class").select(
+            "bucket", "one", "other", "block", "class", "component", "signature"
+        )
+        more = _block_survivors(asked, percent, ties_only)
+        more = more.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        more = written(more.join(tested, ["a", "b"], "left_anti"), "near-more")
+        if not more.limit(1).count():
+            continue
         texts = _texts(docs, classes, more, id_col, text_col)
-        later = written(_verified(more, texts, words, percent), "near-links")
-        links = links.union(later)
-        first = written(components(links), "near-final")
+        links = links.union(written(_verified(more, texts, words, percent), "near-links"))
+        tested, now = tested.union(more), written(components(links), "near-components")
 
-    known = first.select(F.col("node").alias("class"), F.col("component").alias("root"))
+    known = now.select(F.col("node").alias("class"), F.col("component").alias("root"))
     rooted = classes.drop("signature").join(known, "class", "left").withColumn("root", F.coalesce("root", "class"))
     rooted = written(rooted, "near-rooted")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("best")
@@ -333,6 +365,17 @@ def linked(
     return all_rows.drop("signature"), written(found, "near-found")
 
 
+def _split(members: DataFrame, components_now: DataFrame) -> DataFrame:
+    """`(bucket, class, component)` of the buckets that lie in several components."""
+    known = components_now.select(F.col("node").alias("class"), "component")
+    placed = members.filter("members > 2").join(known, "class", "left").select(
+        "bucket", "class", F.coalesce("component", "class").alias("component")
+    )
+    placed = written(placed, "near-placed")
+    split = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return placed.join(split.filter("low <> high").select("bucket"), "bucket", "left_semi")
+
+
 def _blocked(placed: DataFrame) -> DataFrame:
     """Members once for every pair of blocks they are compared in: `(bucket, one, other, block,
     class, component)`.
