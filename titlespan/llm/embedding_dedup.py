@@ -27,11 +27,15 @@ COSINE = 0.9
 #: Classes of a block, and pivots at most.
 BLOCK = 8192
 PIVOTS = 2048
-#: Points of a node that is not divided any more, and rows of a matrix of distances.
+#: Points of a node that is not divided any more, if they are so near its middle, and rows of a
+#: matrix of distances.
 LEAF = 8
+TIGHT = 0.2
 CHUNK = 512
 #: Distances nearer than this to a bound are not decided by it.
 MARGIN = 1e-6
+#: More than products of unit vectors are wrong by in single precision.
+ROUGH = 1e-4
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -77,7 +81,7 @@ class CoverTree:
             distances = apart(points[members], points[center : center + 1])[:, 0]
         low, reach = len(order), float(distances.max())
         node = Node(int(center), low, low + len(members), reach)
-        if len(members) <= LEAF or reach < MARGIN:
+        if len(members) == 1 or reach < MARGIN or (len(members) <= LEAF and reach <= TIGHT):
             order += members.tolist()
             return node
         while radius > reach:  # levels at which the node would have one child
@@ -103,6 +107,8 @@ def _covered(points: np.ndarray, radius: float) -> Iterator[tuple[np.ndarray, np
     """The points in balls around the first point that no ball before has: places and distances
     to the ball's middle, the middle first."""
     left = np.ones(len(points), bool)
+    # Any cover will do, as nodes are told how far they reach: single precision is enough.
+    quick = points.astype(np.float32)
     start = 0
     while start < len(points):
         middles = start + np.flatnonzero(left[start : start + 8 * CHUNK])[:CHUNK]
@@ -110,7 +116,7 @@ def _covered(points: np.ndarray, radius: float) -> Iterator[tuple[np.ndarray, np
         rest = np.flatnonzero(left)
         if not len(middles):
             continue
-        dots = points[middles] @ points[rest].T
+        dots = quick[middles] @ quick[rest].T
         within = dots >= 1.0 - radius * radius / 2.0
         for i, middle in enumerate(middles.tolist()):
             if not left[middle]:
@@ -170,38 +176,48 @@ class Walk:
         self._all(0 if self.same else 1, b, int(left.sums[a.high] - left.sums[a.low]))
         self._join(self._joined(0, a), self._joined(0 if self.same else 1, b))
 
-    def _within(self, node: Node) -> None:
-        tree = self.left
-        if 2 * node.reach <= self.far - MARGIN:
+    def _fine(self, nodes: list[Node]) -> list[Node]:
+        """The nodes, those too wide to be taken whole replaced by what is below them."""
+        out, stack = [], list(nodes)
+        while stack:
+            node = stack.pop()
+            if node.children and 2 * node.reach > self.far - 2 * MARGIN:
+                stack += node.children
+            else:
+                out.append(node)
+        return out
+
+    def _within(self, root: Node) -> None:
+        """All pairs of a tree's points."""
+        tree, nodes = self.left, self._fine([root])
+        for node in nodes:
+            if 2 * node.reach > self.far - MARGIN:
+                self._points(node, node)
+                continue
             inside = slice(node.low, node.high)
-            total = int(tree.sums[node.high] - tree.sums[node.low])
-            self._all(0, node, total)
+            self._all(0, node, int(tree.sums[node.high] - tree.sums[node.low]))
             self.steps[0][inside] -= tree.sizes[inside]
             self.steps[0][node.low + 1 : node.high + 1] += tree.sizes[inside]
             self._joined(0, node)
-            return
-        if not node.children:
-            self._points(node, node)
-            return
-        for child in node.children:
-            self._within(child)
-        wide = [c for c in node.children if c.reach > 0]
-        points = [c for c in node.children if c.reach == 0]
-        # Single points apart from the others: their pairs have the narrowest bound.
-        for one, other in ((wide, wide), (wide, points), (points, points)):
-            if one and other:
-                self._between(one, other)
+        self._between(nodes, nodes)
 
     def _across(self, first: list[Node], second: list[Node]) -> None:
-        """All pairs of nodes of two trees or of two branches, single points apart."""
-        sides = [
-            [[n for n in nodes if (n.reach > 0) == wide] for wide in (True, False)]
-            for nodes in (first, second)
-        ]
-        for one in sides[0]:
-            for other in sides[1]:
-                if one and other:
-                    self._between(one, other)
+        """All pairs of nodes of two trees. While the lists are short, pairs of wide nodes that are
+        too far apart go, level by level; beyond that, wide nodes give way to those below them,
+        whose narrow bounds decide nearly all pairs at once."""
+        wide = {id(n) for n in (*first, *second) if n.children and 2 * n.reach > self.far - 2 * MARGIN}
+        if wide and len(first) * len(second) <= CHUNK:
+            for a in first:
+                for b in second:
+                    gap = apart(self.left.points[a.center : a.center + 1], self.right.points[b.center : b.center + 1])
+                    if float(gap[0, 0]) - a.reach - b.reach <= self.far + MARGIN:
+                        below = [n.children if id(n) in wide else [n] for n in (a, b)]
+                        if id(a) not in wide and id(b) not in wide:
+                            self._between([a], [b])
+                        else:
+                            self._across(*below)
+            return
+        self._between(self._fine(first), self._fine(second))
 
     def _between(self, first: list[Node], second: list[Node]) -> None:
         """All pairs of two lists of nodes; of one list with itself, each pair once."""
@@ -209,17 +225,21 @@ class Walk:
         at = np.array([n.center for n in second])
         reach = np.array([n.reach for n in second])
         other = self.right.points[at]
+        quick = other.astype(np.float32).T
         for start in range(0, len(first), CHUNK):
             part = first[start : start + CHUNK]
             own = np.array([n.reach for n in part])
-            dots = self.left.points[[n.center for n in part]] @ other.T
-            # Nothing is nearer than the widest pair of the part allows: most pairs end here.
+            middles = self.left.points[[n.center for n in part]]
+            # Nothing is nearer than the widest pair of the part allows: most pairs end here, in
+            # single precision; the others are measured in double.
             widest = self.far + MARGIN + own.max() + reach.max()
-            rows, columns = np.nonzero(dots >= 1.0 - widest * widest / 2.0)
+            dots = middles.astype(np.float32) @ quick
+            rows, columns = np.nonzero(dots >= np.float32(1.0 - widest * widest / 2.0 - ROUGH))
             if once:
                 later = columns > rows + start
                 rows, columns = rows[later], columns[later]
-            distance = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * dots[rows, columns]))
+            exact = np.einsum("ij,ij->i", middles[rows], other[columns])
+            distance = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * exact))
             bound = own[rows] + reach[columns]
             near = distance - bound <= self.far + MARGIN
             whole = distance + bound <= self.far - MARGIN
@@ -230,7 +250,7 @@ class Walk:
                 if taken:
                     self._taken(a, b)
                 elif a.children or b.children:
-                    self._across(a.children or [a], b.children or [b])
+                    self._between(a.children or [a], b.children or [b])
                 else:
                     self._points(a, b)
 
