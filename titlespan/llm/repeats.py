@@ -29,9 +29,11 @@ PORTION = 1 << 19
 #: Bits of a gram's hash that give way to its place.
 PLACE_BITS = 24
 #: Bytes of segments that one suffix array takes, if no anchor has more.
-SORTED_BYTES = 1 << 20
+SORTED_BYTES = 1 << 18
+#: Bytes of texts that a task returns at once.
+RETURNED_BYTES = 4 << 20
 #: Different runs of one anchor that are sorted together; with more, strings are dealt out one by one.
-ANCHOR_RUNS = 4096
+ANCHOR_RUNS = 1024
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -340,9 +342,17 @@ def dedup_strings(
     ).select("doc_id", "text", "ranges")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())]))
+        span = pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())]))
+        names = ["doc_id", "n_bytes", "n_removed", "spans", "kept"]
+
+        def made(ids: pa.Array, rows: list) -> pa.RecordBatch:
+            kinds = [pa.int64(), pa.int64(), span, pa.binary()]
+            columns = zip(*rows, strict=True)
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+            return pa.RecordBatch.from_arrays([ids, *arrays], names)
+
         for batch in batches:
-            sizes, removed, all_spans, all_kept = [], [], [], []
+            ids, first, rows, size = batch.column("doc_id"), 0, [], 0
             for text, found in zip(batch.column("text"), batch.column("ranges"), strict=True):
                 data = (text.as_py() or "").encode("utf-8", "surrogatepass")
                 spans = covered([(r["low"], r["high"]) for r in found.as_py() or []], length)
@@ -351,20 +361,14 @@ def dedup_strings(
                     parts.append(data[at:low])
                     at = high
                 kept = b"".join(parts) + data[at:]
-                sizes.append(len(data))
-                removed.append(len(data) - len(kept))
-                all_spans.append([{"low": a, "high": b} for a, b in spans])
-                all_kept.append(kept)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(removed, pa.int64()),
-                    pa.array(all_spans, kind),
-                    pa.array(all_kept, pa.binary()),
-                ],
-                ["doc_id", "n_bytes", "n_removed", "spans", "kept"],
-            )
+                told = [{"low": a, "high": b} for a, b in spans]
+                rows.append((len(data), len(data) - len(kept), told, kept))
+                size += len(data)
+                if size > RETURNED_BYTES:
+                    yield made(ids.slice(first, len(rows)), rows)
+                    first, rows, size = first + len(rows), [], 0
+            if rows:
+                yield made(ids.slice(first, len(rows)), rows)
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     return joined.mapInArrow(

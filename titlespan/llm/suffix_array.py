@@ -62,11 +62,9 @@ def suffix_array(text: Segments) -> np.ndarray:
     data, symbols = text.data, text.symbols
     direct = np.flatnonzero(text.small & text.needed)
     ends = text.ends[text.segment_of(direct)]
-    keyed = sorted(
-        (data[p:e], p) for p, e in zip(direct.tolist(), ends.tolist(), strict=True)
-    )
-    direct = np.fromiter((p for _, p in keyed), np.int64, len(keyed))
-    del keyed
+    keys = [data[p:e] for p, e in zip(direct.tolist(), ends.tolist(), strict=True)]
+    direct = direct[np.array(sorted(range(len(keys)), key=keys.__getitem__), np.int64)]
+    del keys
     bounds = np.searchsorted(symbols[direct], np.arange(258))
 
     induced: list[list[np.ndarray]] = [[] for _ in range(258)]
