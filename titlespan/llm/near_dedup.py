@@ -8,9 +8,11 @@ verified on their full sets of shingles.
 
 Only links between different components matter, so a bucket is first held against its least
 member. Where that leaves a bucket in several components, its pairs across components are
-compared, in blocks of bounded size: first each block gives the strongest pairs that would tie
-its components together, one fewer than those at most; then, for what is still apart, all pairs
-that survive. So a large group of near copies is tied together without its pairs.
+compared, in blocks of bounded size: each block gives the strongest surviving pairs that would
+tie its components together, one fewer than those at most. For members that are still apart and
+have survivors, the block gets their full sets and gives the ties among the pairs that are links. So
+no pairs leave a block but those, however large a group of near copies is and however close to the
+threshold its pairs are.
 """
 
 from __future__ import annotations
@@ -39,8 +41,9 @@ POSTERIOR_MISS = 1e-6
 BATCH = 25
 #: Members of a block in which a bucket's pairs are compared.
 BLOCK = 512
-#: Pairs whose signatures are compared at once.
+#: Pairs whose signatures are compared at once, and shingles whose common documents are counted.
 PAIRS = 1 << 16
+COLUMNS = 2048
 KEPT_WORDS = 300_000
 SEED = 20
 
@@ -206,78 +209,176 @@ def _star_survivors(pairs: DataFrame, signatures: DataFrame, percent: int) -> Da
     return joined.mapInArrow(run, "a binary, b binary")
 
 
-def _block_survivors(members: DataFrame, percent: int, ties_only: bool) -> DataFrame:
-    """`(a, b)` across components within blocks; `members` has a row per block pair and member:
-    `(bucket, one, other, block, class, component, signature)`. With `ties_only` the strongest
-    pairs that tie the components of a block pair together."""
-
-    def tying(i: np.ndarray, j: np.ndarray, strength: np.ndarray, numbers) -> Iterator[int]:
-        parent: dict[int, int] = {}
-
-        def root(x: int) -> int:
-            while (up := parent.setdefault(x, x)) != x:
-                parent[x] = parent[up]
-                x = up
-            return x
-
-        for k in np.argsort(-strength, kind="stable").tolist():
-            one, other = root(int(numbers[0][i[k]])), root(int(numbers[1][j[k]]))
-            if one != other:
-                parent[one] = other
-                yield k
-
-    def compared(rows: list, same: bool) -> Iterator[tuple[bytes, bytes]]:
-        # rows: of the first block?, class, component, signature
-        first = [r for r in rows if r[0]]
-        second = first if same else [r for r in rows if not r[0]]
-        if not first or not second:
-            return
-        names: dict = {}
-        numbers = [np.array([names.setdefault(r[2], len(names)) for r in side]) for side in (first, second)]
-        left, right = (
-            np.frombuffer(b"".join(r[3] for r in side), "<u4").reshape(len(side), -1)
-            for side in (first, second)
-        )
-        wanted = numbers[0][:, None] != numbers[1][None, :]
-        if same:
-            wanted = np.triu(wanted)
-        i, j = np.nonzero(wanted)
-        kept = [
-            (at + alive, strength)
-            for at in range(0, len(i), PAIRS)
-            for alive, strength in [likely(left, right, percent, i[at : at + PAIRS], j[at : at + PAIRS])]
-        ]
-        if not kept:
-            return
-        alive, strength = (np.concatenate(parts) for parts in zip(*kept, strict=True))
-        i, j = i[alive], j[alive]
-        chosen = tying(i, j, strength, numbers) if ties_only else range(len(i))
-        for k in chosen:
-            yield first[i[k]][1], second[j[k]][1]
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list, list]]:
+    """`((bucket, one, other), rows of the first block, rows of the second)` from sorted rows that
+    begin with `bucket, one, other, block, class, component`; one list twice if they are one block."""
+
+    def sides(key: tuple, rows: list) -> tuple[tuple, list, list]:
+        first = [r for r in rows if r[0] == key[1]]
+        return key, first, first if key[1] == key[2] else [r for r in rows if r[0] == key[2]]
+
+    key, rows = None, []
+    for batch in batches:
+        for bucket, one, other, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (bucket, one, other) != key:
+                if rows:
+                    yield sides(key, rows)
+                key, rows = (bucket, one, other), []
+            rows.append(rest)
+    if rows:
+        yield sides(key, rows)
+
+
+def _apart(first: list, second: list) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Pairs across components, and the components of both sides as numbers."""
+    names: dict = {}
+    numbers = [
+        np.array([names.setdefault(r[2], len(names)) for r in side], np.int64) for side in (first, second)
+    ]
+    wanted = numbers[0][:, None] != numbers[1][None, :]
+    if first is second:
+        wanted = np.triu(wanted)
+    return *np.nonzero(wanted), numbers
+
+
+def _tying(i: np.ndarray, j: np.ndarray, strength: np.ndarray, numbers: list[np.ndarray]) -> Iterator[int]:
+    """The strongest pairs that tie components together: fewer than there are components."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = parent[up]
+            x = up
+        return x
+
+    for k in np.argsort(-strength, kind="stable").tolist():
+        one, other = root(int(numbers[0][i[k]])), root(int(numbers[1][j[k]]))
+        if one != other:
+            parent[one] = other
+            yield k
+
+
+def _survivors(first: list, second: list, percent: int):
+    """Pairs across components whose signatures, the rows' last cells, survive."""
+    i, j, numbers = _apart(first, second)
+    left, right = (
+        np.frombuffer(b"".join(r[3] for r in side), "<u4").reshape(len(side), -1) for side in (first, second)
+    )
+    kept = [
+        (at + alive, strength)
+        for at in range(0, len(i), PAIRS)
+        for alive, strength in [likely(left, right, percent, i[at : at + PAIRS], j[at : at + PAIRS])]
+    ]
+    alive, strength = (np.concatenate(p) for p in zip(*kept, strict=True)) if kept else (i[:0], i[:0])
+    return i[alive], j[alive], strength, numbers
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    return members.repartition("bucket", "one", "other").sortWithinPartitions("bucket", "one", "other")
+
+
+def _pairs_out(found: Iterator[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+    held: set = set()
+    for pair in found:
+        held.add(pair)
+        if len(held) >= 5000:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*held, strict=True)], ["a", "b"])
+            held = set()
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*held, strict=True)], ["a", "b"])
+
+
+def _ties(members: DataFrame, percent: int) -> DataFrame:
+    """`(a, b)`: of every block pair the strongest surviving pairs that tie its components together;
+    `members` has `(bucket, one, other, block, class, component, signature)`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[tuple[bytes, bytes]]:
+            for _, first, second in _by_block(batches):
+                if first and second:
+                    i, j, strength, numbers = _survivors(first, second, percent)
+                    for k in _tying(i, j, strength, numbers):
+                        yield first[i[k]][1], second[j[k]][1]
+
+        yield from _pairs_out(found())
+
+    return _dealt(members).mapInArrow(run, "a binary, b binary")
+
+
+def _in_question(members: DataFrame, percent: int) -> DataFrame:
+    """The members of block pairs that have a surviving pair across components: rows as in
+    `_ties`, without signatures."""
+    names = ["bucket", "one", "other", "block", "class", "component"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(found: set) -> pa.RecordBatch:
-            columns = [pa.array([p[i] for p in found], pa.binary()) for i in (0, 1)]
-            return pa.RecordBatch.from_arrays(columns, ["a", "b"])
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.binary()]
+        for key, first, second in _by_block(batches):
+            if not first or not second:
+                continue
+            i, j, _, _ = _survivors(first, second, percent)
+            some = [first[k] for k in np.unique(i)]
+            some += [second[k] for k in np.unique(j) if first is not second or k not in set(i.tolist())]
+            if some:
+                columns = zip(*((*key, *row[:3]) for row in some), strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
+                )
+
+    schema = "bucket long, one string, other string, block string, class binary, component binary"
+    return _dealt(members).mapInArrow(run, schema)
+
+
+def _exact_ties(members: DataFrame, percent: int) -> DataFrame:
+    """`(a, b)`: of every block pair the most similar pairs that are links, as far as they tie its
+    components together; as `_ties`, with the sets of shingle hashes instead of signatures."""
+
+    def similar(first: list, second: list):
+        i, j, numbers = _apart(first, second)
+        rows = first if first is second else first + second
+        sets = [np.frombuffer(r[3], np.uint64) for r in rows]
+        sizes = np.array([len(x) for x in sets])
+        _, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(rows)), sizes)
+        shared = count[at] > 1
+        columns = np.cumsum(count > 1) - 1
+        at, owner = columns[at[shared]], owner[shared]
+        order = np.argsort(at, kind="stable")
+        at, owner = at[order], owner[order]
+        common = np.zeros((len(rows), len(rows)), np.float32)
+        for low in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
+            part = slice(*np.searchsorted(at, [low, low + COLUMNS]))
+            has = np.zeros((len(rows), COLUMNS), np.float32)
+            has[owner[part], at[part] - low] = 1
+            common += has @ has.T
+        shift = 0 if first is second else len(first)
+        both = common[i, j + shift].astype(np.int64)
+        union = sizes[i] + sizes[j + shift] - both
+        linked = 100 * both >= percent * union
+        return i[linked], j[linked], (both / union)[linked], numbers
 
-        key, rows, found = None, [], set()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[tuple[bytes, bytes]]:
+            for _, first, second in _by_block(batches):
+                if first and second:
+                    i, j, strength, numbers = similar(first, second)
+                    for k in _tying(i, j, strength, numbers):
+                        yield first[i[k]][1], second[j[k]][1]
+
+        yield from _pairs_out(found())
+
+    return _dealt(members).mapInArrow(run, "a binary, b binary")
+
+
+def _sets(texts: DataFrame, words: int) -> DataFrame:
+    """`(class, hashes)`: the full set of a class's shingles, as hashes of 64 bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            for bucket, one, other, block, *rest in zip(*columns, strict=True):
-                if (bucket, one, other) != key:
-                    if rows:
-                        found.update(compared(rows, key[1] == key[2]))
-                        if len(found) >= 5000:
-                            yield out(found)
-                            found = set()
-                    key, rows = (bucket, one, other), []
-                rows.append((block == one, *rest))
-        if rows:
-            found.update(compared(rows, key[1] == key[2]))
-        yield out(found)
-
-    spread = members.repartition("bucket", "one", "other").sortWithinPartitions("bucket", "one", "other")
-    return spread.mapInArrow(run, "a binary, b binary")
+            with np.errstate(over="ignore"):
+                sets = [shingle_hashes(words_of(t.as_py()), words).tobytes() for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(sets, pa.binary())], ["class", "hashes"])
+
+    return texts.select("class", "text").mapInArrow(run, "class binary, hashes binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -332,27 +433,41 @@ def linked(
 
     in_question = members.select("class").distinct()
     signatures = written(classes.select("class", "signature").join(in_question, "class", "left_semi"), "near-asked")
-    stars = members.filter("class <> head").select(F.col("class").alias("a"), F.col("head").alias("b")).distinct()
+    # Each class is held against the least member it meets most often.
+    meetings = members.filter("class <> head").groupBy("class", "head").agg(F.count("*").alias("n"))
+    stars = meetings.groupBy(F.col("class").alias("a")).agg(
+        F.max_by("head", F.struct("n", "head")).alias("b")
+    )
     survivors = written(_star_survivors(stars, signatures, percent), "near-stars")
 
     texts = _texts(docs, classes, survivors, id_col, text_col)
     links = written(_verified(survivors, texts, words, percent), "near-links")
     first = written(components(links), "near-first")
 
-    tested, now = survivors, first
-    for ties_only in (True, False):
-        mixed = written(_blocked(written(_split(members, now), "near-split")), "near-blocked")
-        asked = mixed.join(signatures, "class").select(
+    def asked(components_now: DataFrame) -> DataFrame:
+        blocked = written(_blocked(written(_split(members, components_now), "near-split")), "near-blocked")
+        return blocked.join(signatures, "class").select(
             "bucket", "one", "other", "block", "class", "component", "signature"
         )
-        more = _block_survivors(asked, percent, ties_only)
-        more = more.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        more = written(more.join(tested, ["a", "b"], "left_anti"), "near-more")
-        if not more.limit(1).count():
-            continue
-        texts = _texts(docs, classes, more, id_col, text_col)
-        links = links.union(written(_verified(more, texts, words, percent), "near-links"))
-        tested, now = tested.union(more), written(components(links), "near-components")
+
+    def with_links(more: DataFrame) -> tuple[DataFrame, DataFrame]:
+        own = _texts(docs, classes, more, id_col, text_col)
+        all_links = links.union(written(_verified(more, own, words, percent), "near-links"))
+        return all_links, written(components(all_links), "near-components")
+
+    # The strongest pairs of what is apart; then exact ties among all that may be similar.
+    now = first
+    more = written(_ordered(_ties(asked(now), percent)).join(survivors, ["a", "b"], "left_anti"), "near-ties")
+    if more.limit(1).count():
+        links, now = with_links(more)
+    question = written(_in_question(asked(now), percent), "near-question")
+    if question.limit(1).count():
+        own = _texts(docs, classes, question.selectExpr("class AS a", "class AS b"), id_col, text_col)
+        full = question.join(written(_sets(own, words), "near-sets"), "class").select(
+            "bucket", "one", "other", "block", "class", "component", "hashes"
+        )
+        more = written(_ordered(_exact_ties(full, percent)), "near-ties")
+        links, now = with_links(more)
 
     known = now.select(F.col("node").alias("class"), F.col("component").alias("root"))
     rooted = classes.drop("signature").join(known, "class", "left").withColumn("root", F.coalesce("root", "class"))
@@ -365,10 +480,15 @@ def linked(
     return all_rows.drop("signature"), written(found, "near-found")
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """Each pair once, the larger class first."""
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def _split(members: DataFrame, components_now: DataFrame) -> DataFrame:
     """`(bucket, class, component)` of the buckets that lie in several components."""
     known = components_now.select(F.col("node").alias("class"), "component")
-    placed = members.filter("members > 2").join(known, "class", "left").select(
+    placed = members.join(known, "class", "left").select(
         "bucket", "class", F.coalesce("component", "class").alias("component")
     )
     placed = written(placed, "near-placed")
