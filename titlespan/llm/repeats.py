@@ -127,13 +127,13 @@ def occurrences(texts: DataFrame, length: int) -> DataFrame:
                 ]
                 row = np.array([p[0] for p in portion])[text]
                 start = first - (ends - sizes)[text] + np.array([p[1] for p in portion])[text]
-                own = batch.take(pa.array(row))
+                row = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(anchors.view(np.int64)),
                         pa.array(digests, pa.binary()),
-                        own.column("doc_id"),
-                        own.column("text_hash"),
+                        batch.column("doc_id").take(row),
+                        batch.column("text_hash").take(row),
                         pa.array(start.astype(np.int64)),
                         pa.array(count.astype(np.int32)),
                     ],
