@@ -316,8 +316,10 @@ def _in_question(members: DataFrame, percent: int) -> DataFrame:
             if not first or not second:
                 continue
             i, j, _, _ = _survivors(first, second, percent)
-            some = [first[k] for k in np.unique(i)]
-            some += [second[k] for k in np.unique(j) if first is not second or k not in set(i.tolist())]
+            if first is second:
+                some = [first[k] for k in np.union1d(i, j)]
+            else:
+                some = [first[k] for k in np.unique(i)] + [second[k] for k in np.unique(j)]
             if some:
                 columns = zip(*((*key, *row[:3]) for row in some), strict=True)
                 yield pa.RecordBatch.from_arrays(
