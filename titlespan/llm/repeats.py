@@ -249,12 +249,32 @@ def _dealt(segments: DataFrame, length: int) -> DataFrame:
                     ["segment", "n", "at", "string"],
                 )
 
-    strings = written(
-        segments.mapInArrow(run, "segment binary, n long, at int, string binary"), "repeats-strings"
-    )
-    often = strings.groupBy("string").agg(F.sum("n").alias("times"), F.count("*").alias("rows"))
-    often = written(often.filter("times > 1"), "repeats-often")
-    hits = join_groups(strings, often, "string", "rows").filter("times > 1")
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Sorted by string: the first of a kind waits for a second one.
+        string, first = None, None
+        for batch in batches:
+            rows = []
+            for name, n, at, own in zip(*(batch.column(c).to_pylist() for c in ("segment", "n", "at", "string")), strict=True):
+                if own != string:
+                    string, first = own, (name, at)
+                    if n > 1:
+                        rows.append(first)
+                        first = None
+                    continue
+                if first:
+                    rows.append(first)
+                    first = None
+                rows.append((name, at))
+            columns = list(zip(*rows, strict=True)) if rows else [[], []]
+            kinds = (pa.binary(), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["segment", "at"]
+            )
+
+    # No string holds more than one of the some hundred places of an anchor's runs.
+    strings = segments.mapInArrow(run, "segment binary, n long, at int, string binary")
+    sorted_strings = strings.repartition("string").sortWithinPartitions("string")
+    hits = sorted_strings.mapInArrow(repeated, "segment binary, at int")
     return hits.groupBy("segment").agg(
         F.expr("transform(collect_list(at), x -> struct(x AS low, x + 1 AS high))").alias("ranges")
     )
