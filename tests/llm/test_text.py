@@ -153,6 +153,21 @@ def test_secrets_and_neighbours(spark):
     assert row.split(" ")[3:] == [address("63.51.224.77"), card("4524132264652876"), address("27.65.93.188")]
 
 
+def test_secrets_of_letters(spark):
+    """No digit, at sign or AKIA in the whole text."""
+    texts = ["password=correcthorsebattery", "my API-KEY : 'correcthorsebattery' it is", "the password is correcthorsebattery"]
+    first, second, third = replaced(spark, texts)
+    new = walked_text("secret", "correcthorsebattery")
+    assert [first, second] == [f"password={new}", f"my API-KEY : '{new}' it is"] and third == texts[2]
+    assert replaced(spark, [texts[0] + " 1"]) == [first + " 1"]
+
+
+def test_secrets_of_letters_are_counted(spark, tmp_path):
+    texts = [(1, "password=correcthorsebattery"), (2, "the password"), (3, None)]
+    table(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.n_values for r in pii.op3_pii(spark, str(tmp_path)).collect()} == {1: 1, 2: 0, 3: 0}
+
+
 def test_pseudonyms_in_a_table(spark):
     docs = table(spark, rows() + [(30, "mail a.b@c.org"), (31, "so A.b@c.org, a.b@c.org")])
     got = pii.with_pseudonyms(docs)

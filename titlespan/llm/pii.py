@@ -23,10 +23,11 @@ ROUNDS = 8
 KEY = "titlespan"
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_KEYWORD = "(?i:token|secret|passwd|password|api_key|api-key|apikey)"
 #: By kind: what a value looks like, in the order in which kinds are tried at a place.
 PATTERNS = {
     "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
-    r"|(?<=(?i:token|secret|passwd|password|api_key|api-key|apikey)[ ]{0,1}[=:][ ]{0,1}[\"']{0,1})"
+    rf"|(?<={_KEYWORD}[ ]{{0,1}}[=:][ ]{{0,1}}[\"']{{0,1}})"
     r"(?<![ ]{2})[A-Za-z0-9/+_-]{8,256}+",
     "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9][A-Za-z0-9-]{0,62}+"
     r"(?:\.[A-Za-z0-9][A-Za-z0-9-]{0,62}+){1,8}+",
@@ -43,8 +44,8 @@ PATTERNS = {
     r"|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9A-Za-z])",
 }
 KINDS = list(PATTERNS)
-#: Every value of every kind holds a digit, an at sign or this.
-HINT = "[0-9@]|AKIA"
+#: Every value of every kind holds a digit, an at sign or AKIA, or has a keyword before it.
+HINT = f"[0-9@]|AKIA|{_KEYWORD}[ ]?[=:]"
 
 #: Days from 1900-01-01 to 2099-12-31 are 17 times 4297.
 FIRST_DAY, DAYS_HIGH, DAYS_LOW = "1900-01-01", 17, 4297
