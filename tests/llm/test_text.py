@@ -168,6 +168,27 @@ def test_secrets_of_letters_are_counted(spark, tmp_path):
     assert {r.doc_id: r.n_values for r in pii.op3_pii(spark, str(tmp_path)).collect()} == {1: 1, 2: 0, 3: 0}
 
 
+def test_secrets_that_look_like_other_values(spark):
+    """They fail as what they look like; without a keyword they stay."""
+    values = ["4111111111111112", "AB12CDEFGHIJKLMNOP", "1985-02-30"]
+    got = replaced(spark, [f"api_key={v}" for v in values])
+    assert got == [f"api_key={walked_text('secret', v)}" for v in values]
+    mixed = replaced(spark, [f"{values[0]} token={values[0]} {values[1]} {values[2]}, 4111111111111111"])[0]
+    secret = walked_text("secret", values[0])
+    assert mixed == f"{values[0]} token={secret} {values[1]} {values[2]}, {card('4111111111111111')}"
+    assert replaced(spark, ["api_key=4111111111111111"]) == [f"api_key={card('4111111111111111')}"]
+    frame = spark.createDataFrame([("api_key=4111111111111112 1985-02-28 078-05-1120",)], "text string")
+    few = pii.with_pseudonyms(frame, KEY, kinds=["date", "card", "secret"]).first().text.split(" ")
+    assert few[0] == f"api_key={secret}" and few[1] != "1985-02-28" and few[2] == "078-05-1120"
+
+
+@pytest.mark.parametrize("length", [256, 257, 300, 20_001])
+def test_secrets_of_any_length(spark, length):
+    value = (hashlib.sha512(b"k").hexdigest() + "Zz/+_-") * (length // 134 + 1)
+    value = value[:length]
+    assert replaced(spark, [f"secret: {value}. End"]) == [f"secret: {walked_text('secret', value)}. End"]
+
+
 def test_pseudonyms_in_a_table(spark):
     docs = table(spark, rows() + [(30, "mail a.b@c.org"), (31, "so A.b@c.org, a.b@c.org")])
     got = pii.with_pseudonyms(docs)

@@ -26,9 +26,9 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _KEYWORD = "(?i:token|secret|passwd|password|api_key|api-key|apikey)"
 #: By kind: what a value looks like, in the order in which kinds are tried at a place.
 PATTERNS = {
-    "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
+    "secret": r"((?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
     rf"|(?<={_KEYWORD}[ ]{{0,1}}[=:][ ]{{0,1}}[\"']{{0,1}})"
-    r"(?<![ ]{2})[A-Za-z0-9/+_-]{8,256}+",
+    r"(?<![ ]{2})[A-Za-z0-9/+_-]{8,}+)",
     "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9][A-Za-z0-9-]{0,62}+"
     r"(?:\.[A-Za-z0-9][A-Za-z0-9-]{0,62}+){1,8}+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
@@ -53,12 +53,16 @@ FIRST_DAY, DAYS_HIGH, DAYS_LOW = "1900-01-01", 17, 4297
 AREAS, GROUPS, SERIALS = 898, 99, 9999
 
 
+def _groups(kinds: list[str]) -> int:
+    return sum(len(re.findall(r"(?<!\\)\((?!\?)", PATTERNS[kind])) for kind in kinds)
+
+
 def _pattern(kinds: list[str]) -> str:
     """One pattern for all kinds; back-references are renumbered to its groups."""
     parts, groups = [], 0
     for kind in kinds:
         own = PATTERNS[kind]
-        count = len(re.findall(r"(?<!\\)\((?!\?)", own))
+        count = _groups([kind])
         for i in range(count, 0, -1):
             own = own.replace(f"\\{i}", f"\\{groups + i}")
         parts.append(own)
@@ -70,7 +74,7 @@ def _is(value: str, kind: str) -> str:
     """Whether a match has the shape of a kind; look-arounds saw the text around it before."""
     own = PATTERNS[kind]
     if kind == "secret":
-        return f"NOT {value} RLIKE '[@. ]' AND {value} RLIKE '^(AKIA[0-9A-Z]{{16}}|[A-Za-z0-9/+_-]{{8,256}})$'"
+        return f"NOT {value} RLIKE '[@. ]' AND {value} RLIKE '^(AKIA[0-9A-Z]{{16}}|[A-Za-z0-9/+_-]{{8,}})$'"
     return f"{value} RLIKE {quote('^(?:' + own + ')$')}"
 
 
@@ -99,8 +103,8 @@ def permuted_pair(key: str, kind: str, left: str, right: str, lefts: int, rights
 
 def permuted_text(key: str, kind: str, value: str) -> str:
     """SQL of a text of the same shape: digits stay digits, small and capital letters what they
-    are (a to f, if there are no others), and everything else stays itself."""
-    shift = "CAST(conv(substr(d, 1 + 2 * ((i - 1) % 64), 2), 16, 10) AS INT)"
+    are (a to f, if there are no others), and everything else stays itself. Linear in the text."""
+    shift = "CAST(conv(substr(d, 1 + 2 * (i % 64), 2), 16, 10) AS INT)"
     moved = (
         "CASE WHEN c >= '0' AND c <= '9' THEN chr(48 + (ascii(c) - 48 + k) % 10) "
         "WHEN c >= 'a' AND c <= 'z' THEN chr(97 + (ascii(c) - 97 + k) % low) "
@@ -108,8 +112,7 @@ def permuted_text(key: str, kind: str, value: str) -> str:
     )
 
     def shifted(half: str, other: str) -> str:
-        each = let("c", f"substr({half}, i, 1)", let("k", shift, moved))
-        letters = f"array_join(transform(sequence(1, length({half})), i -> {each}), '')"
+        letters = f"array_join(transform(split({half}, ''), (c, i) -> {let('k', shift, moved)}), '')"
         digest = _digest(key, kind, "CAST(turn AS STRING)", other)
         return f"if(length({half}) = 0, '', {let('d', digest, letters)})"
 
@@ -153,7 +156,7 @@ def _card(key: str) -> str:
     check = f"CAST((10 - {luhn_sum('concat(b, 0)')} % 10) % 10 AS STRING)"
     made = let("b", body, f"concat(b, {check})")
     valid = f"{luhn_sum('d')} % 10 = 0"
-    return let("d", "regexp_replace(m, '[^0-9]', '')", f"if({valid}, {_filled('m', made)}, m)")
+    return let("d", "regexp_replace(m, '[^0-9]', '')", f"if({valid}, {_filled('m', made)}, NULL)")
 
 
 def _iban(key: str) -> str:
@@ -161,7 +164,7 @@ def _iban(key: str) -> str:
     new = let("b", permuted_text(key, "iban", "substr(d, 5)"), f"concat(land, {check}, b)")
     spaced = "if(m LIKE '% %', rtrim(regexp_replace(made, '(.{4})', '$1 ')), made)"
     valid = f"{iban_rest('concat(substr(d, 5), substr(d, 1, 4))')} = 1"
-    result = f"if({valid}, {let('made', new, spaced)}, m)"
+    result = f"if({valid}, {let('made', new, spaced)}, NULL)"
     return let("d", "replace(m, ' ', '')", let("land", "substr(d, 1, 2)", result))
 
 
@@ -183,7 +186,7 @@ def _address(key: str) -> str:
 
 def _date(key: str) -> str:
     """Year first, or else day before month where that is a date, month before day otherwise.
-    What no calendar has stays."""
+    What no calendar has is no date."""
 
     def moved(shape: str) -> str:
         index = f"datediff(day, DATE'{FIRST_DAY}')"
@@ -199,9 +202,9 @@ def _date(key: str) -> str:
         return f"if({known} IS NOT NULL, {body}, {otherwise})"
 
     def both(sign: str) -> str:
-        return tried(f"dd{sign}MM{sign}yyyy", tried(f"MM{sign}dd{sign}yyyy", "m"))
+        return tried(f"dd{sign}MM{sign}yyyy", tried(f"MM{sign}dd{sign}yyyy", "NULL"))
 
-    year_first = tried("yyyy-MM-dd", "m")
+    year_first = tried("yyyy-MM-dd", "NULL")
     return f"CASE WHEN m LIKE '%-%' THEN {year_first} WHEN m LIKE '%.%' THEN {both('.')} ELSE {both('/')} END"
 
 
@@ -232,6 +235,7 @@ def _secret(key: str) -> str:
     return let("head", head, f"concat(head, {body})")
 
 
+#: SQL of the pseudonym of a match `m` of each kind, null where its validation fails.
 _MAKERS = {
     "secret": _secret, "mail": _mail, "iban": _iban, "phone": _phone,
     "address": _address, "date": _date, "social": _social, "card": _card,
@@ -239,21 +243,30 @@ _MAKERS = {
 
 
 def pseudonym(key: str, kinds: list[str]) -> str:
-    """SQL of the pseudonym of a match `m`; a value that fails its validation is its own."""
+    """SQL of the pseudonym of a match `m`, which is `named` if it was found as a secret; a value
+    that fails its validation is its own, or else what it is as a secret."""
     # A match is of the first kind whose whole pattern it has, but secrets may look like all.
-    order = [k for k in kinds if k != "secret"] + [k for k in kinds if k == "secret"]
-    cases = " ".join(f"WHEN {_is('m', k)} THEN {_MAKERS[k](key)}" for k in order)
-    return f"CASE {cases} ELSE m END"
+    cases = " ".join(f"WHEN {_is('m', k)} THEN {_MAKERS[k](key)}" for k in kinds if k != "secret")
+    tried = [f"CASE {cases} END"] if cases else []
+    if "secret" in kinds:
+        tried.append(f"if(named AND {_is('m', 'secret')}, {_MAKERS['secret'](key)}, NULL)")
+    return f"coalesce({', '.join([*tried, 'm'])})"
 
 
 def pseudonymised(text: str, key: str, kinds: list[str] | None = None) -> Column:
     """The text of a column with pseudonyms in place of personal data; null stays null."""
-    kinds = kinds or KINDS
+    kinds = [k for k in KINDS if k in (kinds or KINDS)]
     pattern, column = quote(_pattern(kinds)), name(text)
     joined = (
         "array_join(transform(between, (b, i) -> concat(b, coalesce(get(new, i), ''))), '')"
     )
-    new = f"transform(found, m -> {pseudonym(key, kinds)})"
+    # The group of the secrets is empty in the matches of other kinds.
+    secrets = "array()"
+    if "secret" in kinds:
+        group = 1 + _groups(kinds[: kinds.index("secret")])
+        secrets = f"regexp_extract_all({column}, {pattern}, {group})"
+    each = let("named", "coalesce(get(secrets, i) <> '', false)", pseudonym(key, kinds))
+    new = let("secrets", secrets, f"transform(found, (m, i) -> {each})")
     changed = let(
         "found",
         f"regexp_extract_all({column}, {pattern}, 0)",
