@@ -260,3 +260,42 @@ def test_embedding_links(spark, monkeypatch, block, leaf, chunk):
     expected = [(vec_id, links[i], least.get(sets.find(i))) for i, (vec_id, _) in enumerate(own)]
     assert sorted(map(repr, expected)) == sorted(repr(tuple(r)[:3]) for r in got)
     assert embedding_dedup.embedding_dedup(frame.limit(0)).count() == 0
+
+
+def circle(*angles):
+    return np.array([[np.cos(a), np.sin(a)] for a in angles])
+
+
+def small_trees():
+    rng = np.random.default_rng(5)
+    near = np.array([1.0, 0.0, 0.0]) + 1e-5 * rng.normal(size=(40, 3))
+    # Points exactly, or but for rounding, as far from the first as a radius of some level.
+    radii = [2 * np.arcsin(r / 2) for r in (2.0, 1.0, 0.5, 0.25, 0.125)]
+    shifted = [a + k * 1e-9 for a in radii for k in (-2, -1, 1, 2)]
+    return {
+        "opposite": np.array([[1.0, 0.0], [-1.0, 0.0]]),
+        "opposites": np.concatenate([x := rng.normal(size=(50, 8)), -x]),
+        "radii": circle(0.0, *radii, *[-a for a in radii]),
+        "about radii": circle(0.0, *shifted),
+        "very near": near,
+        "near and opposite": np.concatenate([near, -near]),
+    } | {f"radius {a:.3f} {k}": circle(0.0, a + k * 1e-9, a / 2) for a in radii for k in (-1, 0, 1)}
+
+
+@pytest.mark.parametrize("leaf", [8, 1])
+def test_trees_of_points_at_a_radius(monkeypatch, leaf):
+    monkeypatch.setattr(embedding_dedup, "LEAF", leaf)
+    for name, raw in small_trees().items():
+        tree = embedding_dedup.CoverTree(raw, np.ones(len(raw), np.int64))
+        assert sorted(tree.order) == list(range(len(raw))), name
+        walk = embedding_dedup.Walk(tree, tree, 0.9)
+        links = np.cumsum(walk.steps[0])[:-1]
+        units = tree.raw / np.linalg.norm(tree.raw, axis=1, keepdims=True)
+        assert links.tolist() == ((units @ units.T >= 0.9).sum(axis=1) - 1).tolist(), name
+
+
+def test_opposite_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (2, [-1.0, 0.0]), (3, [0.9, 0.1])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = embedding_dedup.embedding_dedup(frame).collect()
+    assert sorted(tuple(r)[:3] for r in got) == [(1, 1, 1), (2, 0, 2), (3, 1, 1)]

@@ -86,8 +86,9 @@ class CoverTree:
             return node
         while radius > reach:  # levels at which the node would have one child
             radius /= 2
+        # Children start below this radius, also where one of them is all of the node.
         for near, own in _covered(points[members], radius):
-            node.children.append(self._node(points, members[near], radius, order, own))
+            node.children.append(self._node(points, members[near], radius / 2, order, own))
         return node
 
     def __getstate__(self):
@@ -107,8 +108,9 @@ def _covered(points: np.ndarray, radius: float) -> Iterator[tuple[np.ndarray, np
     """The points in balls around the first point that no ball before has: places and distances
     to the ball's middle, the middle first."""
     left = np.ones(len(points), bool)
-    # Any cover will do, as nodes are told how far they reach: single precision is enough.
-    quick = points.astype(np.float32)
+    # Any cover will do, as nodes are told how far they reach: single precision is enough while it
+    # can tell points a radius apart.
+    quick = points.astype(np.float32) if radius * radius > 16 * ROUGH else points
     start = 0
     while start < len(points):
         middles = start + np.flatnonzero(left[start : start + 8 * CHUNK])[:CHUNK]
