@@ -44,6 +44,17 @@ def test_ids_are_the_library_s(library, make):
         assert encode(text) == coded(library.encode(text, add_special_tokens=False).ids), text[:80]
 
 
+@pytest.mark.parametrize("make", [words.WordIds, bpe.Codec])
+def test_marks_count_in_their_own_letters(library, make):
+    work = make(words.default_path())
+    encode = work.ids if isinstance(work, words.WordIds) else work.encode
+    marks = ["<|ENDOFTEXT|>", "<|EndOfText|>", "<|STARTOFTEXT|>", "<|endoftext|>", "<|startoftext|>"]
+    texts = [t for m in marks for t in (m, f"One {m} two\n{m}", f"It's{m}x, {m}{marks[3]} End.", f"日本 {m} Ö")]
+    for text in [*texts, " ".join(marks), "".join(marks), *texts]:
+        assert encode(text) == coded(library.encode(text, add_special_tokens=False).ids), text
+    assert coded(library.encode("<|ENDOFTEXT|>", add_special_tokens=False).ids) != encode("<|endoftext|>")
+
+
 def test_full_tables_start_anew(library, monkeypatch):
     monkeypatch.setattr(words, "KEPT", 5)
     monkeypatch.setattr(bpe, "KEPT_PAIRS", 5)

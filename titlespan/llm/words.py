@@ -86,6 +86,7 @@ class WordIds:
         model = tokenizer.model
         self.merge = merge or (lambda piece: [t.id for t in model.tokenize(piece)])
         self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.marks = [mark.lower() for mark in self.special]
         self.own = merge is not None
         self.pieces = _Kept(self._piece)
         self.lower = _Kept(self._lower)
@@ -95,13 +96,13 @@ class WordIds:
         return packed(self.merge(lettered(piece)))
 
     def _lower(self, stretch: str) -> bytes:
-        """Of a text that is lower case and has no letter beyond U+02AF."""
+        """Of a text that is lower case and has no letter beyond U+02AF and no special mark."""
         if stretch.isalpha():
             return self.pieces[stretch]
         body, sign = stretch[:-1], stretch[-1:]
         if sign in ".,;:!?" and body.isalpha():
             return self.pieces[body] + self.pieces[sign]
-        if _plain(stretch) and not any(mark in stretch for mark in self.special):
+        if _plain(stretch):
             return b"".join(map(self.pieces.__getitem__, _pieces(stretch)))
         return self._raw(stretch)
 
@@ -128,10 +129,18 @@ class WordIds:
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
-        plain = not _beyond(text)
-        known = self.lower if plain else self.raw
-        spaced = (text.lower() if plain else text).replace("\n", " ")
-        return b"".join(map(known.__getitem__, spaced.split(" ")))
+        spaced = text.replace("\n", " ")
+        if _beyond(text):
+            return b"".join(map(self.raw.__getitem__, spaced.split(" ")))
+        lower = spaced.lower()
+        if not self._marked(lower):
+            return b"".join(map(self.lower.__getitem__, lower.split(" ")))
+        # Marks are matched in their own letters: what may hold one goes to the library as it is.
+        pairs = zip(spaced.split(" "), lower.split(" "), strict=True)
+        return b"".join(self.raw[own] if self._marked(low) else self.lower[low] for own, low in pairs)
+
+    def _marked(self, lower: str) -> bool:
+        return any(mark in lower for mark in self.marks)
 
 
 @cache
