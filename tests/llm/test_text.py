@@ -226,6 +226,15 @@ def test_quality(spark):
     assert again == model
 
 
+def test_long_texts_leave_room_for_others(spark):
+    texts = [(i, t * 200 if i % 6 < 2 else t) for i, t in labelled(100)]
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i, _ in texts], "doc_id long, quality int")
+    model = quality.fit(table(spark, texts), labels, sample_bytes=64 * 1024)
+    assert model.good and model.bad
+    got = quality.scored(table(spark, labelled(100)), model).collect()
+    assert np.mean([(r.predicted == 1) == (r.doc_id % 2 == 0) for r in got if r.held_out]) > 0.9
+
+
 def test_labels_held_out_teach_nothing(spark):
     texts = labelled(60)
     docs = table(spark, texts)

@@ -112,7 +112,10 @@ def fit(
         # Ids first, so that the texts of the sample are the only ones that move.
         ids = known.filter(F.col("label") == label).select("doc_id")
         ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-        rows = narrow.join(F.broadcast(ids), "doc_id").withColumn("size", F.octet_length("text"))
+        # A text gives its beginning, so that no text uses up the sample: sixteen have room at least.
+        part = F.substring("text", 1, max(1, sample_bytes // 64))
+        rows = narrow.join(F.broadcast(ids), "doc_id").withColumn("text", part)
+        rows = rows.withColumn("size", F.octet_length("text"))
         rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample_rows)
         total, taken = 0, []
         for row in rows.toLocalIterator():
