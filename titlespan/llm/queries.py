@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from titlespan.llm import (
     bpe,
+    chat,
     embedding_dedup,
     exact_dedup,
     near_dedup,
     packing,
     pii,
     quality,
+    ranked_search,
     repeats,
     token_counts,
     token_files,
@@ -34,9 +36,15 @@ def registry() -> dict[str, Query]:
         quality.op8_quality,
         token_counts.op9_token_counts,
         embedding_dedup.op10_embedding_dedup,
+        chat.op11_chat,
+        ranked_search.op12_ranked_search,
     ]
     return {f.__name__: f for f in found}
 
 
 def oracles() -> dict[str, str]:
-    return {"op7_exact_dedup": exact_dedup.OP7_SQL}
+    return {
+        "op7_exact_dedup": exact_dedup.OP7_SQL,
+        "op11_chat": chat.OP11_SQL,
+        "op12_ranked_search": ranked_search.OP12_SQL,
+    }
