@@ -17,6 +17,7 @@ from titlespan.llm import (
     quality,
     ranked_search,
     repeats,
+    spelling_variants,
     token_counts,
     token_files,
 )
@@ -38,6 +39,7 @@ def registry() -> dict[str, Query]:
         embedding_dedup.op10_embedding_dedup,
         chat.op11_chat,
         ranked_search.op12_ranked_search,
+        spelling_variants.op13_spelling_variants,
     ]
     return {f.__name__: f for f in found}
 
@@ -47,4 +49,5 @@ def oracles() -> dict[str, str]:
         "op7_exact_dedup": exact_dedup.OP7_SQL,
         "op11_chat": chat.OP11_SQL,
         "op12_ranked_search": ranked_search.OP12_SQL,
+        "op13_spelling_variants": spelling_variants.OP13_SQL,
     }
