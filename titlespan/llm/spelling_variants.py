@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from titlespan.llm.common import documents, join_groups, two_columns, written
 
 #: Pairs that a key may give before it is cut further.
-KEY_PAIRS = 1000
+KEY_PAIRS = 100
 #: Words a task counts before it hands them on. Bounds memory, never results.
 HELD_WORDS = 400_000
 
