@@ -91,6 +91,58 @@ def test_unequal_lengths_are_errors(spark, tags):
             found.collect()
 
 
+def test_pairing_loses_nothing(spark):
+    true = spark.createDataFrame(
+        [(1, 0, "a", "O"), (1, 1, "b", None), (2, 0, "c", "B-EAN"), (None, 0, "n", "O"), (3, 0, "d", "O")],
+        "record_id long, pos int, token string, tag string",
+    )
+    pred = spark.createDataFrame(
+        [(1, 0, "O"), (1, 2, "O"), (None, 0, None), (4, 0, "I-EAN"), (4, 1, "O"), (3, 0, "O")],
+        "record_id long, pos int, tag string",
+    )
+    pairs = metrics.pair_long(true, pred)
+    assert pairs.columns == ["record_id", "pos", "token", "true_tag", "pred_tag"]
+    expected = [
+        (1, 0, "a", "O", "O"), (1, 1, "b", "", None), (1, 2, None, None, "O"), (2, 0, "c", "B-EAN", None),
+        (None, 0, "n", "O", ""), (3, 0, "d", "O", "O"), (4, 0, None, None, "I-EAN"), (4, 1, None, None, "O"),
+    ]
+    assert sorted(map(repr, map(tuple, pairs.collect()))) == sorted(map(repr, expected))
+    found = {(r.rule, r.record_id, r.pos, r.n) for r in metrics.unpaired_tokens(pairs).collect()}
+    assert found == {
+        ("missing_prediction", 1, 1, 1), ("missing_prediction", 2, 0, 1),
+        ("missing_truth", 1, 2, 1), ("missing_truth", 4, 0, 2),
+    }
+
+
+def test_records_without_a_partner_show(spark):
+    kind = "record_id long, tokens array<string>, tags array<string>"
+    true = spark.createDataFrame([(1, ["a"], ["O"]), (None, ["n"], ["O"]), (2, ["b"], ["O"]), (5, ["x"], ["O"])], kind)
+    pred = spark.createDataFrame([(1, ["O"]), (None, ["O"]), (3, ["O"]), (5, ["O"]), (5, ["B-EAN"])], "record_id long, tags array<string>")
+    pairs = metrics.pair_sequences(true, pred)
+    got = sorted(repr(tuple(r)) for r in pairs.collect())
+    assert got == sorted(map(repr, [
+        (1, ["a"], ["O"], ["O"]), (None, ["n"], ["O"], ["O"]), (2, ["b"], ["O"], None), (3, None, None, ["O"]),
+        (5, ["x"], ["O"], ["O"]), (5, ["x"], ["O"], ["B-EAN"]),
+    ]))
+    found = {(r.rule, r.record_id, r.n) for r in metrics.pairing_violations(true, pred).collect()}
+    assert found == {("missing_prediction", 2, 1), ("missing_truth", 3, 1), ("repeated_record", 5, 2)}
+    assert {(r.record_id, r.side) for r in metrics.unpaired_records(true, pred).collect()} == {(2, "true"), (3, "pred")}
+    with pytest.raises(Exception, match="differ in length"):
+        metrics.evaluation_counts(pairs).collect()
+    none = metrics.pairing_violations(true.limit(0), pred.limit(0))
+    assert none.columns == ["rule", "record_id", "n"] and none.count() == 0
+
+
+def test_types_of_equal_spans_must_agree(spark):
+    """Spans at the same places, of other types, known or not, are no hits."""
+    rows = [(1, ["a", "b", "c"], ["B-X", "I-X", "B-EAN"], ["B-Y", "I-Y", "B-EAN"]), (2, [], [], [])]
+    counts = metrics.span_counts(spark.createDataFrame(rows, SCHEMA)).collect()
+    got = {(r.grain, r.k1): r.n for r in counts}
+    assert got == {
+        ("span_true", "X"): 1, ("span_true", "EAN"): 1, ("span_pred", "Y"): 1, ("span_pred", "EAN"): 1, ("span_hit", "EAN"): 1,
+    }
+
+
 def test_tables_must_pair_up(spark):
     true = spark.createDataFrame([(1, ["a"], ["O"]), (2, ["b"], ["O"])], "record_id int, tokens array<string>, tags array<string>")
     assert metrics.evaluate_tables(true, true.drop("tokens")).filter("key = 'O'").count()
@@ -207,7 +259,8 @@ def test_unequal_lengths(spark):
 def test_pairing_two_tables(spark):
     true = spark.createDataFrame([(1, ["a"], ["O"]), (2, ["b"], ["O"])], "record_id bigint, tokens array<string>, tags array<string>")
     pred = spark.createDataFrame([(1, ["O"]), (3, ["O"])], "record_id bigint, tags array<string>")
-    assert [r.record_id for r in metrics.pair_sequences(true, pred).collect()] == [1]
+    paired = {r.record_id: (r.tokens, r.true_tags, r.pred_tags) for r in metrics.pair_sequences(true, pred).collect()}
+    assert paired == {1: (["a"], ["O"], ["O"]), 2: (["b"], ["O"], None), 3: (None, None, ["O"])}
     assert {(r.record_id, r.side) for r in metrics.unpaired_records(true, pred).collect()} == {(2, "true"), (3, "pred")}
 
 

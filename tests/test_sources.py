@@ -3,7 +3,7 @@ import gzip
 import pytest
 
 from titlespan import session
-from titlespan.operators import tagger
+from titlespan.operators import checks, tagger
 from titlespan.plans import jobs
 from titlespan.sources import samples, store, tsv
 from titlespan.streaming import incremental
@@ -185,7 +185,90 @@ def test_running_counts_and_quality(spark, tmp_path):
     assert {r.tag: r.n for r in spark.table("tag_counts").collect()} == {"O": 2, "B-OEM": 1, "": 1}
     out = str(tmp_path / "quality")
     incremental.quality_stream(stream, out, str(tmp_path / "state2")).awaitTermination()
-    assert spark.read.json(out).first().total_records == 3
+    assert incremental.running_quality(out, stream.sparkSession.read.parquet(source)).first().total_records == 3
+
+
+def quality(df):
+    return sorted(map(repr, df.collect()))
+
+
+def test_quality_runs_over_batches(spark, tmp_path):
+    """Copies in different batches are duplicates, also after the stream has been stopped."""
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "_c long, text string, n int"
+    for part in ([(1, "a", 1), (2, None, 1)], [(1, "a", 1), (3, "", None)], [(1, "a", 1), (4, "b" * 1500, 2)]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    incremental.quality_stream(stream, out, state).awaitTermination()
+    seen = spark.read.schema(schema).parquet(source)
+    assert spark.read.parquet(out).count() == 3
+    assert quality(incremental.running_quality(out, seen)) == quality(checks.data_quality(seen))
+    assert incremental.running_quality(out, seen).first().duplicate_rows == 2
+    spark.createDataFrame([(1, "a", 1), (5, "c", 1)], schema).coalesce(1).write.mode("append").parquet(source)
+    incremental.quality_stream(stream, out, state).awaitTermination()
+    seen = spark.read.schema(schema).parquet(source)
+    assert quality(incremental.running_quality(out, seen)) == quality(checks.data_quality(seen))
+    assert incremental.running_quality(out, seen).first().duplicate_rows == 3
+
+
+STRAY = ["id\tname\tbrand", '1\t"open\tB1', '2\t"quoted ""x"""\tB2', "3\tshort", "4\ta\tb\tmore\tyet more", "", '5\t\t""']
+
+
+def test_streamed_files_are_read_as_in_a_batch(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i in range(3):
+        with gzip.open(folder / f"f{i}.tsv.gz", "wt") as f:
+            f.write("\n".join(STRAY) + "\n")
+    columns = ["id", "name", "brand"]
+    raw = incremental.tsv_stream(spark, str(folder), columns, files_per_trigger=2, keep_corrupt=True)
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    incremental.ingest_stream(raw, out, state).awaitTermination()
+    got = sorted(map(tuple, incremental.read_ingested(spark, out).collect()))
+    batch = tsv.read_tsv_gz(spark, f"{folder}/*.gz", on_surplus="drop")
+    assert got == sorted(map(tuple, batch.collect())) and len(got) == 15
+    assert ("1", '"open', "B1") in got and ("3", "short", "") in got
+    found = incremental.read_ingested(spark, out, "violations").collect()
+    assert [(r.rule, r.detail, r.n) for r in found] == [("surplus_fields", STRAY[4], 2)] * 3
+    with pytest.raises(ValueError):
+        incremental.tsv_stream(spark, str(folder), columns, on_surplus="ignore")
+
+
+def test_a_surplus_field_fails_the_stream(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "f.tsv").write_text("\n".join(STRAY))
+    rows = incremental.tsv_stream(spark, str(folder), ["id", "name", "brand"])
+    query = rows.writeStream.format("memory").queryName("surplus").option("checkpointLocation", str(tmp_path / "s"))
+    with pytest.raises(Exception, match="more fields than the header has"):
+        query.trigger(availableNow=True).start().awaitTermination()
+
+
+def test_streams_take_the_newest_model(spark, tmp_path, monkeypatch):
+    """One dictionary per version, whatever the number of batches."""
+    path, source, out = (str(tmp_path / n) for n in ("models", "in", "out"))
+    with pytest.raises(ValueError, match="no version"):
+        incremental.Models(spark, path).current()
+    schema = "token string, tag string"
+    first = tagger.fit(spark.createDataFrame([("Bosch", "B-Hersteller")], schema))
+    second = tagger.fit(spark.createDataFrame([("Bosch", "B-Produktart")], schema))
+    assert store.save_version(first, path) == 1
+    made = []
+    monkeypatch.setattr(incremental, "held", lambda *a: made.append(1) or tagger.held(*a))
+    models = incremental.Models(spark, path)
+    for i in range(4):
+        spark.createDataFrame([(str(i), "Bosch")], "id string, title string").write.mode("append").parquet(source)
+    stream = spark.readStream.schema("id string, title string").option("maxFilesPerTrigger", 1).parquet(source)
+    state = str(tmp_path / "state")
+    incremental.tagged_submission_stream(stream, models, out, state).awaitTermination()
+    assert len(made) == 1 and {r.Hersteller for r in incremental.read_batches(spark, out).collect()} == {"Bosch"}
+    assert store.save_version(second, path) == 2 and store.latest_version(spark, path) == 2
+    (tmp_path / "models" / "version=9" / "lexicon").mkdir(parents=True)
+    assert store.latest_version(spark, path) == 2
+    spark.createDataFrame([("9", "Bosch")], "id string, title string").write.mode("append").parquet(source)
+    incremental.tagged_submission_stream(stream, models, out, state).awaitTermination()
+    rows = {r.id: (r.Hersteller, r.Produktart) for r in incremental.read_batches(spark, out).collect()}
+    assert len(made) == 2 and len(rows) == 5 and rows["9"] == ("", "Bosch") and rows["0"] == ("Bosch", "")
 
 
 def test_samples_train_a_model(spark):

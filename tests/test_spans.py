@@ -148,3 +148,17 @@ def test_one_record_with_most_of_a_long_table(spark):
     got = ops.spans_from_long(tagged, block=500).select("record_id", "type", "start_pos", "end_pos", "text")
     assert len(want) > 50
     assert sorted(got.collect()) == sorted(want)
+
+
+def test_whole_spans_meet_no_others(spark):
+    """Only pieces at the edges of blocks are shuffled once more."""
+    tagged = spark.range(1000).selectExpr(
+        "id % 2 AS record_id", "CAST(id div 2 AS INT) AS pos", "'t' AS token", "if(id % 6 < 2, 'B-EAN', 'O') AS tag"
+    )
+    found = ops.spans_from_long(tagged, block=100)
+    assert found.count() == 334
+    plan = found._jdf.queryExecution().optimizedPlan()
+    union = plan.toString().splitlines()
+    top = [line for line in union if "Union" in line or "Aggregate" in line]
+    # Of the two sides of the union only the second one, the pieces at the edges, is grouped again.
+    assert "Union" in top[0] and "Aggregate" in top[1] and "start_pos" in top[1] + top[2]

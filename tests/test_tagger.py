@@ -1,9 +1,11 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from titlespan.operators import folds, tagger
+from titlespan.operators import dictionary, folds, tagger
 from titlespan.operators.tokens import with_tokens
 from titlespan.sources import store
 
@@ -49,9 +51,8 @@ def test_fit_takes_the_majority(seqs, data):
 
 
 @pytest.mark.parametrize("limit", [tagger.MAX_BROADCAST_BYTES, 0])
-def test_both_lookups_predict_the_same(spark, seqs, data, limit, monkeypatch):
-    """With a limit of 0 the lexicon is joined by shuffle, the frequent tokens apart."""
-    monkeypatch.setattr(tagger, "HOT_SHARE", 2)
+def test_both_lookups_predict_the_same(spark, seqs, data, limit):
+    """With a limit of 0 the records ask in blocks."""
     best, _ = majority(data[:200])
     lexicon = tagger.fit_sequences(seqs.filter("record_id < 200"))
     predicted = tagger.predict_tokens(seqs, lexicon, parallel=["true_tags"], max_broadcast_bytes=limit)
@@ -62,6 +63,18 @@ def test_both_lookups_predict_the_same(spark, seqs, data, limit, monkeypatch):
         assert rows[i].pred_tags == [best.get(t, "O") for t in tokens]
 
 
+def test_joined_tokens(spark, seqs, data, monkeypatch):
+    """Long tables of tokens: the frequent ones are answered apart."""
+    monkeypatch.setattr(tagger, "HOT_SHARE", 2)
+    lexicon = tagger.fit_sequences(seqs.filter("record_id < 200"))
+    best, _ = majority(data[:200])
+    rows = seqs.selectExpr("record_id", "posexplode(tokens) AS (pos, token)")
+    for limit in (tagger.MAX_BROADCAST_BYTES, 0):
+        found = tagger.lookup(rows, lexicon, max_broadcast_bytes=limit).collect()
+        got = sorted((r.record_id, r.pos, r.token, r._tag or "O") for r in found)
+        assert got == sorted((i, p, t, best.get(t, "O")) for i, ts, _ in data for p, t in enumerate(ts))
+
+
 def test_shuffled_lookup_broadcasts_frequent_tokens_only(seqs):
     lexicon = tagger.fit_sequences(seqs)
     rows = seqs.selectExpr("record_id", "posexplode(tokens) AS (pos, token)")
@@ -82,12 +95,87 @@ def test_repeated_and_missing_ids_keep_their_rows(spark, seqs):
         assert sorted(map(repr, got)) == sorted(map(repr, expected))
 
 
-def test_whole_records_are_shuffled_not_tokens(seqs):
+def test_records_are_tagged_where_they_are(spark, seqs):
+    """No exchange of records or tokens, and one look-up for tags and confidences."""
     lexicon = tagger.fit_sequences(seqs)
-    found = tagger.predict_tokens(seqs, lexicon, parallel=["true_tags"])
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    exchanges = [x for x in plan.splitlines() if "Exchange hashpartitioning(_row" in x]
-    assert len(exchanges) == 1 and "REPARTITION_BY_COL" in exchanges[0]
+    for found in (
+        tagger.predict_tokens(seqs, lexicon, parallel=["true_tags"]),
+        tagger.predict(spark.range(5).selectExpr("id AS record_id", "'Bosch x' AS title"), lexicon),
+    ):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1
+
+
+def test_large_lexicons_are_asked_for_distinct_tokens(spark, seqs, data, monkeypatch):
+    """Beyond the limit: what is joined is a block's distinct tokens that the lexicon may know."""
+    monkeypatch.setattr(dictionary, "BLOCK_TOKENS", 300)
+    blocks = []
+    write = dictionary.written
+    monkeypatch.setattr(dictionary, "written", lambda df, name: blocks.append(write(df, name)) or blocks[-1])
+    lexicon = store.written(tagger.fit_sequences(seqs.filter("record_id < 100")), "lexicon")
+    found = tagger.predict_tokens(seqs, lexicon, max_broadcast_bytes=0)
+    best, _ = majority(data[:100])
+    rows = {r.record_id: r.pred_tags for r in found.collect()}
+    assert rows == {i: [best.get(t, "O") for t in tokens] for i, tokens, _ in data}
+    pairs = [(r.block, t) for r in blocks[0].collect() for t in r.asked]
+    assert len(pairs) == len(set(pairs)) and len({b for b, _ in pairs}) > 3
+    assert len(pairs) < sum(len(tokens) for _, tokens, _ in data) / 2
+
+
+@pytest.mark.parametrize("limit", [tagger.MAX_BROADCAST_BYTES, 0])
+def test_odd_records_are_tagged(spark, seqs, limit):
+    odd = spark.createDataFrame(
+        [(1, None, "a"), (2, [], None), (3, [None, "Bosch", "", "Bosch"], "b"), (4, ["w1"] * 5000, "c")],
+        "record_id int, tokens array<string>, `x.y` string",
+    ).withColumnRenamed("x.y", "block")
+    lexicon = tagger.fit_sequences(seqs)
+    found = tagger.predict_tokens(odd, lexicon, keep=["block"], max_broadcast_bytes=limit)
+    rows = {r.record_id: r for r in found.collect()}
+    best = {r.token: (r.tag, r.confidence) for r in lexicon.collect()}
+    assert [(rows[i].tokens, rows[i].pred_tags, rows[i].block) for i in (1, 2)] == [([], [], "a"), ([], [], None)]
+    assert list(zip(rows[3].pred_tags, rows[3].confidence)) == [("O", 1.0), best["Bosch"], ("O", 1.0), best["Bosch"]]
+    assert rows[4].pred_tags == [best["w1"][0]] * 5000
+    none = tagger.predict_tokens(odd, lexicon.limit(0), keep=["block"], max_broadcast_bytes=limit)
+    assert {t for r in none.collect() for t in r.pred_tags} == {"O"}
+    assert tagger.predict_tokens(odd.limit(0), lexicon, keep=["block"], max_broadcast_bytes=limit).count() == 0
+
+
+def test_a_dictionary_serves_many_queries(seqs, data):
+    lexicon = tagger.fit_sequences(seqs)
+    model = tagger.held(lexicon)
+    best, _ = majority(data)
+    for part in ("record_id < 50", "record_id >= 50"):
+        for r in tagger.predict_tokens(seqs.filter(part), model).collect():
+            assert r.pred_tags == [best[t] for t in r.tokens]
+    assert tagger.held(model) is model and tagger.held(lexicon, 10) is None
+
+
+def test_words_of_one_checksum():
+    """Checksums only lead to a word; the word itself decides."""
+    words = [f"w{i}" for i in range(300)] + ["", "ä", "日本"]
+    tags = pa.array([None if i % 7 == 0 else f"B-{i % 3}" for i in range(len(words))])
+    shares = pa.array([i / len(words) for i in range(len(words))])
+    made = dictionary.Dictionary.of(pa.array(words), tags, shares)
+    same = dictionary.Dictionary.from_bytes(made.to_bytes())
+    assert same.tokens.equals(made.tokens) and (same.codes == made.codes).all() and same.labels.equals(made.labels)
+    assert (same.marks == made.marks).all() and (np.diff(same.marks.astype(np.int64)) >= 0).all()
+    asked = pa.array([*words, "other"])
+    order = np.argsort(dictionary._marks(made.tokens) // 1000, kind="stable")
+    assert (made.find(asked) >= 0).sum() == len(words) and made.find(asked)[-1] == -1
+    blurred = dictionary.Dictionary(
+        dictionary._marks(made.tokens)[order] // 1000, made.tokens.take(pa.array(order)), made.codes[order],
+        made.confidence[order], made.labels,
+    )
+    marks = dictionary._marks
+    try:
+        dictionary._marks = lambda w: marks(w) // 1000
+        lists = pa.array([[*words, "other", None], [], None, ["w7", "w8"]])
+        found, sure = blurred.answers(lists)
+    finally:
+        dictionary._marks = marks
+    expected = [t.as_py() or "O" for t in tags] + ["O", "O"]
+    assert found.to_pylist() == [expected, [], [], ["O", tags[8].as_py()]]
+    assert sure.to_pylist()[0][-2:] == [1.0, 1.0] and sure.to_pylist()[3][1] == shares[8].as_py()
 
 
 def test_failures_of_a_model_show(spark, seqs):
@@ -192,7 +280,7 @@ def test_folds_are_balanced_and_stable(spark):
     again = folds.stratified_folds(df.repartition(3), k=5)
     assert sorted(first.collect()) == sorted(again.collect())
     assert sorted(folds.stratified_folds(df, k=5, seed=1).collect()) != sorted(first.collect())
-    for prefix in (1, 4):
+    for prefix in (1, 2):
         assert sorted(folds.stratified_folds(df, k=5, prefix=prefix).collect()) == sorted(first.collect())
 
 
@@ -205,6 +293,23 @@ def test_fold_lexicons_leave_their_fold_out(spark, data):
         assert {t: tags[f] for t, tags in rows.items() if tags[f] is not None} == best
 
 
+def test_folds_are_planned_without_a_job(spark):
+    """The plan counts in a table of its own; nothing runs before an action."""
+    df = spark.range(100).selectExpr("id AS record_id", "0 AS bin")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("fold-planning", "none")
+    try:
+        folds.stratified_folds(df, k=5)
+        assert list(tracker.getJobIdsForGroup("fold-planning")) == []
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_cross_validation_beyond_a_broadcast(seqs):
+    few = folds.cross_validate(seqs, k=3, max_broadcast_bytes=0).collect()
+    assert sorted(map(repr, few)) == sorted(map(repr, folds.cross_validate(seqs, k=3).collect()))
+
+
 def test_cross_validation(spark, seqs):
     results = folds.cross_validate(seqs, k=3)
     rows = results.collect()

@@ -160,13 +160,38 @@ def tag_spans_of(tags: str, mode: str = "lenient") -> str:
 
 
 def span_keys(spans: str) -> str:
-    """Spans as strings `start:end:type`: hashable, so that set operations stay linear."""
-    return f"transform({spans}, s -> concat_ws(':', s.start_pos, s.end_pos, s.type))"
+    """Spans as numbers, start in the upper half and end in the lower, for fast set operations.
+
+    Spans of one tagging start at different places, so the type is that of the tag there.
+    """
+    return f"transform({spans}, s -> shiftleft(CAST(s.start_pos AS BIGINT), 32) | CAST(s.end_pos AS BIGINT))"
+
+
+def _key_type(key: str, tags: str) -> str:
+    return f"substr(get({tags}, CAST(shiftright({key}, 32) AS INT)), 3)"
+
+
+def key_types(keys: str, tags: str) -> str:
+    """The types in an array of `span_keys` of `tags`."""
+    return let("gs", tags, f"transform({keys}, k -> {_key_type('k', 'gs')})")
+
+
+def common_keys(keys: str, tags: str, other_keys: str, other_tags: str) -> str:
+    """The keys of spans that both taggings have, of one type."""
+    same_type = f"{_key_type('k', 'gs')} = {_key_type('k', 'hs')}"
+    common = f"filter(array_intersect({keys}, {other_keys}), k -> {same_type})"
+    return let("gs", tags, let("hs", other_tags, common))
+
+
+def entity_set(spans: str, types: list[str]) -> str:
+    """The distinct entities of the listed types, each as one string: type, U+0000, text."""
+    listed = f"filter({spans}, s -> s.type IN ({quoted(types)}))"
+    return f"array_distinct(transform({listed}, s -> concat(s.type, '\\u0000', s.text)))"
 
 
-def key_types(keys: str) -> str:
-    """The types in an array of `span_keys`."""
-    return f"transform({keys}, k -> get(split(k, ':', 3), 2))"
+def types_in(entities: str) -> str:
+    """The distinct types of an `entity_set`."""
+    return f"array_distinct(transform({entities}, e -> substring_index(e, '\\u0000', 1)))"
 
 
 def length_matches(tokens: str, tags: str) -> str:

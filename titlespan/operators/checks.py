@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
@@ -228,15 +228,12 @@ def assert_submission(df: DataFrame, expected: list[str] = SUBMISSION_COLUMNS) -
         raise ValueError("submission is not valid:\n" + "\n".join(lines))
 
 
-def data_quality(df: DataFrame, max_length: int = 1000) -> DataFrame:
-    """V8: one row per column with rows, columns, NULLs, empties, longest string, duplicates.
+def _is_text(df: DataFrame, c: str) -> bool:
+    return isinstance(df.schema[c].dataType, StringType)
 
-    Duplicates are counted over a 256-bit digest of the row, so the shuffle moves 64
-    characters per distinct row instead of the row, and copies collapse before it.
-    """
 
-    def is_text(c: str) -> bool:
-        return isinstance(df.schema[c].dataType, StringType)
+def row_digest(df: DataFrame) -> Column:
+    """256 bits that tell rows apart; rows with map columns cannot be compared."""
 
     def has_map(data_type) -> bool:
         if isinstance(data_type, StructType):
@@ -247,30 +244,50 @@ def data_quality(df: DataFrame, max_length: int = 1000) -> DataFrame:
 
     if any(has_map(f.dataType) for f in df.schema):
         raise ValueError("rows with map columns cannot be compared; cast them first")
+    return F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
 
-    digest = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
-    copies = df.groupBy(digest.alias("digest")).agg(F.count(F.lit(1)).alias("n"))
-    duplicates = copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n"))
 
-    counters, per_column = ["count(*) AS rows"], []
+def quality_counters(df: DataFrame, where: str = "true") -> list[Column]:
+    """V8's aggregates over the rows `where` holds: rows, and per column NULLs, empties, longest."""
+    counters = [f"count_if({where}) AS rows"]
     for i, c in enumerate(df.columns):
-        counters.append(f"count_if({name(c)} IS NULL) AS nulls_{i}")
-        empty, longest = "0L", "CAST(NULL AS INT)"
-        if is_text(c):
-            counters.append(f"count_if({name(c)} = '') AS empty_{i}")
-            counters.append(f"max(length({name(c)})) AS longest_{i}")
-            empty, longest = f"empty_{i}", f"longest_{i}"
+        counters.append(f"count_if({where} AND {name(c)} IS NULL) AS nulls_{i}")
+        if _is_text(df, c):
+            counters.append(f"count_if({where} AND {name(c)} = '') AS empty_{i}")
+            counters.append(f"max(if({where}, length({name(c)}), NULL)) AS longest_{i}")
+    return [F.expr(c) for c in counters]
+
+
+def quality_table(
+    counted: DataFrame, duplicates: Column, like: DataFrame, max_length: int = 1000
+) -> DataFrame:
+    """V8's table from one row of `quality_counters` over the columns of `like`."""
+    per_column = []
+    for i, c in enumerate(like.columns):
+        text = _is_text(like, c)
+        empty = f"empty_{i}" if text else "0L"
+        longest = f"longest_{i}" if text else "CAST(NULL AS INT)"
         per_column.append(
             f"struct({quote(c)} AS col, nulls_{i} AS null_count, {empty} AS empty_count, "
             f"{longest} AS max_length, coalesce({longest} > {max_length}, false) AS very_long)"
         )
-    rows = df.agg(*map(F.expr, counters)).select(
+    return counted.select(
         F.col("rows").alias("total_records"),
-        F.lit(len(df.columns)).alias("total_columns"),
-        duplicates.scalar().alias("duplicate_rows"),
+        F.lit(len(like.columns)).alias("total_columns"),
+        duplicates.alias("duplicate_rows"),
         F.explode(F.expr(f"array({', '.join(per_column)})")).alias("c"),
-    )
-    return rows.select("c.*", "total_records", "total_columns", "duplicate_rows")
+    ).select("c.*", "total_records", "total_columns", "duplicate_rows")
+
+
+def data_quality(df: DataFrame, max_length: int = 1000) -> DataFrame:
+    """V8: one row per column with rows, columns, NULLs, empties, longest string, duplicates.
+
+    Duplicates are counted over a 256-bit digest of the row, so the shuffle moves 64
+    characters per distinct row instead of the row, and copies collapse before it.
+    """
+    copies = df.groupBy(row_digest(df).alias("digest")).agg(F.count(F.lit(1)).alias("n"))
+    duplicates = copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n"))
+    return quality_table(df.agg(*quality_counters(df)), duplicates.scalar(), df, max_length)
 
 
 def validation_summary(violations: DataFrame) -> DataFrame:

@@ -21,8 +21,8 @@ from titlespan.operators.tagger import (
 from titlespan.sources.store import written
 
 _PLACES = 9
-#: Records that are ranked together, about.
-PART_ROWS = 100_000
+#: Hexadecimal digits of the digest that the records ranked together share.
+PREFIX = 4
 
 
 def length_edges(df: DataFrame, q: int = 5) -> DataFrame:
@@ -55,20 +55,16 @@ def stratified_folds(
     seed: int = 42,
     bin_col: str = "bin",
     id_col: str = "record_id",
-    prefix: int | None = None,
+    prefix: int = PREFIX,
 ) -> DataFrame:
     """K2: adds `fold`; within a bin the folds differ by at most one record.
 
     Records are ranked by the digest of id and seed. A bin may hold a third of all
     records, so the rank is taken in two levels: within the records that share the first
     `prefix` digits of the digest, plus the number of records with smaller first digits.
-    The prefix follows from the number of records, so that a part holds about `PART_ROWS` of
-    them; the ranks do not depend on it. Give narrow rows: they are sorted.
+    A histogram of those digits says how many come before: at most 65,536 counts a bin, whatever
+    the input, and the ranks do not depend on it. Give narrow rows: they are sorted.
     """
-    if prefix is None:
-        prefix, parts = 1, df.count() / PART_ROWS
-        while 16**prefix < parts:
-            prefix += 1
     placed = df.withColumn("_digest", _digest(id_col, seed)).withColumn(
         "_part", F.substring("_digest", 1, prefix)
     )

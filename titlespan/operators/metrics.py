@@ -8,6 +8,8 @@ every metric is arithmetic on those counters. `by` names extra columns that keep
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,11 +17,13 @@ from pyspark.sql import functions as F
 from titlespan.functions.sql import let, quote, quoted
 from titlespan.functions.tags import (
     blank_to_empty,
-    entities_of,
+    common_keys,
+    entity_set,
     key_types,
     span_keys,
     spans_of,
     tag_spans_of,
+    types_in,
 )
 from titlespan.operators.checks import length_findings, record_violations
 from titlespan.types import ENTITY_TYPES, type_table
@@ -50,24 +54,67 @@ def token_pairs(seqs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     ).select(*by, "record_id", "pos", "z.*")
 
 
+def _full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of either side by null-safe keys; what one side lacks is NULL in its columns."""
+    theirs = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    joined = left.withColumn("_left", F.lit(True)).join(theirs, same, "full_outer")
+    merged = {k: F.when(F.col("_left"), F.col(k)).otherwise(F.col(f"_{k}")) for k in keys}
+    return joined.withColumns(merged).drop("_left", *[f"_{k}" for k in keys])
+
+
 def pair_long(true: DataFrame, pred: DataFrame) -> DataFrame:
-    """A1 over two long tables `(record_id, pos, token, tag)`, paired by key."""
+    """A1 over two long tables `(record_id, pos, token, tag)`, paired by key.
+
+    Nothing is lost: a token that one side lacks has NULL there, while a blank tag is ''.
+    `unpaired_tokens` lists those.
+    """
     left = true.selectExpr("record_id", "pos", "token", "coalesce(tag, '') AS true_tag")
     right = pred.selectExpr("record_id", "pos", "coalesce(tag, '') AS pred_tag")
-    return left.join(right, ["record_id", "pos"], "inner")
+    return _full_outer(left, right, ["record_id", "pos"])
+
+
+def unpaired_tokens(pairs: DataFrame) -> DataFrame:
+    """Violations for the tokens of `pair_long` that one side lacks, per record and side."""
+    lacking = pairs.filter("true_tag IS NULL OR pred_tag IS NULL").selectExpr(
+        "if(pred_tag IS NULL, 'missing_prediction', 'missing_truth') AS rule", "record_id", "pos"
+    )
+    return lacking.groupBy("rule", "record_id").agg(
+        F.min("pos").alias("pos"), F.count(F.lit(1)).alias("n")
+    )
 
 
 def pair_sequences(true: DataFrame, pred: DataFrame) -> DataFrame:
-    """Two tables `(record_id, tokens, tags)` / `(record_id, tags)` side by side."""
+    """Two tables `(record_id, tokens, tags)` / `(record_id, tags)` side by side.
+
+    Nothing is lost: a record that one side lacks has NULL there, so that comparing it fails
+    instead of leaving it out; `pairing_violations` lists those, and ids that are not unique.
+    """
     left = true.selectExpr("record_id", "tokens", "tags AS true_tags")
-    return left.join(pred.selectExpr("record_id", "tags AS pred_tags"), "record_id", "inner")
+    return _full_outer(left, pred.selectExpr("record_id", "tags AS pred_tags"), ["record_id"])
+
+
+def pairing_violations(true: DataFrame, pred: DataFrame) -> DataFrame:
+    """`(rule, record_id, n)` for records that do not pair up one to one.
+
+    `missing_prediction` and `missing_truth` are on one side only, n times; `repeated_record` has
+    n rows, on the side that has more of them.
+    """
+    sides = [
+        t.groupBy("record_id").agg(F.count(F.lit(1)).alias(n))
+        for t, n in ((true, "true_n"), (pred, "pred_n"))
+    ]
+    counted = _full_outer(*sides, ["record_id"])
+    rule = """CASE WHEN pred_n IS NULL THEN 'missing_prediction' WHEN true_n IS NULL THEN 'missing_truth'
+        WHEN true_n > 1 OR pred_n > 1 THEN 'repeated_record' END"""
+    found = counted.selectExpr(f"{rule} AS rule", "record_id", "greatest(true_n, pred_n) AS n")
+    return found.filter("rule IS NOT NULL")
 
 
 def unpaired_records(true: DataFrame, pred: DataFrame) -> DataFrame:
     """Records that only one side has, as `(record_id, side)`."""
     left = true.selectExpr("record_id", "true AS in_true")
-    right = pred.selectExpr("record_id", "true AS in_pred")
-    joined = left.join(right, "record_id", "full_outer")
+    joined = _full_outer(left, pred.selectExpr("record_id", "true AS in_pred"), ["record_id"])
     return joined.filter("in_true IS NULL OR in_pred IS NULL").selectExpr(
         "record_id", "if(in_true IS NULL, 'pred', 'true') AS side"
     )
@@ -235,28 +282,37 @@ def with_exact_match(
     By default a record whose types overlap in part still counts as exact;
     `partial_breaks_exact` asks for equal sets throughout.
     """
-    entities = seqs.selectExpr(
+    sides = seqs.selectExpr(
         "*",
-        f"{entities_of(spans_of('tokens', 'true_tags'), types)} AS true_entities",
-        f"{entities_of(spans_of('tokens', 'pred_tags'), types)} AS pred_entities",
+        f"{entity_set(spans_of('tokens', 'true_tags'), types)} AS _true",
+        f"{entity_set(spans_of('tokens', 'pred_tags'), types)} AS _pred",
     )
-    return exact_match_of_entities(entities, types, partial_breaks_exact)
+    apart = types_in("concat(array_except(_true, _pred), array_except(_pred, _true))")
+    common = types_in("array_intersect(_true, _pred)")
+    # Both hold each type once, so a look-up takes as long as there are types.
+    by_type = f"""transform(array({quoted(types)}), t -> struct(t AS type,
+        NOT array_contains(apart, t) AS exact, array_contains(apart, t) AND array_contains(common, t) AS partial))"""
+    compared = let("apart", apart, let("common", common, by_type))
+    return _with_matches(sides.selectExpr("*", f"{compared} AS by_type").drop("_true", "_pred"), partial_breaks_exact)
 
 
-def exact_match_of_entities(
-    entities: DataFrame, types: list[str] = ENTITY_TYPES, partial_breaks_exact: bool = False
-) -> DataFrame:
-    """A8 over `true_entities` and `pred_entities` maps."""
+def _with_matches(compared: DataFrame, partial_breaks_exact: bool) -> DataFrame:
     matched = "c.exact" if partial_breaks_exact else "c.exact OR c.partial"
-    return entities.selectExpr(
-        "*", f"{_exact_match('true_entities', 'pred_entities', types)} AS by_type"
-    ).selectExpr(
+    return compared.selectExpr(
         "*",
         f"forall(by_type, c -> {matched}) AS exact",
         "exists(by_type, c -> c.partial) AS partial",
     )
 
 
+def exact_match_of_entities(
+    entities: DataFrame, types: list[str] = ENTITY_TYPES, partial_breaks_exact: bool = False
+) -> DataFrame:
+    """A8 over `true_entities` and `pred_entities` maps."""
+    by_type = _exact_match("true_entities", "pred_entities", types)
+    return _with_matches(entities.selectExpr("*", f"{by_type} AS by_type"), partial_breaks_exact)
+
+
 def exact_match(compared: DataFrame) -> DataFrame:
     """Counts and rates over all records; rates are NULL without records."""
     return compared.agg(
@@ -287,7 +343,7 @@ def _with_span_keys(seqs: DataFrame) -> DataFrame:
         "*",
         f"{span_keys(tag_spans_of('true_tags'))} AS true_keys",
         f"{span_keys(tag_spans_of('pred_tags'))} AS pred_keys",
-    ).selectExpr("*", "array_intersect(true_keys, pred_keys) AS hit_keys")
+    ).selectExpr("*", f"{common_keys('true_keys', 'true_tags', 'pred_keys', 'pred_tags')} AS hit_keys")
 
 
 def _counter(grain: str, rows: str, k1: str = "r", k2: str = "''") -> str:
@@ -296,9 +352,9 @@ def _counter(grain: str, rows: str, k1: str = "r", k2: str = "''") -> str:
 
 
 _SPAN_COUNTERS = [
-    _counter("span_true", key_types("true_keys")),
-    _counter("span_pred", key_types("pred_keys")),
-    _counter("span_hit", key_types("hit_keys")),
+    _counter("span_true", key_types("true_keys", "true_tags")),
+    _counter("span_pred", key_types("pred_keys", "pred_tags")),
+    _counter("span_hit", key_types("hit_keys", "true_tags")),
 ]
 
 

@@ -157,7 +157,7 @@ def spans_from_long(
     )
     blocks = (
         rows.groupBy("record_id", "block")
-        .agg(F.array_sort(F.collect_list("item")).alias("items"))
+        .agg(F.sort_array(F.collect_list("item")).alias("items"))
         .selectExpr("*", f"{_events(mode)} AS events")
     )
     # An inner join asks the same of both sides, so their common shuffle runs once.
@@ -170,28 +170,24 @@ def spans_from_long(
     stop = "coalesce(get(bounds, k + 1).at, size(items))"
     members = f"""filter(slice(items, b.at + 1, {stop} - b.at),
         m -> m.tag = '' OR {opens_span('m.tag')})"""
-    pieces = let(
-        "bounds",
-        bounds,
-        f"""filter(
-            transform(bounds, (b, k) -> struct(
-                b.span AS span, if(b.span.type IS NULL, array(), {members}) AS members)),
-            p -> size(p.members) > 0)""",
-    )
-    # The pieces of a span meet under its start; most spans are a single piece.
-    found = (
-        joined.select("record_id", "block", F.explode(F.expr(pieces)).alias("p"))
-        .selectExpr(
-            "record_id",
-            "p.span.type",
-            "p.span.start_pos",
-            "element_at(p.members, -1).pos AS last_pos",
-            "struct(block, array_join(transform(p.members, m -> m.token), ' ') AS text) AS part",
-        )
-        .groupBy("record_id", "type", "start_pos")
+
+    def pieces(which: str) -> str:
+        """The pieces of the bounds `k` for which `which` holds, with their last place and text."""
+        piece = let("ms", f"if(b.span.type IS NULL OR NOT ({which}), array(), {members})", """struct(
+            b.span.type AS type, b.span.start_pos AS start_pos, get(ms, size(ms) - 1).pos AS end_pos,
+            size(ms) AS n, array_join(transform(ms, m -> m.token), ' ') AS text)""")
+        return let("bounds", bounds, f"filter(transform(bounds, (b, k) -> {piece}), p -> p.n > 0)")
+
+    # A span that starts here and is followed by another bound is whole. Only what is open at
+    # either edge of a block meets its other pieces: two pieces a block at most.
+    edge = "k = 0 OR k = size(bounds) - 1"
+    whole = joined.select("record_id", F.explode(F.expr(pieces(f"NOT ({edge})"))).alias("p"))
+    parts = joined.select("record_id", "block", F.explode(F.expr(pieces(edge))).alias("p"))
+    put_together = (
+        parts.groupBy("record_id", F.col("p.type"), F.col("p.start_pos"))
         .agg(
-            F.max("last_pos").alias("end_pos"),
-            F.array_sort(F.collect_list("part")).alias("parts"),
+            F.max("p.end_pos").alias("end_pos"),
+            F.sort_array(F.collect_list(F.struct("block", "p.text"))).alias("parts"),
         )
         .selectExpr(
             "record_id",
@@ -201,4 +197,5 @@ def spans_from_long(
             "array_join(transform(parts, p -> p.text), ' ') AS text",
         )
     )
+    found = whole.select("record_id", "p.type", "p.start_pos", "p.end_pos", "p.text").unionByName(put_together)
     return found.filter(F.col("type").isin(ENTITY_TYPES)) if mode == "lenient" else found

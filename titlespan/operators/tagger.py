@@ -1,8 +1,9 @@
 """M1–M8: the lexicon tagger and the hook for user models.
 
 The lexicon gives each token the tag it carries most often. It grows with the vocabulary,
-so its size is measured before it is broadcast; beyond the limit the join shuffles, with
-the frequent tokens taken out beforehand.
+so its size is measured before it is broadcast. Records are tagged where they are, by a
+dictionary (`operators/dictionary.py`); long tables of tokens are joined (`lookup`), beyond the
+limit by a shuffle with the frequent tokens taken out beforehand.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 
 from titlespan.functions.sql import name, quote, quoted
 from titlespan.functions.tags import fit_length
+from titlespan.operators import dictionary
+from titlespan.operators.dictionary import Held, lexicon_bytes
 from titlespan.operators.metrics import evaluate_predictions
 from titlespan.operators.tokens import tagged_long, true_tags, with_tokens
 from titlespan.types import ENTITY_TYPES, OUTSIDE, labels
@@ -82,15 +85,6 @@ def fit_per_fold(folded: DataFrame, k: int, tag_col: str = "true_tags") -> DataF
     )
 
 
-def lexicon_bytes(lexicon: DataFrame) -> int:
-    """Size of the lexicon as joined rows: its strings and an allowance per row and fold."""
-    if lexicon.schema["tag"].dataType.typeName() == "array":
-        row = "octet_length(token) + octet_length(array_join(tag, '')) + 64 + 48 * size(tag)"
-    else:
-        row = "octet_length(token) + octet_length(tag) + 64"
-    return lexicon.agg(F.expr(f"coalesce(sum({row}), 0L) AS b")).first()["b"]
-
-
 def lookup(
     tokens: DataFrame, lexicon: DataFrame, max_broadcast_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
@@ -116,7 +110,7 @@ def _looked_up_by_shuffle(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
     `HOT_SHARE` times the tasks, whatever the input; all others are too rare to skew a task.
     """
     entries = _entries(lexicon)
-    place = [c for c in (ROW, "record_id", "pos") if c in tokens.columns]
+    place = [c for c in ("record_id", "pos") if c in tokens.columns]
     tasks = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = (
         tokens.filter(F.col("token").isNotNull())
@@ -149,13 +143,14 @@ def _looked_up_by_shuffle(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
     ).drop("_hot", "_hot_tag", "_hot_c", "_salt", "_key")
 
 
-# Tells records apart whose ids are equal or missing.
-ROW = "_row"
+def held(lexicon: DataFrame | Held, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> Held | None:
+    """The lexicon as a dictionary that tasks have, None if it is too large for that."""
+    return lexicon if isinstance(lexicon, Held) else dictionary.held(lexicon, max_broadcast_bytes)
 
 
 def predict_tokens(
     seqs: DataFrame,
-    lexicon: DataFrame,
+    lexicon: DataFrame | Held,
     parallel: Sequence[str] = (),
     keep: Sequence[str] = (),
     fold_col: str | None = None,
@@ -163,54 +158,27 @@ def predict_tokens(
 ) -> DataFrame:
     """M3, M5: `(record_id, *keep, tokens, *parallel, pred_tags, confidence)`.
 
-    A token outside the lexicon is `O` with confidence 1. `parallel` names arrays as long
-    as the tokens, which travel with them; `keep` names columns of the record. With
-    `fold_col` the lexicon holds one entry per fold.
+    A token outside the lexicon is `O` with confidence 1; a record without tokens has none.
+    `parallel` names arrays as long as the tokens and `keep` other columns of the record, which
+    travel with them. With `fold_col` the lexicon holds one entry per fold. Every input row gives
+    one output row, also where ids repeat or are missing.
 
-    Every input row gives one output row, also where ids repeat or are missing. With a
-    lexicon small enough to be broadcast, the rows are dealt out before they are taken apart, so
-    that tokens are put together again where they are and only whole records are shuffled.
+    A lexicon small enough to be broadcast, or a dictionary made of one before, is probed where
+    the records are, so nothing is shuffled. Beyond that records ask in blocks (`in_blocks`).
     """
-    small = lexicon_bytes(lexicon) <= max_broadcast_bytes
-    numbered = seqs.select(
-        F.monotonically_increasing_id().alias(ROW), "record_id", *keep, "tokens", *parallel
-    )
-    if small:
-        numbered = numbered.repartition(ROW)
-    arrays = F.arrays_zip("tokens", *parallel)
-    rows = numbered.select(
-        ROW, "record_id", *keep, F.posexplode_outer(arrays).alias("pos", "z")
-    ).select(
-        ROW, "record_id", *keep, "pos", F.col("z.tokens").alias("token"),
-        *[F.col(f"z.{p}").alias(p) for p in parallel],
-    )
-    found = _looked_up_here(rows, lexicon) if small else _looked_up_by_shuffle(rows, lexicon)
-    tag, confidence = F.col("_tag"), F.col("_c")
-    if fold_col:
-        tag, confidence = F.get(tag, F.col(fold_col)), F.get(confidence, F.col(fold_col))
-    token_struct = F.struct(
-        "pos",
-        "token",
-        *parallel,
-        F.coalesce(tag, F.lit(OUTSIDE)).alias("pred_tag"),
-        F.coalesce(confidence, F.lit(1.0)).alias("confidence"),
-    )
-    regrouped = found.groupBy(ROW).agg(
-        *[F.first(c).alias(c) for c in ("record_id", *keep)],
-        F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), token_struct))).alias("s"),
-    )
-    return regrouped.select(
-        "record_id",
-        *keep,
-        F.col("s.token").alias("tokens"),
-        *[F.col(f"s.{p}").alias(p) for p in parallel],
-        F.col("s.pred_tag").alias("pred_tags"),
-        F.col("s.confidence").alias("confidence"),
+    records = seqs.select(
+        "record_id", *keep, F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens"), *parallel
     )
+    small = held(lexicon, max_broadcast_bytes)
+    if small is None:
+        found = dictionary.in_blocks(records, lexicon, parallel, fold_col)
+    else:
+        found = records.withColumn("_found", small.column("tokens", fold_col)).select("*", "_found.*")
+    return found.select("record_id", *keep, "tokens", *parallel, "pred_tags", "confidence")
 
 
 def predict(
-    df: DataFrame, lexicon: DataFrame, id_col: str = "record_id", title_col: str = "title"
+    df: DataFrame, lexicon: DataFrame | Held, id_col: str = "record_id", title_col: str = "title"
 ) -> DataFrame:
     """M2: T1, then M3; one row for each row, whatever its id."""
     titled = with_tokens(df, title_col).select(F.col(id_col).alias("record_id"), "tokens")
@@ -301,7 +269,7 @@ def model_info(spark: SparkSession, types: list[str] = ENTITY_TYPES, **params: s
 
 def evaluate_model(
     df: DataFrame,
-    model: DataFrame | BatchModel,
+    model: DataFrame | Held | BatchModel,
     tag_cols: list[str],
     id_col: str = "record_id",
     title_col: str = "title",
@@ -317,9 +285,9 @@ def evaluate_model(
 
 
 def predicted_beside(
-    truth: DataFrame, model: DataFrame | BatchModel, keep: Sequence[str] = ()
+    truth: DataFrame, model: DataFrame | Held | BatchModel, keep: Sequence[str] = ()
 ) -> DataFrame:
     """`(record_id, *keep, tokens, true_tags, pred_tags, …)` by a lexicon or a user's model."""
-    if isinstance(model, DataFrame):
+    if isinstance(model, DataFrame | Held):
         return predict_tokens(truth, model, parallel=["true_tags"], keep=keep)
     return predict_with(truth, model, keep=[*keep, "true_tags"])

@@ -367,6 +367,15 @@ _ERRORS = f"""{_tagged()}, err AS (
   SELECT *, {_ERROR} AS error_type FROM ev WHERE true_tag <> pred_tag
 )"""
 
+_GAPPY = """gt AS (
+  SELECT record_id, pos, token, true_tag AS tag FROM ev WHERE record_id % 5 <> 0
+), gp AS (
+  SELECT record_id, pos, pred_tag AS tag
+  FROM ev JOIN (SELECT record_id, len(toks) AS n FROM recs) USING (record_id)
+  WHERE record_id % 7 <> 0 AND (record_id % 3 <> 0 OR pos < n - 1)
+)"""
+
+
 def _short(tag: str) -> str:
     return f"CASE WHEN contains({tag}, '-') THEN string_split({tag}, '-')[-1] ELSE 'O' END"
 
@@ -770,9 +779,33 @@ SELECT metric, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std
         "tsv_messy": """SELECT p_partkey::VARCHAR AS id,
   CASE WHEN p_size % 7 = 0 THEN chr(34) ELSE '' END || p_name AS name, p_brand AS brand FROM part""",
         "tsv_surplus": """SELECT 'surplus_fields' AS rule, NULL::VARCHAR AS col,
+  CASE WHEN p_partkey % 2 = 0 THEN p_partkey || chr(9) || name || chr(9) || p_brand
+    ELSE p_brand || chr(9) || name || chr(9) || p_partkey END || chr(9) || 'extra' AS detail, 1::BIGINT AS n
+FROM (SELECT *, CASE WHEN p_size % 7 = 0 THEN chr(34) ELSE '' END || p_name AS name FROM part)
+WHERE p_size > 40""",
+        "stream_messy": """SELECT p_partkey::VARCHAR AS id,
+  CASE WHEN p_size % 7 = 0 THEN chr(34) ELSE '' END || p_name AS name, p_brand AS brand FROM part""",
+        "stream_surplus": """SELECT 'surplus_fields' AS rule, NULL::VARCHAR AS col,
   p_partkey || chr(9) || CASE WHEN p_size % 7 = 0 THEN chr(34) ELSE '' END || p_name || chr(9) || p_brand
-    || chr(9) || 'extra' AS detail, 1::BIGINT AS n
-FROM part WHERE p_size > 40 AND p_partkey % 2 = 0""",
+    || chr(9) || 'extra' AS detail, 1::BIGINT AS n FROM part WHERE p_size > 40""",
+        "stream_quality": _quality("documents", ["text", "lang", "source"], []),
+        "stream_versions": f"""WITH {_PREDICT}, {_spans('s', 'predicted', 'tag', 'strict')}
+{_submission('titles', 's')}""",
+        "pairs_with_gaps": f"""WITH {_tagged()}, {_GAPPY}
+SELECT record_id, pos, t.token, t.tag AS true_tag, p.tag AS pred_tag FROM gt t FULL JOIN gp p USING (record_id, pos)""",
+        "unpaired_tokens": f"""WITH {_tagged()}, {_GAPPY}, lacking AS (
+  SELECT record_id, pos, CASE WHEN p.tag IS NULL THEN 'missing_prediction' ELSE 'missing_truth' END AS rule
+  FROM gt t FULL JOIN gp p USING (record_id, pos) WHERE p.tag IS NULL OR t.tag IS NULL
+) SELECT rule, record_id, min(pos)::INTEGER AS pos, count(*) AS n FROM lacking GROUP BY rule, record_id""",
+        "pairing_violations": """SELECT CASE WHEN doc_id % 7 = 0 THEN 'missing_prediction'
+    WHEN doc_id % 5 = 0 THEN 'missing_truth' ELSE 'repeated_record' END AS rule,
+  doc_id AS record_id, (CASE WHEN doc_id % 7 <> 0 AND doc_id % 11 = 0 THEN 2 ELSE 1 END)::BIGINT AS n
+FROM documents WHERE (doc_id % 5 = 0) <> (doc_id % 7 = 0) OR (doc_id % 11 = 0 AND doc_id % 7 <> 0)""",
+        "paired_sequences": f"""WITH {_tokens()}, sizes AS (SELECT record_id, len(toks) AS n FROM recs)
+SELECT record_id, CASE WHEN record_id % 5 <> 0 THEN n END::INTEGER AS n_tokens,
+  CASE WHEN record_id % 5 <> 0 THEN n END::INTEGER AS n_true,
+  CASE WHEN record_id % 7 <> 0 THEN CASE WHEN record_id % 3 = 0 THEN greatest(n - 1, 0) ELSE n END END::INTEGER AS n_pred
+FROM sizes WHERE record_id % 5 <> 0 OR record_id % 7 <> 0""",
         "file_info": """SELECT sum(b)::BIGINT AS file_size_bytes, round(sum(b) / (1024 * 1024), 2) AS file_size_mb,
   false AS is_compressed, count(*) AS total_lines
 FROM (SELECT octet_length(encode(p_partkey || chr(9) || p_name || chr(9) || p_brand)) + 1 AS b FROM part)""",

@@ -561,6 +561,49 @@ def saved_model_info(spark, d):
     return info.join(entries)
 
 
+def _gappy(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """True tags without every fifth record, predictions without every seventh and without the
+    last tag of every third."""
+    seqs = inputs.sequences(spark, d)
+    true = seqs.filter("record_id % 5 <> 0").selectExpr("record_id", "tokens", "true_tags AS tags")
+    short = "if(record_id % 3 = 0, slice(pred_tags, 1, greatest(size(pred_tags) - 1, 0)), pred_tags) AS tags"
+    return true, seqs.filter("record_id % 7 <> 0").selectExpr("record_id", "tokens", short)
+
+
+@query
+def pairs_with_gaps(spark, d):
+    """Two taggings that lack records and tokens of each other: a row for every token of either."""
+    true, pred = _gappy(spark, d)
+    return metrics.pair_long(tokens.tagged_long(true, "tags"), _tags_long(pred))
+
+
+def _tags_long(seqs: DataFrame) -> DataFrame:
+    return seqs.select("record_id", F.posexplode("tags").alias("pos", "tag"))
+
+
+@query
+def unpaired_tokens(spark, d):
+    true, pred = _gappy(spark, d)
+    pairs = metrics.pair_long(tokens.tagged_long(true, "tags"), _tags_long(pred))
+    return metrics.unpaired_tokens(pairs)
+
+
+@query
+def pairing_violations(spark, d):
+    """Records that do not pair up, also as their ids repeat."""
+    true, pred = _gappy(spark, d)
+    twice = pred.unionByName(pred.filter("record_id % 11 = 0"))
+    return metrics.pairing_violations(true, twice)
+
+
+@query
+def paired_sequences(spark, d):
+    true, pred = _gappy(spark, d)
+    return metrics.pair_sequences(true, pred).selectExpr(
+        "record_id", "size(tokens) AS n_tokens", "size(true_tags) AS n_true", "size(pred_tags) AS n_pred"
+    )
+
+
 # --- folds -------------------------------------------------------------------------------
 
 
@@ -663,19 +706,20 @@ def tsv_messy(spark, d):
 
 @query
 def tsv_surplus(spark, d):
-    read = tsv.read_tsv_gz(spark, _messy_lines(spark, d)[0], keep_corrupt=True)
-    return tsv.surplus_violations(read)
+    return tsv.surplus_violations(tsv.read_tsv_gz(spark, _messy_lines(spark, d), keep_corrupt=True))
 
 
 @query
 def file_info(spark, d):
-    """Of the parts written as one plain file."""
+    """Of the parts written as plain files, added up."""
     path = new_path(spark, "plain")
     part = inputs.table(spark, d, "part")
     lines = part.select(F.concat_ws("\t", F.col("p_partkey").cast("string"), "p_name", "p_brand"))
-    lines.coalesce(1).write.text(path)
-    info = tsv.file_info(spark, path)
-    return info.select("file_size_bytes", "file_size_mb", "is_compressed", "total_lines")
+    lines.write.text(path)
+    files = tsv.file_info(spark, path).groupBy("is_compressed")
+    return files.agg(
+        F.sum("file_size_bytes").alias("file_size_bytes"), F.sum("total_lines").alias("total_lines")
+    ).withColumn("file_size_mb", F.round(F.col("file_size_bytes") / (1024 * 1024), 2))
 
 
 @query
@@ -754,6 +798,64 @@ def stream_titles(spark, d):
     return incremental.read_batches(spark, out)
 
 
+def _messy_stream(spark: SparkSession, d: str, **options) -> DataFrame:
+    """The parts as a stream of gzip TSV files with stray quotes and surplus fields."""
+    path = new_path(spark, "messy-stream")
+    part = inputs.table(spark, d, "part")
+    stray = F.when(F.col("p_size") % 7 == 0, F.concat(F.lit('"'), F.col("p_name"))).otherwise(F.col("p_name"))
+    line = F.concat_ws("\t", F.col("p_partkey").cast("string"), stray, "p_brand")
+    surplus = F.when(F.col("p_size") > 40, F.concat(line, F.lit("\textra"))).otherwise(line)
+    writer = tsv.write_options(part.select(surplus.alias("id\tname\tbrand")).write).option("sep", "\u0001")
+    writer.option("header", True).option("compression", "gzip").csv(path)
+    return incremental.tsv_stream(spark, path, ["id", "name", "brand"], files_per_trigger=3, **options)
+
+
+def _ingested(spark: SparkSession, d: str) -> str:
+    out = new_path(spark, "ingested")
+    raw = _messy_stream(spark, d, keep_corrupt=True)
+    incremental.ingest_stream(raw, out, new_path(spark, "stream-state")).awaitTermination()
+    return out
+
+
+@query
+def stream_messy(spark, d):
+    """Rows of messy files over several micro-batches, as the batch read gives them."""
+    return incremental.read_ingested(spark, _ingested(spark, d))
+
+
+@query
+def stream_surplus(spark, d):
+    """The lines with surplus fields, beside the rows."""
+    return incremental.read_ingested(spark, _ingested(spark, d), "violations")
+
+
+@query
+def stream_quality(spark, d):
+    """Quality after the last of several micro-batches; copies of a row come in different ones."""
+    source, out = new_path(spark, "quality-in"), new_path(spark, "quality-out")
+    table = inputs.table(spark, d, "documents").select("text", "lang", "source")
+    table.write.parquet(source)
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 3).parquet(source)
+    incremental.quality_stream(stream, out, new_path(spark, "stream-state")).awaitTermination()
+    return incremental.running_quality(out, table)
+
+
+@query
+def stream_versions(spark, d):
+    """Titles tagged by the newest of two versions of a model, held as one dictionary."""
+    model, source, out = (new_path(spark, n) for n in ("models", "titles", "stream-out"))
+    seqs = inputs.sequences(spark, d)
+    store.save_version(tagger.fit_sequences(seqs, "pred_tags"), model)
+    store.save_version(tagger.fit_sequences(seqs), model)
+    titles = inputs.conversations(spark, d).select(F.col("record_id").cast("string").alias("id"), "title")
+    titles.write.parquet(source)
+    stream = spark.readStream.schema(titles.schema).option("maxFilesPerTrigger", 3).parquet(source)
+    models = incremental.Models(spark, model)
+    state = new_path(spark, "stream-state")
+    incremental.tagged_submission_stream(stream, models, out, state).awaitTermination()
+    return incremental.read_batches(spark, out)
+
+
 @query
 def stream_tag_counts(spark, d):
     """Running counts over a stream, as its last batch leaves them."""

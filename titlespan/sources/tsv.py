@@ -65,28 +65,47 @@ def read_tsv_gz(
     return read.repartition(partitions) if partitions else read
 
 
-def _read_one(
-    spark: SparkSession, path: str, delimiter: str, encoding: str, quotechar: str, multiline: bool
+def _quoted(reader, delimiter: str, encoding: str, quotechar: str, multiline: bool):
+    """The options of the quoted parse, for a batch reader or a stream's."""
+    return (
+        reader.option("sep", delimiter)
+        .option("header", True)
+        .option("quote", quotechar)
+        .option("escape", quotechar)
+        .option("encoding", encoding)
+        .option("multiLine", multiline)
+    )
+
+
+def with_raw_lines(
+    reader,
+    path: str,
+    columns: list[str],
+    delimiter: str = "\t",
+    encoding: str = "utf-8",
+    quotechar: str = '"',
+    multiline: bool = False,
 ) -> DataFrame:
-    """The files of one glob with their common header and the raw line of rows that do not fit."""
+    """The rows of files whose header is `columns`, with the raw line of those that do not fit.
 
-    def reader():
-        return (
-            spark.read.option("sep", delimiter)
-            .option("header", True)
-            .option("quote", quotechar)
-            .option("escape", quotechar)
-            .option("encoding", encoding)
-            .option("multiLine", multiline)
-        )
-
-    columns = reader().csv(path).columns
+    `reader` is `spark.read` or `spark.readStream`: both parse alike, and a file with another
+    header fails either.
+    """
     schema = string_schema(columns).add(CORRUPT, StringType())
     # Without column pruning a row is checked in full whichever columns are read.
-    scan = reader().option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+    scan = _quoted(reader, delimiter, encoding, quotechar, multiline)
+    scan = scan.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
     return scan.option("enforceSchema", False).schema(schema).csv(path).na.fill("", columns)
 
 
+def _read_one(
+    spark: SparkSession, path: str, delimiter: str, encoding: str, quotechar: str, multiline: bool
+) -> DataFrame:
+    """The files of one glob with their common header and the raw line of rows that do not fit."""
+    columns = _quoted(spark.read, delimiter, encoding, quotechar, multiline).csv(path).columns
+    return with_raw_lines(spark.read, path, columns, delimiter, encoding, quotechar, multiline)
+
+
 def _data_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c != CORRUPT]
 
