@@ -156,9 +156,7 @@ def test_words_of_one_checksum():
     tags = pa.array([None if i % 7 == 0 else f"B-{i % 3}" for i in range(len(words))])
     shares = pa.array([i / len(words) for i in range(len(words))])
     made = dictionary.Dictionary.of(pa.array(words), tags, shares)
-    same = dictionary.Dictionary.from_bytes(made.to_bytes())
-    assert same.tokens.equals(made.tokens) and (same.codes == made.codes).all() and same.labels.equals(made.labels)
-    assert (same.marks == made.marks).all() and (np.diff(same.marks.astype(np.int64)) >= 0).all()
+    assert (np.diff(made.marks.astype(np.int64)) >= 0).all()
     asked = pa.array([*words, "other"])
     order = np.argsort(dictionary._marks(made.tokens) // 1000, kind="stable")
     assert (made.find(asked) >= 0).sum() == len(words) and made.find(asked)[-1] == -1

@@ -9,15 +9,14 @@ distinct tokens only, and get the answers back as one array.
 
 from __future__ import annotations
 
-import json
-import uuid
+import sys
 import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructType
@@ -30,6 +29,9 @@ BLOCK_TOKENS = 200_000
 #: Bits of the map that keeps unknown tokens from being asked for: 16 MB at most.
 SCREEN_BITS = 1 << 27
 
+# Tasks get this module's code with the query, so that executors need no copy of the library.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _FOUND = StructType().add("pred_tags", ArrayType(StringType())).add("confidence", ArrayType(DoubleType()))
 
 
@@ -68,30 +70,9 @@ class Dictionary:
         order = np.argsort(marks, kind="stable")
         return cls(marks[order], tokens.take(pa.array(order)), codes[order], shares[order], labels)
 
-    def to_bytes(self) -> bytes:
-        columns = {"mark": pa.array(self.marks), "token": self.tokens}
-        for f in range(self.codes.shape[1]):
-            columns[f"code{f}"] = pa.array(np.ascontiguousarray(self.codes[:, f]))
-            columns[f"confidence{f}"] = pa.array(np.ascontiguousarray(self.confidence[:, f]))
-        table = pa.table(columns).replace_schema_metadata({"labels": json.dumps(self.labels.to_pylist())})
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema) as writer:
-            writer.write_table(table)
-        return sink.getvalue().to_pybytes()
-
-    @classmethod
-    def from_bytes(cls, data: bytes) -> Dictionary:
-        table = pa.ipc.open_stream(data).read_all().combine_chunks()
-        labels = pa.array(json.loads(table.schema.metadata[b"labels"]), pa.string())
-
-        def column(name: str) -> pa.Array:
-            c = table.column(name)
-            return c.chunk(0) if c.num_chunks else pa.array([], c.type)
-
-        folds = (table.num_columns - 2) // 2
-        codes = np.column_stack([column(f"code{f}").to_numpy() for f in range(folds)])
-        shares = np.column_stack([column(f"confidence{f}").to_numpy() for f in range(folds)])
-        return cls(column("mark").to_numpy(), column("token"), codes, shares, labels)
+    def arrays(self) -> tuple:
+        """What makes it up, without any class of this library."""
+        return self.marks, self.tokens, self.codes, self.confidence, self.labels
 
     def find(self, words: pa.Array) -> np.ndarray:
         """The place of each word, -1 for unknown ones: by checksum, then by the word itself."""
@@ -127,34 +108,25 @@ class Dictionary:
         return _lists(lengths, self.labels.take(pa.array(codes))), _lists(lengths, pa.array(shares))
 
 
-#: Dictionaries a worker process has open: the last few of the queries it works for.
-_OPEN: dict[str, Dictionary] = {}
-
-
-def _opened(key: str, shared: Broadcast) -> Dictionary:
-    if key not in _OPEN:
-        while len(_OPEN) >= 2:
-            _OPEN.pop(next(iter(_OPEN)))
-        _OPEN[key] = Dictionary.from_bytes(shared.value)
-    return _OPEN[key]
-
-
 class Held:
-    """A dictionary that the tasks have: broadcast once, usable in any number of queries."""
+    """A dictionary that the tasks have: broadcast once, usable in any number of queries.
+
+    A worker process opens the broadcast arrays once and keeps them for its later tasks.
+    """
 
     def __init__(self, shared: Broadcast):
-        self.shared, self.key = shared, uuid.uuid4().hex
+        self.shared = shared
 
     def column(self, tokens: str, fold_col: str | None = None) -> Column:
         """`(pred_tags, confidence)` for the tokens, in the records' own task."""
-        shared, key = self.shared, self.key
+        shared = self.shared
 
         def plain(lists: pa.Array) -> pa.Array:
-            return pa.StructArray.from_arrays(_opened(key, shared).answers(lists), ["pred_tags", "confidence"])
+            found = Dictionary(*shared.value).answers(lists)
+            return pa.StructArray.from_arrays(found, ["pred_tags", "confidence"])
 
         def by_fold(lists: pa.Array, folds: pa.Array) -> pa.Array:
-            numbers = folds.to_numpy(zero_copy_only=False)
-            found = _opened(key, shared).answers(lists, numbers)
+            found = Dictionary(*shared.value).answers(lists, folds.to_numpy(zero_copy_only=False))
             return pa.StructArray.from_arrays(found, ["pred_tags", "confidence"])
 
         if fold_col:
@@ -182,8 +154,8 @@ def held(lexicon: DataFrame, max_bytes: int) -> Held | None:
         return None
     table = entries.toArrow().combine_chunks()
     parts = [c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in table.columns]
-    data = Dictionary.of(parts[0].cast(pa.string()), parts[1], parts[2]).to_bytes()
-    return Held(lexicon.sparkSession.sparkContext.broadcast(data))
+    made = Dictionary.of(parts[0].cast(pa.string()), parts[1], parts[2])
+    return Held(lexicon.sparkSession.sparkContext.broadcast(made.arrays()))
 
 
 # --- lexicons beyond a broadcast -----------------------------------------------------------
