@@ -86,20 +86,25 @@ def effective_tags(tags: str, mode: str = "strict", reference: str | None = None
 
 
 def _ranges(effective: str, mode: str) -> str:
-    """Ranges `(type, start, stop)` from one span start to the next boundary.
+    """Ranges `(type, start, stop, last)` from one span start to the next boundary.
 
     Tags that never start or end a span are dropped first; then the tag before a token is
-    its left neighbour, and no running state is needed.
+    its left neighbour, and no running state is needed. `last` is the place of the range's last
+    tag that is left.
     """
     placed = f"transform({effective}, (t, i) -> struct(i AS pos, t AS tag))"
     events = f"filter({placed}, e -> {is_event('e.tag', mode)})"
     continues = tag_continues("e.tag", "get(events, j - 1).tag")
-    breaks = f"filter(events, (e, j) -> NOT coalesce({continues}, false))"
+    breaks = f"""filter(
+        transform(events, (e, j) -> if(coalesce({continues}, false), NULL,
+            struct(e.pos AS pos, e.tag AS tag, get(events, j - 1).pos AS before))),
+        b -> b IS NOT NULL)"""
     ranges = f"""filter(
         transform(breaks, (b, k) -> struct(
             {tag_type('b.tag')} AS type,
             b.pos AS start,
-            coalesce(get(breaks, k + 1).pos, size({effective})) AS stop)),
+            coalesce(get(breaks, k + 1).pos, size({effective})) AS stop,
+            coalesce(get(breaks, k + 1).before, get(events, size(events) - 1).pos) AS last)),
         r -> r.type IS NOT NULL)"""
     return let("events", events, let("breaks", breaks, ranges))
 
@@ -143,19 +148,10 @@ def spans_of(tokens: str, tags: str, mode: str = "strict", reference: str | None
 
 def tag_spans_of(tags: str, mode: str = "lenient") -> str:
     """Array of `(type, start_pos, end_pos)` from the tags alone, of any type."""
-    ranges = _ranges("es", mode)
-    if mode == "strict":
-        spans = f"""transform({ranges}, r -> struct(
-            r.type AS type, r.start AS start_pos, r.stop - 1 AS end_pos))"""
-    else:
-        placed = "transform(es, (t, i) -> struct(i AS pos, t AS tag))"
-        last = f"element_at({_members('ps')}, -1).pos"
-        spans = let(
-            "ps",
-            placed,
-            f"""transform({ranges}, r -> struct(
-                r.type AS type, r.start AS start_pos, {last} AS end_pos))""",
-        )
+    # Without blanks the last tag that is left is a member; in strict mode blanks are, up to the end.
+    last = "r.stop - 1" if mode == "strict" else "r.last"
+    spans = f"""transform({_ranges('es', mode)}, r -> struct(
+        r.type AS type, r.start AS start_pos, {last} AS end_pos))"""
     return let("es", effective_tags(tags, mode), spans)
 
 

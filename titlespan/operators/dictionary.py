@@ -138,19 +138,27 @@ class Held:
         self.shared.destroy()
 
 
+def _folds(lexicon: DataFrame) -> str:
+    return "size(tag)" if isinstance(lexicon.schema["tag"].dataType, ArrayType) else "1"
+
+
 def lexicon_bytes(lexicon: DataFrame) -> int:
     """Size of the lexicon as joined rows: its strings and an allowance per row and fold."""
-    if lexicon.schema["tag"].dataType.typeName() == "array":
-        row = "octet_length(token) + octet_length(array_join(tag, '')) + 64 + 48 * size(tag)"
-    else:
-        row = "octet_length(token) + octet_length(tag) + 64"
-    return lexicon.agg(F.expr(f"coalesce(sum({row}), 0L) AS b")).first()["b"]
+    folds = _folds(lexicon)
+    tags = "octet_length(tag) + 64" if folds == "1" else f"octet_length(array_join(tag, '')) + 64 + 48 * {folds}"
+    return lexicon.agg(F.expr(f"coalesce(sum(octet_length(token) + {tags}), 0L) AS b")).first()["b"]
+
+
+def dictionary_bytes(lexicon: DataFrame) -> int:
+    """Size of the arrays: the token with its place and checksum, code and confidence per fold."""
+    row = f"octet_length(token) + 8 + 12 * {_folds(lexicon)}"
+    return lexicon.agg(F.expr(f"CAST(coalesce(sum({row}), 0) AS BIGINT) AS b")).first()["b"]
 
 
 def held(lexicon: DataFrame, max_bytes: int) -> Held | None:
     """The lexicon as a broadcast dictionary, or None if it measures more than `max_bytes`."""
     entries = lexicon.select("token", "tag", "confidence").filter("token IS NOT NULL")
-    if lexicon_bytes(entries) > max_bytes:
+    if dictionary_bytes(entries) > max_bytes:
         return None
     table = entries.toArrow().combine_chunks()
     parts = [c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in table.columns]
