@@ -19,6 +19,8 @@ from titlespan.functions.sql import let, name, quote
 from titlespan.llm.common import documents, two_columns
 
 ROUNDS = 8
+#: Steps until a walk has failed: less often than once in 10^20 values.
+WALK = 60
 #: The key of the registered query; callers bring their own.
 KEY = "titlespan"
 
@@ -101,14 +103,27 @@ def permuted_pair(key: str, kind: str, left: str, right: str, lefts: int, rights
     )
 
 
-def permuted_text(key: str, kind: str, value: str) -> str:
+def _walked(start: str, step: str, there: str) -> str:
+    """SQL: `step` applied to `x` from `start` on, once at least, until `there` holds.
+
+    A permutation of a set, walked until the image lies in a part of it, is a permutation of that
+    part. One step misses with a probability of four tenths at most, and never more often than the
+    other part has members, so a walk that has not ended after `WALK` steps is an error.
+    """
+    tried = f"aggregate(sequence(0, {WALK}), {start}, (x, n) -> if(n > 0 AND {there}, x, {step}))"
+    return let("x", tried, f"if({there}, x, raise_error('a pseudonym was not found'))")
+
+
+def permuted_text(key: str, kind: str, value: str, apart: str = "false") -> str:
     """SQL of a text of the same shape: digits stay digits, small and capital letters what they
-    are (a to f, if there are no others), and everything else stays itself. Linear in the text."""
+    are, and everything else stays itself. Texts with letters beyond f, small or capital, are
+    permuted among themselves, and so are those without, so that hexadecimal ones stay
+    hexadecimal. `apart` holds for images `x` that other texts have. Linear in the text."""
     shift = "CAST(conv(substr(d, 1 + 2 * (i % 64), 2), 16, 10) AS INT)"
     moved = (
         "CASE WHEN c >= '0' AND c <= '9' THEN chr(48 + (ascii(c) - 48 + k) % 10) "
-        "WHEN c >= 'a' AND c <= 'z' THEN chr(97 + (ascii(c) - 97 + k) % low) "
-        "WHEN c >= 'A' AND c <= 'Z' THEN chr(65 + (ascii(c) - 65 + k) % high) ELSE c END"
+        "WHEN c >= 'a' AND c <= 'z' THEN chr(97 + (ascii(c) - 97 + k) % if(low, 26, 6)) "
+        "WHEN c >= 'A' AND c <= 'Z' THEN chr(65 + (ascii(c) - 65 + k) % if(high, 26, 6)) ELSE c END"
     )
 
     def shifted(half: str, other: str) -> str:
@@ -116,14 +131,15 @@ def permuted_text(key: str, kind: str, value: str) -> str:
         digest = _digest(key, kind, "CAST(turn AS STRING)", other)
         return f"if(length({half}) = 0, '', {let('d', digest, letters)})"
 
-    walked = (
+    step = (
         f"aggregate(sequence(1, {ROUNDS}), named_struct("
-        "'l', substr(v, 1, length(v) div 2), 'r', substr(v, 1 + length(v) div 2)), "
+        "'l', substr(x, 1, length(x) div 2), 'r', substr(x, 1 + length(x) div 2)), "
         f"(s, turn) -> if(turn % 2 = 1, named_struct('l', {shifted('s.l', 's.r')}, 'r', s.r), "
         f"named_struct('l', s.l, 'r', {shifted('s.r', 's.l')})), s -> concat(s.l, s.r))"
     )
-    low = let("low", "if(v RLIKE '[g-z]', 26, 6)", let("high", "if(v RLIKE '[G-Z]', 26, 6)", walked))
-    return let("v", value, low)
+    there = f"(x RLIKE '[g-z]') = low AND (x RLIKE '[G-Z]') = high AND NOT ({apart})"
+    walked = let("low", "v RLIKE '[g-z]'", let("high", "v RLIKE '[G-Z]'", _walked("v", step, there)))
+    return let("v", value, walked)
 
 
 def _filled(shape: str, digits: str) -> str:
@@ -184,21 +200,21 @@ def _address(key: str) -> str:
     return let("o", "split(m, '[.]')", let("p", pair, made))
 
 
+def _day(number: str) -> str:
+    return f"date_add(DATE'{FIRST_DAY}', CAST({number} AS INT))"
+
+
 def _date(key: str) -> str:
     """Year first, or else day before month where that is a date, month before day otherwise.
     What no calendar has is no date."""
 
-    def moved(shape: str) -> str:
-        index = f"datediff(day, DATE'{FIRST_DAY}')"
-        pair = permuted_pair(
-            key, "date", f"{index} div {DAYS_LOW}", f"{index} % {DAYS_LOW}", DAYS_HIGH, DAYS_LOW
-        )
-        new = f"date_add(DATE'{FIRST_DAY}', CAST(p.l * {DAYS_LOW} + p.r AS INT))"
-        return let("day", f"to_date_({shape})", let("p", pair, f"date_format({new}, {shape})"))
-
     def tried(shape: str, otherwise: str) -> str:
         known = f"try_to_date(m, {quote(shape)})"
-        body = moved(quote(shape)).replace(f"to_date_({quote(shape)})", known)
+        pair = permuted_pair(key, "date", f"x div {DAYS_LOW}", f"x % {DAYS_LOW}", DAYS_HIGH, DAYS_LOW)
+        # Month first is what could not be day first, and so it must stay.
+        there = f"dayofmonth({_day('x')}) > 12" if shape.startswith("MM") else "true"
+        walked = _walked(f"CAST(datediff(day, DATE'{FIRST_DAY}') AS BIGINT)", let("p", pair, f"p.l * {DAYS_LOW} + p.r"), there)
+        body = let("day", known, f"date_format({_day(walked)}, {quote(shape)})")
         return f"if({known} IS NOT NULL, {body}, {otherwise})"
 
     def both(sign: str) -> str:
@@ -230,9 +246,10 @@ def _mail(key: str) -> str:
 
 
 def _secret(key: str) -> str:
-    head = "if(m LIKE 'AKIA%' AND length(m) = 20, 'AKIA', '')"
-    body = permuted_text(key, "secret", "substr(m, 1 + length(head))")
-    return let("head", head, f"concat(head, {body})")
+    """The mark of an access key stays, and no other secret gets it."""
+    marked = "{0} LIKE 'AKIA%' AND length({0}) = 20"
+    body = permuted_text(key, "secret", "substr(m, 1 + length(head))", marked.format("x"))
+    return let("head", f"if({marked.format('m')}, 'AKIA', '')", f"concat(head, {body})")
 
 
 #: SQL of the pseudonym of a match `m` of each kind, null where its validation fails.

@@ -107,31 +107,50 @@ def fit(
     seen = sum(shares.values())
     share = min(max(shares.get(1, 0) / seen if seen else 0.5, 0.01), 0.99)
     narrow = two_columns(docs, id_col, text_col).filter("text IS NOT NULL AND text <> ''")
-    texts: dict[int, list[str]] = {}
+    # A text gives its beginning, so that no text uses up the sample: sixteen have room at least.
+    part = F.substring("text", 1, max(1, sample_bytes // 64))
+    taken: list[tuple] = []
     for label in (0, 1):
-        # Ids first, so that the texts of the sample are the only ones that move.
+        # Ids first, then ids with sizes: only the texts of the sample ever move.
         ids = known.filter(F.col("label") == label).select("doc_id")
         ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-        # A text gives its beginning, so that no text uses up the sample: sixteen have room at least.
-        part = F.substring("text", 1, max(1, sample_bytes // 64))
-        rows = narrow.join(F.broadcast(ids), "doc_id").withColumn("text", part)
-        rows = rows.withColumn("size", F.octet_length("text"))
-        rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample_rows)
-        total, taken = 0, []
-        for row in rows.toLocalIterator():
+        sized = narrow.join(F.broadcast(ids), "doc_id").select(
+            "doc_id", F.xxhash64("text").alias("print"), F.octet_length(part).alias("size")
+        )
+        total, before = 0, len(taken)
+        order = (F.xxhash64("doc_id"), "doc_id", "print")
+        for row in sized.orderBy(*order).limit(sample_rows).collect():
             total += row["size"]
-            if total > sample_bytes and taken:
+            if total > sample_bytes and len(taken) > before:
                 break
-            taken.append(row["text"])
-        texts[label] = taken
-    if min(map(len, texts.values())) < 12:
-        return QualityModel(b"", b"", (0.0, 0.0, float(np.log(share / (1 - share)))))
+            taken.append((len(taken), label, row["doc_id"], row["print"]))
+        if len(taken) - before < 12:
+            return QualityModel(b"", b"", (0.0, 0.0, float(np.log(share / (1 - share)))))
+    id_kind = known.schema["doc_id"].dataType.simpleString()
+    places = docs.sparkSession.createDataFrame(taken, f"place long, label int, doc_id {id_kind}, print long")
+    chosen = (
+        narrow.withColumn("print", F.xxhash64("text"))
+        .join(F.broadcast(places), ["doc_id", "print"])
+        .dropDuplicates(["place"])
+        .select("place", "label", part.alias("text"))
+    )
+    # The sample is bounded, so that one task can build the model; the driver gets that alone.
+    built = chosen.groupBy(F.lit(0)).applyInPandas(
+        lambda sample: _built(sample, share), "good binary, bad binary, weights array<double>"
+    )
+    row = built.first()
+    return QualityModel(bytes(row["good"]), bytes(row["bad"]), tuple(row["weights"]))
+
+
+def _built(sample: pd.DataFrame, share: float) -> pd.DataFrame:
+    """The model's one row from `(place, label, text)`."""
+    texts = {label: list(rows["text"]) for label, rows in sample.sort_values("place").groupby("label")}
     built = {label: _dictionary([t for i, t in enumerate(ts) if i % 3]) for label, ts in texts.items()}
     compressors = _Compressors(built[1], built[0])
     unseen = {label: ts[::3] for label, ts in texts.items()}
     x = np.array([compressors.features(t) for label in (0, 1) for t in unseen[label]])
     y = np.repeat([0.0, 1.0], [len(unseen[0]), len(unseen[1])])
-    return QualityModel(built[1], built[0], _logistic(x, y, share))
+    return pd.DataFrame({"good": [built[1]], "bad": [built[0]], "weights": [list(_logistic(x, y, share))]})
 
 
 def _dictionary(texts: list[str]) -> bytes:
@@ -177,7 +196,11 @@ def score(text: Column, model: QualityModel) -> Column:
 def scored(
     docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """`(doc_id, held_out, score, predicted)`, one row per input row; ids may be null or repeat."""
+    """`(doc_id, held_out, score, predicted)`, one row per input row; ids may be null or repeat.
+
+    Texts of any length are compressed whole, block by block; an empty table gives no rows, and
+    other columns are not looked at.
+    """
     narrow = two_columns(docs, id_col, text_col)
     rows = narrow.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), score(F.col("text"), model).alias("score")
@@ -191,6 +214,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the classifier does not reject, with all their columns."""
+    """The documents that the classifier does not reject, with all their columns.
+
+    Where too few labels are known for a classifier, none rejects anything, so all stay.
+    """
     model = fit(docs, table(spark, sf_dir, "labels"))
+    if not model.good:
+        return docs
     return docs.filter(score(F.col("text"), model) >= THRESHOLD)
