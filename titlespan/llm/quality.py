@@ -132,10 +132,10 @@ def fit(
         narrow.withColumn("print", F.xxhash64("text"))
         .join(F.broadcast(places), ["doc_id", "print"])
         .dropDuplicates(["place"])
-        .select("place", "label", part.alias("text"))
+        .select("place", "label", part.alias("text"), F.lit(0).alias("model"))
     )
     # The sample is bounded, so that one task can build the model; the driver gets that alone.
-    built = chosen.groupBy(F.lit(0)).applyInPandas(
+    built = chosen.groupBy("model").applyInPandas(
         lambda sample: _built(sample, share), "good binary, bad binary, weights array<double>"
     )
     row = built.first()
