@@ -1,12 +1,15 @@
 """Operators 3 and 8 and the pipeline."""
 
 import hashlib
+import itertools
 import re
+import string
 import zlib
 from datetime import date, timedelta
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -24,9 +27,19 @@ def digest(kind, turn, text):
     return hashlib.sha512(f"{KEY}|{kind}|{turn}|{text}".encode()).hexdigest()
 
 
-def walked_text(kind, value):
-    low = 26 if re.search("[g-z]", value) else 6
-    high = 26 if re.search("[G-Z]", value) else 6
+def beyond_f(value):
+    return bool(re.search("[g-z]", value)), bool(re.search("[G-Z]", value))
+
+
+def walked_text(kind, value, apart=lambda image: False):
+    image = stepped_text(kind, value, value)
+    while beyond_f(image) != beyond_f(value) or apart(image):
+        image = stepped_text(kind, image, value)
+    return image
+
+
+def stepped_text(kind, value, first):
+    low, high = (26 if beyond else 6 for beyond in beyond_f(first))
     left, right = value[: len(value) // 2], value[len(value) // 2 :]
 
     def moved(half, other, turn):
@@ -132,6 +145,43 @@ def test_texts_are_permuted(spark):
     assert len(got) == 1000 and all(re.fullmatch(r"\d{3}", g) for g in got)
 
 
+def test_letters_are_permuted_within_their_kind(spark):
+    """Every text of two letters, and of three signs with hexadecimal ones among them, has an image
+    of its own, and hexadecimal texts stay hexadecimal."""
+    two = ["".join(t) for t in itertools.product(string.ascii_letters, repeat=2)]
+    three = ["".join(t) for t in itertools.product("abfgz19", repeat=3)]
+    for texts in (two, three):
+        frame = spark.createDataFrame([(t,) for t in texts], "t string").repartition(8)
+        got = {r.t: r.image for r in frame.selectExpr("t", f"{pii.permuted_text(KEY, 'x', 't')} AS image").collect()}
+        by_shape = {(re.sub("[0-9]", "0", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", t))), i) for t, i in got.items()}
+        assert len(by_shape) == len(texts) and all(beyond_f(t) == beyond_f(i) for t, i in got.items())
+        assert all(i == walked_text("x", t) for t, i in got.items())
+
+
+def test_dates_are_permuted(spark):
+    """Day first, month first and year first: no two dates share an image."""
+    days = [date(1999, 1, 1) + timedelta(i) for i in range(3 * 365)]
+    written = [d.strftime("%d.%m.%Y") for d in days] + [d.strftime("%m.%d.%Y") for d in days if d.day > 12]
+    written += [d.isoformat() for d in days]
+    texts = [" ".join(written[i : i + 20]) for i in range(0, len(written), 20)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "n int, text string").repartition(8, "n")
+    got = [i for r in pii.with_pseudonyms(frame, KEY).orderBy("n").collect() for i in r.text.split(" ")]
+    assert len(got) == len(written) == len(set(got)) and not any(a == b == "" for a, b in zip(got, written))
+    for before, after in zip(written, got, strict=True):
+        month_first = "." in before and int(before[3:5]) > 12
+        assert month_first == ("." in after and int(after[3:5]) > 12)
+
+
+def test_access_keys_keep_their_mark(spark):
+    """A secret without the mark never gets it: images that have it are walked on."""
+    image = {v: pii._secret(KEY) for v in ("m",)}["m"]
+    values = ["AKIA" + "ABCDEFGHIJKLMNOP"[i:] + "ABCDEFGHIJKLMNOP"[:i] for i in range(16)] + ["AKIB" + "A" * 16, "AKIA" + "A" * 17]
+    rows = spark.createDataFrame([(v,) for v in values], "m string").selectExpr("m", f"{image} AS i").collect()
+    marked = {r.m: r.i for r in rows if r.m.startswith("AKIA") and len(r.m) == 20}
+    assert len(marked) == 16 and all(i.startswith("AKIA") for i in marked.values())
+    assert not any(r.i.startswith("AKIA") and len(r.i) == 20 for r in rows if r.m not in marked)
+
+
 def test_other_text_stays(spark):
     clean = [
         prose(1, 300), "version 1.2.3 and 4.0. In 2024, 12,345 of 1/2; 10:30 at 5-6; ISBN 978-3", "", None,
@@ -244,6 +294,39 @@ def test_labels_held_out_teach_nothing(spark):
     assert models[0] == models[1]
 
 
+def test_few_labels_reject_nothing(spark, tmp_path):
+    """Ten labels, mostly bad ones: the stage keeps every document."""
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(10)], "doc_id long, quality int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    docs = table(spark, [(i, prose(i, 50)) for i in range(200)])
+    assert quality.stage(spark, docs, str(tmp_path)).count() == 200
+
+
+def test_scores_by_compression_alone(spark):
+    """The scores again, from the model's dictionaries and weights, with zstandard alone."""
+    good = [(i, prose(i, 80)) for i in range(60)]
+    bad = [(1000 + i, " ".join(f"buy{j % 7}!!! $$$ {i}" for j in range(60))) for i in range(60)]
+    labels = spark.createDataFrame([(i, 1) for i, _ in good] + [(i, 0) for i, _ in bad], "doc_id long, quality int")
+    docs = table(spark, good + bad + [(7000, None), (7001, ""), (7002, "x" * 100_000)])
+    model = quality.fit(docs, labels)
+    got = {r.doc_id: r.score for r in quality.scored(docs, model).collect()}
+
+    def size(text, dictionary):
+        data = text.encode()
+        packer = zstandard.ZstdCompressor(
+            level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary),
+            write_checksum=False, write_content_size=False, write_dict_id=False,
+        )
+        return sum(len(packer.compress(data[i : i + 512])) for i in range(0, len(data), 512))
+
+    for doc_id, text in [good[0], good[31], bad[2], bad[59], (7000, ""), (7001, ""), (7002, "x" * 100_000)]:
+        whole = len(text.encode()) + quality.SHORT
+        a, b, c = model.weights
+        logit = a * (size(text, model.bad) - size(text, model.good)) / whole + b * quality.SHORT / whole + c
+        assert got[doc_id] == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-6)
+    assert min(got[i] for i, _ in good) > max(got[i] for i, _ in bad)
+
+
 def test_quality_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     model = quality.fit(table(spark), labels)
