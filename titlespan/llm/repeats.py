@@ -6,12 +6,14 @@ strings have equal anchors, and the strings of a document fall into runs of neig
 with one anchor. Runs whose anchor's gram occurs once anywhere hold nothing repeated. The
 others, equal ones merged and counted, are cut out and brought together by anchor, where a
 suffix array of all of them and the common prefixes of its neighbours say which starts are
-repeated. An anchor with very many different runs is dealt out by whole strings instead.
+repeated. The runs of an anchor that has very many different ones are cut into parts, whose strings
+share more than the gram, and the parts are brought together by what they share.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +34,10 @@ PLACE_BITS = 24
 SORTED_BYTES = 1 << 18
 #: Bytes of texts that a task returns at once.
 RETURNED_BYTES = 4 << 20
-#: Different runs of one anchor that are sorted together; with more, strings are dealt out one by one.
+#: Different runs of one anchor, or parts of one key, that are sorted together.
 ANCHOR_RUNS = 1024
+#: Starts of a part, while its key has more; each width divides the one before.
+PART_WIDTHS = (128, 32, 8, 2, 1)
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -232,52 +236,82 @@ def _decided(segments: DataFrame, length: int) -> DataFrame:
     return together.mapInArrow(run, f"segment binary, ranges {_RANGES}")
 
 
-def _dealt(segments: DataFrame, length: int) -> DataFrame:
-    """As `_decided`, string by string, for anchors with too many different runs."""
+def _parts(rows: DataFrame, width: int, length: int) -> DataFrame:
+    """`(key, name, segment, offset, anchor, n, count, bytes)`: runs cut where the number of bytes
+    before the anchor's gram passes a multiple of `width`.
+
+    Equal strings have the gram at one place, so they are in parts of one cut; and all strings of a
+    part share the bytes around the gram that no start in it leaves out. `key` is a digest of
+    those, `name` one of all the part's bytes, `offset` its place in the segment.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, n, count, text in zip(*(batch.column(c).to_pylist() for c in ("segment", "n", "count", "bytes")), strict=True):
-                digests = [xxhash.xxh3_128_digest(text[i : i + length]) for i in range(count)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([name] * count, pa.binary()),
-                        pa.array([n] * count, pa.int64()),
-                        pa.array(range(count), pa.int32()),
-                        pa.array(digests, pa.binary()),
-                    ],
-                    ["segment", "n", "at", "string"],
-                )
+        names = ["key", "name", "segment", "offset", "anchor", "n", "count", "bytes"]
+        kinds = [pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+
+        def made(out: list) -> pa.RecordBatch:
+            columns = zip(*out, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Sorted by string: the first of a kind waits for a second one.
-        string, first = None, None
         for batch in batches:
-            rows = []
-            for name, n, at, own in zip(*(batch.column(c).to_pylist() for c in ("segment", "n", "at", "string")), strict=True):
-                if own != string:
-                    string, first = own, (name, at)
-                    if n > 1:
-                        rows.append(first)
-                        first = None
-                    continue
-                if first:
-                    rows.append(first)
-                    first = None
-                rows.append((name, at))
-            columns = list(zip(*rows, strict=True)) if rows else [[], []]
-            kinds = (pa.binary(), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["segment", "at"]
-            )
+            out, size = [], 0
+            columns = (batch.column(c).to_pylist() for c in ("segment", "offset", "anchor", "n", "count", "bytes"))
+            for segment, offset, anchor, n, count, data in zip(*columns, strict=True):
+                with np.errstate(over="ignore"):
+                    grams = gram_hashes(np.frombuffer(data, np.uint8))
+                # Of equal grams the first one is the anchor of every string that holds it.
+                at = int(np.flatnonzero(grams.view(np.int64) == anchor)[0])
+                for cell in range((at - count + 1) // width, at // width + 1):
+                    low, high = cell * width, min((cell + 1) * width, length - GRAM + 1)
+                    first, last = max(0, at - high + 1), min(count - 1, at - low)
+                    part = data[first : last + length]
+                    core = data[at - low : at + length - high + 1]
+                    key = xxhash.xxh3_128_digest(b"%d %d " % (anchor, cell) + core)
+                    name = xxhash.xxh3_128_digest(key + part)
+                    out.append((key, name, segment, offset + first, anchor, n, last - first + 1, part))
+                    size += len(part)
+                    if size > PORTION:
+                        yield made(out)
+                        out, size = [], 0
+            if out:
+                yield made(out)
 
-    # No string holds more than one of the some hundred places of an anchor's runs.
-    strings = segments.mapInArrow(run, "segment binary, n long, at int, string binary")
-    sorted_strings = strings.repartition("string").sortWithinPartitions("string")
-    hits = sorted_strings.mapInArrow(repeated, "segment binary, at int")
-    return hits.groupBy("segment").agg(
-        F.expr("transform(collect_list(at), x -> struct(x AS low, x + 1 AS high))").alias("ranges")
-    )
+    kind = "key binary, name binary, segment binary, offset int, anchor long, n long, count int, bytes binary"
+    return rows.select("segment", "offset", "anchor", "n", "count", "bytes").mapInArrow(run, kind)
+
+
+def _decided_in_parts(segments: DataFrame, length: int) -> DataFrame:
+    """As `_decided`, for anchors with too many different runs: they are sorted in parts.
+
+    A part's key is longer than the gram, and the longer the narrower the part; equal parts are one,
+    with the number of their runs. Keys with too many different parts are cut further; a part of a
+    single start is one string, so that its key has no different parts.
+    """
+    rows, decided = segments.withColumn("offset", F.lit(0)), []
+    for width in PART_WIDTHS:
+        parts = written(_parts(rows, width, length), "repeats-parts")
+        own = parts.groupBy("name").agg(
+            F.first("key").alias("key"),
+            F.sum("n").alias("n"),
+            F.first("count").alias("count"),
+            F.first("bytes").alias("bytes"),
+            F.count("*").alias("times"),
+        )
+        own = written(own, "repeats-names")
+        keys = own.groupBy("key").agg(F.count("*").alias("different"))
+        too_many = F.col("different") > (ANCHOR_RUNS if width > 1 else 1)
+        crowded = written(keys.filter(too_many).select("key"), "repeats-crowded")
+        sorted_here = own.join(crowded, "key", "left_anti").select(F.col("key").alias("anchor"), F.col("name").alias("segment"), "n", "count", "bytes")
+        ranges = _decided(sorted_here, length).withColumnRenamed("segment", "name")
+        ranges = written(ranges.join(own.select("name", "times"), "name"), "repeats-ranges")
+        found = join_groups(parts.select("name", "segment", "offset"), ranges, "name", "times")
+        moved = "transform(ranges, r -> struct(offset + r.low AS low, offset + r.high AS high))"
+        decided.append(found.filter("ranges IS NOT NULL").select("segment", F.expr(moved).alias("ranges")))
+        if crowded.isEmpty():
+            break
+        rows = parts.join(crowded, "key", "left_semi")
+    together = reduce(DataFrame.union, decided)
+    return together.groupBy("segment").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
 
 
 def removed_ranges(texts: DataFrame, length: int) -> DataFrame:
@@ -308,7 +342,7 @@ def removed_ranges(texts: DataFrame, length: int) -> DataFrame:
         cut = written(cut, "repeats-cut")
         cut = cut.dropDuplicates(["segment"])  # rows that repeat id and text
         some = cut.join(crowded, "anchor", "left_semi")
-        ranges = _decided(cut.join(crowded, "anchor", "left_anti"), length).unionByName(_dealt(some, length))
+        ranges = _decided(cut.join(crowded, "anchor", "left_anti"), length).unionByName(_decided_in_parts(some, length))
     else:
         ranges = _decided(cut, length)
     ranges = written(ranges.dropDuplicates(["segment"]), "repeats-ranges")
@@ -344,7 +378,7 @@ def dedup_strings(
     Texts are UTF-8 bytes, null is empty. Every byte covered by a string of `length` bytes that
     also starts anywhere else, in the same document or another, is removed: `spans` are the
     maximal removed runs as `(low, high)`, `kept` the other bytes joined. Rows that repeat an id
-    or a text are documents of their own. Other columns are not looked at; an empty table gives
+    or a text are documents of their own. Very long texts are looked at in overlapping portions. Other columns are not looked at; an empty table gives
     no rows.
     """
     if length <= GRAM:
