@@ -204,6 +204,27 @@ def brute_strings(texts, length):
     return out
 
 
+def shared_in_part():
+    """One long passage, and beginnings and ends of it, between own and shared surroundings."""
+    passage, found = prose(78, 160), []
+    for i in range(45):
+        before = prose(600 + i % 7, 40) if i % 3 else prose(700 + i, 40)
+        after = prose(800 + i % 5, 40) if i % 4 else prose(900 + i, 40)
+        found.append((500 + i, f"{before[i % 11 :]} {passage[10 * (i % 6) : len(passage) - 13 * (i % 4)]} {after}"))
+    return found
+
+
+@pytest.mark.parametrize("crowd", [0, 1, 3, 20])
+@pytest.mark.parametrize("length", [60, 400])
+def test_strings_of_crowded_anchors(spark, monkeypatch, length, crowd):
+    """Runs are cut into parts, down to single starts, and no string is lost on the way."""
+    monkeypatch.setattr(repeats, "ANCHOR_RUNS", crowd)
+    texts = shared_in_part() + [(1, "ab" * 700), (2, "ab" * 650 + "c"), (3, None)]
+    got = repeats.dedup_strings(table(spark, texts), length).collect()
+    found = [(r["doc_id"], r["n_bytes"], r["n_removed"], len(r["spans"]), bytes(r["kept"])) for r in got]
+    assert sorted(map(repr, brute_strings(texts, length))) == sorted(map(repr, found))
+
+
 @pytest.mark.parametrize("length,crowd,portion", [(400, 4096, 1 << 19), (60, 4096, 2000), (60, 2, 2000)])
 def test_repeated_strings(spark, monkeypatch, length, crowd, portion):
     monkeypatch.setattr(repeats, "ANCHOR_RUNS", crowd)
