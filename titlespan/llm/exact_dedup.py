@@ -286,7 +286,8 @@ def exact_dedup(
 
     Texts are equal if they are after lower-casing A-Z; null is empty. The largest id of a
     group stays (a null id only if there is no other). Rows that repeat id and text are copies:
-    one of them stays. An empty table gives no rows; other columns are not looked at.
+    one of them stays. Texts of any length are digested and compared whole. An empty table gives
+    no rows; other columns are not looked at.
     """
     rows, groups = groups_of(docs, id_col, text_col, loads)
     copies = written(rows.groupBy("doc_id", "digest").agg(F.count("*").alias("copies")), "dedup-copies")

@@ -562,8 +562,8 @@ def near_dedup(
     Documents are linked if their sets of `words`-word shingles share at least `percent` per
     cent of their union; `component_id` is the smallest id reachable by links. Null, empty and
     blank texts have no shingles, are linked with nothing and stay. Rows that repeat id and text
-    are listed each; a null id is no smallest id unless all are null. Other columns are not
-    looked at; an empty table gives no rows.
+    are listed each; a null id is no smallest id unless all are null. Very long texts have as many
+    shingles as they have. Other columns are not looked at; an empty table gives no rows.
     """
     rows, found = linked(docs, words, percent, id_col, text_col)
     wordless = rows.filter("class IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
@@ -578,7 +578,7 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near-duplicates, with all its columns, and all those
-    without words."""
+    without words. Of rows that repeat id and text one stays; an empty table stays empty."""
     _, found = linked(docs, WORDS, PERCENT)
     keepers = found.select("component_id", "keep_hash").distinct()
     keyed = docs.select(

@@ -300,7 +300,8 @@ def with_pseudonyms(
     """`docs` with the text replaced and every other column as it was.
 
     Null and empty texts stay; a value that occurs again, in whatever document, gets the same
-    pseudonym. One pass without a shuffle; a text is worked on as a whole, in its row.
+    pseudonym. One pass without a shuffle; a text is worked on as a whole, in its row, however long.
+    Ids are not looked at, so they may repeat; an empty table stays empty.
     """
     return docs.withColumn(text_col, pseudonymised(text_col, key, kinds))
 

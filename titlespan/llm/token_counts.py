@@ -143,7 +143,8 @@ def token_counts(
     """`(doc_id, n_pre_tokens, n_tokens)`, one row per input row.
 
     Null, empty and white texts have none of either. Ids may be null or repeat; other columns
-    are not looked at. No shuffle; memory is a batch of rows and the bounded trie.
+    are not looked at; an empty table gives no rows. Pre-tokens of more than `IN_TRIE` letters, as very
+    long texts may have, are scored by the same recurrence without a place in the trie. No shuffle; memory is a batch of rows and the bounded trie.
     """
     path = path or default_path()
 

@@ -88,7 +88,8 @@ def write_files(
     """Writes the ids of every whole text, each followed by `end_id`, to `folder`.
 
     Null, empty and white texts are the end id alone; null document ids come first; rows that
-    repeat an id are in the order of their texts. The folder must not exist. One shuffle of the
+    repeat an id are in the order of their texts; texts of any length are coded whole; an empty
+    table writes files without blocks. The folder must not exist. One shuffle of the
     texts sorts them by ranges of ids; lost tasks are repeated and files commit as a whole.
     """
     path = path or default_path()
