@@ -2,7 +2,9 @@
 
 A null or empty text is a document like others until a stage says otherwise: it scores as the
 classifier's middle, empty texts are copies of each other, link with nothing, and pack as the
-end id alone. Extra columns travel with their documents up to the last stage.
+end id alone. Extra columns travel with their documents up to the last stage. Rows that repeat an id
+are documents of their own, unless id and text repeat: then one stays. Without enough labels for a
+classifier nothing is rejected. An empty table passes all stages and gives no rows.
 """
 
 from __future__ import annotations
