@@ -167,9 +167,9 @@ def _key_type(key: str, tags: str) -> str:
     return f"substr(get({tags}, CAST(shiftright({key}, 32) AS INT)), 3)"
 
 
-def key_types(keys: str, tags: str) -> str:
-    """The types in an array of `span_keys` of `tags`."""
-    return let("gs", tags, f"transform({keys}, k -> {_key_type('k', 'gs')})")
+def of_key_types(keys: str, tags: str, made: str) -> str:
+    """`made` for each of `span_keys` of `tags`, with `{}` in place of the span's type."""
+    return let("gs", tags, f"transform({keys}, k -> {made.format(_key_type('k', 'gs'))})")
 
 
 def common_keys(keys: str, tags: str, other_keys: str, other_tags: str) -> str:

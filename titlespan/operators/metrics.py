@@ -19,7 +19,7 @@ from titlespan.functions.tags import (
     blank_to_empty,
     common_keys,
     entity_set,
-    key_types,
+    of_key_types,
     span_keys,
     spans_of,
     tag_spans_of,
@@ -346,15 +346,19 @@ def _with_span_keys(seqs: DataFrame) -> DataFrame:
     ).selectExpr("*", f"{common_keys('true_keys', 'true_tags', 'pred_keys', 'pred_tags')} AS hit_keys")
 
 
+def _count_of(grain: str, k1: str, k2: str = "''") -> str:
+    return f"struct({quote(grain)} AS grain, {k1} AS k1, {k2} AS k2)"
+
+
 def _counter(grain: str, rows: str, k1: str = "r", k2: str = "''") -> str:
     """Array of rows → array of `(grain, k1, k2)`."""
-    return f"transform({rows}, r -> struct({quote(grain)} AS grain, {k1} AS k1, {k2} AS k2))"
+    return f"transform({rows}, r -> {_count_of(grain, k1, k2)})"
 
 
 _SPAN_COUNTERS = [
-    _counter("span_true", key_types("true_keys", "true_tags")),
-    _counter("span_pred", key_types("pred_keys", "pred_tags")),
-    _counter("span_hit", key_types("hit_keys", "true_tags")),
+    of_key_types("true_keys", "true_tags", _count_of("span_true", "{}")),
+    of_key_types("pred_keys", "pred_tags", _count_of("span_pred", "{}")),
+    of_key_types("hit_keys", "true_tags", _count_of("span_hit", "{}")),
 ]
 
 
@@ -377,10 +381,8 @@ def evaluation_counts(seqs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     Records are compared inside the row; only counters reach the shuffle, and they are
     summed before it.
     """
-    pairs = if_aligned(
-        f"zip_with({blank_to_empty('true_tags')}, {blank_to_empty('pred_tags')}, "
-        "(t, p) -> struct(t AS t, p AS p))"
-    )
+    pair = _count_of("pair", "coalesce(t, '')", "coalesce(p, '')")
+    pairs = if_aligned(f"zip_with(true_tags, pred_tags, (t, p) -> {pair})")
     matches = """flatten(transform(by_type, c -> array_compact(array(
         struct(c.type AS type, 'total' AS kind),
         if(c.exact OR c.partial,
@@ -389,7 +391,7 @@ def evaluation_counts(seqs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         "array_compact(array('sequences', if(exact, 'exact', NULL), if(partial, 'partial', NULL)))"
     )
     counters = [
-        _counter("pair", pairs, "r.t", "r.p"),
+        pairs,
         *_SPAN_COUNTERS,
         _counter("match", matches, "r.type", "r.kind"),
         _counter("record", records),
