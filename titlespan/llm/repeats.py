@@ -433,10 +433,13 @@ def dedup_strings(
 
 
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digests of `dedup_strings`, and the bytes that stay as `text`, in which a letter that was
+    cut through reads U+FFFD."""
     return dedup_strings(documents(spark, sf_dir)).select(
         "doc_id",
         "n_bytes",
         "n_removed",
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
