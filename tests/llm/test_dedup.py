@@ -238,6 +238,20 @@ def test_repeated_strings(spark, monkeypatch, length, crowd, portion):
     assert repeats.dedup_strings(empty(spark), length).count() == 0
 
 
+def test_repeats_query(spark, tmp_path):
+    """Digests and remaining texts of whole documents; letters cut through are replaced."""
+    passage = "é" * 250
+    texts = [(1, f"a{passage} one"), (2, f"bb{passage} two"), (3, None), (4, "alone"), (5, passage[:150])]
+    table(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in repeats.op4_repeats(spark, str(tmp_path)).collect()}
+    for doc_id, n_bytes, n_removed, n_spans, kept in brute_strings(texts, 400):
+        r = got[doc_id]
+        assert (r.n_bytes, r.n_removed, r.n_spans) == (n_bytes, n_removed, n_spans)
+        assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
+        assert r.text == kept.decode(errors="replace")
+    assert got[1].n_removed > 400 and got[4].text == "alone" and got[3].text == ""
+
+
 # --- embeddings --------------------------------------------------------------------------
 
 
