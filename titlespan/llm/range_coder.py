@@ -1,11 +1,12 @@
 """An adaptive range coder for blocks of ids, many blocks in step with each other.
 
-An id is predicted by what followed the last two ids and by what followed the last one. The
-confidences of both predictions and the block's own hit rate are mixed, in the logistic domain and
-with weights that learn, to the probability that the prediction holds; then comes the order-1
-prediction, if it is another; then the id itself, by an adaptive distribution over classes of
-ids of like size. All of it drives a carry-free range coder with 64-bit state. Every block
-starts from the same state, knows its length, and ends with a checksum.
+An id is predicted by what followed the last two ids, by what followed the last one, and by what
+the block holds most. The confidences of the three predictions, and whether they agree, are mixed
+in the logistic domain, with weights that learn, to the probability that the prediction of the
+highest order that has one holds. Next comes the prediction of a lower order, if it is another;
+the two questions are one choice of three. What neither foretold is coded by an adaptive
+distribution over classes of ids of like size. All of it drives a carry-free range coder with
+64-bit state. Every block starts from the same state, knows its length, and ends with a checksum.
 
 One numpy operation does the same step for every block, so the cost is per step and not per id.
 All arithmetic is in integers: what one machine writes, another reads.
@@ -19,31 +20,37 @@ from math import exp, log
 import numpy as np
 
 BLOCK = 4096
-MAGIC = b"TSB1"
-#: Slots by block for the predictions of each order, and levels of confidence.
+MAGIC = b"TSB2"
+#: Slots by block for the predictions of orders 1 and 2, and levels of confidence.
 SLOTS, LEVELS = 1024, 8
 #: Ids are below this.
 MOST = (1 << 20) - 64
 
 _U = np.uint64
 _LOW32 = _U(0xFFFFFFFF)
-_FLAG_BITS = 12
+#: Bits of a mixed probability, of the choice of three, and of the distribution over classes.
+_FLAG_BITS, _PICK_BITS, _CLASS_BITS = 12, 16, 15
 _CLASS_STEP, _CLASS_MOST = 24, 1 << 15
+#: The distribution over classes is renewed at these steps and at every multiple of the last one.
+_RENEWED = (4, 8, 16, 32)
+_WEIGHT, _WEIGHT_MOST = 24000, 1 << 18
 
 
 def _squash(x: int) -> int:
-    return min(4095, max(0, round(4096 / (1 + exp(-x / 256)))))
+    return min(4064, max(32, round(4096 / (1 + exp(-x / 256)))))
 
 
 _SQUASH = np.array([_squash(x) for x in range(-2048, 2048)], np.int32)
 _STRETCH = np.array(
     [max(-2047, min(2047, round(256 * log((p + 0.5) / (4095.5 - p))))) for p in range(4096)], np.int32
 )
+#: The next level by `level + LEVELS * (it held)`; nought where the prediction is replaced.
+_NEXT = np.array([*(n >> 1 for n in range(LEVELS)), *(min(n + 1, LEVELS - 1) for n in range(LEVELS))], np.int32)
 
 
 def _classes(limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By id: its class; by class: its first id and the bits of the rest. Four to an octave."""
-    of_id = np.empty(limit, np.uint8)
+    of_id = np.empty(limit, np.intp)
     first, bits = [], []
     at = 0
     while at < limit:
@@ -53,75 +60,100 @@ def _classes(limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         first.append(at)
         bits.append(octave - 2)
         at += width
-    return of_id, np.array(first, np.int64), np.array(bits, np.int64)
+    return of_id, np.array(first, np.int32), np.array(bits, np.uint64)
 
 
 class _Model:
     """What the blocks have seen so far; `lanes` blocks side by side."""
 
     def __init__(self, lanes: int, classes: int):
-        self.rows = np.arange(lanes, dtype=np.int64)
-        self.base = self.rows * SLOTS
-        self.ids = [np.zeros(lanes * SLOTS, np.int32) for _ in range(2)]
-        self.sure = [np.zeros(lanes * SLOTS, np.uint8) for _ in range(2)]
-        self.last = [np.zeros(lanes, np.int64) for _ in range(2)]
-        # Probabilities of 16 bits: own hit rate, order 1 (agreeing or not), order 2, second try.
-        self.odds = [np.full(lanes * n, 16384, np.int32) for n in (1, 2 * LEVELS, LEVELS, LEVELS)]
-        self.weights = np.full((3, lanes), 24000, np.int64)
+        rows = np.arange(lanes)
+        # A slot holds an id and, in its last three bits, the level of confidence. Order 0 has one.
+        self.table = np.zeros(lanes * (1 + 2 * SLOTS), np.int32)
+        self.base = [lanes + rows * SLOTS, lanes + (lanes + rows) * SLOTS]
+        self.slot = np.stack([rows, *self.base])
+        self.before = np.zeros(lanes, np.int64)
+        # Probabilities of 16 bits, by order, level and agreement with the first try; at last those
+        # of the second try.
+        cells = 8 * LEVELS
+        self.odds = np.full(lanes * cells, 16384, np.int32)
+        self.cells = rows * cells + 2 * LEVELS * np.arange(4)[:, None]
+        self.weights = np.full((3, lanes), _WEIGHT, np.int32)
+        self.classes, self.places = classes, rows * classes
         self.counts = np.ones((lanes, classes), np.int32)
         self.totals = np.full(lanes, classes, np.int64)
-
-    def predict(self):
-        """`(first try, its probability, second try, its probability, whether it differs)`."""
-        one, two = self.last
-        slot = [
-            self.base + ((one * 40503 >> 4) & (SLOTS - 1)),
-            self.base + ((one * 40503 + two * 48271 >> 3) & (SLOTS - 1)),
-        ]
-        ids = [t[s] for t, s in zip(self.ids, slot, strict=True)]
-        sure = [t[s].astype(np.int64) for t, s in zip(self.sure, slot, strict=True)]
-        first = np.where(sure[1] > 0, ids[1], ids[0])
-        second, other = ids[0], ids[0] != first
-        cell = [
-            self.rows,
-            self.rows * 2 * LEVELS + sure[0] + LEVELS * ~other,
-            self.rows * LEVELS + sure[1],
-            self.rows * LEVELS + sure[0],
-        ]
-        odds = [t[c] for t, c in zip(self.odds, cell, strict=True)]
-        inputs = _STRETCH[np.stack(odds[:3]) >> 4].astype(np.int64)
-        mixed = (self.weights * inputs).sum(axis=0) >> 16
-        chance = np.clip(_SQUASH[np.clip(mixed, -2047, 2047) + 2048], 32, 4064).astype(np.int64)
-        again = np.clip(odds[3] >> 4, 32, 4064).astype(np.int64)
-        self.now = slot, ids, sure, cell, odds, inputs, chance, other
-        return first, chance, second, again, other
-
-    def learn(self, x: np.ndarray, hit: np.ndarray, asked: np.ndarray, hit_again: np.ndarray) -> None:
-        slot, ids, sure, cell, odds, inputs, chance, _ = self.now
-        goal = hit.astype(np.int32) << 16
-        for k in range(3):
-            self.odds[k][cell[k]] = odds[k] + (goal - odds[k] >> 5)
-        moved = odds[3] + ((hit_again.astype(np.int32) << 16) - odds[3] >> 5)
-        self.odds[3][cell[3]] = np.where(asked, moved, odds[3])
-        error = (hit.astype(np.int64) << _FLAG_BITS) - chance
-        self.weights += inputs * error * 6 >> 10
-        for k in range(2):
-            same = ids[k] == x
-            level = np.where(same, np.minimum(sure[k] + 1, LEVELS - 1), sure[k] >> 1)
-            fresh = ~same & (level == 0)
-            self.ids[k][slot[k]] = np.where(fresh, x, ids[k])
-            self.sure[k][slot[k]] = level + fresh
-        self.last = [x.astype(np.int64), self.last[0]]
-
-    def seen(self, kind: np.ndarray, coded: np.ndarray) -> None:
-        """Counts the classes of the lanes that coded one."""
-        at, kind = self.rows[coded], kind[coded]
-        self.counts[at, kind] += _CLASS_STEP
-        self.totals[at] += _CLASS_STEP
+        self.bounds = np.empty((lanes, classes + 1), np.int32)
+        self.bound_places = rows * (classes + 1)
+        self.steps = 0
+        self._renew()
+
+    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """`(first try, its share, second try, its share)`, of all that `_PICK_BITS` can tell apart;
+        a second try that is the first one has none."""
+        entry = self.table.take(self.slot)
+        level, ids = entry & (LEVELS - 1), entry >> 3
+        known = level[1] > 0
+        first = np.where(level[2] > 0, ids[2], np.where(known, ids[1], ids[0]))
+        agree = ids == first
+        lower = known & ~agree[1]
+        second = np.where(lower, ids[1], ids[0])
+        cell = self.cells[:3] + (level + (agree.view(np.uint8) << 3))
+        odds = self.odds.take(cell)
+        inputs = _STRETCH.take(odds >> 4)
+        mixed = (self.weights * inputs).sum(axis=0, dtype=np.int32) >> 16
+        chance = _SQUASH.take(np.clip(mixed, -2047, 2047) + 2048)
+        cell_again = self.cells[3] + (level[1] + (lower.view(np.uint8) << 3))
+        odds_again = self.odds.take(cell_again)
+        again = np.clip(odds_again >> 4, 32, 4064)
+        other = second != first
+        share = ((1 << _FLAG_BITS) - chance) * again >> 8
+        self.now = entry, level, ids, cell, odds, inputs, chance, cell_again, odds_again, other
+        return first, chance << 4, second, share * other
+
+    def learn(self, x: np.ndarray, hit: np.ndarray, hit_again: np.ndarray) -> None:
+        entry, level, ids, cell, odds, inputs, chance, cell_again, odds_again, other = self.now
+        held = hit.astype(np.int32)
+        self.odds[cell] = odds + ((held << 16) - odds >> 5)
+        moved = (hit_again.astype(np.int32) << 16) - odds_again >> 5
+        self.odds[cell_again] = odds_again + moved * (other & ~hit)
+        self.weights += inputs * (((held << _FLAG_BITS) - chance) * 6) >> 10
+        np.clip(self.weights, -_WEIGHT_MOST, _WEIGHT_MOST, out=self.weights)
+        after = _NEXT.take(level + ((ids == x).view(np.uint8) << 3))
+        self.table[self.slot] = np.where(after > 0, entry - level + after, (x << 3) + 1)
+        wide = x.astype(np.int64)
+        mark = wide * 40503
+        np.add(self.base[0], mark >> 4 & (SLOTS - 1), out=self.slot[1])
+        np.add(self.base[1], mark + self.before >> 3 & (SLOTS - 1), out=self.slot[2])
+        self.before = wide * 48271
+
+    def bounds_of(self, lanes: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of classes among `1 << _CLASS_BITS`."""
+        at = self.bound_places.take(lanes) + kind
+        start = self.bounds.take(at)
+        return start.astype(np.uint64), (self.bounds.take(at + 1) - start).astype(np.uint64)
+
+    def kind_at(self, lanes: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The classes whose shares hold the places."""
+        return (self.bounds.take(lanes, axis=0) > place[:, None]).argmax(axis=1) - 1
+
+    def seen(self, lanes: np.ndarray, kind: np.ndarray) -> None:
+        """Counts the classes of the lanes that coded one; ends a step."""
+        self.counts.reshape(-1)[self.places.take(lanes) + kind] += _CLASS_STEP
+        self.totals[lanes] += _CLASS_STEP
+        self.steps += 1
+        if self.steps in _RENEWED or self.steps % _RENEWED[-1] == 0:
+            self._renew()
+
+    def _renew(self) -> None:
+        """The distribution over classes from their counts: each has a share of one at least."""
         full = np.flatnonzero(self.totals > _CLASS_MOST)
         if len(full):
             self.counts[full] = (self.counts[full] >> 1) + 1
             self.totals[full] = self.counts[full].sum(axis=1)
+        free = (1 << _CLASS_BITS) - self.classes
+        sums = np.cumsum(self.counts, axis=1, dtype=np.int64) * free // self.totals[:, None]
+        self.bounds[:, 0] = 0
+        self.bounds[:, 1:] = sums + np.arange(1, self.classes + 1)
 
 
 class _Range:
@@ -131,29 +163,28 @@ class _Range:
         self.low = np.zeros(lanes, np.uint64)
         self.width = np.full(lanes, _LOW32 << _U(31), np.uint64)
 
-    def narrow(self, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+    def pick(self, share: np.ndarray, share_again: np.ndarray, hit: np.ndarray, coded: np.ndarray) -> None:
+        """The first try, the second one, or neither."""
+        rest = (1 << _PICK_BITS) - share - share_again
+        size = np.where(hit, share, np.where(coded, rest, share_again)).astype(np.uint64)
+        start = (share * ~hit + share_again * coded).astype(np.uint64)
+        unit = self.width >> _U(_PICK_BITS)
         self.low += unit * start
         self.width = unit * size
 
-    def settled(self) -> tuple[np.ndarray, np.ndarray]:
+    def settled(self, among: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The blocks whose upper 32 bits are fixed, cut so that they are, and those bits."""
-        at = np.flatnonzero(self.width <= _LOW32)
-        low = self.low[at]
+        if among is None:
+            at = np.flatnonzero(self.width <= _LOW32)
+        else:
+            at = among[self.width.take(among) <= _LOW32]
+        low = self.low.take(at)
         rest = low & _LOW32
-        self.width[at] = np.minimum(self.width[at], (_LOW32 - rest) + _U(1)) << _U(32)
+        self.width[at] = np.minimum(self.width.take(at), (_LOW32 - rest) + _U(1)) << _U(32)
         self.low[at] = rest << _U(32)
         return at, (low >> _U(32)).astype(np.uint32)
 
 
-def _flag(chance: np.ndarray, hit: np.ndarray, asked: np.ndarray | None = None):
-    """Start and size of a yes or no among 4096; of all of it where nothing is asked."""
-    start = np.where(hit, 0, chance)
-    size = np.where(hit, chance, (1 << _FLAG_BITS) - chance)
-    if asked is not None:
-        start, size = np.where(asked, start, 0), np.where(asked, size, 1 << _FLAG_BITS)
-    return start.astype(np.uint64), size.astype(np.uint64)
-
-
 class Coder:
     """Codes ids below `limit`; the same limit must be given to read."""
 
@@ -166,46 +197,41 @@ class Coder:
     def encode(self, ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
         """The records of the blocks that `ids`, one behind another, fill; the last may be short."""
         lanes = max(1, -(-len(ids) // block))
-        full = np.zeros(lanes * block, np.int64)
+        full = np.zeros(lanes * block, np.int32)
         full[: len(ids)] = ids
         steps = np.ascontiguousarray(full.reshape(lanes, block).T)
         model, interval = _Model(lanes, self.width), _Range(lanes)
         places: list[np.ndarray] = []
         words: list[np.ndarray] = []
+        small = np.uint16 if lanes < 1 << 16 else np.int64
 
-        def out() -> None:
-            at, bits = interval.settled()
-            places.append(at.astype(np.uint16 if lanes < 1 << 16 else np.int64))
+        def out(among: np.ndarray | None = None) -> None:
+            at, bits = interval.settled(among)
+            places.append(at.astype(small))
             words.append(bits)
 
-        twelve = _U(_FLAG_BITS)
         for x in steps:
-            first, chance, second, again, other = model.predict()
+            first, share, second, share_again = model.predict()
             hit = first == x
-            interval.narrow(interval.width >> twelve, *_flag(chance, hit))
-            out()
-            asked = ~hit & other
-            hit_again = asked & (second == x)
-            interval.narrow(interval.width >> twelve, *_flag(again, hit_again, asked))
-            out()
+            hit_again = (second == x) & ~hit
             coded = ~(hit | hit_again)
-            kind = self.of_id[x].astype(np.int64)
-            sums = np.cumsum(model.counts, axis=1)
-            upper = sums[model.rows, kind].astype(np.int64)
-            size = model.counts[model.rows, kind]
-            unit = interval.width // np.where(coded, model.totals, 1).astype(np.uint64)
-            start = np.where(coded, upper - size, 0).astype(np.uint64)
-            interval.narrow(unit, start, np.where(coded, size, 1).astype(np.uint64))
-            out()
-            rest = np.where(coded, self.bits[kind], 0).astype(np.uint64)
-            value = np.where(coded, x - self.first[kind], 0).astype(np.uint64)
-            interval.narrow(interval.width >> rest, value, _U(1))
+            interval.pick(share, share_again, hit, coded)
             out()
-            model.learn(x, hit, asked, hit_again)
-            model.seen(kind, coded)
+            some = np.flatnonzero(coded)
+            own = x.take(some)
+            kind = self.of_id.take(own)
+            start, size = model.bounds_of(some, kind)
+            unit = interval.width.take(some) >> _U(_CLASS_BITS)
+            low = interval.low.take(some) + unit * start
+            unit = unit * size >> self.bits.take(kind)
+            interval.low[some] = low + unit * (own - self.first.take(kind)).astype(np.uint64)
+            interval.width[some] = unit
+            out(some)
+            model.learn(x, hit, hit_again)
+            model.seen(some, kind)
         # The end: two words of a number inside the interval.
         for _ in range(2):
-            places.append(model.rows.astype(places[0].dtype))
+            places.append(np.arange(lanes).astype(small))
             words.append((interval.low >> _U(32)).astype(np.uint32))
             interval.low = (interval.low & _LOW32) << _U(32)
         at, all_words = np.concatenate(places), np.concatenate(words)
@@ -234,45 +260,41 @@ class Coder:
         code = data[at] << _U(32) | data[at + 1]
         at += 2
 
-        def move() -> None:
-            nonlocal code
-            some, _ = interval.settled()
-            if len(some):
-                code[some] = (code[some] & _LOW32) << _U(32) | data[np.minimum(at[some], end[some])]
-                at[some] += 1
+        def move(among: np.ndarray | None = None) -> None:
+            some, _ = interval.settled(among)
+            here = at.take(some)
+            code[some] = (code.take(some) & _LOW32) << _U(32) | data.take(np.minimum(here, end.take(some)))
+            at[some] = here + 1
 
-        steps = np.empty((block, lanes), np.int64)
-        twelve, top = _U(_FLAG_BITS), self.width - 1
+        steps = np.empty((block, lanes), np.int32)
+        most = (1 << _CLASS_BITS) - 1
         for t in range(block):
-            first, chance, second, again, other = model.predict()
-            unit = interval.width >> twelve
-            hit = code - interval.low < unit * chance.astype(np.uint64)
-            interval.narrow(unit, *_flag(chance, hit))
-            move()
-            asked = ~hit & other
-            unit = interval.width >> twelve
-            hit_again = asked & (code - interval.low < unit * again.astype(np.uint64))
-            interval.narrow(unit, *_flag(again, hit_again, asked))
-            move()
-            coded = ~(hit | hit_again)
-            sums = np.cumsum(model.counts, axis=1)
-            unit = interval.width // np.where(coded, model.totals, 1).astype(np.uint64)
-            target = ((code - interval.low) // unit).astype(np.int64)
-            kind = np.minimum((sums <= target[:, None]).sum(axis=1), top)
-            size = model.counts[model.rows, kind]
-            start = np.where(coded, sums[model.rows, kind] - size, 0).astype(np.uint64)
-            interval.narrow(unit, start, np.where(coded, size, 1).astype(np.uint64))
-            move()
-            rest = np.where(coded, self.bits[kind], 0).astype(np.uint64)
-            unit = interval.width >> rest
-            value = np.minimum((code - interval.low) // unit, (_U(1) << rest) - _U(1))
-            value = np.where(coded, value, _U(0))
-            interval.narrow(unit, value, _U(1))
+            first, share, second, share_again = model.predict()
+            unit, place = interval.width >> _U(_PICK_BITS), code - interval.low
+            hit = place < unit * share.astype(np.uint64)
+            coded = place >= unit * (share + share_again).astype(np.uint64)
+            hit_again = ~(hit | coded)
+            interval.pick(share, share_again, hit, coded)
             move()
-            x = np.where(hit, first, np.where(hit_again, second, self.first[kind] + value.astype(np.int64)))
+            x = np.where(hit, first, second)
+            some = np.flatnonzero(coded)
+            unit = interval.width.take(some) >> _U(_CLASS_BITS)
+            low = interval.low.take(some)
+            place = code.take(some) - low
+            kind = model.kind_at(some, np.minimum(place // unit, _U(most)).astype(np.int32))
+            start, size = model.bounds_of(some, kind)
+            place -= unit * start
+            low += unit * start
+            bits = self.bits.take(kind)
+            unit = unit * size >> bits
+            value = np.minimum(place // unit, (_U(1) << bits) - _U(1))
+            interval.low[some] = low + unit * value
+            interval.width[some] = unit
+            move(some)
+            x[some] = self.first.take(kind) + value.astype(np.int32)
             steps[t] = x
-            model.learn(x, hit, asked, hit_again)
-            model.seen(kind, coded)
+            model.learn(x, hit, hit_again)
+            model.seen(some, kind)
         out = []
         for ids, (count, _, crc, _) in zip(steps.T, heads, strict=True):
             own = np.ascontiguousarray(ids[:count])
