@@ -144,6 +144,26 @@ def test_repeating_ids_take_little_room():
     assert sum(map(len, Coder(49408).encode(ids))) < len(ids) // 4
 
 
+@pytest.mark.parametrize("kind", ["one id", "frequent id", "no pattern", "pairs"])
+def test_range_coder_learns(kind):
+    draw = np.random.default_rng(7)
+    ids = draw.integers(0, 49408, 9000)
+    if kind == "one id":
+        ids[:] = 320
+    elif kind == "frequent id":  # order 0: no order sees it coming, but it is half of all
+        ids[draw.random(9000) < 0.5] = 320
+    elif kind == "pairs":  # order 1: every other id follows from the one before
+        ids = np.repeat(draw.integers(0, 300, 4500), 2)
+        ids[1::2] += 7000
+    coder = Coder(49408)
+    records = coder.encode(ids)
+    assert np.array_equal(np.concatenate(coder.decode(records)), ids)
+    most = {"one id": 0.1, "frequent id": 10, "no pattern": 17, "pairs": 6.5}
+    assert sum(map(len, records)) * 8 / len(ids) < most[kind]
+    # A block is coded alike, whichever blocks it is coded with.
+    assert coder.encode(ids[4096:8192]) == records[1:2]
+
+
 def test_changed_blocks_are_found():
     coder = Coder(49408)
     record = bytearray(coder.encode(np.arange(3000) % 777, 4096)[0])
