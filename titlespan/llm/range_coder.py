@@ -48,6 +48,13 @@ _STRETCH = np.array(
 _NEXT = np.array([*(n >> 1 for n in range(LEVELS)), *(min(n + 1, LEVELS - 1) for n in range(LEVELS))], np.int32)
 
 
+#: Order 0 is patient: what does not hold costs a level at every eighth step only.
+_PATIENCE = 8
+_NEXT_0 = np.array([*range(LEVELS), *_NEXT[LEVELS:]], np.int32), np.array(
+    [*(max(n - 1, 0) for n in range(LEVELS)), *_NEXT[LEVELS:]], np.int32
+)
+
+
 def _classes(limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By id: its class; by class: its first id and the bits of the rest. Four to an octave."""
     of_id = np.empty(limit, np.intp)
@@ -101,10 +108,10 @@ class _Model:
         odds = self.odds.take(cell)
         inputs = _STRETCH.take(odds >> 4)
         mixed = (self.weights * inputs).sum(axis=0, dtype=np.int32) >> 16
-        chance = _SQUASH.take(np.clip(mixed, -2047, 2047) + 2048)
+        chance = _SQUASH.take(np.maximum(np.minimum(mixed, 2047), -2047) + 2048)
         cell_again = self.cells[3] + (level[1] + (lower.view(np.uint8) << 3))
         odds_again = self.odds.take(cell_again)
-        again = np.clip(odds_again >> 4, 32, 4064)
+        again = np.maximum(np.minimum(odds_again >> 4, 4064), 32)
         other = second != first
         share = ((1 << _FLAG_BITS) - chance) * again >> 8
         self.now = entry, level, ids, cell, odds, inputs, chance, cell_again, odds_again, other
@@ -117,8 +124,10 @@ class _Model:
         moved = (hit_again.astype(np.int32) << 16) - odds_again >> 5
         self.odds[cell_again] = odds_again + moved * (other & ~hit)
         self.weights += inputs * (((held << _FLAG_BITS) - chance) * 6) >> 10
-        np.clip(self.weights, -_WEIGHT_MOST, _WEIGHT_MOST, out=self.weights)
-        after = _NEXT.take(level + ((ids == x).view(np.uint8) << 3))
+        np.maximum(np.minimum(self.weights, _WEIGHT_MOST), -_WEIGHT_MOST, out=self.weights)
+        seen = level + ((ids == x).view(np.uint8) << 3)
+        after = _NEXT.take(seen)
+        after[0] = _NEXT_0[self.steps % _PATIENCE == 0].take(seen[0])
         self.table[self.slot] = np.where(after > 0, entry - level + after, (x << 3) + 1)
         wide = x.astype(np.int64)
         mark = wide * 40503
