@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlespan.llm.common import documents, join_groups, quoted_name, two_columns, written
+from titlespan.llm.common import HOT_KEYS, documents, join_groups, quoted_name, two_columns, written
 from titlespan.llm.links import components
 
 WORDS = 5
@@ -41,6 +41,8 @@ POSTERIOR_MISS = 1e-6
 BATCH = 25
 #: Members of a block in which a bucket's pairs are compared.
 BLOCK = 512
+#: Pairs of a class that are no reason to deal them to several parts.
+PART = 512
 #: Pairs whose signatures are compared at once, and shingles whose common documents are counted.
 PAIRS = 1 << 16
 COLUMNS = 2048
@@ -192,10 +194,26 @@ def likely(
     return alive, matches
 
 
+def _beside(rows: DataFrame, pairs: DataFrame, values: DataFrame, column: str, side: str) -> DataFrame:
+    """`rows` with what `values` holds in `column` for the class `side`, as `of_` that side.
+
+    A class with more than a thousandth of the pairs, the head of a large star, is dealt to parts
+    of a thousandth each, and each part gets the value: there are fewer than a thousand such
+    classes, and two thousand such parts, whatever the input. `rows` has the written `pairs`.
+    """
+    other = "b" if side == "a" else "a"
+    own = values.select(F.col("class").alias(side), F.col(column).alias(f"of_{side}"))
+    share = max(PART, pairs.count() // HOT_KEYS)
+    counts = pairs.groupBy(side).agg(F.count("*").alias("n")).filter(F.col("n") > share)
+    hot = counts.select(side, F.ceil(F.col("n") / share).cast("int").alias("parts"))
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = rows.join(F.broadcast(hot), side, "left").withColumn("part", F.pmod(F.xxhash64(other), parts).cast("int"))
+    copied = own.join(F.broadcast(hot), side, "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return dealt.drop("parts").join(copied.drop("parts"), [side, "part"]).drop("part")
+
+
 def _star_survivors(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     """`(a, b)` of `pairs` that survive the comparison of signatures."""
-    a = signatures.select(F.col("class").alias("a"), F.col("signature").alias("of_a"))
-    b = signatures.select(F.col("class").alias("b"), F.col("signature").alias("of_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,8 +223,10 @@ def _star_survivors(pairs: DataFrame, signatures: DataFrame, percent: int) -> Da
             kept = batch.take(pa.array(alive))
             yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], ["a", "b"])
 
-    joined = pairs.join(a, "a").join(b, "b").select("a", "b", "of_a", "of_b")
-    return joined.mapInArrow(run, "a binary, b binary")
+    # A class is in one star only, but may head a large one.
+    own = pairs.join(signatures.select(F.col("class").alias("a"), F.col("signature").alias("of_a")), "a")
+    both = _beside(own, pairs, signatures, "signature", "b")
+    return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a binary, b binary")
 
 
 def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list, list]]:
@@ -407,10 +427,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
             taken = batch.take(pa.array(kept, pa.int64()))
             yield pa.RecordBatch.from_arrays([taken.column("a"), taken.column("b")], ["a", "b"])
 
-    a = texts.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(run, "a binary, b binary")
+    both = _beside(_beside(pairs, pairs, texts, "text", "a"), pairs, texts, "text", "b")
+    return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a binary, b binary")
 
 
 def linked(
@@ -440,6 +458,7 @@ def linked(
     stars = meetings.groupBy(F.col("class").alias("a")).agg(
         F.max_by("head", F.struct("n", "head")).alias("b")
     )
+    stars = written(stars, "near-heads")
     survivors = written(_star_survivors(stars, signatures, percent), "near-stars")
 
     texts = _texts(docs, classes, survivors, id_col, text_col)
