@@ -141,19 +141,6 @@ def test_links_across_a_split_bucket(spark, monkeypatch):
     assert sorted(map(repr, brute_near(texts, 3, 85)[0])) == sorted(repr(tuple(r)[:3]) for r in got)
 
 
-@pytest.mark.parametrize("part", [1, 7, 512])
-def test_large_stars_are_dealt_to_parts(spark, monkeypatch, part):
-    monkeypatch.setattr(near_dedup, "PART", part)
-    pairs = [(bytes([1, i]), b"head" if i % 4 else b"other") for i in range(60)] + [(b"head", b"other")]
-    values = [(c, c.hex()) for c in {c for p in pairs for c in p} | {b"unasked"}]
-    table_of = near_dedup.written(spark.createDataFrame(pairs, "a binary, b binary"), "pairs")
-    held = spark.createDataFrame(values, "class binary, text string")
-    both = near_dedup._beside(table_of, table_of, held, "text", "a")
-    got = near_dedup._beside(both, table_of, held, "text", "b").select("a", "b", "of_a", "of_b").collect()
-    expected = [(a, b, a.hex(), b.hex()) for a, b in pairs]
-    assert sorted(expected) == sorted((bytes(r[0]), bytes(r[1]), *r[2:]) for r in got)
-
-
 def test_near_of_nothing(spark):
     assert near_dedup.near_dedup(empty(spark)).count() == 0
     assert near_dedup.near_dedup(table(spark, [(1, None), (2, " "), (2, " ")])).count() == 3
