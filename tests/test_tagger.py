@@ -122,6 +122,26 @@ def test_large_lexicons_are_asked_for_distinct_tokens(spark, seqs, data, monkeyp
     assert len(pairs) < sum(len(tokens) for _, tokens, _ in data) / 2
 
 
+def test_blocks_are_written_in_small_rows(spark, seqs, data, monkeypatch):
+    """Parquet holds a hundred rows at least; the answers are never gathered in one row."""
+    monkeypatch.setattr(dictionary, "BLOCK_TOKENS", 300)
+    monkeypatch.setattr(dictionary, "ROW_TOKENS", 50)
+    blocks = []
+    write = dictionary.written
+    monkeypatch.setattr(dictionary, "written", lambda df, name: blocks.append(write(df, name)) or blocks[-1])
+    folded = seqs.coalesce(1).selectExpr("*", "CAST(record_id % 3 AS INT) AS fold")
+    lexicon = store.written(tagger.fit_per_fold(folded, 3), "lexicon")
+    found = tagger.predict_tokens(folded, lexicon, keep=["fold"], fold_col="fold", max_broadcast_bytes=0)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "collect_list" not in plan
+    bests = [majority([r for r in data if r[0] % 3 != f])[0] for f in range(3)]
+    rows = {r.record_id: r.pred_tags for r in found.collect()}
+    assert rows == {i: [bests[i % 3].get(t, "O") for t in tokens] for i, tokens, _ in data}
+    rows_of = Counter(r.block for r in blocks[0].collect())
+    assert len(rows_of) > 3 and max(rows_of.values()) > 3
+    assert all(len({r.fold for r in blocks[0].filter(f"block = {b}").collect()}) == 1 for b in list(rows_of)[:3])
+
+
 @pytest.mark.parametrize("limit", [tagger.MAX_BROADCAST_BYTES, 0])
 def test_odd_records_are_tagged(spark, seqs, limit):
     odd = spark.createDataFrame(

@@ -24,8 +24,9 @@ from pyspark.sql.types import ArrayType, DoubleType, StringType, StructType
 from titlespan.session import written
 from titlespan.types import OUTSIDE
 
-#: Tokens of a block of records, about; a record is not split.
+#: Tokens of a block of records, and of one of the rows it is written as, about; a record is not split.
 BLOCK_TOKENS = 200_000
+ROW_TOKENS = 20_000
 #: Bits of the map that keeps unknown tokens from being asked for: 16 MB at most.
 SCREEN_BITS = 1 << 27
 
@@ -190,12 +191,12 @@ def _screen(lexicon: DataFrame) -> np.ndarray:
     return full
 
 
-def _pieces(lists: pa.Array) -> Iterator[tuple[int, int]]:
+def _pieces(lists: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     """Start and number of records, so that pieces have few enough tokens."""
     lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
     start, held_tokens = 0, 0
     for i, n in enumerate(lengths):
-        if i > start and held_tokens + n > BLOCK_TOKENS:
+        if i > start and held_tokens + n > most:
             yield start, i - start
             start, held_tokens = i, 0
         held_tokens += int(n)
@@ -203,59 +204,92 @@ def _pieces(lists: pa.Array) -> Iterator[tuple[int, int]]:
         yield start, len(lengths) - start
 
 
+def _nullable(kind: pa.DataType) -> pa.DataType:
+    """The type with parts that may be NULL, which is what a cogroup must return."""
+    if pa.types.is_list(kind):
+        return pa.list_(_nullable(kind.value_type))
+    if pa.types.is_struct(kind):
+        return pa.struct([pa.field(f.name, _nullable(f.type)) for f in kind])
+    if pa.types.is_map(kind):
+        return pa.map_(_nullable(kind.key_type), _nullable(kind.item_type))
+    return kind
+
+
+def _by_fold(batch: pa.RecordBatch, at: int | None) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The records of each fold; all of them under 0 without folds."""
+    if at is None:
+        yield 0, batch
+        return
+    folds = batch.column(at)
+    for fold in pc.unique(folds).to_pylist():
+        yield fold, batch.filter(pc.is_in(folds, value_set=pa.array([fold], folds.type)))
+
+
 def in_blocks(
     records: DataFrame, lexicon: DataFrame, parallel: Sequence[str], fold_col: str | None
 ) -> DataFrame:
     """`records` with `pred_tags` and `confidence`, for a lexicon of any size.
 
-    Records are written in blocks. A block asks for its distinct tokens, without those the screen
+    Records are written in blocks of one fold, and a block as rows of few tokens, as Parquet holds a
+    hundred rows at least in memory. A block asks for its distinct tokens, without those the screen
     does not know; a token is asked for once a block, so no token skews the join with the lexicon.
-    The answers go back as one array to the block, which moves as a whole.
+    The answers are those of the block's fold. They meet its rows in a cogroup, whose sort spills and
+    which holds one block at a time.
     """
     entries = lexicon.select("token", "tag", "confidence")
     schema = records.schema
     shared = records.sparkSession.sparkContext.broadcast(_screen(entries).tobytes())
     columns = schema.fieldNames()
     at = columns.index("tokens")
+    fold_at = columns.index(fold_col) if fold_col else None
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         known = np.frombuffer(shared.value, np.uint8)
+        compressed = pa.ipc.IpcWriteOptions(compression="lz4")
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for start, count in _pieces(batch.column(at)):
-                # Copied, as a slice would be written with the whole batch's buffers.
-                piece = pa.Table.from_batches([batch.slice(start, count)]).take(pa.array(range(count)))
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, piece.schema) as writer:
-                    writer.write_table(piece)
-                words = pc.unique(batch.column(at).slice(start, count).flatten()).drop_null()
-                bit = _marks(words) % (8 * len(known))
-                words = words.filter(pa.array(known[bit >> 3] >> (bit & 7) & 1 == 1))
-                row = [pa.array([block], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())]
-                row.append(_lists(np.array([len(words)]), words.cast(pa.string())))
-                yield pa.RecordBatch.from_arrays(row, ["block", "records", "asked"])
-                block += 1
-
-    blocks = written(records.mapInArrow(packed, "block long, records binary, asked array<string>"), "blocks")
-    asked = blocks.select("block", F.explode("asked").alias("token"))
-    answers = asked.join(entries, "token").groupBy("block").agg(
-        F.collect_list(F.struct("token", "tag", "confidence")).alias("found")
-    )
-    answered = blocks.select("block", "records").join(answers, "block", "left")
-
-    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                piece = pa.ipc.open_stream(batch.column(1)[row].as_py()).read_all().combine_chunks().to_batches()[0]
-                found = batch.column(2)[row].values
-                if found is None:
-                    found = pa.array([], batch.column(2).type.value_type)
-                dictionary = Dictionary.of(*found.flatten())
-                folds = piece.column(columns.index(fold_col)).to_numpy(zero_copy_only=False) if fold_col else None
-                tags, shares = dictionary.answers(piece.column(at), folds)
-                yield pa.RecordBatch.from_arrays([*piece.columns, tags, shares], [*columns, "pred_tags", "confidence"])
+            for fold, part in _by_fold(batch, fold_at):
+                for start, count in _pieces(part.column(at), BLOCK_TOKENS):
+                    before = pa.array([], pa.string())
+                    rows = part.slice(start, count)
+                    for first, n in _pieces(rows.column(at), ROW_TOKENS):
+                        # Copied, as a slice would be written with the whole batch's buffers.
+                        piece = pa.Table.from_batches([rows.slice(first, n)]).take(pa.array(range(n)))
+                        sink = pa.BufferOutputStream()
+                        with pa.ipc.new_stream(sink, piece.schema, options=compressed) as writer:
+                            writer.write_table(piece)
+                        words = pc.unique(rows.column(at).slice(first, n).flatten()).drop_null().cast(pa.string())
+                        bit = _marks(words) % (8 * len(known))
+                        words = words.filter(pa.array(known[bit >> 3] >> (bit & 7) & 1 == 1))
+                        words = words.filter(pc.invert(pc.is_in(words, value_set=before)))
+                        before = pa.concat_arrays([before, words])
+                        row = [pa.array([block], pa.int64()), pa.array([fold], pa.int32())]
+                        row += [pa.array([sink.getvalue().to_pybytes()], pa.binary()), _lists(np.array([len(words)]), words)]
+                        yield pa.RecordBatch.from_arrays(row, ["block", "fold", "records", "asked"])
+                    block += 1
+
+    rows = records.mapInArrow(packed, "block long, fold int, records binary, asked array<string>")
+    blocks = written(rows, "blocks")
+    asked = blocks.select(F.col("block").alias("asker"), "fold", F.explode("asked").alias("token"))
+    mine = ["get(tag, fold) AS tag", "get(confidence, fold) AS confidence"]
+    if not isinstance(lexicon.schema["tag"].dataType, ArrayType):
+        mine = ["tag", "confidence"]
+    answers = asked.join(entries, "token").selectExpr("asker", "token", *mine)
+
+    def unpacked(held_rows: pa.Table, found: pa.Table) -> pa.Table:
+        found = found.select(["token", "tag", "confidence"]).combine_chunks()
+        parts = [c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in found.columns]
+        dictionary = Dictionary.of(parts[0].cast(pa.string()), parts[1], parts[2])
+        made = []
+        for blob in held_rows.column("records").to_pylist():
+            for piece in pa.ipc.open_stream(blob).read_all().combine_chunks().to_batches():
+                answered = dictionary.answers(piece.column(at))
+                whole = [c.cast(_nullable(c.type)) for c in piece.columns]
+                made.append(pa.RecordBatch.from_arrays([*whole, *answered], [*columns, "pred_tags", "confidence"]))
+        return pa.Table.from_batches(made)
 
     out = StructType([*schema.fields, *_FOUND.fields])
-    return answered.select("block", "records", "found").mapInArrow(unpacked, out)
+    meeting = blocks.select("block", "records").groupBy("block").cogroup(answers.groupBy("asker"))
+    return meeting.applyInArrow(unpacked, out)
