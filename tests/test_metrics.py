@@ -303,3 +303,79 @@ def test_no_errors_give_a_zero_total(spark):
     pairs = metrics.token_pairs(df)
     assert [(r.error_type, r.n) for r in errors.error_counts(pairs).collect()] == [("all", 0)]
     assert errors.error_distribution(pairs).count() == 0
+
+
+def _by_model(rows):
+    """Counters of `evaluation_counts`, by loops."""
+    found = Counter()
+    for _, tokens, ts, ps in rows:
+        for a, b in zip(ts, ps):
+            found["pair", a or "", b or ""] += 1
+        lenient = [{(s[0], s[1], s[2]) for s in model_tag_spans(tags)} for tags in (ts, ps)]
+        for grain, spans in (("span_true", lenient[0]), ("span_pred", lenient[1]), ("span_hit", lenient[0] & lenient[1])):
+            found.update((grain, s[0], "") for s in spans)
+        sides = []
+        for tags in (ts, ps):
+            words = model_spans(tokens, [t or "" for t in tags], "strict")
+            sides.append({(s[0], s[3]) for s in words if s[0] in ENTITY_TYPES})
+        flags = {}
+        for t in ENTITY_TYPES:
+            a, b = ({x for x in side if x[0] == t} for side in sides)
+            found["match", t, "total"] += 1
+            flags[t] = "exact" if a == b else "partial" if a & b else ""
+            if flags[t]:
+                found["match", t, flags[t]] += 1
+        found["record", "sequences", ""] += 1
+        found["record", "exact", ""] += all(flags.values())
+        found["record", "partial", ""] += "partial" in flags.values()
+    return +found
+
+
+def model_tag_spans(tags):
+    """Spans of any type in lenient mode: blanks close, what is no tag is passed over."""
+    spans, before = [], None
+    for i, tag in enumerate(tags):
+        tag = tag or "O"
+        if tag != "O" and tag[:2] not in ("B-", "I-"):
+            continue
+        if tag[:2] == "I-" and before and before[2:] == tag[2:] and before != "O":
+            spans[-1][2] = i
+        elif tag != "O":
+            spans.append([tag[2:], i, i])
+        before = tag
+    return spans
+
+
+def test_counters_equal_loops(spark, monkeypatch):
+    """Records of any length, several pieces, unknown and empty types, NULL tags, no tags at all."""
+    from titlespan.operators import comparison
+
+    monkeypatch.setattr(comparison, "PIECE_TOKENS", 40)
+    rng = random.Random(11)
+    choices = ["O", "", None, "bad", f"B-{P}", f"I-{P}", f"I-{C}", "B-", "I-", "B-neu", "I-neu", "b"]
+    rows = []
+    for i in range(400):
+        k = rng.choice([0, 1, 3, 9, 60])
+        true = rng.choices(choices, k=k)
+        rows.append((i, rng.choices(["x", "y", "ä b", ""], k=k), true, [t if rng.random() < 0.8 else rng.choice(choices) for t in true]))
+    df = spark.createDataFrame([*rows, (None, None, None, None)], SCHEMA).repartition(3)
+    got = {(r.grain, r.k1, r.k2): r.n for r in metrics.evaluation_counts(df).collect()}
+    assert {(g, a, "" if g == "record" else b): n for (g, a, b), n in got.items()} == _by_model(rows)
+    by = metrics.evaluation_counts(df.selectExpr("*", "record_id % 2 AS part"), by=["part"]).collect()
+    summed = Counter()
+    for r in by:
+        summed[r.grain, r.k1, r.k2] += r.n
+    assert summed == got and {r.part for r in by} == {0, 1}
+    flags = metrics.with_exact_match(df).filter("record_id IS NULL").first()
+    assert flags.exact is None and flags.partial is None and len(flags.by_type) == len(ENTITY_TYPES)
+    assert metrics.exact_match(metrics.with_exact_match(df)).first().total_examples == 401
+
+
+def test_records_are_compared_once(spark, seqs, tmp_path):
+    """The report compares the records in one pass."""
+    seqs.write.parquet(str(tmp_path / "seqs"))
+    counts = metrics.evaluation_counts(spark.read.parquet(str(tmp_path / "seqs")))
+    report = metrics.per_type_report(metrics.metrics_long(counts))
+    report.collect()
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("MapInArrow") == 1

@@ -1,12 +1,12 @@
 """Tag sequences, spans and entities as array expressions.
 
 All expressions work inside one row, so none of them shuffles, and each is linear in the
-number of tokens (apart from the sort inside `multiset`).
+number of tokens .
 """
 
 from __future__ import annotations
 
-from titlespan.functions.sql import let, multiset, quote, quoted
+from titlespan.functions.sql import let, quote, quoted
 from titlespan.types import ENTITY_TYPES, OUTSIDE, SPAN_SCHEMA
 
 MODES = ("strict", "lenient", "reference")
@@ -155,41 +155,6 @@ def tag_spans_of(tags: str, mode: str = "lenient") -> str:
     return let("es", effective_tags(tags, mode), spans)
 
 
-def span_keys(spans: str) -> str:
-    """Spans as numbers, start in the upper half and end in the lower, for fast set operations.
-
-    Spans of one tagging start at different places, so the type is that of the tag there.
-    """
-    return f"transform({spans}, s -> shiftleft(CAST(s.start_pos AS BIGINT), 32) | CAST(s.end_pos AS BIGINT))"
-
-
-def _key_type(key: str, tags: str) -> str:
-    return f"substr(get({tags}, CAST(shiftright({key}, 32) AS INT)), 3)"
-
-
-def of_key_types(keys: str, tags: str, made: str) -> str:
-    """`made` for each of `span_keys` of `tags`, with `{}` in place of the span's type."""
-    return let("gs", tags, f"transform({keys}, k -> {made.format(_key_type('k', 'gs'))})")
-
-
-def common_keys(keys: str, tags: str, other_keys: str, other_tags: str) -> str:
-    """The keys of spans that both taggings have, of one type."""
-    same_type = f"{_key_type('k', 'gs')} = {_key_type('k', 'hs')}"
-    common = f"filter(array_intersect({keys}, {other_keys}), k -> {same_type})"
-    return let("gs", tags, let("hs", other_tags, common))
-
-
-def entity_set(spans: str, types: list[str]) -> str:
-    """The distinct entities of the listed types, each as one string: type, U+0000, text."""
-    listed = f"filter({spans}, s -> s.type IN ({quoted(types)}))"
-    return f"array_distinct(transform({listed}, s -> concat(s.type, '\\u0000', s.text)))"
-
-
-def types_in(entities: str) -> str:
-    """The distinct types of an `entity_set`."""
-    return f"array_distinct(transform({entities}, e -> substring_index(e, '\\u0000', 1)))"
-
-
 def length_matches(tokens: str, tags: str) -> str:
     """One tag per token."""
     return f"size({tokens}) = size({tags})"
@@ -263,22 +228,6 @@ def bad_transitions(tags: str) -> str:
     return let("events", events, f"filter(events, (e, j) -> coalesce({other_type}, false))")
 
 
-def token_usage(entities: str, tokens: str) -> str:
-    """V4, V5: `(token, used, have)` for each token the entities use more often than it occurs.
-
-    `have` is 0 for a token that does not occur at all.
-    """
-    used = f"flatten(transform(flatten(map_values({entities})), x -> split(x, ' ', -1)))"
-    compared = (
-        f"map_zip_with({multiset(used)}, {multiset(tokens)}, "
-        "(k, u, h) -> struct(coalesce(u, 0) AS used, coalesce(h, 0) AS have))"
-    )
-    return (
-        f"transform(filter(map_entries({compared}), e -> e.value.used > e.value.have), "
-        "e -> struct(e.key AS token, e.value.used AS used, e.value.have AS have))"
-    )
-
-
 def fit_length(tags: str, n: str) -> str:
     """M4: cut or pad with `O` to n tags."""
     padding = f"array_repeat('{OUTSIDE}', greatest({n} - size({tags}), 0))"

@@ -12,10 +12,10 @@ from titlespan.functions.tags import (
     bad_tag_positions,
     bad_transitions,
     length_matches,
-    token_usage,
     type_pattern,
     spans_of,
 )
+from titlespan.operators.usage import token_usage
 from titlespan.types import ENTITY_TYPES, INPUT_COLUMNS, SUBMISSION_COLUMNS
 
 def _finding(rule: str, col: str | None, n: str, detail: str | None = None) -> str:
@@ -117,14 +117,11 @@ def span_type_findings(spans: str, types: list[str] = ENTITY_TYPES) -> str:
     return f"transform(filter({spans}, s -> s.type NOT IN ({quoted(types)})), s -> {finding})"
 
 
-def usage_findings(
-    entities: str, tokens: str, overuse: bool = True, unknown: bool = True
-) -> str:
+def usage_findings(usage: str, overuse: bool = True, unknown: bool = True) -> str:
     """V4, V5: tokens used more often than the title has them; it may not have them at all.
 
-    The multiset difference is taken inside the row, so nothing is shuffled.
+    `usage` names the column of `usage.token_usage`, which is taken inside the row, so nothing is shuffled.
     """
-    usage = token_usage(entities, tokens)
     if not unknown:
         usage = f"filter({usage}, u -> u.have > 0)"
     if not overuse:
@@ -133,6 +130,14 @@ def usage_findings(
     return f"transform({usage}, u -> {_record_finding(rule, 'NULL', 'u.token', 'u.used - u.have')})"
 
 
+_USAGE = "_usage"
+
+
+def _with_usage(records: DataFrame, entities_col: str, tokens_col: str) -> DataFrame:
+    texts = F.expr(f"flatten(map_values({name(entities_col)}))")
+    return records.withColumn(_USAGE, token_usage(texts, F.col(name(tokens_col))))
+
+
 def record_violations(records: DataFrame, *findings: str) -> DataFrame:
     """The findings of one or more record checks as violations, in one pass."""
     joined = ", ".join(f"CAST({f} AS {_RECORD_FINDING})" for f in findings)
@@ -162,26 +167,22 @@ def token_overuse(
     records: DataFrame, entities_col: str = "entities", tokens_col: str = "tokens"
 ) -> DataFrame:
     """V4: tokens of the title that the entities use more often than they occur."""
-    findings = usage_findings(name(entities_col), name(tokens_col), unknown=False)
-    return record_violations(records, findings)
+    return record_violations(_with_usage(records, entities_col, tokens_col), usage_findings(_USAGE, unknown=False))
 
 
 def unknown_tokens(
     records: DataFrame, entities_col: str = "entities", tokens_col: str = "tokens"
 ) -> DataFrame:
     """V5: tokens the entities use that the title does not have."""
-    findings = usage_findings(name(entities_col), name(tokens_col), overuse=False)
-    return record_violations(records, findings)
+    return record_violations(_with_usage(records, entities_col, tokens_col), usage_findings(_USAGE, overuse=False))
 
 
 def validate_entities(
     records: DataFrame, entities_col: str = "entities", tokens_col: str = "tokens"
 ) -> DataFrame:
     """V4: unknown types and overused tokens."""
-    entities, tokens = name(entities_col), name(tokens_col)
-    return record_violations(
-        records, type_findings(entities), usage_findings(entities, tokens, unknown=False)
-    )
+    used = _with_usage(records, entities_col, tokens_col)
+    return record_violations(used, type_findings(name(entities_col)), usage_findings(_USAGE, unknown=False))
 
 
 def unknown_types(seqs: DataFrame, tag_col: str = "tags") -> DataFrame:
@@ -193,8 +194,8 @@ def validate_reconstruction(
     records: DataFrame, entities_col: str = "entities", tokens_col: str = "tokens"
 ) -> DataFrame:
     """V5: V4 and tokens that do not occur in the title."""
-    entities, tokens = name(entities_col), name(tokens_col)
-    return record_violations(records, type_findings(entities), usage_findings(entities, tokens))
+    used = _with_usage(records, entities_col, tokens_col)
+    return record_violations(used, type_findings(name(entities_col)), usage_findings(_USAGE))
 
 
 def validate_submission(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titlespan.operators.metrics import confusion, zipped_pairs
+from titlespan.operators.metrics import confusion, unzipped, zipped_pairs
 
 # A blank tag is not `O`.
 ERROR_TYPE = """CASE WHEN true_tag = 'O' AND pred_tag <> 'O' THEN 'false_positive'
@@ -64,12 +64,15 @@ def error_examples(seqs: DataFrame, limit: int | None = None) -> DataFrame:
     """
     pairs = zipped_pairs()
     if limit is not None:
-        differs = F.exists(pairs, lambda p: p["true_tag"] != p["pred_tag"])
+        blank = F.lit("")
+        differs = F.exists(
+            pairs, lambda p: F.coalesce(p["true_tags"], blank) != F.coalesce(p["pred_tags"], blank)
+        )
         ids = F.filter(F.array("record_id"), lambda _: differs)
         first = seqs.select(F.explode(ids).alias("record_id")).orderBy("record_id").limit(limit)
         seqs = seqs.join(first, "record_id", "left_semi")
     rows = seqs.select("record_id", F.posexplode(pairs).alias("pos", "p"))
-    return errors(rows.select("record_id", "pos", "p.*"))
+    return errors(rows.selectExpr("record_id", "pos", *unzipped("p")))
 
 
 def entity_error_matrix(examples: DataFrame) -> DataFrame:

@@ -15,17 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from titlespan.functions.sql import let, quote, quoted
-from titlespan.functions.tags import (
-    blank_to_empty,
-    common_keys,
-    entity_set,
-    of_key_types,
-    span_keys,
-    spans_of,
-    tag_spans_of,
-    types_in,
-)
 from titlespan.operators.checks import length_findings, record_violations
+from titlespan.operators.comparison import counts, with_types
 from titlespan.types import ENTITY_TYPES, type_table
 
 # --- pairs and confusion -----------------------------------------------------------------
@@ -39,19 +30,20 @@ def if_aligned(value: str) -> str:
 
 
 def zipped_pairs() -> Column:
-    """Column of `(token, true_tag, pred_tag)` structs in title order; lengths must agree."""
-    zipped = (
-        f"arrays_zip(tokens, {blank_to_empty('true_tags')}, {blank_to_empty('pred_tags')})"
-    )
-    named = "array<struct<token:string,true_tag:string,pred_tag:string>>"
-    return F.expr(f"CAST({if_aligned(zipped)} AS {named})")
+    """Column of `(tokens, true_tags, pred_tags)` structs in title order; lengths must agree."""
+    return F.expr(if_aligned("arrays_zip(tokens, true_tags, pred_tags)"))
+
+
+def unzipped(pair: str) -> list[str]:
+    """The fields of one of `zipped_pairs`; blanks are the label ''."""
+    tags = [f"coalesce({pair}.{t}s, '') AS {t}" for t in ("true_tag", "pred_tag")]
+    return [f"{pair}.tokens AS token", *tags]
 
 
 def token_pairs(seqs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """A1: `(record_id, pos, token, true_tag, pred_tag)`; blanks are the label ''."""
-    return seqs.select(
-        *by, "record_id", F.posexplode(zipped_pairs()).alias("pos", "z")
-    ).select(*by, "record_id", "pos", "z.*")
+    placed = seqs.select(*by, "record_id", F.posexplode(zipped_pairs()).alias("pos", "z"))
+    return placed.selectExpr(*by, "record_id", "pos", *unzipped("z"))
 
 
 def _full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -282,18 +274,7 @@ def with_exact_match(
     By default a record whose types overlap in part still counts as exact;
     `partial_breaks_exact` asks for equal sets throughout.
     """
-    sides = seqs.selectExpr(
-        "*",
-        f"{entity_set(spans_of('tokens', 'true_tags'), types)} AS _true",
-        f"{entity_set(spans_of('tokens', 'pred_tags'), types)} AS _pred",
-    )
-    apart = types_in("concat(array_except(_true, _pred), array_except(_pred, _true))")
-    common = types_in("array_intersect(_true, _pred)")
-    # Both hold each type once, so a look-up takes as long as there are types.
-    by_type = f"""transform(array({quoted(types)}), t -> struct(t AS type,
-        NOT array_contains(apart, t) AS exact, array_contains(apart, t) AND array_contains(common, t) AS partial))"""
-    compared = let("apart", apart, let("common", common, by_type))
-    return _with_matches(sides.selectExpr("*", f"{compared} AS by_type").drop("_true", "_pred"), partial_breaks_exact)
+    return _with_matches(with_types(seqs, types), partial_breaks_exact)
 
 
 def _with_matches(compared: DataFrame, partial_breaks_exact: bool) -> DataFrame:
@@ -337,66 +318,18 @@ def exact_match_by_type(compared: DataFrame) -> DataFrame:
     )
 
 
-def _with_span_keys(seqs: DataFrame) -> DataFrame:
-    """Adds the keys of the spans on both sides and of those found on both."""
-    return seqs.selectExpr(
-        "*",
-        f"{span_keys(tag_spans_of('true_tags'))} AS true_keys",
-        f"{span_keys(tag_spans_of('pred_tags'))} AS pred_keys",
-    ).selectExpr("*", f"{common_keys('true_keys', 'true_tags', 'pred_keys', 'pred_tags')} AS hit_keys")
-
-
-def _count_of(grain: str, k1: str, k2: str = "''") -> str:
-    return f"struct({quote(grain)} AS grain, {k1} AS k1, {k2} AS k2)"
-
-
-def _counter(grain: str, rows: str, k1: str = "r", k2: str = "''") -> str:
-    """Array of rows → array of `(grain, k1, k2)`."""
-    return f"transform({rows}, r -> {_count_of(grain, k1, k2)})"
-
-
-_SPAN_COUNTERS = [
-    of_key_types("true_keys", "true_tags", _count_of("span_true", "{}")),
-    of_key_types("pred_keys", "pred_tags", _count_of("span_pred", "{}")),
-    of_key_types("hit_keys", "true_tags", _count_of("span_hit", "{}")),
-]
-
-
-def _count(df: DataFrame, counters: list[str], by: Sequence[str]) -> DataFrame:
-    return (
-        df.select(*by, F.explode(F.expr(f"concat({', '.join(counters)})")).alias("c"))
-        .groupBy(*by, "c.grain", "c.k1", "c.k2")
-        .agg(F.expr("count(*) AS n"))
-    )
-
-
 def span_counts(seqs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Counters of true, predicted and matching spans per type."""
-    return _count(_with_span_keys(seqs), _SPAN_COUNTERS, by)
+    return counts(seqs, by, records=False)
 
 
 def evaluation_counts(seqs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """`(*by, grain, k1, k2, n)` from one pass over the sequences.
 
-    Records are compared inside the row; only counters reach the shuffle, and they are
-    summed before it.
+    Records are compared where they are, a batch at a time; only counters reach the shuffle, and
+    they are summed before it. Unequal lengths are an error.
     """
-    pair = _count_of("pair", "coalesce(t, '')", "coalesce(p, '')")
-    pairs = if_aligned(f"zip_with(true_tags, pred_tags, (t, p) -> {pair})")
-    matches = """flatten(transform(by_type, c -> array_compact(array(
-        struct(c.type AS type, 'total' AS kind),
-        if(c.exact OR c.partial,
-           struct(c.type AS type, if(c.exact, 'exact', 'partial') AS kind), NULL)))))"""
-    records = (
-        "array_compact(array('sequences', if(exact, 'exact', NULL), if(partial, 'partial', NULL)))"
-    )
-    counters = [
-        pairs,
-        *_SPAN_COUNTERS,
-        _counter("match", matches, "r.type", "r.kind"),
-        _counter("record", records),
-    ]
-    return _count(_with_span_keys(with_exact_match(seqs)), counters, by)
+    return counts(seqs, by, records=True)
 
 
 def rates(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
