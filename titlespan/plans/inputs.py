@@ -66,11 +66,36 @@ def pred_tag(record_id: str, pos: str, token: str) -> str:
     return _tag(_moved(record_id, pos, token), record_id, pos)
 
 
+def _tags(types: list[str], moved: bool) -> str:
+    """`_tag` for every token: one look-up by step and type, in small integers.
+
+    A record whose id is NULL or negative has no place in the table and takes `_tag` itself.
+    """
+    table = [
+        {3: f"B-{t}", 4: f"B-{t}", 5: f"I-{t}", 6: f"I-{t}", 7: f"I-{t}", 8: "", 9: "bad"}.get(step, "O")
+        for step in range(10)
+        for t in types
+    ]
+    n = len(types)
+    step = "(a + i * 3 + length(t) * 5) % 10"
+    if moved:
+        step = f"if((c + i * 5 + length(t)) % 7 = 0, (a + i * 3 + length(t) * 5 + 1) % 10, {step})"
+    place = f"{step} * {n} + (b + shiftright(i, 2)) % {n}"
+    rest = {f"CAST(record_id % {m} AS INT)": v for v, m in (("a", 10), ("b", n), ("c", 7))}
+    found = f"transform(tokens, (t, i) -> get(array({quoted(table)}), {place}))"
+    for value, variable in rest.items():
+        times = {"a": " * 7", "c": " * 3"}.get(variable, "")
+        found = let(variable, value + times, found)
+    rule = _moved if moved else _step
+    plain = f"transform(tokens, (t, i) -> {_tag(rule('record_id', 'i', 't'), 'record_id', 'i', types)})"
+    return f"if(record_id >= 0, {found}, {plain})"
+
+
 def _true_tags(types: list[str] = ENTITY_TYPES) -> str:
-    return f"transform(tokens, (t, i) -> {true_tag('record_id', 'i', 't', types)})"
+    return _tags(types, moved=False)
 
 
-_PRED_TAGS = f"transform(tokens, (t, i) -> {pred_tag('record_id', 'i', 't')})"
+_PRED_TAGS = _tags(ENTITY_TYPES, moved=True)
 
 
 def tagged(titles: DataFrame) -> DataFrame:
