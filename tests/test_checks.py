@@ -153,3 +153,25 @@ def test_summary(spark):
 
 def test_types_listed_once():
     assert len(set(ENTITY_TYPES)) == 11
+
+
+def test_usage_equals_counter(spark):
+    """Any number of records a batch, empty and repeated texts, NULLs; one call whatever reads it."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(200):
+        tokens = rng.choices(["a", "b", "ä", ""], k=rng.randrange(0, 6))
+        texts = [" ".join(rng.choices(["a", "b", "neu", ""], k=rng.randrange(1, 4))) for _ in range(rng.randrange(0, 3))]
+        rows.append((i, tokens, {"Farbe": texts}))
+    odd = [(900, None, {"Farbe": ["a"]}), (901, ["a"], None), (902, ["a"], {"Farbe": ["neu", None]}), (903, ["a"], {"Farbe": None})]
+    df = spark.createDataFrame([*rows, *odd], "record_id bigint, tokens array<string>, entities map<string,array<string>>")
+    expected = set()
+    for i, tokens, entities in rows:
+        used, have = Counter(w for t in entities["Farbe"] for w in t.split(" ")), Counter(tokens)
+        for w, n in used.items():
+            if n > have[w]:
+                expected.add(("token_overuse" if have[w] else "unknown_token", i, w, n - have[w]))
+    found = checks.validate_reconstruction(df)
+    assert {(r.rule, r.record_id, r.detail, r.n) for r in found.collect()} == expected
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("+- ArrowEvalPython") + plan.count(": ArrowEvalPython") == 1 and "map_zip_with" not in plan

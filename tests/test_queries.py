@@ -52,3 +52,22 @@ def test_every_oracle_has_a_query():
 def test_entry(spark):
     flagship = entry_points.entry(spark)
     assert flagship.columns[0] == "id" and len(flagship.columns) == 12
+
+
+def test_tags_follow_their_rule(spark):
+    """The look-up gives what the rule says, also without an id or with a negative one."""
+    from titlespan.plans import inputs
+    from titlespan.types import ENTITY_TYPES
+
+    rows = [(i, [("x" * (1 + (i + j) % 9)) for j in range(i % 60)]) for i in [*range(0, 400, 3), 2**55, -1, -17, -303]]
+    df = spark.createDataFrame([*rows, (None, ["a", "bc"])], "record_id bigint, tokens array<string>")
+    other = [*ENTITY_TYPES[:-1], inputs.UNKNOWN_TYPE]
+    rules = {
+        inputs._true_tags(): inputs.true_tag("record_id", "i", "t"),
+        inputs._true_tags(other): inputs.true_tag("record_id", "i", "t", other),
+        inputs._PRED_TAGS: inputs.pred_tag("record_id", "i", "t"),
+    }
+    for quick, rule in rules.items():
+        sides = df.selectExpr("record_id", f"{quick} AS a", f"transform(tokens, (t, i) -> {rule}) AS b")
+        assert sides.filter("NOT a <=> b").count() == 0 and sides.count() == len(rows) + 1
+    assert "CASE" not in inputs._PRED_TAGS.split("transform(tokens, (t, i) -> ")[1]
