@@ -2,9 +2,10 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import Row
 
 from tests.model import spans as model_spans
-from titlespan.operators import errors, metrics
+from titlespan.operators import errors, metrics, pieces
 from titlespan.types import ENTITY_TYPES, labels
 
 SCHEMA = "record_id bigint, tokens array<string>, true_tags array<string>, pred_tags array<string>"
@@ -143,6 +144,36 @@ def test_types_of_equal_spans_must_agree(spark):
     }
 
 
+def test_long_tables_pair_up_as_a_join(spark):
+    """Ids that repeat, are missing or lie apart, several blocks, places out of order or missing."""
+    rng = random.Random(4)
+    ids = [None, 1, 2, 3, 4]
+    true = [(rng.choice(ids), rng.choice([None, *range(-3, 12)]), rng.choice(["a", None]), rng.choice([None, "O", "x"])) for _ in range(400)]
+    pred = [(rng.choice([*ids, 9]), rng.choice([None, *range(9)]), rng.choice([None, "", "B-P"])) for _ in range(300)]
+    true += [(50, i, f"w{i}", "O") for i in range(300)]
+    pred += [(50, i, f"t{i}") for i in range(0, 310, 2)]
+    want = []
+    for i, p, token, tag in true:
+        found = [t or "" for j, q, t in pred if (j, q) == (i, p)]
+        want += [(i, p, token, tag or "", t) for t in found or [None]]
+    keys = {(i, p) for i, p, *_ in true}
+    want += [(i, p, None, None, t or "") for i, p, t in pred if (i, p) not in keys]
+    long = "record_id bigint, pos int, token string, tag string"
+    left = spark.createDataFrame(true, long).repartition(3)
+    right = spark.createDataFrame(pred, "record_id int, pos int, tag string").repartition(2)
+    for paired in (metrics.pair_long(left, right), pieces.paired(left.fillna("", ["tag"]), right.fillna("", ["tag"]), block=4)):
+        assert sorted(map(str, paired.collect())) == sorted(str(Row(**dict(zip(paired.columns, w, strict=True)))) for w in want)
+    none = metrics.pair_long(left.limit(0), right.limit(0))
+    assert none.collect() == [] and dict(none.dtypes)["pos"] == "int"
+
+
+def test_pairs_are_shuffled_in_pieces(spark):
+    """A record's tokens travel together: no join, and no row per token in the shuffle."""
+    long = spark.range(2000).selectExpr("id div 1000 AS record_id", "CAST(id % 1000 AS INT) AS pos", "'t' AS token", "'O' AS tag")
+    plan = metrics.pair_long(long, long)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "MapInArrow" in plan.split("Exchange hashpartitioning")[1]
+
+
 def test_tables_must_pair_up(spark):
     true = spark.createDataFrame([(1, ["a"], ["O"]), (2, ["b"], ["O"])], "record_id int, tokens array<string>, tags array<string>")
     assert metrics.evaluate_tables(true, true.drop("tokens")).filter("key = 'O'").count()

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from titlespan.functions.sql import let, quote, quoted
 from titlespan.operators.checks import length_findings, record_violations
 from titlespan.operators.comparison import counts, with_types
+from titlespan.operators.pieces import paired
 from titlespan.types import ENTITY_TYPES, type_table
 
 # --- pairs and confusion -----------------------------------------------------------------
@@ -59,11 +60,11 @@ def pair_long(true: DataFrame, pred: DataFrame) -> DataFrame:
     """A1 over two long tables `(record_id, pos, token, tag)`, paired by key.
 
     Nothing is lost: a token that one side lacks has NULL there, while a blank tag is ''.
-    `unpaired_tokens` lists those.
+    `unpaired_tokens` lists those. The sides are shuffled in pieces of a block of positions.
     """
-    left = true.selectExpr("record_id", "pos", "token", "coalesce(tag, '') AS true_tag")
-    right = pred.selectExpr("record_id", "pos", "coalesce(tag, '') AS pred_tag")
-    return _full_outer(left, right, ["record_id", "pos"])
+    left = true.selectExpr("record_id", "pos", "token", "coalesce(tag, '') AS tag")
+    right = pred.selectExpr("record_id", "pos", "coalesce(tag, '') AS tag")
+    return paired(left, right)
 
 
 def unpaired_tokens(pairs: DataFrame) -> DataFrame:
