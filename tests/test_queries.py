@@ -71,3 +71,23 @@ def test_tags_follow_their_rule(spark):
         sides = df.selectExpr("record_id", f"{quick} AS a", f"transform(tokens, (t, i) -> {rule}) AS b")
         assert sides.filter("NOT a <=> b").count() == 0 and sides.count() == len(rows) + 1
     assert "CASE" not in inputs._PRED_TAGS.split("transform(tokens, (t, i) -> ")[1]
+
+
+def test_tags_made_in_batches_follow_their_rule(spark, monkeypatch):
+    """Tags come from Arrow batches, some records at a time, and equal the rule's for any id and text;
+    no lambda runs over the tokens of a record that has a place in the table."""
+    from titlespan.plans import inputs
+    from titlespan.types import ENTITY_TYPES
+
+    monkeypatch.setattr(inputs, "TAGGED_RECORDS", 7)
+    ids = [*range(0, 400, 3), 2**55, -1, -17, -303, None, 3]
+    rows = [(i, " ".join("xü😀"[j % 3] * (1 + j % 9) for j in range((i or 5) % 60))) for i in ids]
+    titles = spark.createDataFrame([*rows, (4, None), (5, " \t")], "record_id bigint, title string")
+    found = inputs.tagged(titles)
+    for column, rule in (("true_tags", inputs.true_tag), ("pred_tags", inputs.pred_tag)):
+        plain = f"transform(tokens, (t, i) -> {rule('record_id', 'i', 't')})"
+        assert found.filter(f"NOT {column} <=> {plain}").count() == 0
+    assert found.count() == len(rows) + 2
+    assert "ArrowEvalPython" in found._jdf.queryExecution().executedPlan().toString()
+    other = inputs._tags_in_batches([*ENTITY_TYPES[:-1], inputs.UNKNOWN_TYPE])
+    assert found.select("tokens", "record_id").limit(0).select(other).collect() == []

@@ -41,7 +41,7 @@ _DIGIT = (
 
 def tokenize(title: str) -> str:
     """White-space tokens in order, duplicates kept; NULL and blank give an empty array."""
-    return f"filter(split(coalesce({title}, ''), r'{WHITESPACE}+'), t -> t <> '')"
+    return f"array_remove(split(coalesce({title}, ''), r'{WHITESPACE}+'), '')"
 
 
 def neighbours(tokens: str) -> str:

@@ -6,7 +6,13 @@ any SQL engine repeats exactly.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import sys
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlespan.functions.sql import let, quoted
@@ -16,6 +22,11 @@ from titlespan.types import ENTITY_TYPES
 
 UNKNOWN_TYPE = "Unbekannt"
 WIDE_COLUMNS = 6
+#: Records whose tags are made at once.
+TAGGED_RECORDS = 256
+
+# Tasks get this module's code with the query, so that executors need no copy of the library.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,16 +77,21 @@ def pred_tag(record_id: str, pos: str, token: str) -> str:
     return _tag(_moved(record_id, pos, token), record_id, pos)
 
 
+def _table(types: list[str]) -> list[str]:
+    """The tags by step and type."""
+    return [
+        {3: f"B-{t}", 4: f"B-{t}", 5: f"I-{t}", 6: f"I-{t}", 7: f"I-{t}", 8: "", 9: "bad"}.get(step, "O")
+        for step in range(10)
+        for t in types
+    ]
+
+
 def _tags(types: list[str], moved: bool) -> str:
     """`_tag` for every token: one look-up by step and type, in small integers.
 
     A record whose id is NULL or negative has no place in the table and takes `_tag` itself.
     """
-    table = [
-        {3: f"B-{t}", 4: f"B-{t}", 5: f"I-{t}", 6: f"I-{t}", 7: f"I-{t}", 8: "", 9: "bad"}.get(step, "O")
-        for step in range(10)
-        for t in types
-    ]
+    table = _table(types)
     n = len(types)
     step = "(a + i * 3 + length(t) * 5) % 10"
     if moved:
@@ -98,10 +114,37 @@ def _true_tags(types: list[str] = ENTITY_TYPES) -> str:
 _PRED_TAGS = _tags(ENTITY_TYPES, moved=True)
 
 
+def _tags_in_batches(types: list[str] = ENTITY_TYPES, moved: bool = False) -> Column:
+    """`_tags` for some records of an Arrow batch at a time; ids without a place take `_tags` itself."""
+    table, n = pa.array(_table(types)), len(types)
+
+    def some(ids: np.ndarray, lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        length = pc.utf8_length(lists.flatten()).to_numpy(zero_copy_only=False)
+        pos = np.arange(len(length)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        step = np.repeat(ids % 10 * 7, sizes) + pos * 3 + length * 5
+        if moved:
+            step += (np.repeat(ids % 7 * 3, sizes) + pos * 5 + length) % 7 == 0
+        place = step % 10 * n + (np.repeat(ids % n, sizes) + (pos >> 2)) % n
+        return sizes, table.take(pa.array(place))
+
+    def of_batch(ids: pa.Array, lists: pa.Array) -> pa.Array:
+        known = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False)
+        starts = range(0, len(known), TAGGED_RECORDS)
+        parts = [some(known[at : at + TAGGED_RECORDS], lists.slice(at, TAGGED_RECORDS)) for at in starts]
+        ends = np.cumsum(np.concatenate([[0], *[sizes for sizes, _ in parts]]), dtype=np.int32)
+        found = pa.concat_arrays([tags for _, tags in parts]) if parts else table.slice(0, 0)
+        return pa.ListArray.from_arrays(pa.array(ends), found)
+
+    found = F.arrow_udf(of_batch, "array<string>")(F.col("record_id").cast("long"), F.col("tokens"))
+    return F.when(F.col("record_id") >= 0, found).otherwise(F.expr(_tags(types, moved)))
+
+
 def tagged(titles: DataFrame) -> DataFrame:
     """`(record_id, tokens, true_tags, pred_tags)`."""
-    return titles.selectExpr("record_id", f"{tokenize('title')} AS tokens").selectExpr(
-        "record_id", "tokens", f"{_true_tags()} AS true_tags", f"{_PRED_TAGS} AS pred_tags"
+    true, pred = _tags_in_batches(), _tags_in_batches(moved=True)
+    return titles.selectExpr("record_id", f"{tokenize('title')} AS tokens").select(
+        "record_id", "tokens", true.alias("true_tags"), pred.alias("pred_tags")
     )
 
 
@@ -114,11 +157,8 @@ def faulty_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     fifth record, and one tag short for every seventh."""
     with_unknown = [*ENTITY_TYPES[:-1], UNKNOWN_TYPE]
     full = documents(spark, sf_dir).selectExpr("record_id", f"{tokenize('title')} AS tokens")
-    return full.selectExpr(
-        "record_id",
-        "tokens",
-        f"if(record_id % 5 = 0, {_true_tags(with_unknown)}, {_true_tags()}) AS tags",
-    ).selectExpr(
+    fifth = F.when(F.expr("record_id % 5 = 0"), _tags_in_batches(with_unknown))
+    return full.select("record_id", "tokens", fifth.otherwise(_tags_in_batches()).alias("tags")).selectExpr(
         "record_id",
         "tokens",
         "if(record_id % 7 = 0, slice(tags, 1, greatest(size(tags) - 1, 0)), tags) AS tags",
