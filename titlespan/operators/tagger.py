@@ -19,7 +19,8 @@ from titlespan.functions.tags import fit_length
 from titlespan.operators import dictionary
 from titlespan.operators.dictionary import Held, lexicon_bytes
 from titlespan.operators.metrics import evaluate_predictions
-from titlespan.operators.tokens import tagged_long, true_tags, with_tokens
+from titlespan.operators.tokens import true_tags, with_tokens
+from titlespan.operators.usage import tag_counts
 from titlespan.types import ENTITY_TYPES, OUTSIDE, labels
 
 MAX_BROADCAST_BYTES = 64 << 20
@@ -38,6 +39,11 @@ def fit(tagged: DataFrame) -> DataFrame:
     counts = tagged.groupBy("token", F.coalesce("tag", F.lit("")).alias("tag")).agg(
         F.count(F.lit(1)).alias("n")
     )
+    return _most_frequent(counts)
+
+
+def _most_frequent(counts: DataFrame) -> DataFrame:
+    """M1 from `(token, tag, n)`."""
     best = F.min(F.struct((-F.col("n")).alias("neg"), "tag"))
     return (
         counts.groupBy("token")
@@ -53,8 +59,8 @@ def fit(tagged: DataFrame) -> DataFrame:
 
 
 def fit_sequences(seqs: DataFrame, tag_col: str = "true_tags") -> DataFrame:
-    """M1 over `(record_id, tokens, <tag_col>)`."""
-    return fit(tagged_long(seqs, tag_col))
+    """M1 over `(record_id, tokens, <tag_col>)`, counted an Arrow batch at a time."""
+    return _most_frequent(tag_counts(seqs, tag_col))
 
 
 def fit_per_fold(folded: DataFrame, k: int, tag_col: str = "true_tags") -> DataFrame:

@@ -1,16 +1,20 @@
-"""V4, V5's multiset difference, for Arrow batches of records."""
+"""V4, V5's multiset difference and M1's counts, for Arrow batches of records."""
 
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Tokens counted at once, about; a record is not split.
+COUNTED_TOKENS = 2_000_000
+
 # Tasks get this module's code with the query, so that executors need no copy of the library.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -58,3 +62,53 @@ def token_usage(texts: Column, tokens: Column) -> Column:
     # Spark copies expressions it takes for pure into every place that reads them, and runs them there again.
     once = F.arrow_udf(_used_beyond, "array<struct<token:string,used:int,have:int>>").asNondeterministic()
     return once(texts, tokens)
+
+
+def _places(lengths: np.ndarray, n: np.ndarray) -> pa.Array:
+    """Of `n` places a record, where in the flat values they are; NULL past a record's own."""
+    pos = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return pa.array(pos + np.repeat(np.cumsum(lengths) - lengths, n), mask=pos >= np.repeat(lengths, n))
+
+
+def _tags_of_tokens(tokens: pa.Array, tags: pa.Array) -> pa.RecordBatch:
+    """The distinct tokens of some records, each with its tags and how often it has them."""
+    lengths = [pc.fill_null(pc.list_value_length(c), 0).to_numpy(zero_copy_only=False) for c in (tokens, tags)]
+    word, tag = tokens.flatten(), tags.flatten()
+    if (lengths[0] != lengths[1]).any():
+        both = np.logical_and(tokens.is_valid(), tags.is_valid())
+        n = np.where(both, np.maximum(*lengths), 0)
+        word, tag = word.take(_places(lengths[0], n)), tag.take(_places(lengths[1], n))
+    words = word.dictionary_encode(null_encoding="encode")
+    labels = pc.fill_null(tag, "").dictionary_encode()
+    kinds = max(len(labels.dictionary), 1)
+    code = words.indices.to_numpy(zero_copy_only=False).astype(np.int64) * kinds
+    keys, times = np.unique(code + labels.indices.to_numpy(zero_copy_only=False), return_counts=True)
+    starts = np.searchsorted(keys // kinds, np.arange(len(words.dictionary) + 1)).astype(np.int32)
+    counted = [labels.dictionary.take(pa.array(keys % kinds)), pa.array(times, pa.int64())]
+    lists = [pa.ListArray.from_arrays(pa.array(starts), c) for c in counted]
+    return pa.RecordBatch.from_arrays([words.dictionary, *lists], ["token", "tags", "times"])
+
+
+def tag_counts(seqs: DataFrame, tag_col: str) -> DataFrame:
+    """M1's counts `(token, tag, n)` over sequences; a blank tag is ''.
+
+    A task counts some records at once and sends a token with all its tags, so that one shuffle
+    by the token serves the counts and all that is found for a token.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = pc.fill_null(pc.list_value_length(batch.column(0)), 0).to_numpy(zero_copy_only=False)
+            ends, start = np.cumsum(lengths), 0
+            while start < batch.num_rows:
+                done = ends[start - 1] if start else 0
+                stop = max(int(np.searchsorted(ends, done + COUNTED_TOKENS, side="right")), start + 1)
+                some = batch.slice(start, stop - start)
+                yield _tags_of_tokens(some.column(0), some.column(1))
+                start = stop
+
+    arrays = seqs.select("tokens", F.col(tag_col).cast("array<string>").alias("tags"))
+    found = arrays.mapInArrow(run, "token string, tags array<string>, times array<bigint>")
+    zipped = F.explode(F.arrays_zip("tags", "times")).alias("z")
+    rows = found.repartition("token").select("token", zipped).select("token", "z.tags", "z.times")
+    return rows.groupBy("token", F.col("tags").alias("tag")).agg(F.sum("times").alias("n"))
