@@ -149,11 +149,14 @@ def spans_from_long(
     """
     check_mode(mode, reference_col is not None)
     reference = name(reference_col) if reference_col else None
-    rows = tagged.selectExpr(
+    effective = tagged.selectExpr("record_id", "pos", f"{effective_tag('tag', mode, reference)} AS tag", "token")
+    in_span = f"tag = '' OR {opens_span('tag')}"
+    rows = effective.selectExpr(
         "record_id",
         # Never NULL, which spares the two sides of the join below a filter that differs.
         f"coalesce(floor(pos / {block}), 0L) AS block",
-        f"struct(pos, {effective_tag('tag', mode, reference)} AS tag, token) AS item",
+        # A token that no span can hold stays behind, only its tag travels.
+        f"struct(pos, tag, if({in_span}, token, NULL) AS token) AS item",
     )
     blocks = (
         rows.groupBy("record_id", "block")
