@@ -83,7 +83,7 @@ def test_tags_made_in_batches_follow_their_rule(spark, monkeypatch):
     ids = [*range(0, 400, 3), 2**55, -1, -17, -303, None, 3]
     rows = [(i, " ".join("xü😀"[j % 3] * (1 + j % 9) for j in range((i or 5) % 60))) for i in ids]
     titles = spark.createDataFrame([*rows, (4, None), (5, " \t")], "record_id bigint, title string")
-    found = inputs.tagged(titles)
+    found = inputs.tagged_in_batches(titles)
     for column, rule in (("true_tags", inputs.true_tag), ("pred_tags", inputs.pred_tag)):
         plain = f"transform(tokens, (t, i) -> {rule('record_id', 'i', 't')})"
         assert found.filter(f"NOT {column} <=> {plain}").count() == 0

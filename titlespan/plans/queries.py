@@ -133,7 +133,7 @@ def spans_reference(spark, d):
 
 @query
 def spans_long_form(spark, d):
-    return spans.spans_from_long(tokens.tagged_long(inputs.sequences(spark, d)))
+    return spans.spans_from_long(tokens.tagged_long(inputs.sequences_in_batches(spark, d)))
 
 
 @query
@@ -264,7 +264,7 @@ def validation_summary(spark, d):
 
 @query
 def token_pairs(spark, d):
-    seqs = inputs.sequences(spark, d)
+    seqs = inputs.sequences_in_batches(spark, d)
     return metrics.pair_long(
         tokens.tagged_long(seqs, "true_tags"), tokens.tagged_long(seqs, "pred_tags")
     )
@@ -477,7 +477,7 @@ def _model(spark: SparkSession, seqs: DataFrame) -> DataFrame:
 
 @query
 def lexicon_fit(spark, d):
-    fitted = tagger.fit_sequences(inputs.sequences(spark, d))
+    fitted = tagger.fit_sequences(inputs.sequences_in_batches(spark, d))
     return _rounded(fitted, "confidence")
 
 
@@ -634,7 +634,7 @@ def cv_summary(spark, d):
 @query
 def cv_user_model(spark, d):
     """Cross-validation of a model that its user fits: here the lexicon, once for each fold."""
-    seqs = inputs.sequences(spark, d).drop("pred_tags")
+    seqs = inputs.sequences_in_batches(spark, d).drop("pred_tags")
     scores = folds.cross_validate_with(lambda train: _model(spark, train), seqs)
     return _rounded(scores, "value")
 
@@ -844,7 +844,7 @@ def stream_quality(spark, d):
 def stream_versions(spark, d):
     """Titles tagged by the newest of two versions of a model, held as one dictionary."""
     model, source, out = (new_path(spark, n) for n in ("models", "titles", "stream-out"))
-    seqs = inputs.sequences(spark, d)
+    seqs = inputs.sequences_in_batches(spark, d)
     store.save_version(tagger.fit_sequences(seqs, "pred_tags"), model)
     store.save_version(tagger.fit_sequences(seqs), model)
     titles = inputs.conversations(spark, d).select(F.col("record_id").cast("string").alias("id"), "title")
