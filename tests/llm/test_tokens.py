@@ -1,7 +1,9 @@
 """Operators 1, 2, 6 and 9 against the tokenizers library and plain brute force."""
 
 import hashlib
+import random
 import struct
+import sys
 import zlib
 from collections import defaultdict
 
@@ -229,3 +231,52 @@ def test_small_tries_count_alike(monkeypatch):
         monkeypatch.setattr(token_counts, name, 6)
     small = token_counts.CountTrie(scores)
     assert [small.count(w) for w in own] == expected
+
+
+def odd_words(seed: int, count: int) -> set[str]:
+    rng = random.Random(seed)
+    sizes = [1, 2, 3, 5, 9, 23, 24, 30, 126, 127, 128, 150]
+    made = {"".join(rng.choices("abcdeéßñ日本\x00\x01­🎉.,!ABC▁", k=rng.choice(sizes))) for _ in range(count)}
+    return made | {w + "\0" for w in list(made)[::9]}
+
+
+def test_tries_count_odd_words():
+    scores = token_counts.unigram(token_counts.default_path())
+    trie = token_counts.CountTrie(scores)
+    for own in (sorted(odd_words(1, 300)), sorted(odd_words(2, 300), reverse=True)):
+        expected = [brute_count(token_counts.BLANK + w, scores, trie.unknown) for w in own]
+        assert [n for _, n in trie.counts(own)] == expected
+        assert list(trie.counts([" ".join(own), "", own[0]])) == [(len(own), sum(expected)), (0, 0), (1, expected[0])]
+
+
+def test_new_words_share_their_steps():
+    trie = token_counts.CountTrie(token_counts.unigram(token_counts.default_path()))
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=9)) for _ in range(20_000)]
+    calls = 0
+
+    def seen(frame, event, arg):
+        nonlocal calls
+        calls += event == "call"
+
+    sys.setprofile(seen)
+    try:
+        found = list(trie.counts([" ".join(words)]))
+    finally:
+        sys.setprofile(None)
+    assert found[0][0] == len(words)
+    assert calls < len(words) / 2  # some 8 a word when a letter was worked on after the other
+
+
+def test_full_tables_of_counts_keep_what_is_asked_again(monkeypatch):
+    monkeypatch.setattr(token_counts, "KEPT", 50)
+    monkeypatch.setattr(token_counts, "HELD", 20)
+    trie = token_counts.CountTrie(token_counts.unigram(token_counts.default_path()))
+    made: list[str] = []
+    work = trie._trie
+    trie._trie = lambda texts: made.extend(texts) or work(texts)
+    common = [f"w{i}" for i in range(10)]
+    texts = [" ".join(common + [f"n{i}x{j}" for j in range(10)]) for i in range(30)]
+    assert len(list(trie.counts(texts))) == 30
+    assert len(trie.terminal) < 70 and len(trie.older) < 70
+    assert all(made.count(token_counts.BLANK + w) == 1 for w in common)
