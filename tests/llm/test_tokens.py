@@ -8,6 +8,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.tables import empty, prose, rows, table
@@ -190,6 +191,41 @@ def test_files(spark, library, monkeypatch, wave):
     assert sorted(map(repr, expected)) == sorted(repr((*r[:4], bytes(r[4]))) for r in got)
 
 
+@pytest.mark.parametrize("part_bytes", [1 << 30, 20_000])
+def test_parts_follow_the_size_of_the_texts(spark, monkeypatch, part_bytes):
+    monkeypatch.setattr(token_files, "PART_BYTES", part_bytes)
+    texts = [(i, prose(i, 100)) for i in range(400)]
+    folder = new_path(spark, "files")
+    token_files.write_files(table(spark, texts), folder)
+    parts = spark.read.parquet(folder).select("part").distinct().count()
+    wanted = sum(len(t) for _, t in texts) // part_bytes + 1
+    assert parts == 1 if wanted == 1 else wanted / 2 < parts <= wanted
+    assert token_files.read_files(spark, folder).count() == 400
+
+
+@pytest.mark.parametrize("sizes", [[17], [41], [1] * 14, [3] * 20, [0.25] * 30, [9, 0.5, 30]])
+def test_waves_are_even(monkeypatch, sizes):
+    monkeypatch.setattr(token_files, "WAVE", 8)
+    waves = []
+
+    class Counted(Coder):
+        def encode(self, ids):
+            waves.append(-(-len(ids) // token_files.BLOCK))
+            return super().encode(ids)
+
+    blocks = token_files._Blocks(0, Counted(9), pa.int64())
+    made = []
+    for doc_id, size in enumerate(sizes):
+        made += blocks.add(doc_id, np.full(int(size * token_files.BLOCK), doc_id % 9, "<u4").tobytes())
+    made += blocks.flush(True)
+    rows = [r for batch in made for r in batch.to_pylist()]
+    assert [r["block"] for r in rows] == list(range(len(rows)))
+    assert sum(r["n_ids"] for r in rows) == sum(int(s * token_files.BLOCK) for s in sizes)
+    assert [d for r in rows for d in r["doc_ids"]] == list(range(len(sizes)))
+    # A step costs much the same for fewer blocks, so no wave is left with a few.
+    assert max(waves) <= 12 and (len(waves) == 1 or min(waves) >= 6)
+
+
 def test_files_of_nothing(spark):
     folder = new_path(spark, "files")
     token_files.write_files(empty(spark), folder)

@@ -27,7 +27,7 @@ SLOTS, LEVELS = 1024, 8
 MOST = (1 << 20) - 64
 
 _U = np.uint64
-_LOW32 = _U(0xFFFFFFFF)
+_LOW32, _TOP = _U(0xFFFFFFFF), _U(1 << 32)
 #: Bits of a mixed probability, of the choice of three, and of the distribution over classes.
 _FLAG_BITS, _PICK_BITS, _CLASS_BITS = 12, 16, 15
 _CLASS_STEP, _CLASS_MOST = 24, 1 << 15
@@ -40,7 +40,10 @@ def _squash(x: int) -> int:
     return min(4064, max(32, round(4096 / (1 + exp(-x / 256)))))
 
 
+#: By `x + 2048`; what is beyond either end has the value of that end.
 _SQUASH = np.array([_squash(x) for x in range(-2048, 2048)], np.int32)
+#: The probability that the second try holds, of 12 bits, kept off the ends.
+_AGAIN = np.array([min(4064, max(32, p)) for p in range(4096)], np.int32)
 _STRETCH = np.array(
     [max(-2047, min(2047, round(256 * log((p + 0.5) / (4095.5 - p))))) for p in range(4096)], np.int32
 )
@@ -89,15 +92,15 @@ class _Model:
         self.classes, self.places = classes, rows * classes
         self.counts = np.ones((lanes, classes), np.int32)
         self.totals = np.full(lanes, classes, np.int64)
-        self.bounds = np.empty((lanes, classes + 1), np.int32)
-        self.bound_places = rows * (classes + 1)
+        # A row for each class, and one for the end.
+        self.bounds = np.empty((classes + 1, lanes), np.int32)
         self.steps = 0
         self._renew()
 
     def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """`(first try, its share, second try, its share)`, of all that `_PICK_BITS` can tell apart;
         a second try that is the first one has none."""
-        entry = self.table.take(self.slot)
+        entry = self.table.take(self.slot, mode="clip")
         level, ids = entry & (LEVELS - 1), entry >> 3
         known = level[1] > 0
         first = np.where(level[2] > 0, ids[2], np.where(known, ids[1], ids[0]))
@@ -105,13 +108,13 @@ class _Model:
         lower = known & ~agree[1]
         second = np.where(lower, ids[1], ids[0])
         cell = self.cells[:3] + (level + (agree.view(np.uint8) << 3))
-        odds = self.odds.take(cell)
-        inputs = _STRETCH.take(odds >> 4)
+        odds = self.odds.take(cell, mode="clip")
+        inputs = _STRETCH.take(odds >> 4, mode="clip")
         mixed = (self.weights * inputs).sum(axis=0, dtype=np.int32) >> 16
-        chance = _SQUASH.take(np.maximum(np.minimum(mixed, 2047), -2047) + 2048)
+        chance = _SQUASH.take(mixed + 2048, mode="clip")
         cell_again = self.cells[3] + (level[1] + (lower.view(np.uint8) << 3))
-        odds_again = self.odds.take(cell_again)
-        again = np.maximum(np.minimum(odds_again >> 4, 4064), 32)
+        odds_again = self.odds.take(cell_again, mode="clip")
+        again = _AGAIN.take(odds_again >> 4, mode="clip")
         other = second != first
         share = ((1 << _FLAG_BITS) - chance) * again >> 8
         self.now = entry, level, ids, cell, odds, inputs, chance, cell_again, odds_again, other
@@ -126,8 +129,8 @@ class _Model:
         self.weights += inputs * (((held << _FLAG_BITS) - chance) * 6) >> 10
         np.maximum(np.minimum(self.weights, _WEIGHT_MOST), -_WEIGHT_MOST, out=self.weights)
         seen = level + ((ids == x).view(np.uint8) << 3)
-        after = _NEXT.take(seen)
-        after[0] = _NEXT_0[self.steps % _PATIENCE == 0].take(seen[0])
+        after = _NEXT.take(seen, mode="clip")
+        after[0] = _NEXT_0[self.steps % _PATIENCE == 0].take(seen[0], mode="clip")
         self.table[self.slot] = np.where(after > 0, entry - level + after, (x << 3) + 1)
         wide = x.astype(np.int64)
         mark = wide * 40503
@@ -137,17 +140,18 @@ class _Model:
 
     def bounds_of(self, lanes: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and size of classes among `1 << _CLASS_BITS`."""
-        at = self.bound_places.take(lanes) + kind
-        start = self.bounds.take(at)
-        return start.astype(np.uint64), (self.bounds.take(at + 1) - start).astype(np.uint64)
+        row = self.bounds.shape[1]
+        at = kind * row + lanes
+        start = self.bounds.take(at, mode="clip")
+        return start.astype(np.uint64), (self.bounds.take(at + row, mode="clip") - start).astype(np.uint64)
 
     def kind_at(self, lanes: np.ndarray, place: np.ndarray) -> np.ndarray:
         """The classes whose shares hold the places."""
-        return (self.bounds.take(lanes, axis=0) > place[:, None]).argmax(axis=1) - 1
+        return (self.bounds.take(lanes, axis=1, mode="clip") <= place).sum(axis=0, dtype=np.intp) - 1
 
     def seen(self, lanes: np.ndarray, kind: np.ndarray) -> None:
         """Counts the classes of the lanes that coded one; ends a step."""
-        self.counts.reshape(-1)[self.places.take(lanes) + kind] += _CLASS_STEP
+        self.counts.reshape(-1)[self.places.take(lanes, mode="clip") + kind] += _CLASS_STEP
         self.totals[lanes] += _CLASS_STEP
         self.steps += 1
         if self.steps in _RENEWED or self.steps % _RENEWED[-1] == 0:
@@ -161,8 +165,8 @@ class _Model:
             self.totals[full] = self.counts[full].sum(axis=1)
         free = (1 << _CLASS_BITS) - self.classes
         sums = np.cumsum(self.counts, axis=1, dtype=np.int64) * free // self.totals[:, None]
-        self.bounds[:, 0] = 0
-        self.bounds[:, 1:] = sums + np.arange(1, self.classes + 1)
+        self.bounds[0] = 0
+        self.bounds[1:] = (sums + np.arange(1, self.classes + 1)).T
 
 
 class _Range:
@@ -182,16 +186,16 @@ class _Range:
         self.width = unit * size
 
     def settled(self, among: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The blocks whose upper 32 bits are fixed, cut so that they are, and those bits."""
+        """The blocks whose upper 32 bits are fixed, cut so that they are, and their low ends before."""
         if among is None:
-            at = np.flatnonzero(self.width <= _LOW32)
+            at = np.flatnonzero(self.width < _TOP)
         else:
-            at = among[self.width.take(among) <= _LOW32]
-        low = self.low.take(at)
+            at = among[self.width.take(among, mode="clip") < _TOP]
+        low = self.low.take(at, mode="clip")
         rest = low & _LOW32
-        self.width[at] = np.minimum(self.width.take(at), (_LOW32 - rest) + _U(1)) << _U(32)
+        self.width[at] = np.minimum(self.width.take(at, mode="clip"), _TOP - rest) << _U(32)
         self.low[at] = rest << _U(32)
-        return at, (low >> _U(32)).astype(np.uint32)
+        return at, low
 
 
 class Coder:
@@ -209,15 +213,16 @@ class Coder:
         full = np.zeros(lanes * block, np.int32)
         full[: len(ids)] = ids
         steps = np.ascontiguousarray(full.reshape(lanes, block).T)
+        del full
         model, interval = _Model(lanes, self.width), _Range(lanes)
         places: list[np.ndarray] = []
         words: list[np.ndarray] = []
         small = np.uint16 if lanes < 1 << 16 else np.int64
 
         def out(among: np.ndarray | None = None) -> None:
-            at, bits = interval.settled(among)
+            at, low = interval.settled(among)
             places.append(at.astype(small))
-            words.append(bits)
+            words.append((low >> _U(32)).astype(np.uint32))
 
         for x in steps:
             first, share, second, share_again = model.predict()
@@ -227,13 +232,13 @@ class Coder:
             interval.pick(share, share_again, hit, coded)
             out()
             some = np.flatnonzero(coded)
-            own = x.take(some)
+            own = x.take(some, mode="clip")
             kind = self.of_id.take(own)
             start, size = model.bounds_of(some, kind)
-            unit = interval.width.take(some) >> _U(_CLASS_BITS)
-            low = interval.low.take(some) + unit * start
-            unit = unit * size >> self.bits.take(kind)
-            interval.low[some] = low + unit * (own - self.first.take(kind)).astype(np.uint64)
+            unit = interval.width.take(some, mode="clip") >> _U(_CLASS_BITS)
+            low = interval.low.take(some, mode="clip") + unit * start
+            unit = unit * size >> self.bits.take(kind, mode="clip")
+            interval.low[some] = low + unit * (own - self.first.take(kind, mode="clip")).astype(np.uint64)
             interval.width[some] = unit
             out(some)
             model.learn(x, hit, hit_again)
@@ -248,7 +253,7 @@ class Coder:
         ends = np.cumsum(np.bincount(at, minlength=lanes))
         parts = np.split(all_words[order].astype("<u4"), ends[:-1])
         return [
-            _record(full[i * block : i * block + min(block, max(0, len(ids) - i * block))], block, p)
+            _record(ids[i * block : (i + 1) * block], block, p)
             for i, p in enumerate(parts)
         ]
 
@@ -271,8 +276,9 @@ class Coder:
 
         def move(among: np.ndarray | None = None) -> None:
             some, _ = interval.settled(among)
-            here = at.take(some)
-            code[some] = (code.take(some) & _LOW32) << _U(32) | data.take(np.minimum(here, end.take(some)))
+            here = at.take(some, mode="clip")
+            now = data.take(np.minimum(here, end.take(some, mode="clip")))
+            code[some] = code.take(some, mode="clip") << _U(32) | now
             at[some] = here + 1
 
         steps = np.empty((block, lanes), np.int32)
@@ -287,14 +293,14 @@ class Coder:
             move()
             x = np.where(hit, first, second)
             some = np.flatnonzero(coded)
-            unit = interval.width.take(some) >> _U(_CLASS_BITS)
-            low = interval.low.take(some)
-            place = code.take(some) - low
+            unit = interval.width.take(some, mode="clip") >> _U(_CLASS_BITS)
+            low = interval.low.take(some, mode="clip")
+            place = code.take(some, mode="clip") - low
             kind = model.kind_at(some, np.minimum(place // unit, _U(most)).astype(np.int32))
             start, size = model.bounds_of(some, kind)
             place -= unit * start
             low += unit * start
-            bits = self.bits.take(kind)
+            bits = self.bits.take(kind, mode="clip")
             unit = unit * size >> bits
             value = np.minimum(place // unit, (_U(1) << bits) - _U(1))
             interval.low[some] = low + unit * value

@@ -25,8 +25,16 @@ from titlespan.session import new_path
 END_ID = 2
 #: Ids of the vocabulary are below this.
 LIMIT = 49_408
-#: Blocks that are coded in step with each other.
+#: Blocks that are coded in step with each other, as far as there are as many; up to a half more.
 WAVE = 1536
+#: Bytes of text a task of `write_files` gets: some `WAVE` blocks, as a step costs much the same for fewer.
+PART_BYTES = 36 << 20
+
+
+def _waves(blocks: int) -> list[int]:
+    """Sizes of the waves that `blocks` blocks are coded in: even ones, as near to `WAVE` as can be."""
+    waves = max(1, (2 * blocks + WAVE) // (2 * WAVE))
+    return [(i + 1) * blocks // waves - i * blocks // waves for i in range(waves)]
 
 
 class _Blocks:
@@ -42,17 +50,20 @@ class _Blocks:
         self.docs.append((self.done + self.held, doc_id, len(ids) // 4))
         self.ids.append(ids)
         self.held += len(ids) // 4
-        if self.held >= WAVE * BLOCK:
-            yield from self.flush(whole=True)
+        if self.held >= 2 * WAVE * BLOCK:
+            yield from self.flush(last=False)
 
-    def flush(self, whole: bool) -> Iterator[pa.RecordBatch]:
-        """All blocks, or the full ones only."""
+    def flush(self, last: bool) -> Iterator[pa.RecordBatch]:
+        """All blocks; or whole waves, so that enough is left for another one."""
         data = np.frombuffer(b"".join(self.ids), "<u4")
-        end = len(data) // BLOCK * BLOCK if whole else len(data)
-        for at in range(0, end, WAVE * BLOCK):
-            now = data[at : min(at + WAVE * BLOCK, end)]
+        self.ids = []
+        waves = _waves(-(-len(data) // BLOCK)) if last else [WAVE] * (len(data) // (WAVE * BLOCK) - 1)
+        at = 0
+        for wave in waves:
+            now = data[at : at + wave * BLOCK]
             yield self._rows(self.coder.encode(now), now)
-        self.ids, self.held = [data[end:].tobytes()], len(data) - end
+            at += len(now)
+        self.ids, self.held = [data[at:].tobytes()], len(data) - at
 
     def _rows(self, records: list[bytes], ids: np.ndarray) -> pa.RecordBatch:
         first = self.done // BLOCK
@@ -90,7 +101,7 @@ def write_files(
     Null, empty and white texts are the end id alone; null document ids come first; rows that
     repeat an id are in the order of their texts; texts of any length are coded whole; an empty
     table writes files without blocks. The folder must not exist. One shuffle of the
-    texts sorts them by ranges of ids; lost tasks are repeated and files commit as a whole.
+    texts sorts them by as many ranges of ids as their size asks for; lost tasks are repeated and files commit as a whole.
     """
     path = path or default_path()
     narrow = two_columns(docs, id_col, text_col)
@@ -107,9 +118,11 @@ def write_files(
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 yield from blocks.add(doc_id, work(text.as_py()) + end)
         if blocks is not None and blocks.held:
-            yield from blocks.flush(whole=False)
+            yield from blocks.flush(last=True)
 
-    ordered = narrow.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    size = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = size // PART_BYTES + 1
+    ordered = narrow.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     rows = ordered.mapInArrow(
         run,
         f"part int, block long, n_ids int, doc_ids array<{kind}>, doc_tokens array<long>, record binary",
@@ -129,9 +142,11 @@ class _Documents:
         self.ids: list[np.ndarray] = []
         self.held = 0
 
-    def flush(self, kind: pa.DataType) -> pa.RecordBatch:
+    def flush(self, kind: pa.DataType, size: int) -> pa.RecordBatch:
+        """The documents that end in the next `size` blocks."""
         rows: list[tuple] = []
-        for block, ids in zip(self.wave, self.coder.decode([b[4] for b in self.wave]), strict=True):
+        wave, self.wave = self.wave[:size], self.wave[size:]
+        for block, ids in zip(wave, self.coder.decode([b[4] for b in wave]), strict=True):
             part, doc_ids, doc_tokens, n_ids, _ = block
             if part != self.part:
                 self._closed()
@@ -143,7 +158,6 @@ class _Documents:
             self.held += len(ids)
             if self.docs and self.held >= self.docs[0][1]:
                 rows += self._taken()
-        self.wave = []
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
         kinds = [kind, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         return pa.RecordBatch.from_arrays(
@@ -190,10 +204,10 @@ def read_files(
             columns = ("part", "doc_ids", "doc_tokens", "n_ids", "record")
             for row in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
                 reader.wave.append(row)
-                if len(reader.wave) >= WAVE:
-                    yield reader.flush(arrow_kind)
-        if reader.wave:
-            yield reader.flush(arrow_kind)
+                if len(reader.wave) >= 2 * WAVE:
+                    yield reader.flush(arrow_kind, WAVE)
+        for size in _waves(len(reader.wave)) if reader.wave else []:
+            yield reader.flush(arrow_kind, size)
         reader._closed()
 
     found = (
