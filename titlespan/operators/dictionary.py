@@ -21,12 +21,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructType
 
+from titlespan.operators.blocks import Shape, one_batch, opened, runs, spare, squeezed, strings, strings_from
 from titlespan.session import written
 from titlespan.types import OUTSIDE
 
 #: Tokens of a block of records, and of one of the rows it is written as, about; a record is not split.
-BLOCK_TOKENS = 200_000
+BLOCK_TOKENS = 300_000
 ROW_TOKENS = 20_000
+#: Entries of a lexicon that are asked together, about, and into how many parts it is dealt at least.
+BUCKET_ENTRIES, LEAST_BUCKETS = 200_000, 16
+#: Words looked up at once, about.
+ASKED_WORDS = 100_000
+#: Entries a task deals out at once, about.
+DEALT_ENTRIES = 50_000
 #: Bits of the map that keeps unknown tokens from being asked for: 16 MB at most.
 SCREEN_BITS = 1 << 27
 
@@ -71,6 +78,31 @@ class Dictionary:
         order = np.argsort(marks, kind="stable")
         return cls(marks[order], tokens.take(pa.array(order)), codes[order], shares[order], labels)
 
+    @classmethod
+    def merged(cls, parts: Sequence[Dictionary]) -> Dictionary:
+        """Of dictionaries with the same folds; the first label of each is the one for no entry."""
+        labels = pa.concat_arrays([p.labels for p in parts]).unique()
+        codes = [pc.index_in(p.labels, value_set=labels).to_numpy(zero_copy_only=False)[p.codes] for p in parts]
+        marks = np.concatenate([p.marks for p in parts])
+        order = np.argsort(marks, kind="stable")
+        tokens = pa.concat_arrays([p.tokens for p in parts]).take(pa.array(order))
+        confidence = np.concatenate([p.confidence for p in parts])
+        return cls(marks[order], tokens, np.concatenate(codes)[order], confidence[order], labels)
+
+    def value(self, places: np.ndarray) -> bytes:
+        """Some entries as one compressed value."""
+        shares, where = np.unique(self.confidence[places], return_inverse=True)
+        parts = [*strings(self.tokens.take(pa.array(places))), *strings(self.labels)]
+        return squeezed([*parts, self.codes[places].ravel(), where.ravel(), shares.view(np.uint64)])
+
+    @classmethod
+    def from_value(cls, value: bytes) -> Dictionary:
+        """What `value` made, with the entries in its order, so not to be asked before it is merged."""
+        parts = opened(value)
+        tokens, labels = strings_from(parts[:3]), strings_from(parts[3:6])
+        shares = parts[8].astype(np.uint64).view(np.float64)[parts[7]].reshape(len(tokens), -1)
+        return cls(_marks(tokens), tokens, parts[6].astype(np.int32).reshape(len(tokens), -1), shares, labels)
+
     def arrays(self) -> tuple:
         """What makes it up, without any class of this library."""
         return self.marks, self.tokens, self.codes, self.confidence, self.labels
@@ -170,9 +202,10 @@ def held(lexicon: DataFrame, max_bytes: int) -> Held | None:
 # --- lexicons beyond a broadcast -----------------------------------------------------------
 
 
-def _screen(lexicon: DataFrame) -> np.ndarray:
+def _screen(lexicon: DataFrame) -> tuple[np.ndarray, int]:
     """A bit for the checksum of every token, in a map of eight bits per token and a fixed size at
-    most: what it does not know need not be asked for, what it knows may still be unknown."""
+    most: what it does not know need not be asked for, what it knows may still be unknown. And the
+    number of entries."""
     n = lexicon.count()
     bits = 1 << 15
     while bits < min(8 * n, SCREEN_BITS):
@@ -188,20 +221,7 @@ def _screen(lexicon: DataFrame) -> np.ndarray:
     for part in parts.toLocalIterator():
         data = np.frombuffer(part["bits"], np.uint8)
         full[(part["bucket"] - 1) * len(data) :][: len(data)] = data
-    return full
-
-
-def _pieces(lists: pa.Array, most: int) -> Iterator[tuple[int, int]]:
-    """Start and number of records, so that pieces have few enough tokens."""
-    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-    start, held_tokens = 0, 0
-    for i, n in enumerate(lengths):
-        if i > start and held_tokens + n > most:
-            yield start, i - start
-            start, held_tokens = i, 0
-        held_tokens += int(n)
-    if len(lengths) > start:
-        yield start, len(lengths) - start
+    return full, n
 
 
 def _nullable(kind: pa.DataType) -> pa.DataType:
@@ -215,7 +235,7 @@ def _nullable(kind: pa.DataType) -> pa.DataType:
     return kind
 
 
-def _by_fold(batch: pa.RecordBatch, at: int | None) -> Iterator[tuple[int, pa.RecordBatch]]:
+def _by_fold(batch: pa.RecordBatch, at: int | None) -> Iterator[tuple[int | None, pa.RecordBatch]]:
     """The records of each fold; all of them under 0 without folds."""
     if at is None:
         yield 0, batch
@@ -225,71 +245,241 @@ def _by_fold(batch: pa.RecordBatch, at: int | None) -> Iterator[tuple[int, pa.Re
         yield fold, batch.filter(pc.is_in(folds, value_set=pa.array([fold], folds.type)))
 
 
-def in_blocks(
-    records: DataFrame, lexicon: DataFrame, parallel: Sequence[str], fold_col: str | None
-) -> DataFrame:
-    """`records` with `pred_tags` and `confidence`, for a lexicon of any size.
+def _screened(words: pa.Array, screen: np.ndarray) -> pa.Array:
+    bit = _marks(words) % (8 * len(screen))
+    return words.filter(pa.array(screen[bit >> 3] >> (bit & 7) & 1 == 1))
 
-    Records are written in blocks of one fold, and a block as rows of few tokens, as Parquet holds a
-    hundred rows at least in memory. A block asks for its distinct tokens, without those the screen
-    does not know; a token is asked for once a block, so no token skews the join with the lexicon.
-    The answers are those of the block's fold. They meet its rows in a cogroup, whose sort spills and
-    which holds one block at a time.
-    """
-    entries = lexicon.select("token", "tag", "confidence")
-    schema = records.schema
-    shared = records.sparkSession.sparkContext.broadcast(_screen(entries).tobytes())
-    columns = schema.fieldNames()
-    at = columns.index("tokens")
-    fold_at = columns.index(fold_col) if fold_col else None
 
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+class Blocks:
+    """Records of `schema`, written as `(block, row, fold, records)`: blocks of one fold, each some numbered
+    rows of few tokens, as Parquet holds a hundred rows at least in memory."""
 
-        known = np.frombuffer(shared.value, np.uint8)
-        compressed = pa.ipc.IpcWriteOptions(compression="lz4")
-        block = TaskContext.get().partitionId() << 32
+    def __init__(self, table: DataFrame, schema: StructType):
+        self.table, self.schema = table, schema
+
+    @classmethod
+    def of(cls, records: DataFrame, name: str, fold_col: str | None = None, screen: Broadcast | None = None) -> Blocks:
+        """All records have an array `tokens`; a block has those of one value of `fold_col`. With a screen,
+        `asked` has the tokens of a row that it knows and that no earlier row of the block has."""
+        schema = records.schema.toNullable()
+        shape, at = Shape(schema), schema.fieldNames().index("tokens")
+        fold_at = schema.fieldNames().index(fold_col) if fold_col else None
+        names = ["block", "row", "fold", "records"] + ["asked"] * bool(screen)
+
+        def made(block: int, fold: int | None, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            before = pa.array([], pa.string())
+            for i, (start, n) in enumerate(runs(rows.column(at), ROW_TOKENS)):
+                some = rows.slice(start, n)
+                row = [pa.array([block], pa.int64()), pa.array([i], pa.int32()), pa.array([fold], pa.int32())]
+                row.append(pa.array([shape.value(some)], pa.binary()))
+                if screen:
+                    words = pc.unique(some.column(at).flatten()).drop_null().cast(pa.string())
+                    words = _screened(words.filter(pc.invert(pc.is_in(words, value_set=before))), np.frombuffer(screen.value, np.uint8))
+                    before = pa.concat_arrays([before, words])
+                    row.append(_lists(np.array([len(words)]), words))
+                yield pa.RecordBatch.from_arrays(row, names)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pyspark import TaskContext
+
+            block = TaskContext.get().partitionId() << 32
+            held: dict[int | None, tuple[list[pa.RecordBatch], int]] = {}
+            for batch in batches:
+                for fold, part in _by_fold(batch, fold_at):
+                    for start, n in runs(part.column(at), BLOCK_TOKENS):
+                        some = part.slice(start, n)
+                        tokens = pc.sum(pc.list_value_length(some.column(at))).as_py() or 0
+                        before, m = held.get(fold, ([], 0))
+                        if before and m + tokens > BLOCK_TOKENS:
+                            yield from made(block, fold, one_batch(before))
+                            block, before, m = block + 1, [], 0
+                            spare()
+                        held[fold] = ([*before, some], m + tokens)
+            for fold, (rows, _) in held.items():
+                yield from made(block, fold, one_batch(rows))
+                block += 1
+            held.clear()
+            spare()
+
+        out = "block long, row int, fold int, records binary" + ", asked array<string>" * bool(screen)
+        return cls(written(records.mapInArrow(run, out), name), schema)
+
+    def filter(self, condition: Column) -> Blocks:
+        """Some blocks, by their number or fold."""
+        return Blocks(self.table.filter(condition), self.schema)
+
+    def records(self) -> DataFrame:
+        shape = Shape(self.schema)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for value in batch.column(0):
+                    yield shape.records(value.as_py())
+
+        return self.table.select("records").mapInArrow(run, self.schema)
+
+    @property
+    def asked(self) -> str:
+        """The column that says what a row asks for."""
+        return "asked" if "asked" in self.table.columns else "records"
+
+
+def _words_of(value: pa.Scalar, shape: Shape, at: int) -> pa.Array:
+    """What a row asks for, by its `asked` or its records."""
+    return shape.list_of(value.as_py(), at).flatten() if pa.types.is_binary(value.type) else value.values.cast(pa.string())
+
+
+def _asked_words(lists: Sequence[pa.Array], screen: np.ndarray, buckets: int) -> tuple[pa.Array, np.ndarray]:
+    """The distinct strings that the screen knows, by bucket and in their order, and their buckets."""
+    words = _screened(pa.concat_arrays([x.unique() for x in lists]).unique().drop_null().sort(), screen)
+    place = (_marks(words) % buckets).astype(np.int32)
+    order = np.argsort(place, kind="stable")
+    return words.take(pa.array(order)), place[order]
+
+
+def _asked(blocks: Blocks, known: Broadcast, buckets: int) -> DataFrame:
+    """`(block, row, rows, fold, bucket, words)`: what some rows of a block, all in general, ask for of a
+    bucket as one compressed value."""
+    shape, at = Shape(blocks.schema), blocks.schema.fieldNames().index("tokens")
+    names = ["block", "row", "rows", "fold", "bucket", "words"]
+
+    def ask(block: int, row: int, fold: int | None, lists: list[pa.Array], screen: np.ndarray) -> pa.RecordBatch:
+        words, place = _asked_words(lists, screen, buckets)
+        starts = np.append(0, np.flatnonzero(np.diff(place)) + 1) if len(place) else np.zeros(0, np.int64)
+        stops = [*starts[1:].tolist(), len(place)][: len(starts)]
+        values = [squeezed(strings(words.slice(a, b - a))) for a, b in zip(starts.tolist(), stops, strict=True)]
+        same = [pa.array([block], pa.int64())] + [pa.array([x], pa.int32()) for x in (row, len(lists), fold)]
+        columns = [c.take(pa.array(np.zeros(len(starts), np.int32))) for c in same]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(place[starts]), pa.array(values, pa.binary())], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        screen = np.frombuffer(known.value, np.uint8)
+        now, lists = None, []
         for batch in batches:
-            for fold, part in _by_fold(batch, fold_at):
-                for start, count in _pieces(part.column(at), BLOCK_TOKENS):
-                    before = pa.array([], pa.string())
-                    rows = part.slice(start, count)
-                    for first, n in _pieces(rows.column(at), ROW_TOKENS):
-                        # Copied, as a slice would be written with the whole batch's buffers.
-                        piece = pa.Table.from_batches([rows.slice(first, n)]).take(pa.array(range(n)))
-                        sink = pa.BufferOutputStream()
-                        with pa.ipc.new_stream(sink, piece.schema, options=compressed) as writer:
-                            writer.write_table(piece)
-                        words = pc.unique(rows.column(at).slice(first, n).flatten()).drop_null().cast(pa.string())
-                        bit = _marks(words) % (8 * len(known))
-                        words = words.filter(pa.array(known[bit >> 3] >> (bit & 7) & 1 == 1))
-                        words = words.filter(pc.invert(pc.is_in(words, value_set=before)))
-                        before = pa.concat_arrays([before, words])
-                        row = [pa.array([block], pa.int64()), pa.array([fold], pa.int32())]
-                        row += [pa.array([sink.getvalue().to_pybytes()], pa.binary()), _lists(np.array([len(words)]), words)]
-                        yield pa.RecordBatch.from_arrays(row, ["block", "fold", "records", "asked"])
-                    block += 1
-
-    rows = records.mapInArrow(packed, "block long, fold int, records binary, asked array<string>")
-    blocks = written(rows, "blocks")
-    asked = blocks.select(F.col("block").alias("asker"), "fold", F.explode("asked").alias("token"))
-    mine = ["get(tag, fold) AS tag", "get(confidence, fold) AS confidence"]
-    if not isinstance(lexicon.schema["tag"].dataType, ArrayType):
-        mine = ["tag", "confidence"]
-    answers = asked.join(entries, "token").selectExpr("asker", "token", *mine)
-
-    def unpacked(held_rows: pa.Table, found: pa.Table) -> pa.Table:
-        found = found.select(["token", "tag", "confidence"]).combine_chunks()
-        parts = [c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in found.columns]
-        dictionary = Dictionary.of(parts[0].cast(pa.string()), parts[1], parts[2])
-        made = []
-        for blob in held_rows.column("records").to_pylist():
-            for piece in pa.ipc.open_stream(blob).read_all().combine_chunks().to_batches():
-                answered = dictionary.answers(piece.column(at))
-                whole = [c.cast(_nullable(c.type)) for c in piece.columns]
-                made.append(pa.RecordBatch.from_arrays([*whole, *answered], [*columns, "pred_tags", "confidence"]))
-        return pa.Table.from_batches(made)
+            for *key, value in zip(*batch.columns, strict=True):
+                block, row, fold = (k.as_py() for k in key)
+                if now is not None and (block, row) != (now[0], now[1] + len(lists)):
+                    yield ask(*now, lists, screen)
+                    now = None
+                if now is None:
+                    now, lists = (block, row, fold), []
+                lists.append(_words_of(value, shape, at))
+        if now is not None:
+            yield ask(*now, lists, screen)
+
+    rows = blocks.table.select("block", "row", "fold", blocks.asked)
+    return rows.mapInArrow(run, "block long, row int, rows int, fold int, bucket int, words binary")
+
+
+def _column(table: pa.Table, name: str) -> pa.Array:
+    chunks = table.column(name).chunks
+    return pa.concat_arrays(chunks) if chunks else pa.array([], table.schema.field(name).type)
+
+
+def _dealt(entries: DataFrame, buckets: int) -> DataFrame:
+    """`(bucket, entries)`: those of a bucket of tokens in their order, as compressed values."""
+
+    def deal(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own = Dictionary.of(batch.column(0).cast(pa.string()), *batch.columns[1:])
+        ordered = pc.sort_indices(own.tokens).to_numpy()
+        place = own.marks[ordered] % buckets
+        order = np.argsort(place, kind="stable")
+        ordered, place = ordered[order], place[order].astype(np.int32)
+        starts = np.append(0, np.flatnonzero(np.diff(place)) + 1)
+        values = [own.value(ordered[a:b]) for a, b in zip(starts, [*starts[1:], len(place)], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(place[starts]), pa.array(values, pa.binary())], ["bucket", "entries"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held, n = [*held, batch], n + batch.num_rows
+            if n >= DEALT_ENTRIES:
+                yield deal(one_batch(held))
+                held, n = [], 0
+        if n:
+            yield deal(one_batch(held))
+
+    return entries.mapInArrow(run, "bucket int, entries binary")
+
+
+def _answered(asked: pa.Table, dealt: pa.Table) -> pa.Table:
+    """`(block, row, rows, bucket, found)`: tags and confidences for what was asked of one bucket, in its
+    order, as compressed values; none where nothing is known."""
+    spare()
+    entries = _column(dealt, "entries").to_pylist()
+    own = Dictionary.merged([Dictionary.from_value(e) for e in entries]) if entries else None
+    folds, values = _column(asked, "fold").to_pylist(), _column(asked, "words").to_pylist()
+    found: list[bytes | None] = [None] * len(values)
+    at, listed = 0, None if own is None else strings(own.labels)
+    while own is not None and at < len(values):
+        some = []
+        while at + len(some) < len(values) and sum(map(len, some)) < ASKED_WORDS:
+            some.append(strings_from(opened(values[at + len(some)])))
+        places = np.split(own.find(pa.concat_arrays(some)), np.cumsum([len(w) for w in some])[:-1])
+        for i, place in enumerate(places, at):
+            if folds[i] is None or not (place >= 0).any():
+                continue
+            fold = folds[i] if own.codes.shape[1] > 1 else 0
+            codes = np.where(place >= 0, own.codes[place, fold], 0)
+            shares, where = np.unique(np.where(place >= 0, own.confidence[place, fold], 1.0), return_inverse=True)
+            found[i] = squeezed([codes, where, shares.view(np.uint64), *listed])
+        at += len(some)
+    columns = [_column(asked, c) for c in ("block", "row", "rows", "bucket")]
+    table = pa.table([*columns, pa.array(found, pa.binary())], ["block", "row", "rows", "bucket", "found"])
+    return table.filter(pc.is_valid(table.column("found")))
+
+
+def in_blocks(records: DataFrame | Blocks, lexicon: DataFrame, fold_col: str | None = None) -> DataFrame:
+    """`records` with `pred_tags` and `confidence`, for a lexicon of any size.
+
+    Records are written in blocks, unless they are, of one fold each. A block asks for its distinct
+    tokens, without those the screen does not know; a token is asked for once a block, so no token skews
+    the join with the lexicon, which is by buckets of tokens. The answers are those of the block's fold,
+    in the order of the questions, which the block's rows give again. They meet in a cogroup, whose
+    sort spills and which holds one block at a time. All travel as compressed values.
+    """
+    entries = lexicon.select("token", "tag", "confidence").filter("token IS NOT NULL")
+    screen, size = _screen(entries)
+    shared = lexicon.sparkSession.sparkContext.broadcast(screen.tobytes())
+    blocks = records if isinstance(records, Blocks) else Blocks.of(records, "blocks", fold_col, shared)
+    buckets = max(size // BUCKET_ENTRIES, LEAST_BUCKETS)
+    asked = _asked(blocks, shared, buckets)
+    both = asked.groupBy("bucket").cogroup(_dealt(entries, buckets).groupBy("bucket"))
+    answers = both.applyInArrow(_answered, "block long, row int, rows int, bucket int, found binary")
+    schema, names = blocks.schema, blocks.schema.fieldNames()
+    shape, at = Shape(schema), names.index("tokens")
+
+    def unpacked(rows: pa.Table, found: pa.Table) -> pa.Table:
+        spare()
+        known = np.frombuffer(shared.value, np.uint8)
+        order = dict(sorted(zip(_column(rows, "row").to_pylist(), range(rows.num_rows), strict=True)))
+        values = _column(rows, "records").to_pylist()
+        whole = one_batch([shape.records(values[i]) for i in order.values()])
+        answers: dict[tuple[int, int], list[tuple[int, bytes]]] = {}
+        for row, n, *answer in zip(*(_column(found, c).to_pylist() for c in ("row", "rows", "bucket", "found")), strict=True):
+            answers.setdefault((row, n), []).append(tuple(answer))
+        asking = _column(rows, rows.column_names[-1])
+        words, labels, told = [pa.array([], pa.string())], [pa.array([OUTSIDE])], 1
+        codes, shares = [], []
+        for (row, n), answer in answers.items():
+            own, place = _asked_words([_words_of(asking[order[i]], shape, at) for i in range(row, row + n)], known, buckets)
+            code, share = np.zeros(len(own), np.int64), np.ones(len(own))
+            for bucket, value in answer:
+                tags, where, each, *listed = opened(value)
+                mine = slice(*np.searchsorted(place, [bucket, bucket + 1]).tolist())
+                code[mine], share[mine] = tags.astype(np.int64) + told, each.astype(np.uint64).view(np.float64)[where]
+                labels.append(strings_from(listed))
+                told += len(labels[-1])
+            words, codes, shares = [*words, own], [*codes, code], [*shares, share]
+        code, share = np.concatenate([*codes, [0]]).astype(np.int64), np.concatenate([*shares, [1.0]])
+        lists, words = whole.column(at), pa.concat_arrays(words)
+        place = pc.fill_null(pc.index_in(lists.flatten(), value_set=words), len(words)).to_numpy(zero_copy_only=False)
+        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        tags = pa.concat_arrays(labels).take(pa.array(code)).take(pa.array(place))
+        kept = [c.cast(_nullable(c.type)) for c in whole.columns]
+        columns = [*kept, _lists(lengths, tags), _lists(lengths, pa.array(share[place]))]
+        return pa.Table.from_batches([pa.RecordBatch.from_arrays(columns, [*names, "pred_tags", "confidence"])])
 
     out = StructType([*schema.fields, *_FOUND.fields])
-    meeting = blocks.select("block", "records").groupBy("block").cogroup(answers.groupBy("asker"))
-    return meeting.applyInArrow(unpacked, out)
+    meeting = blocks.table.select(*dict.fromkeys(["block", "row", "records", blocks.asked])).groupBy("block")
+    return meeting.cogroup(answers.groupBy("block")).applyInArrow(unpacked, out)

@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 
 from titlespan.functions.sql import let
 from titlespan.operators import metrics
+from titlespan.operators.blocks import by_id
+from titlespan.operators.dictionary import Blocks
 from titlespan.operators.tagger import (
     MAX_BROADCAST_BYTES,
     BatchModel,
     fit_per_fold,
+    held,
     predict_tokens,
     predicted_beside,
 )
-from titlespan.sources.store import written
+from titlespan.session import SPARING, sparing, written
 
 _PLACES = 9
 #: Hexadecimal digits of the digest that the records ranked together share.
@@ -93,37 +96,48 @@ def cross_validate(
     One count table serves all folds: a fold's training counts are the totals without its
     own, so nothing is trained k times over the data. Ids are ranked without their records;
     records that share an id share its fold. The assignment is written once, as fitting and
-    predicting both read it.
+    predicting both read it. It is written in blocks, with what is read of the records, and what
+    was shuffled for a table is deleted once that is written.
     """
-    folded = written(with_folds(seqs, k, seed), "folds")
-    return evaluate_folds(folded, k, max_broadcast_bytes)
+    with sparing(seqs.sparkSession):
+        folded = _blocks(seqs.select("record_id", "tokens", "true_tags"), k, seed)
+        return evaluate_folds(folded, k, max_broadcast_bytes)
+
+
+def _blocks(seqs: DataFrame, k: int, seed: int) -> Blocks:
+    return Blocks.of(with_folds(seqs, k, seed), "folds", "fold")
 
 
 def with_folds(seqs: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
     """K1, K2 over whole records: `fold` is found for the ids alone and joined back."""
-    binned = with_length_bins(seqs)
+    binned = with_length_bins(seqs.select("record_id", "tokens"))
     ids = binned.groupBy("record_id").agg(F.min("bin").alias("bin"))
-    folds = stratified_folds(ids, k, seed).select(F.col("record_id").alias("_id"), "fold")
-    joined = binned.join(folds, F.col("record_id").eqNullSafe(F.col("_id")))
-    return joined.drop("_id", "bin")
+    return by_id(seqs.drop("bin"), stratified_folds(ids, k, seed), "fold")
 
 
 def cross_validate_with(
     fit: Callable[[DataFrame], DataFrame | BatchModel], seqs: DataFrame, k: int = 5, seed: int = 42
 ) -> DataFrame:
     """K3 for any model: `fit` is given the records of the other folds and returns a lexicon or
-    a user's model, which then predicts the records of the fold; `(fold, metric, value)`."""
-    folded = written(with_folds(seqs, k, seed), "folds")
-    parts = []
-    for fold in range(k):
-        model = fit(folded.filter(F.col("fold") != fold).drop("fold"))
-        predicted = predicted_beside(folded.filter(F.col("fold") == fold), model, keep=["fold"])
-        parts.append(predicted.select("record_id", "fold", "tokens", "true_tags", "pred_tags"))
-    counts = metrics.evaluation_counts(reduce(DataFrame.unionByName, parts), by=["fold"])
-    return metrics.summary(counts, by=["fold"])
-
-
-def evaluate_folds(folded: DataFrame, k: int, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    a user's model, which then predicts the records of the fold; `(fold, metric, value)`.
+
+    A fold is counted before the next one's model is fitted, so that one at a time is on disk."""
+    with sparing(seqs.sparkSession):
+        folded = _blocks(seqs, k, seed)
+        parts = []
+        for fold in range(k):
+            model = fit(folded.filter(F.col("fold") != fold).records().drop("fold"))
+            small = held(model) if isinstance(model, DataFrame) else None
+            predicted = predicted_beside(folded.filter(F.col("fold") == fold), small or model, keep=["fold"])
+            parts.append(written(metrics.evaluation_counts(predicted, by=["fold"]), "fold-counts"))
+            if small:
+                small.release()
+        return metrics.summary(reduce(DataFrame.unionByName, parts), by=["fold"])
+
+
+def evaluate_folds(
+    folded: DataFrame | Blocks, k: int, max_broadcast_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
     """K3 over records that already have a `fold`."""
     lexicon = written(fit_per_fold(folded, k), "fold-lexicon")
     predicted = predict_tokens(
@@ -134,7 +148,7 @@ def evaluate_folds(folded: DataFrame, k: int, max_broadcast_bytes: int = MAX_BRO
         fold_col="fold",
         max_broadcast_bytes=max_broadcast_bytes,
     )
-    counts = metrics.evaluation_counts(predicted, by=["fold"])
+    counts = written(metrics.evaluation_counts(predicted, by=["fold"]), "fold-counts")
     return metrics.summary(counts, by=["fold"])
 
 

@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from titlespan.functions.sql import name, quote, quoted
 from titlespan.functions.tags import fit_length
 from titlespan.operators import dictionary
-from titlespan.operators.dictionary import Held, lexicon_bytes
+from titlespan.operators.dictionary import Blocks, Held, lexicon_bytes
 from titlespan.operators.metrics import evaluate_predictions
 from titlespan.operators.tokens import true_tags, with_tokens
-from titlespan.operators.usage import tag_counts
+from titlespan.operators.usage import most_frequent, most_frequent_per_fold
 from titlespan.types import ENTITY_TYPES, OUTSIDE, labels
 
 MAX_BROADCAST_BYTES = 64 << 20
@@ -39,11 +39,6 @@ def fit(tagged: DataFrame) -> DataFrame:
     counts = tagged.groupBy("token", F.coalesce("tag", F.lit("")).alias("tag")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    return _most_frequent(counts)
-
-
-def _most_frequent(counts: DataFrame) -> DataFrame:
-    """M1 from `(token, tag, n)`."""
     best = F.min(F.struct((-F.col("n")).alias("neg"), "tag"))
     return (
         counts.groupBy("token")
@@ -60,35 +55,19 @@ def _most_frequent(counts: DataFrame) -> DataFrame:
 
 def fit_sequences(seqs: DataFrame, tag_col: str = "true_tags") -> DataFrame:
     """M1 over `(record_id, tokens, <tag_col>)`, counted an Arrow batch at a time."""
-    return _most_frequent(tag_counts(seqs, tag_col))
+    return most_frequent(seqs, tag_col)
 
 
-def fit_per_fold(folded: DataFrame, k: int, tag_col: str = "true_tags") -> DataFrame:
+def fit_per_fold(folded: DataFrame | Blocks, k: int, tag_col: str = "true_tags") -> DataFrame:
     """K3: `(token, tag, confidence)` with one array entry per fold, trained on the others.
 
     A tag that the other folds never give the token is no candidate there.
     """
-    zipped = F.arrays_zip(F.col("tokens").alias("token"), F.col(tag_col).alias("tag"))
-    rows = folded.select("fold", F.explode(zipped).alias("z"))
-    counts = rows.groupBy(
-        F.col("z.token").alias("token"), F.coalesce("z.tag", F.lit("")).alias("tag")
-    ).agg(*[F.count_if(F.col("fold") != f).alias(f"n{f}") for f in range(k)])
-
-    def best(f: int) -> Column:
-        n = F.col(f"n{f}")
-        return F.min(F.when(n > 0, F.struct((-n).alias("neg"), F.col("tag").alias("tag"))))
-
-    grouped = counts.groupBy("token").agg(
-        *[best(f).alias(f"best{f}") for f in range(k)],
-        *[F.sum(f"n{f}").alias(f"total{f}") for f in range(k)],
-    )
-    return grouped.select(
-        "token",
-        F.array(*[F.col(f"best{f}.tag") for f in range(k)]).alias("tag"),
-        F.array(
-            *[-F.col(f"best{f}.neg") / F.nullif(f"total{f}", F.lit(0)) for f in range(k)]
-        ).alias("confidence"),
-    )
+    return most_frequent_per_fold(_records(folded), tag_col, k)
+
+
+def _records(seqs: DataFrame | Blocks) -> DataFrame:
+    return seqs.records() if isinstance(seqs, Blocks) else seqs
 
 
 def lookup(
@@ -155,7 +134,7 @@ def held(lexicon: DataFrame | Held, max_broadcast_bytes: int = MAX_BROADCAST_BYT
 
 
 def predict_tokens(
-    seqs: DataFrame,
+    seqs: DataFrame | Blocks,
     lexicon: DataFrame | Held,
     parallel: Sequence[str] = (),
     keep: Sequence[str] = (),
@@ -170,15 +149,16 @@ def predict_tokens(
     one output row, also where ids repeat or are missing.
 
     A lexicon small enough to be broadcast, or a dictionary made of one before, is probed where
-    the records are, so nothing is shuffled. Beyond that records ask in blocks (`in_blocks`).
+    the records are, so nothing is shuffled. Beyond that records ask in blocks (`in_blocks`), those of
+    the table if it is written so, by `fold_col` if that is named.
     """
-    records = seqs.select(
-        "record_id", *keep, F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens"), *parallel
-    )
+    tokens = F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens")
     small = held(lexicon, max_broadcast_bytes)
     if small is None:
-        found = dictionary.in_blocks(records, lexicon, parallel, fold_col)
+        records = seqs if isinstance(seqs, Blocks) else seqs.select("record_id", *keep, tokens, *parallel)
+        found = dictionary.in_blocks(records, lexicon, fold_col).withColumn("tokens", tokens)
     else:
+        records = _records(seqs).select("record_id", *keep, tokens, *parallel)
         found = records.withColumn("_found", small.column("tokens", fold_col)).select("*", "_found.*")
     return found.select("record_id", *keep, "tokens", *parallel, "pred_tags", "confidence")
 
@@ -291,9 +271,9 @@ def evaluate_model(
 
 
 def predicted_beside(
-    truth: DataFrame, model: DataFrame | Held | BatchModel, keep: Sequence[str] = ()
+    truth: DataFrame | Blocks, model: DataFrame | Held | BatchModel, keep: Sequence[str] = ()
 ) -> DataFrame:
     """`(record_id, *keep, tokens, true_tags, pred_tags, …)` by a lexicon or a user's model."""
     if isinstance(model, DataFrame | Held):
         return predict_tokens(truth, model, parallel=["true_tags"], keep=keep)
-    return predict_with(truth, model, keep=[*keep, "true_tags"])
+    return predict_with(_records(truth), model, keep=[*keep, "true_tags"])
