@@ -246,5 +246,6 @@ def by_id(records: DataFrame, found: DataFrame, column: str) -> DataFrame:
                     if where.null_count:
                         raise ValueError("a record's id is not in the other table")
                     yield pa.RecordBatch.from_arrays([*mine.columns, values[0].take(where)], [*shape.names, column])
+            spare()
 
     return both.mapInArrow(run, StructType([*schema.fields, StructField(column, IntegerType())]))

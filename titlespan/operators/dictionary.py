@@ -315,6 +315,7 @@ class Blocks:
             for batch in batches:
                 for value in batch.column(0):
                     yield shape.records(value.as_py())
+                spare()
 
         return self.table.select("records").mapInArrow(run, self.schema)
 
@@ -361,6 +362,7 @@ def _asked(blocks: Blocks, known: Broadcast, buckets: int) -> DataFrame:
                 if now is not None and (block, row) != (now[0], now[1] + len(lists)):
                     yield ask(*now, lists, screen)
                     now = None
+                    spare()
                 if now is None:
                     now, lists = (block, row, fold), []
                 lists.append(_words_of(value, shape, at))
@@ -396,6 +398,7 @@ def _dealt(entries: DataFrame, buckets: int) -> DataFrame:
             if n >= DEALT_ENTRIES:
                 yield deal(one_batch(held))
                 held, n = [], 0
+                spare()
         if n:
             yield deal(one_batch(held))
 
