@@ -21,7 +21,7 @@ from titlespan.operators.tagger import (
     predict_tokens,
     predicted_beside,
 )
-from titlespan.session import SPARING, sparing, written
+from titlespan.session import SPARING, sparing, written  # noqa: F401
 
 _PLACES = 9
 #: Hexadecimal digits of the digest that the records ranked together share.
